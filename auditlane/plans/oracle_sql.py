@@ -196,3 +196,90 @@ FROM ({metrics_sql}) m
 def gate_results(batch_sql: str, rules: list[tuple], batch_name: str | None = None) -> str:
     tag = f"'{batch_name}' AS batch, " if batch_name else ""
     return f"SELECT {tag}* FROM ({decided(rule_metrics(batch_sql, rules))}) d"
+
+
+# -- samples ----------------------------------------------------------------------------
+
+def _violation(kind: str, col: str, lo, hi) -> str:
+    miss = _missing(col, col in FLOATING)
+    if kind == "not_null":
+        return miss
+    conds = []
+    if lo is not None:
+        conds.append(f"{col} >= {_lit(lo)}")
+    if hi is not None:
+        conds.append(f"{col} <= {_lit(hi)}")
+    return f"(NOT {miss} AND NOT ({' AND '.join(conds) or 'TRUE'}))"
+
+
+def offender_samples(batch_sql: str, rules: list[tuple], k: int = 10, id_col: str = "trip_id") -> str:
+    """Smallest k offending ids per *failed* rule; duplicated ids for a unique rule."""
+    parts = []
+    for _, rid, kind, col, _, lo, hi in rules:
+        if kind == "unique":
+            kmiss = _missing(col, col in FLOATING)
+            parts.append(f"SELECT '{rid}' AS rule_id, CAST({col} AS BIGINT) AS row_id FROM batch "
+                         f"WHERE NOT {kmiss} GROUP BY {col} HAVING count(*) > 1")
+        else:
+            parts.append(f"SELECT '{rid}' AS rule_id, CAST({id_col} AS BIGINT) AS row_id FROM batch "
+                         f"WHERE {_violation(kind, col, lo, hi)}")
+    offenders = "\nUNION ALL\n".join(parts)
+    failed = f"SELECT rule_id FROM ({decided(rule_metrics(batch_sql, rules))}) d WHERE NOT success"
+    return f"""
+WITH batch AS ({batch_sql}),
+off AS ({offenders}),
+ranked AS (SELECT rule_id, row_id,
+                  row_number() OVER (PARTITION BY rule_id ORDER BY row_id ASC NULLS LAST) AS rn
+           FROM off WHERE rule_id IN ({failed}))
+SELECT rule_id, CAST(rn AS INTEGER) AS rank, row_id FROM ranked WHERE rn <= {k}
+"""
+
+
+# -- exact seeded selection and faults -------------------------------------------------
+
+RAW_COLUMNS = ("trip_id", "vendor_id", "pickup_datetime", "dropoff_datetime", "passenger_count",
+               "trip_distance", "pickup_location_id", "dropoff_location_id", "fare_amount",
+               "tip_amount", "total_amount", "payment_type")
+
+
+def ranked(raw: str, seed: int, key: str = "trip_id") -> str:
+    return f"""
+SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', CAST({key} AS VARCHAR), '{seed}')), {key}) AS __rn,
+       count(*) OVER () AS __total
+FROM ({raw}) raw
+"""
+
+
+def _size(fraction: float, minimum: int = 0) -> str:
+    n = f"CAST(floor(CAST(__total AS DOUBLE) * CAST({fraction!r} AS DOUBLE)) AS BIGINT)"
+    if minimum:
+        n = f"greatest({minimum}, {n})"
+    return f"least({n}, __total)"
+
+
+def null_flood(raw: str, column: str = "fare_amount", fraction: float = 0.35, seed: int = 7) -> str:
+    cols = ", ".join(
+        f"CASE WHEN __rn <= {_size(fraction)} THEN NULL ELSE {c} END AS {c}" if c == column else c
+        for c in RAW_COLUMNS
+    )
+    return f"SELECT {cols} FROM ({ranked(raw, seed)}) r"
+
+
+def dup_pk(raw: str, fraction: float = 0.1, seed: int = 11) -> str:
+    cols = ", ".join(RAW_COLUMNS)
+    return (f"SELECT {cols} FROM ({raw}) a UNION ALL "
+            f"SELECT {cols} FROM ({ranked(raw, seed)}) r WHERE __rn <= {_size(fraction, 1)}")
+
+
+def negative_values(raw: str, fraction: float = 0.15, seed: int = 13,
+                    columns: tuple[str, ...] = ("fare_amount", "trip_distance")) -> str:
+    cols = ", ".join(
+        f"CASE WHEN __rn <= {_size(fraction)} THEN -abs({c}) ELSE {c} END AS {c}" if c in columns else c
+        for c in RAW_COLUMNS
+    )
+    return f"SELECT {cols} FROM ({ranked(raw, seed)}) r"
+
+
+def schema_drift(raw: str, old: str = "trip_distance", new: str = "trip_distance_mi") -> str:
+    cols = ", ".join(f"{c} AS {new}" if c == old else c for c in RAW_COLUMNS)
+    return f"SELECT {cols} FROM ({raw}) r"

@@ -9,11 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
-from auditlane.operators import enrich, gate, rules, staging
+from auditlane.functions.exprs import floor_to_second, int_cast, minutes_between, safe_divide
+from auditlane.operators import datatests, enrich, faults, gate, rules, staging
 from auditlane.plans import bindings as b
 from auditlane.plans import oracle_sql as q
+from auditlane.plans import publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +57,6 @@ def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gate_rows(df: DataFrame, suite, batch: str | None = None) -> DataFrame:
     out = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME).select(*GATE_COLUMNS)
     if batch is not None:
-        from pyspark.sql import functions as F
-
         out = out.select(F.lit(batch).alias("batch"), *GATE_COLUMNS)
     return out
 
@@ -75,28 +79,330 @@ def q_stage_zones(spark, sf_dir):
     return staged_zones(spark, sf_dir)
 
 
+def q_cast_half_even(spark, sf_dir):
+    li = b.table(spark, sf_dir, "lineitem")
+    half = F.col("l_quantity") * F.lit(0.5)
+    return li.select(
+        "l_orderkey",
+        "l_linenumber",
+        int_cast(half, DoubleType()).alias("qty_half_even"),
+        int_cast(half.cast("string"), StringType()).alias("qty_half_away"),
+    )
+
+
+def q_safe_divide(spark, sf_dir):
+    li = b.table(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber",
+                     safe_divide("l_extendedprice", "l_discount").alias("price_per_discount"))
+
+
+def q_duration_minutes(spark, sf_dir):
+    t = staged_lines(spark, sf_dir)
+    return t.select("trip_id", "pickup_at", "dropoff_at",
+                    minutes_between("pickup_at", "dropoff_at").alias("trip_duration_minutes"))
+
+
+SUBSECOND_ORIGIN = "2024-01-01 00:00:00.9"
+
+
+def q_duration_subsecond(spark, sf_dir):
+    ev = b.table(spark, sf_dir, "events")
+    origin = F.lit(SUBSECOND_ORIGIN).cast("timestamp_ntz")
+    return ev.select(
+        "event_id",
+        F.timestamp_diff("SECOND", floor_to_second(origin), floor_to_second("ts")).alias("elapsed_seconds"),
+        minutes_between(origin, "ts").alias("elapsed_minutes"),
+    )
+
+
 def q_enrich_trips(spark, sf_dir):
     return enriched_lines(spark, sf_dir)
 
 
+def q_enrich_orders(spark, sf_dir):
+    return enriched_orders(spark, sf_dir)
+
+
+DROPPED_REGION = "ASIA"
+
+
+def q_enrich_unmatched(spark, sf_dir):
+    return enriched_lines(spark, sf_dir, drop_region=DROPPED_REGION)
+
+
+def q_fct_trips(spark, sf_dir):
+    return publish.fact_mart(enriched_lines(spark, sf_dir))
+
+
+def q_dim_zones(spark, sf_dir):
+    return publish.dim_mart(staged_zones(spark, sf_dir))
+
+
+def with_price_per_discount(spark, sf_dir):
+    return q_safe_divide(spark, sf_dir)
+
+
+def q_rule_not_null(spark, sf_dir):
+    rule = rules.NotNull("price_per_discount_not_null", "price_per_discount", rules.DEFAULT_MOSTLY)
+    return gate_rows(with_price_per_discount(spark, sf_dir), (rule,))
+
+
+def q_rule_unique(spark, sf_dir):
+    rule = rules.Unique("trip_id_unique", "trip_id")
+    return gate_rows(enriched_lines(spark, sf_dir), (rule,))
+
+
+ACCTBAL_RANGE = (0.0, 10_000.0)
+
+
+def q_rule_between(spark, sf_dir):
+    rule = rules.Between("c_acctbal_between", "c_acctbal", rules.DEFAULT_MOSTLY,
+                         min_value=ACCTBAL_RANGE[0], max_value=ACCTBAL_RANGE[1])
+    return gate_rows(b.table(spark, sf_dir, "customer"), (rule,))
+
+
 def q_gate_suite(spark, sf_dir):
     return gate_rows(enriched_lines(spark, sf_dir), line_suite(), "line_trips").unionByName(
         gate_rows(enriched_orders(spark, sf_dir), order_suite(), "order_trips")
     )
 
 
+def q_gate_suite_reference_bounds(spark, sf_dir):
+    return gate_rows(enriched_lines(spark, sf_dir), rules.trips_suite(), "line_trips")
+
+
+def q_gate_verdict(spark, sf_dir):
+    batches = (
+        ("line_trips", enriched_lines(spark, sf_dir), line_suite()),
+        ("line_trips_reference_bounds", enriched_lines(spark, sf_dir), rules.trips_suite()),
+        ("order_trips", enriched_orders(spark, sf_dir), order_suite()),
+    )
+    parts = [
+        gate.verdict(gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME))
+        .select(F.lit(name).alias("batch"), "success", "row_count", "failed_expectation_count")
+        for name, df, suite in batches
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def failed_rule_ids(df: DataFrame, suite) -> list[str]:
+    """Ids of failed rules (at most one small row per rule reaches the driver)."""
+    results = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME)
+    return [r["rule_id"] for r in results.where(~F.col("success")).select("rule_id").collect()]
+
+
+def q_gate_samples(spark, sf_dir):
+    df = enriched_lines(spark, sf_dir)
+    suite = rules.trips_suite()
+    return gate.offender_samples(df, suite, failed_rule_ids(df, suite))
+
+
+def q_alert_payload(spark, sf_dir):
+    df = enriched_lines(spark, sf_dir)
+    suite = rules.trips_suite()
+    results = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME)
+    return gate.build_alert(results, gate.offender_samples(df, suite, failed_rule_ids(df, suite)))
+
+
+def q_fault(mode: str) -> Query:
+    def run(spark, sf_dir):
+        return faults.apply_fault(b.order_trips(spark, sf_dir), mode)
+
+    run.__name__ = f"q_fault_{mode}"
+    return run
+
+
+def q_gate_after(mode: str) -> Query:
+    def run(spark, sf_dir):
+        raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
+        df = enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir))
+        return gate_rows(df, order_suite())
+
+    run.__name__ = f"q_gate_after_{mode}"
+    return run
+
+
+def q_test_unique(spark, sf_dir):
+    return datatests.unique_violations(publish.fact_mart(enriched_lines(spark, sf_dir)), "trip_id")
+
+
+def q_test_not_null(spark, sf_dir):
+    return datatests.not_null_violations(with_price_per_discount(spark, sf_dir), "price_per_discount")
+
+
+def q_test_relationships(spark, sf_dir):
+    fct = publish.fact_mart(enriched_lines(spark, sf_dir))
+    dim = publish.dim_mart(staged_zones(spark, sf_dir, drop_region=DROPPED_REGION))
+    return datatests.relationship_violations(fct, "pickup_location_id", dim, "location_id").select(
+        "trip_id", "pickup_location_id"
+    )
+
+
+ACCEPTED_STATUSES = ("F", "O")
+
+
+def q_test_accepted_values(spark, sf_dir):
+    return datatests.accepted_values_violations(
+        b.table(spark, sf_dir, "orders"), "o_orderstatus", ACCEPTED_STATUSES
+    )
+
+
+def q_mart_tests(spark, sf_dir):
+    parts = []
+    for batch, fct_df in (("line_trips", enriched_lines(spark, sf_dir)),
+                          ("order_trips", enriched_orders(spark, sf_dir))):
+        tables = {"fct_trips": publish.fact_mart(fct_df), "dim_zones": publish.dim_mart(staged_zones(spark, sf_dir))}
+        parts.append(datatests.run_data_tests(publish.MART_TESTS, tables)
+                     .select(F.lit(batch).alias("batch"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_zones": q_stage_zones,
+    "cast_half_even": q_cast_half_even,
+    "safe_divide": q_safe_divide,
+    "duration_minutes": q_duration_minutes,
+    "duration_subsecond": q_duration_subsecond,
     "enrich_trips": q_enrich_trips,
+    "enrich_orders": q_enrich_orders,
+    "enrich_unmatched": q_enrich_unmatched,
+    "fct_trips": q_fct_trips,
+    "dim_zones": q_dim_zones,
+    "rule_not_null": q_rule_not_null,
+    "rule_unique": q_rule_unique,
+    "rule_between": q_rule_between,
     "gate_suite": q_gate_suite,
+    "gate_suite_reference_bounds": q_gate_suite_reference_bounds,
+    "gate_verdict": q_gate_verdict,
+    "gate_samples": q_gate_samples,
+    "alert_payload": q_alert_payload,
+    "fault_null_flood": q_fault("null_flood"),
+    "fault_dup_pk": q_fault("dup_pk"),
+    "fault_negative_values": q_fault("negative_values"),
+    "fault_schema_drift": q_fault("schema_drift"),
+    "gate_after_null_flood": q_gate_after("null_flood"),
+    "gate_after_dup_pk": q_gate_after("dup_pk"),
+    "gate_after_negative_values": q_gate_after("negative_values"),
+    "test_unique": q_test_unique,
+    "test_not_null": q_test_not_null,
+    "test_relationships": q_test_relationships,
+    "test_accepted_values": q_test_accepted_values,
+    "mart_tests": q_mart_tests,
 }
 
+
+def _verdict_sql(name: str, batch: str, suite: list[tuple]) -> str:
+    return f"""
+SELECT '{name}' AS batch, coalesce(bool_and(success), TRUE) AS success,
+       CAST(coalesce(max(element_count), 0) AS BIGINT) AS row_count,
+       CAST(count(*) FILTER (WHERE NOT success) AS BIGINT) AS failed_expectation_count
+FROM ({q.decided(q.rule_metrics(batch, suite))}) d
+"""
+
+
+def _gate_after_sql(fault_sql: str) -> str:
+    return q.gate_results(q.enriched(fault_sql, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX))
+
+
+PRICE_PER_DISCOUNT_SQL = """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN l_discount IS NULL OR l_discount = 0 THEN NULL
+            ELSE l_extendedprice * 1.0 / l_discount END AS price_per_discount
+FROM lineitem
+"""
+
+
+def _mart_tests_sql(batch: str, enriched_sql: str) -> str:
+    fct = f"({enriched_sql})"
+    dim = f"({q.stg_zones(q.zones_raw())})"
+    tests = [
+        ("dim_zones_location_id_unique", "unique", "dim_zones", "location_id",
+         f"SELECT location_id FROM {dim} d WHERE location_id IS NOT NULL GROUP BY location_id HAVING count(*) > 1"),
+        ("dim_zones_location_id_not_null", "not_null", "dim_zones", "location_id",
+         f"SELECT * FROM {dim} d WHERE location_id IS NULL"),
+        ("fct_trips_trip_id_unique", "unique", "fct_trips", "trip_id",
+         f"SELECT trip_id FROM {fct} f WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"),
+        ("fct_trips_trip_id_not_null", "not_null", "fct_trips", "trip_id",
+         f"SELECT * FROM {fct} f WHERE trip_id IS NULL"),
+        ("fct_trips_pickup_location_id_relationships", "relationships", "fct_trips", "pickup_location_id",
+         f"SELECT * FROM {fct} f WHERE pickup_location_id IS NOT NULL AND pickup_location_id NOT IN "
+         f"(SELECT location_id FROM {dim} d WHERE location_id IS NOT NULL)"),
+        ("fct_trips_dropoff_location_id_relationships", "relationships", "fct_trips", "dropoff_location_id",
+         f"SELECT * FROM {fct} f WHERE dropoff_location_id IS NOT NULL AND dropoff_location_id NOT IN "
+         f"(SELECT location_id FROM {dim} d WHERE location_id IS NOT NULL)"),
+        ("fct_trips_payment_type_accepted_values", "accepted_values", "fct_trips", "payment_type",
+         f"SELECT payment_type FROM {fct} f WHERE payment_type IS NOT NULL AND payment_type NOT IN (1, 2, 3, 4) "
+         f"GROUP BY payment_type"),
+        ("fct_trips_fare_amount_not_null", "not_null", "fct_trips", "fare_amount",
+         f"SELECT * FROM {fct} f WHERE fare_amount IS NULL"),
+    ]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{batch}' AS batch, '{tid}' AS test_id, '{kind}' AS kind, '{model}' AS model, "
+        f"'{col}' AS \"column\", CAST(count(*) AS BIGINT) AS failures, count(*) = 0 AS passed FROM ({v}) v"
+        for tid, kind, model, col, v in tests
+    )
+
+
 ORACLE: dict[str, str] = {
     "stage_trips": q.stg_trips(q.LINE_RAW),
     "stage_zones": q.stg_zones(q.zones_raw()),
+    "cast_half_even": """
+SELECT l_orderkey, l_linenumber,
+       CAST(l_quantity * 0.5 AS INTEGER) AS qty_half_even,
+       CAST(CAST(l_quantity * 0.5 AS VARCHAR) AS INTEGER) AS qty_half_away
+FROM lineitem""",
+    "safe_divide": PRICE_PER_DISCOUNT_SQL,
+    "duration_minutes": f"""
+SELECT trip_id, pickup_at, dropoff_at,
+       CAST(date_diff('second', pickup_at, dropoff_at) AS DOUBLE) / 60.0 AS trip_duration_minutes
+FROM ({q.stg_trips(q.LINE_RAW)}) t""",
+    "duration_subsecond": f"""
+SELECT event_id,
+       date_diff('second', TIMESTAMP '{SUBSECOND_ORIGIN}', ts) AS elapsed_seconds,
+       CAST(date_diff('second', TIMESTAMP '{SUBSECOND_ORIGIN}', ts) AS DOUBLE) / 60.0 AS elapsed_minutes
+FROM events""",
     "enrich_trips": q.line_enriched(),
+    "enrich_orders": q.order_enriched(),
+    "enrich_unmatched": q.line_enriched(DROPPED_REGION),
+    "fct_trips": q.line_enriched(),
+    "dim_zones": q.stg_zones(q.zones_raw()),
+    "rule_not_null": q.gate_results(
+        PRICE_PER_DISCOUNT_SQL,
+        [(0, "price_per_discount_not_null", "not_null", "price_per_discount", 0.98, None, None)]),
+    "rule_unique": q.gate_results(q.line_enriched(), [(0, "trip_id_unique", "unique", "trip_id", 1.0, None, None)]),
+    "rule_between": q.gate_results(
+        "SELECT * FROM customer",
+        [(0, "c_acctbal_between", "between", "c_acctbal", 0.98, ACCTBAL_RANGE[0], ACCTBAL_RANGE[1])]),
     "gate_suite": q.gate_results(q.line_enriched(), q.suite_rules(LINE_FARE_MAX), "line_trips")
     + "\nUNION ALL\n"
     + q.gate_results(q.order_enriched(), q.suite_rules(ORDER_FARE_MAX), "order_trips"),
+    "gate_suite_reference_bounds": q.gate_results(q.line_enriched(), q.suite_rules(rules.FARE_MAX), "line_trips"),
+    "gate_verdict": "\nUNION ALL\n".join([
+        _verdict_sql("line_trips", q.line_enriched(), q.suite_rules(LINE_FARE_MAX)),
+        _verdict_sql("line_trips_reference_bounds", q.line_enriched(), q.suite_rules(rules.FARE_MAX)),
+        _verdict_sql("order_trips", q.order_enriched(), q.suite_rules(ORDER_FARE_MAX)),
+    ]),
+    "gate_samples": q.offender_samples(q.line_enriched(), q.suite_rules(rules.FARE_MAX)),
+    "fault_null_flood": q.null_flood(q.ORDER_RAW),
+    "fault_dup_pk": q.dup_pk(q.ORDER_RAW),
+    "fault_negative_values": q.negative_values(q.ORDER_RAW),
+    "fault_schema_drift": q.schema_drift(q.ORDER_RAW),
+    "gate_after_null_flood": _gate_after_sql(q.null_flood(q.ORDER_RAW)),
+    "gate_after_dup_pk": _gate_after_sql(q.dup_pk(q.ORDER_RAW)),
+    "gate_after_negative_values": _gate_after_sql(q.negative_values(q.ORDER_RAW)),
+    "test_unique": f"""
+SELECT trip_id, count(*) AS n_rows FROM ({q.line_enriched()}) f
+WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1""",
+    "test_not_null": f"SELECT * FROM ({PRICE_PER_DISCOUNT_SQL}) p WHERE price_per_discount IS NULL",
+    "test_relationships": f"""
+SELECT f.trip_id, f.pickup_location_id FROM ({q.line_enriched()}) f
+WHERE f.pickup_location_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM ({q.stg_zones(q.zones_raw(DROPPED_REGION))}) d
+                  WHERE d.location_id = f.pickup_location_id)""",
+    "test_accepted_values": """
+SELECT o_orderstatus, count(*) AS n_rows FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""",
+    "mart_tests": _mart_tests_sql("line_trips", q.line_enriched())
+    + "\nUNION ALL\n" + _mart_tests_sql("order_trips", q.order_enriched()),
 }
