@@ -8,11 +8,11 @@ either the previous marts or the new ones, and a blocked run leaves the previous
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from auditlane.operators.datatests import DataTest
+from auditlane.operators.datatests import DataTest, run_data_tests
 from auditlane.operators.enrich import ENRICHED_COLUMNS
-from auditlane.sources.lake import Lake
+from auditlane.sources.lake import Lake, Snapshot
 
 # Mart names, their column order and the data tests declared on them.
 FACT_MART = "fct_trips"
@@ -45,17 +45,31 @@ def dim_mart(zones: DataFrame) -> DataFrame:
     return zones.select(*DIM_COLUMNS)
 
 
-def publish_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, int]:
-    """Write both marts as new snapshots, then commit them; returns snapshot ids."""
-    staged = {
+def stage_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, Snapshot]:
+    """Write both marts as new, not yet visible snapshots."""
+    return {
         FACT_MART: lake.write_snapshot(MARTS_NAMESPACE, FACT_MART, fact_mart(enriched), note=run_id),
         DIM_MART: lake.write_snapshot(MARTS_NAMESPACE, DIM_MART, dim_mart(zones), note=run_id),
     }
-    for snap in staged.values():
-        lake.commit(snap)
+
+
+def test_marts(spark: SparkSession, staged: dict[str, Snapshot]) -> list[dict]:
+    """Run the declared data tests on staged mart snapshots (one action, <= 8 result rows)."""
+    tables = {name: spark.read.parquet(snap.path) for name, snap in staged.items()}
+    return [r.asDict() for r in run_data_tests(MART_TESTS, tables).collect()]
+
+
+def commit_marts(lake: Lake, staged: dict[str, Snapshot]) -> dict[str, int]:
+    """Make the staged marts current; returns their snapshot ids."""
+    lake.commit(*staged.values())
     return {name: snap.snapshot_id for name, snap in staged.items()}
 
 
+def publish_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, int]:
+    """Write and commit both marts without testing them first."""
+    return commit_marts(lake, stage_marts(lake, enriched, zones, run_id))
+
+
 def read_marts(lake: Lake) -> dict[str, DataFrame]:
     return {
         FACT_MART: lake.read(MARTS_NAMESPACE, FACT_MART),

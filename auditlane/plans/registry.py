@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,10 @@ from auditlane.functions.exprs import floor_to_second, int_cast, minutes_between
 from auditlane.operators import datatests, enrich, faults, gate, rules, staging
 from auditlane.plans import bindings as b
 from auditlane.plans import oracle_sql as q
-from auditlane.plans import publish
+from auditlane.plans import flow, publish
+from auditlane.session import lake_root
+from auditlane.sources import csv, landing
+from auditlane.sources.lake import Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -257,6 +261,89 @@ def q_mart_tests(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+
+# -- landing, CSV, publish and whole runs (these write to a private folder of the lake) --
+
+def scratch_lake(spark: SparkSession, label: str) -> Lake:
+    return Lake(spark, f"{lake_root(spark)}/queries/{label}-{uuid.uuid4().hex}")
+
+
+def _manifest_frame(spark: SparkSession, manifests: list) -> DataFrame:
+    rows = [(m.fault_mode, m.trips_rows, m.zones_rows, m.trips_snapshot_id is not None,
+             m.zones_snapshot_id is not None) for m in manifests]
+    return spark.createDataFrame(
+        rows, "fault_mode string, trips_rows long, zones_rows long, "
+              "has_trips_snapshot boolean, has_zones_snapshot boolean")
+
+
+def q_land_manifest(spark, sf_dir):
+    lake = scratch_lake(spark, "land")
+    m = landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir))
+    return _manifest_frame(spark, [m])
+
+
+def q_land_dup_pk(spark, sf_dir):
+    lake = scratch_lake(spark, "land-dup")
+    m = landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), "dup_pk")
+    return _manifest_frame(spark, [m])
+
+
+def q_land_twice(spark, sf_dir):
+    lake = scratch_lake(spark, "land-twice")
+    for _ in range(2):
+        landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir))
+    visible = lake.read(landing.RAW_NAMESPACE, landing.TRIPS_TABLE).agg(F.count(F.lit(1)).alias("visible_rows"))
+    snapshots = lake.history(landing.RAW_NAMESPACE, landing.TRIPS_TABLE).agg(
+        F.count(F.lit(1)).alias("snapshots"), F.sum("row_count").alias("rows_written"))
+    return _side_by_side(visible, snapshots)
+
+
+def _side_by_side(a: DataFrame, b_: DataFrame) -> DataFrame:
+    return a.withColumn("__one", F.lit(1)).join(b_.withColumn("__one", F.lit(1)), "__one").drop("__one")
+
+
+def q_csv_roundtrip(spark, sf_dir):
+    lake = scratch_lake(spark, "csv")
+    path = f"{lake.root}/landing/trips_csv"
+    csv.write_csv(b.order_trips(spark, sf_dir), path)
+    return staging.stage_trips(csv.read_trips_csv(spark, path))
+
+
+def q_publish_clean(spark, sf_dir):
+    lake = scratch_lake(spark, "publish")
+    result = flow.run(spark, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir),
+                      suite=order_suite(), lake=lake)
+    if result.outcome != flow.Outcome.PUBLISHED:
+        raise RuntimeError(f"clean batch was not published: {result.error}")
+    return publish.read_marts(lake)[publish.FACT_MART]
+
+
+def q_publish_blocked(spark, sf_dir):
+    lake = scratch_lake(spark, "blocked")
+    flow.run(spark, b.line_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), suite=line_suite(), lake=lake)
+    log = flow.run_log(spark, lake).select("outcome", "outcome_name", "rows_landed", "rows_checked",
+                                          "failed_rules", "published")
+    marts = F.lit(lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)).alias("marts_exist")
+    return log.select("*", marts)
+
+
+RUN_MODES = ("none", "null_flood", "dup_pk", "negative_values", "schema_drift")
+
+
+def q_run_outcomes(spark, sf_dir):
+    rows = []
+    for mode in RUN_MODES:
+        lake = scratch_lake(spark, f"run-{mode}")
+        r = flow.run(spark, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir),
+                     fault=mode, suite=order_suite(), lake=lake)
+        rows.append((mode, int(r.outcome), r.manifest.trips_rows,
+                     None if r.gate is None else r.gate.row_count,
+                     None if r.gate is None else len(r.gate.failures),
+                     lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)))
+    return spark.createDataFrame(
+        rows, "fault_mode string, outcome int, rows_landed long, rows_checked long, "
+              "failed_rules int, marts_exist boolean")
+
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_zones": q_stage_zones,
@@ -289,6 +376,13 @@ QUERIES: dict[str, Query] = {
     "test_relationships": q_test_relationships,
     "test_accepted_values": q_test_accepted_values,
     "mart_tests": q_mart_tests,
+    "land_manifest": q_land_manifest,
+    "land_dup_pk": q_land_dup_pk,
+    "land_twice": q_land_twice,
+    "csv_roundtrip": q_csv_roundtrip,
+    "publish_clean": q_publish_clean,
+    "publish_blocked": q_publish_blocked,
+    "run_outcomes": q_run_outcomes,
 }
 
 
@@ -305,6 +399,16 @@ def _gate_after_sql(fault_sql: str) -> str:
     return q.gate_results(q.enriched(fault_sql, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX))
 
 
+def _run_outcome_sql(mode: str, raw: str) -> str:
+    gate_sql = q.decided(q.rule_metrics(q.enriched(raw, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)))
+    return f"""
+SELECT '{mode}' AS fault_mode, CASE WHEN failed = 0 THEN 0 ELSE 1 END AS outcome,
+       rows AS rows_landed, rows AS rows_checked, CAST(failed AS INTEGER) AS failed_rules,
+       failed = 0 AS marts_exist
+FROM (SELECT count(*) FILTER (WHERE NOT success) AS failed, max(element_count) AS rows FROM ({gate_sql}) g) x
+"""
+
+
 PRICE_PER_DISCOUNT_SQL = """
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_discount IS NULL OR l_discount = 0 THEN NULL
@@ -405,4 +509,31 @@ SELECT o_orderstatus, count(*) AS n_rows FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""",
     "mart_tests": _mart_tests_sql("line_trips", q.line_enriched())
     + "\nUNION ALL\n" + _mart_tests_sql("order_trips", q.order_enriched()),
+    "land_manifest": f"""
+SELECT 'none' AS fault_mode, (SELECT count(*) FROM ({q.ORDER_RAW}) t) AS trips_rows,
+       (SELECT count(*) FROM ({q.zones_raw()}) z) AS zones_rows,
+       TRUE AS has_trips_snapshot, TRUE AS has_zones_snapshot""",
+    "land_dup_pk": f"""
+SELECT 'dup_pk' AS fault_mode, (SELECT count(*) FROM ({q.dup_pk(q.ORDER_RAW)}) t) AS trips_rows,
+       (SELECT count(*) FROM ({q.zones_raw()}) z) AS zones_rows,
+       TRUE AS has_trips_snapshot, TRUE AS has_zones_snapshot""",
+    "land_twice": f"""
+SELECT count(*) AS visible_rows, CAST(2 AS BIGINT) AS snapshots, 2 * count(*) AS rows_written
+FROM ({q.ORDER_RAW}) t""",
+    "csv_roundtrip": q.stg_trips(q.ORDER_RAW),
+    "publish_clean": q.order_enriched(),
+    "publish_blocked": f"""
+SELECT 1 AS outcome, 'blocked' AS outcome_name, count(*) AS rows_landed, count(*) AS rows_checked,
+       1 AS failed_rules, FALSE AS published, FALSE AS marts_exist
+FROM ({q.LINE_RAW}) t""",
+    "run_outcomes": "\nUNION ALL\n".join(
+        [_run_outcome_sql(mode, raw) for mode, raw in (
+            ("none", q.ORDER_RAW),
+            ("null_flood", q.null_flood(q.ORDER_RAW)),
+            ("dup_pk", q.dup_pk(q.ORDER_RAW)),
+            ("negative_values", q.negative_values(q.ORDER_RAW)),
+        )]
+        + [f"""SELECT 'schema_drift' AS fault_mode, 2 AS outcome, count(*) AS rows_landed,
+       CAST(NULL AS BIGINT) AS rows_checked, CAST(NULL AS INTEGER) AS failed_rules, FALSE AS marts_exist
+FROM ({q.schema_drift(q.ORDER_RAW)}) t"""]),
 }

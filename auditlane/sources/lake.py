@@ -3,13 +3,14 @@
 Layout under the lake root (``file:``, ``hdfs:``, ``s3a:`` ... -- whatever Spark can write)::
 
     <namespace>/<table>/data/snapshot_id=<id>/part-*.parquet    immutable snapshot data
-    <namespace>/<table>/_commits/part-*.json                    one record per commit
+    _commits/part-*.json                                        append-only commit records
 
-Writing a snapshot never touches earlier ones; ``commit`` appends the record that makes a
-snapshot current (the highest committed id).  A reader resolves the current snapshot from
-the commit records, so a half-written snapshot is invisible and a blocked run leaves the
-previous snapshot current.  Landing twice therefore replaces the visible rows (full
-refresh) while keeping history for time travel by id.
+Writing a snapshot never touches earlier ones; ``commit`` appends one file of records that
+makes the given snapshots current (per table, the highest committed id).  Committing
+several tables in one call is one file, so e.g. both marts flip together.  A reader
+resolves the current snapshot from the commit records: a half-written snapshot is
+invisible and a blocked run leaves the previous snapshot current.  Landing twice therefore
+replaces the visible rows (full refresh) while keeping history for time travel by id.
 
 This is deliberately thin: plain Parquet plus an append-only commit log written and read
 with Spark.  When a table-format catalog is configured, ``DataFrameWriterV2`` against it
@@ -24,11 +25,13 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from auditlane.session import lake_root
 
-COMMIT_SCHEMA = "snapshot_id long, committed_at timestamp_ntz, row_count long, note string"
+COMMIT_SCHEMA = (
+    "namespace string, table string, snapshot_id long, committed_at timestamp_ntz, "
+    "row_count long, note string"
+)
 
 
 class TableNotFound(LookupError):
@@ -50,13 +53,21 @@ class Lake:
         self.spark = spark
         self.root = (root or lake_root(spark)).rstrip("/")
         self._last_id = 0
+        self._log_ready = False
 
     # -- paths --------------------------------------------------------------------------
     def table_path(self, namespace: str, table: str) -> str:
         return f"{self.root}/{namespace}/{table}"
 
-    def _commits(self, namespace: str, table: str) -> str:
-        return f"{self.table_path(namespace, table)}/_commits"
+    @property
+    def commit_log(self) -> str:
+        return f"{self.root}/_commits"
+
+    def _ensure_log(self) -> None:
+        # Appending an empty frame creates the log folder if needed and adds no records.
+        if not self._log_ready:
+            self.spark.createDataFrame([], COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
+            self._log_ready = True
 
     def _next_id(self) -> int:
         # Wall-clock microseconds, strictly increasing within this process.
@@ -74,29 +85,28 @@ class Lake:
         rows = int(obs.get.get("rows", 0))
         return Snapshot(namespace, table, snapshot_id, path, rows, note)
 
-    def commit(self, snap: Snapshot) -> Snapshot:
-        record = [(snap.snapshot_id, datetime.now(UTC).replace(tzinfo=None), snap.row_count, snap.note)]
-        self.spark.createDataFrame(record, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(
-            self._commits(snap.namespace, snap.table)
-        )
-        return snap
+    def commit(self, *snaps: Snapshot) -> tuple[Snapshot, ...]:
+        """Make ``snaps`` current in one append (one file)."""
+        now = datetime.now(UTC).replace(tzinfo=None)
+        records = [(s.namespace, s.table, s.snapshot_id, now, s.row_count, s.note) for s in snaps]
+        self.spark.createDataFrame(records, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_log)
+        self._log_ready = True
+        return snaps
 
     def write(self, namespace: str, table: str, df: DataFrame, note: str = "") -> Snapshot:
         """Write and commit in one step."""
-        return self.commit(self.write_snapshot(namespace, table, df, note))
+        snap = self.write_snapshot(namespace, table, df, note)
+        self.commit(snap)
+        return snap
 
     # -- read ---------------------------------------------------------------------------
     def history(self, namespace: str, table: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).json(self._commits(namespace, table))
-        except AnalysisException as exc:  # path does not exist
-            raise TableNotFound(f"{namespace}.{table} has no committed snapshot under {self.root}") from exc
+        self._ensure_log()
+        log = self.spark.read.schema(COMMIT_SCHEMA).json(self.commit_log)
+        return log.where((F.col("namespace") == namespace) & (F.col("table") == table))
 
     def current_snapshot_id(self, namespace: str, table: str) -> int | None:
-        try:
-            row = self.history(namespace, table).agg(F.max("snapshot_id").alias("s")).collect()[0]
-        except TableNotFound:
-            return None
+        row = self.history(namespace, table).agg(F.max("snapshot_id").alias("s")).collect()[0]
         return row["s"]
 
     def exists(self, namespace: str, table: str) -> bool:
