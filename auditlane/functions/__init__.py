@@ -1,6 +1,7 @@
 """Column-level helpers; each returns a ``pyspark.sql.Column`` and runs inside codegen."""
 
 from auditlane.functions.exprs import (
+    epoch_micros,
     epoch_seconds,
     floor_to_second,
     int_cast,
@@ -12,6 +13,7 @@ from auditlane.functions.exprs import (
 )
 
 __all__ = [
+    "epoch_micros",
     "epoch_seconds",
     "floor_to_second",
     "int_cast",

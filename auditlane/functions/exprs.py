@@ -36,20 +36,29 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
     )
 
 
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 of a ``timestamp_ntz`` (no time zone is consulted)."""
+    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(ts))
+
+
+def epoch_seconds(ts: Column | str) -> Column:
+    """Whole seconds since 1970-01-01 of a ``timestamp_ntz``, rounded toward minus infinity.
+
+    ``us - pmod(us, 1e6)`` is an exact multiple of a million; dividing it in double and
+    rounding to the nearest integer recovers the quotient exactly for every long value.
+    """
+    us = epoch_micros(ts)
+    whole = us - F.pmod(us, F.lit(_MICROS_PER_SECOND))
+    return F.rint(whole / F.lit(float(_MICROS_PER_SECOND))).cast("long")
+
+
 def floor_to_second(ts: Column | str) -> Column:
     """A ``timestamp_ntz`` with its fraction of a second removed (rounded down).
 
-    ``date_trunc`` would return a session-zoned timestamp; this stays ``timestamp_ntz``
-    and uses only integer microsecond arithmetic, so no time zone is ever consulted.
+    ``date_trunc`` would return a session-zoned timestamp; this stays ``timestamp_ntz``.
     """
     t = _c(ts)
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), t)
-    return F.timestamp_add("MICROSECOND", -F.pmod(micros, F.lit(_MICROS_PER_SECOND)), t)
-
-
-def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 of a ``timestamp_ntz``, rounded toward minus infinity."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), floor_to_second(ts))
+    return F.timestamp_add("MICROSECOND", -F.pmod(epoch_micros(t), F.lit(_MICROS_PER_SECOND)), t)
 
 
 def minutes_between(start: Column | str, end: Column | str) -> Column:
@@ -58,7 +67,7 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     00:00:00.9 -> 00:00:01.1 counts one second (a boundary is crossed) although only
     0.2 s elapsed; negative when ``end`` precedes ``start``.
     """
-    seconds = F.timestamp_diff("SECOND", floor_to_second(start), floor_to_second(end))
+    seconds = epoch_seconds(end) - epoch_seconds(start)
     return seconds.cast(DoubleType()) / F.lit(60.0)
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlane.operators.enrich import bounded
+from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, bounded
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
@@ -62,23 +62,29 @@ class DataTest:
     values: tuple = ()
 
 
-def violations(test: DataTest, tables: dict[str, DataFrame]) -> DataFrame:
+def violations(test: DataTest, tables: dict[str, DataFrame],
+               row_counts: dict[str, int] | None = None) -> DataFrame:
+    """``row_counts`` (known table sizes) spare the size probe before broadcasting a parent."""
     df = tables[test.model]
     if test.kind == "unique":
         return unique_violations(df, test.column)
     if test.kind == "not_null":
         return not_null_violations(df, test.column)
     if test.kind == "relationships":
-        return relationship_violations(df, test.column, tables[test.parent_model], test.parent_column)
+        known = (row_counts or {}).get(test.parent_model)
+        small = None if known is None else known <= BROADCAST_ROW_LIMIT
+        return relationship_violations(df, test.column, tables[test.parent_model], test.parent_column,
+                                       broadcast_parent=small)
     if test.kind == "accepted_values":
         return accepted_values_violations(df, test.column, test.values)
     raise ValueError(f"unknown data test kind {test.kind!r}")
 
 
-def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame],
+                   row_counts: dict[str, int] | None = None) -> DataFrame:
     """One row per test: test_id, kind, model, column, failures, passed (a single action)."""
     rows = [
-        violations(t, tables).agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
+        violations(t, tables, row_counts).agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
             F.lit(t.test_id).alias("test_id"),
             F.lit(t.kind).alias("kind"),
             F.lit(t.model).alias("model"),

@@ -52,6 +52,20 @@ def bounded(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, known_small: bo
     return F.broadcast(df) if small else df
 
 
+# Below this many rows a fact scan is spread over the session's cores before the heavy
+# per-row work (a single small file is otherwise read by one task); above it the scan is
+# already split across many files and nothing is added.
+SPREAD_ROW_LIMIT = 5_000_000
+
+
+def spread_small(df: DataFrame, row_limit: int = SPREAD_ROW_LIMIT) -> DataFrame:
+    """Round-robin ``df`` over ``defaultParallelism`` partitions when it is provably small."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if parallelism > 1 and fits_broadcast(df, row_limit):
+        return df.repartition(parallelism)
+    return df
+
+
 def attach_role(
     fact: DataFrame,
     dim: DataFrame,

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auditlane.operators.enrich import spread_small
+
 # Order status -> payment type code.
 STATUS_TO_PAYMENT = (("F", 1), ("O", 2), ("P", 3))
 
@@ -38,7 +40,7 @@ def payment_code(status: str = "o_orderstatus"):
 
 
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    li = spread_small(table(spark, sf_dir, "lineitem"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")

@@ -23,7 +23,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.operators.enrich import enrich_trips
+from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, enrich_trips
 from auditlane.operators.gate import GateReport, run_gate
 from auditlane.operators.rules import TRIPS_SUITE_NAME, Rule, trips_suite
 from auditlane.operators.staging import SchemaDriftError, stage_trips, stage_zones
@@ -95,9 +95,11 @@ def run(
     manifest = land(lake, trips_raw, zones_raw, fault, key_cols)
     result = RunResult(run_id, fault, Outcome.STRUCTURAL, manifest, started)
     try:
-        raw_trips, raw_zones = raw_tables(lake)
+        raw_trips, raw_zones = raw_tables(lake, manifest)
         zones = stage_zones(raw_zones)
-        frozen = freeze(lake, enrich_trips(stage_trips(raw_trips), zones), run_id)
+        # The landing observed the zone count: that is the proof the broadcast is bounded.
+        small = manifest.zones_rows <= BROADCAST_ROW_LIMIT
+        frozen = freeze(lake, enrich_trips(stage_trips(raw_trips), zones, broadcast_zones=small), run_id)
     except (SchemaDriftError, PySparkException) as exc:
         result.error = f"{type(exc).__name__}: {str(exc).splitlines()[0][:500]}"
         return _finish(lake, result)

@@ -56,7 +56,8 @@ def stage_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str)
 def test_marts(spark: SparkSession, staged: dict[str, Snapshot]) -> list[dict]:
     """Run the declared data tests on staged mart snapshots (one action, <= 8 result rows)."""
     tables = {name: spark.read.parquet(snap.path) for name, snap in staged.items()}
-    return [r.asDict() for r in run_data_tests(MART_TESTS, tables).collect()]
+    counts = {name: snap.row_count for name, snap in staged.items()}
+    return [r.asDict() for r in run_data_tests(MART_TESTS, tables, counts).collect()]
 
 
 def commit_marts(lake: Lake, staged: dict[str, Snapshot]) -> dict[str, int]:
