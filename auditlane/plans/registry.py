@@ -344,6 +344,20 @@ def q_run_outcomes(spark, sf_dir):
         rows, "fault_mode string, outcome int, rows_landed long, rows_checked long, "
               "failed_rules int, marts_exist boolean")
 
+
+def q_stream_gate(spark, sf_dir):
+    """Whole order batch arrives as files; the gated stream publishes it (one micro-batch)."""
+    from auditlane.streaming import gate_stream, stream_mart
+
+    lake = scratch_lake(spark, "stream")
+    incoming = f"{lake.root}/incoming"
+    b.order_trips(spark, sf_dir).write.parquet(incoming)
+    raw_schema = ", ".join(f"{k} {v}" for k, v in csv.RAW_TRIPS_TYPES.items())
+    query = gate_stream(spark.readStream.schema(raw_schema).parquet(incoming), b.nation_zones(spark, sf_dir),
+                        lake=lake, checkpoint_location=f"{lake.root}/_checkpoints/stream", suite=order_suite())
+    query.awaitTermination()
+    return stream_mart(spark, lake).select(*publish.FACT_COLUMNS)
+
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_zones": q_stage_zones,
@@ -383,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "publish_clean": q_publish_clean,
     "publish_blocked": q_publish_blocked,
     "run_outcomes": q_run_outcomes,
+    "stream_gate": q_stream_gate,
 }
 
 
@@ -536,4 +551,5 @@ FROM ({q.LINE_RAW}) t""",
         + [f"""SELECT 'schema_drift' AS fault_mode, 2 AS outcome, count(*) AS rows_landed,
        CAST(NULL AS BIGINT) AS rows_checked, CAST(NULL AS INTEGER) AS failed_rules, FALSE AS marts_exist
 FROM ({q.schema_drift(q.ORDER_RAW)}) t"""]),
+    "stream_gate": q.order_enriched(),
 }
