@@ -358,6 +358,13 @@ def q_stream_gate(spark, sf_dir):
     query.awaitTermination()
     return stream_mart(spark, lake).select(*publish.FACT_COLUMNS)
 
+
+def q_csv_zones_roundtrip(spark, sf_dir):
+    lake = scratch_lake(spark, "csv-zones")
+    path = f"{lake.root}/landing/zones_csv"
+    csv.write_csv(b.nation_zones(spark, sf_dir), path)
+    return staging.stage_zones(csv.read_zones_csv(spark, path))
+
 QUERIES: dict[str, Query] = {
     "stage_trips": q_stage_trips,
     "stage_zones": q_stage_zones,
@@ -394,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "land_dup_pk": q_land_dup_pk,
     "land_twice": q_land_twice,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_zones_roundtrip": q_csv_zones_roundtrip,
     "publish_clean": q_publish_clean,
     "publish_blocked": q_publish_blocked,
     "run_outcomes": q_run_outcomes,
@@ -536,6 +544,7 @@ SELECT 'dup_pk' AS fault_mode, (SELECT count(*) FROM ({q.dup_pk(q.ORDER_RAW)}) t
 SELECT count(*) AS visible_rows, CAST(2 AS BIGINT) AS snapshots, 2 * count(*) AS rows_written
 FROM ({q.ORDER_RAW}) t""",
     "csv_roundtrip": q.stg_trips(q.ORDER_RAW),
+    "csv_zones_roundtrip": q.stg_zones(q.zones_raw()),
     "publish_clean": q.order_enriched(),
     "publish_blocked": f"""
 SELECT 1 AS outcome, 'blocked' AS outcome_name, count(*) AS rows_landed, count(*) AS rows_checked,

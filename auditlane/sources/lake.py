@@ -19,6 +19,7 @@ with Spark.  When a table-format catalog is configured, ``DataFrameWriterV2`` ag
 
 from __future__ import annotations
 
+import os
 import time
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -48,10 +49,18 @@ class Snapshot:
     note: str = ""
 
 
+def as_uri(path: str) -> str:
+    """A lake location as a URI: scheme-less local paths become ``file:`` URIs, anything
+    with a scheme (``s3a://``, ``hdfs://``, ``file:/``) is kept as given."""
+    if "://" in path or path.startswith("file:"):
+        return path.rstrip("/")
+    return "file://" + os.path.abspath(path).rstrip("/")
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = (root or lake_root(spark)).rstrip("/")
+        self.root = as_uri(root or lake_root(spark))
         self._last_id = 0
         self._log_ready = False
 

@@ -100,3 +100,31 @@ def test_blocked_run_never_creates_marts(spark, lake):
                  suite=line_suite(), lake=lake)
     assert r.outcome == flow.Outcome.BLOCKED
     assert not lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)
+
+
+def test_missing_table_raises_a_clear_error(spark, lake):
+    import pytest
+
+    from auditlane.sources.lake import TableNotFound
+
+    with pytest.raises(TableNotFound, match="staging.int_trips_enriched"):
+        lake.read("staging", "int_trips_enriched")
+    assert lake.current_snapshot_id("raw", "trips") is None
+
+
+def test_lake_root_is_a_uri(spark, lake):
+    from auditlane.sources.lake import as_uri
+
+    assert lake.root.startswith("file:")
+    assert as_uri("s3a://bucket/lake/") == "s3a://bucket/lake"
+    assert as_uri("relative/dir").startswith("file:///")
+
+
+def test_zones_csv_and_source_registry(spark, lake):
+    src = b.nation_zones(spark, SF_SMALL)
+    csv.write_csv(src, f"{lake.root}/csv/zones")
+    back = csv.read_zones_csv(spark, f"{lake.root}/csv/zones")
+    assert back.dtypes == src.dtypes and back.exceptAll(src).count() == 0
+    landing.land(lake, b.order_trips(spark, SF_SMALL), back)
+    assert landing.read_source(lake, "raw.zones").count() == 25
+    assert landing.read_source(lake, "raw.trips").limit(1).count() == 1
