@@ -208,6 +208,23 @@ def q_alert_payload(spark, sf_dir):
     return gate.build_alert(results, gate.offender_samples(df, suite, failed_rule_ids(df, suite)))
 
 
+def q_alert_failures(spark, sf_dir):
+    """The alert's header and failure entries, one row per failed rule (sample ids as text)."""
+    f = q_alert_payload(spark, sf_dir).select(
+        "source", "gate", "model", "suite_name", "success", "row_count", "failed_expectation_count",
+        F.explode("failures").alias("f"),
+    )
+    return f.select(
+        "source", "gate", "model", "suite_name", "success", "row_count", "failed_expectation_count",
+        F.col("f.rule_index").alias("rule_index"),
+        F.col("f.expectation_type").alias("expectation_type"),
+        F.col("f.column").alias("column"),
+        F.col("f.unexpected_count").alias("unexpected_count"),
+        F.col("f.unexpected_percent").alias("unexpected_percent"),
+        F.array_join(F.transform("f.sample_trip_ids", lambda x: x.cast("string")), ",").alias("sample_trip_ids"),
+    )
+
+
 def q_fault(mode: str) -> Query:
     def run(spark, sf_dir):
         return faults.apply_fault(b.order_trips(spark, sf_dir), mode)
@@ -385,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "gate_verdict": q_gate_verdict,
     "gate_samples": q_gate_samples,
     "alert_payload": q_alert_payload,
+    "alert_failures": q_alert_failures,
     "fault_null_flood": q_fault("null_flood"),
     "fault_dup_pk": q_fault("dup_pk"),
     "fault_negative_values": q_fault("negative_values"),
@@ -561,4 +579,18 @@ FROM ({q.LINE_RAW}) t""",
        CAST(NULL AS BIGINT) AS rows_checked, CAST(NULL AS INTEGER) AS failed_rules, FALSE AS marts_exist
 FROM ({q.schema_drift(q.ORDER_RAW)}) t"""]),
     "stream_gate": q.order_enriched(),
+    "alert_failures": f"""
+WITH g AS ({q.decided(q.rule_metrics(q.line_enriched(), q.suite_rules(rules.FARE_MAX)))}),
+s AS ({q.offender_samples(q.line_enriched(), q.suite_rules(rules.FARE_MAX))}),
+ids AS (SELECT rule_id, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY rank) AS sample_trip_ids
+        FROM s GROUP BY rule_id)
+SELECT '{gate.ALERT_SOURCE}' AS source, '{gate.GATE_NAME}' AS gate, '{MODEL}' AS model,
+       '{rules.TRIPS_SUITE_NAME}' AS suite_name,
+       (SELECT bool_and(success) FROM g) AS success,
+       (SELECT CAST(max(element_count) AS BIGINT) FROM g) AS row_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM g WHERE NOT success) AS failed_expectation_count,
+       g.rule_index, g.rule_type AS expectation_type, g."column", g.unexpected_count,
+       g.unexpected_percent, coalesce(ids.sample_trip_ids, '') AS sample_trip_ids
+FROM g LEFT JOIN ids ON g.rule_id = ids.rule_id
+WHERE NOT g.success""",
 }

@@ -42,20 +42,10 @@ def timed(fn, repeat: int) -> tuple[float, float]:
     return cold, statistics.median(warm) if warm else cold
 
 
-def main() -> None:
-    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
-    spark = build_session(
-        master=f"local[{cpus}]",
-        app_name="auditlane-bench",
-        shuffle_partitions=max(cpus, 8),
-        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
-    )
-    root = ensure_lake_root(spark)
+def build_workloads(spark, sf_dir: str, root: str) -> list:
+    """(name, callable) pairs; each callable runs one workload to completion."""
     lake = Lake(spark, f"{root}/bench")
     suite_line = registry.line_suite()
-
     enriched = registry.enriched_lines(spark, sf_dir)
     frozen_holder: dict = {}
 
@@ -90,7 +80,7 @@ def main() -> None:
                 assert r.outcome == flow.Outcome.BLOCKED, r.error
         return go
 
-    workloads = [
+    return [
         ("enrich_count", lambda: enriched.count()),
         ("freeze", do_freeze),
         ("gate_full", do_gate),
@@ -101,8 +91,23 @@ def main() -> None:
         ("run_clean", do_run("clean")),
         ("run_blocked", do_run("blocked")),
     ]
+
+
+def session(cpus: int, extra: dict | None = None):
+    conf = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    conf.update(extra or {})
+    return build_session(master=f"local[{cpus}]", app_name="auditlane-bench",
+                         shuffle_partitions=max(cpus, 8), extra_conf=conf)
+
+
+def main() -> None:
+    sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
+    cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    spark = session(cpus)
+    root = ensure_lake_root(spark)
     warm, cold = {}, {}
-    for name, fn in workloads:
+    for name, fn in build_workloads(spark, sf_dir, root):
         c, w = timed(fn, repeat)
         cold[name], warm[name] = round(c, 3), round(w, 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
