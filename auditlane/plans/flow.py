@@ -28,7 +28,8 @@ from auditlane.operators.gate import GateReport, run_gate
 from auditlane.operators.rules import TRIPS_SUITE_NAME, Rule, trips_suite
 from auditlane.operators.staging import SchemaDriftError, stage_trips, stage_zones
 from auditlane.plans import publish
-from auditlane.sources.landing import IngestManifest, land, raw_tables
+from auditlane.sources import catalog
+from auditlane.sources.landing import RAW_NAMESPACE, TRIPS_TABLE, ZONES_TABLE, IngestManifest, land, raw_tables
 from auditlane.sources.lake import Lake
 from auditlane.sources.sinks import AlertSink, ResultsSink
 
@@ -86,7 +87,10 @@ def run(
     suite: Sequence[Rule] | None = None,
     lake: Lake | None = None,
     key_cols: Sequence[str] = ("trip_id",),
+    register_tables: bool = False,
 ) -> RunResult:
+    """Run every stage; ``register_tables`` also points catalog tables (``raw.trips``,
+    ``marts.fct_trips`` ...) at the snapshots this run committed."""
     lake = lake or Lake(spark)
     suite = tuple(suite or trips_suite())
     run_id = uuid.uuid4().hex
@@ -94,6 +98,9 @@ def run(
 
     manifest = land(lake, trips_raw, zones_raw, fault, key_cols)
     result = RunResult(run_id, fault, Outcome.STRUCTURAL, manifest, started)
+    if register_tables:
+        catalog.register(lake, RAW_NAMESPACE, TRIPS_TABLE, manifest.trips_snapshot_id)
+        catalog.register(lake, RAW_NAMESPACE, ZONES_TABLE, manifest.zones_snapshot_id)
     try:
         raw_trips, raw_zones = raw_tables(lake, manifest)
         zones = stage_zones(raw_zones)
@@ -121,6 +128,9 @@ def run(
     if all(r["passed"] for r in result.mart_tests):
         result.published = publish.commit_marts(lake, staged)
         result.outcome = Outcome.PUBLISHED
+        if register_tables:
+            for name, sid in result.published.items():
+                catalog.register(lake, publish.MARTS_NAMESPACE, name, sid)
     else:
         result.outcome = Outcome.MART_TESTS_FAILED
         result.error = "mart data tests failed: " + ", ".join(

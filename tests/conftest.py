@@ -16,7 +16,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", app_name="auditlane-tests", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="auditlane-warehouse-")
+    s = build_session(master="local[4]", app_name="auditlane-tests", shuffle_partitions=4,
+                      extra_conf={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 

@@ -128,3 +128,20 @@ def test_zones_csv_and_source_registry(spark, lake):
     landing.land(lake, b.order_trips(spark, SF_SMALL), back)
     assert landing.read_source(lake, "raw.zones").count() == 25
     assert landing.read_source(lake, "raw.trips").limit(1).count() == 1
+
+
+def test_catalog_tables_follow_published_snapshots(spark, lake):
+    import pytest
+
+    from auditlane.sources import catalog
+    from auditlane.sources.lake import TableNotFound
+
+    with pytest.raises(TableNotFound):
+        catalog.table(spark, "marts.no_such_table")
+    r = flow.run(spark, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL),
+                 suite=order_suite(), lake=lake, register_tables=True)
+    assert r.outcome == flow.Outcome.PUBLISHED
+    n = b.table(spark, SF_SMALL, "orders").count()
+    assert spark.sql("SELECT count(*) FROM marts.fct_trips").first()[0] == n
+    assert spark.sql("SELECT count(*) FROM raw.zones").first()[0] == 25
+    assert catalog.table(spark, "marts.dim_zones").count() == 25
