@@ -278,28 +278,25 @@ def build_alert(
     ids = samples.groupBy("rule_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "row_id"))).alias("__s")
     ).select("rule_id", F.transform("__s", lambda s: s["row_id"]).alias("sample_trip_ids"))
-    failed = results.where(~F.col("success")).join(ids, "rule_id", "left").select(
-        F.struct(
-            F.col("rule_index"),
-            F.col("rule_type").alias("expectation_type"),
-            F.col("column"),
-            F.col("unexpected_count"),
-            F.col("unexpected_percent"),
-            F.coalesce(F.col("sample_trip_ids"), F.array().cast(ArrayType(LongType()))).alias("sample_trip_ids"),
-            F.col("notes"),
-        ).alias("failure")
+    failure = F.struct(
+        F.col("rule_index"),
+        F.col("rule_type").alias("expectation_type"),
+        F.col("column"),
+        F.col("unexpected_count"),
+        F.col("unexpected_percent"),
+        F.coalesce(F.col("sample_trip_ids"), F.array().cast(ArrayType(LongType()))).alias("sample_trip_ids"),
+        F.col("notes"),
     )
-    header = results.agg(
+    # One aggregate over (one row per rule) x (its samples): header fields and the failed
+    # rules, ordered by rule_index (collect_list skips the NULLs of passing rules).
+    alert = results.join(ids, "rule_id", "left").agg(
         F.first("model").alias("model"),
         F.first("suite").alias("suite_name"),
         F.max("checked_at").alias("checked_at"),
         F.coalesce(F.every("success"), F.lit(True)).alias("success"),
         F.coalesce(F.max("element_count"), F.lit(0)).cast("long").alias("row_count"),
+        F.sort_array(F.collect_list(F.when(~F.col("success"), failure))).alias("failures"),
     )
-    listed = failed.agg(
-        F.sort_array(F.collect_list("failure")).alias("failures"),
-    )
-    alert = _attach_single_row(header, listed)
     alert = alert.select(
         F.lit(source).alias("source"),
         F.lit(gate).alias("gate"),
@@ -311,12 +308,7 @@ def build_alert(
         F.size("failures").cast("long").alias("failed_expectation_count"),
         "failures",
     )
-    return alert.withColumn("payload_json", F.to_json(F.struct(*[c for c in alert.columns])))
-
-
-def _attach_single_row(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Put the columns of two single-row frames side by side (equi-join on a constant)."""
-    return left.withColumn("__one", F.lit(1)).join(right.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return alert.withColumn("payload_json", F.to_json(F.struct(*alert.columns)))
 
 
 class GateBlocked(RuntimeError):
