@@ -78,6 +78,65 @@ def freeze(lake: Lake, enriched: DataFrame, run_id: str) -> DataFrame:
     return lake.read(STAGING_NAMESPACE, GATED_MODEL, snap.snapshot_id)
 
 
+class MartTestsFailed(RuntimeError):
+    """Staged marts failed their data tests; nothing was published."""
+
+    def __init__(self, message: str, tests: list[dict[str, Any]]):
+        super().__init__(message)
+        self.tests = tests
+
+
+# -- stages: each callable on its own (state passes through the lake) --------------------
+
+def land_stage(lake: Lake, trips: DataFrame, zones: DataFrame, fault: str = "none",
+               key_cols: Sequence[str] = ("trip_id",)) -> dict[str, Any]:
+    """Stage 1: land raw tables (optionally with a fault); returns the landing summary."""
+    m = land(lake, trips, zones, fault, key_cols)
+    return {"trips_rows": m.trips_rows, "zones_rows": m.zones_rows, "fault_mode": m.fault_mode,
+            "trips_snapshot_id": m.trips_snapshot_id, "zones_snapshot_id": m.zones_snapshot_id}
+
+
+def build_stage(lake: Lake, run_id: str | None = None, manifest: IngestManifest | None = None) -> dict[str, Any]:
+    """Stage 2: stage + enrich the current raw snapshots (or a given landing) and freeze.
+
+    Raises ``SchemaDriftError`` (missing column, no job launched) or a Spark error (value
+    that cannot be cast, raised by the freezing write) -- both structural failures.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    raw_trips, raw_zones = raw_tables(lake, manifest)
+    zones = stage_zones(raw_zones)
+    # A landing observed the zone count: that is the proof the broadcast is bounded.
+    small = None if manifest is None else manifest.zones_rows <= BROADCAST_ROW_LIMIT
+    snap = lake.write(STAGING_NAMESPACE, GATED_MODEL,
+                      enrich_trips(stage_trips(raw_trips), zones, broadcast_zones=small), note=run_id)
+    return {"run_id": run_id, "frozen_snapshot_id": snap.snapshot_id, "rows": snap.row_count}
+
+
+def gate_stage(lake: Lake, suite: Sequence[Rule] | None = None, *, run_id: str | None = None,
+               frozen_snapshot_id: int | None = None, raise_on_failure: bool = True) -> GateReport:
+    """Stage 3: gate the frozen batch; on failure results and alert are written, then
+    ``GateBlocked`` is raised (unless ``raise_on_failure`` is false)."""
+    frozen = lake.read(STAGING_NAMESPACE, GATED_MODEL, frozen_snapshot_id)
+    return run_gate(
+        frozen, tuple(suite or trips_suite()), model=GATED_MODEL, suite=TRIPS_SUITE_NAME,
+        results_sink=ResultsSink(lake), alert_sink=AlertSink(lake), run_id=run_id,
+        raise_on_failure=raise_on_failure,
+    )
+
+
+def publish_stage(lake: Lake, *, run_id: str = "", frozen_snapshot_id: int | None = None,
+                  zones_snapshot_id: int | None = None, zones_rows: int | None = None) -> dict[str, Any]:
+    """Stage 4: write marts from the frozen batch, test them, and commit only if all pass."""
+    frozen = lake.read(STAGING_NAMESPACE, GATED_MODEL, frozen_snapshot_id)
+    zones = stage_zones(lake.read(RAW_NAMESPACE, ZONES_TABLE, zones_snapshot_id))
+    staged = publish.stage_marts(lake, frozen, zones, run_id)
+    tests = publish.test_marts(lake.spark, staged)
+    if not all(t["passed"] for t in tests):
+        raise MartTestsFailed(
+            "mart data tests failed: " + ", ".join(t["test_id"] for t in tests if not t["passed"]), tests)
+    return {"published": publish.commit_marts(lake, staged), "mart_tests": tests}
+
+
 def run(
     spark: SparkSession,
     trips_raw: DataFrame,
@@ -89,10 +148,9 @@ def run(
     key_cols: Sequence[str] = ("trip_id",),
     register_tables: bool = False,
 ) -> RunResult:
-    """Run every stage; ``register_tables`` also points catalog tables (``raw.trips``,
-    ``marts.fct_trips`` ...) at the snapshots this run committed."""
+    """Run every stage and map failures to outcome codes; ``register_tables`` also points
+    catalog tables (``raw.trips``, ``marts.fct_trips`` ...) at the snapshots committed."""
     lake = lake or Lake(spark)
-    suite = tuple(suite or trips_suite())
     run_id = uuid.uuid4().hex
     started = datetime.now(UTC).replace(tzinfo=None)
 
@@ -102,39 +160,32 @@ def run(
         catalog.register(lake, RAW_NAMESPACE, TRIPS_TABLE, manifest.trips_snapshot_id)
         catalog.register(lake, RAW_NAMESPACE, ZONES_TABLE, manifest.zones_snapshot_id)
     try:
-        raw_trips, raw_zones = raw_tables(lake, manifest)
-        zones = stage_zones(raw_zones)
-        # The landing observed the zone count: that is the proof the broadcast is bounded.
-        small = manifest.zones_rows <= BROADCAST_ROW_LIMIT
-        frozen = freeze(lake, enrich_trips(stage_trips(raw_trips), zones, broadcast_zones=small), run_id)
+        built = build_stage(lake, run_id, manifest)
     except (SchemaDriftError, PySparkException) as exc:
         result.error = f"{type(exc).__name__}: {str(exc).splitlines()[0][:500]}"
         return _finish(lake, result)
 
-    report = run_gate(
-        frozen, suite, model=GATED_MODEL, suite=TRIPS_SUITE_NAME,
-        results_sink=ResultsSink(lake), alert_sink=AlertSink(lake), run_id=run_id,
-        raise_on_failure=False,
-    )
-    result.gate = report
-    if not report.success:
+    result.gate = gate_stage(lake, suite, run_id=run_id, frozen_snapshot_id=built["frozen_snapshot_id"],
+                             raise_on_failure=False)
+    if not result.gate.success:
         result.outcome = Outcome.BLOCKED
-        result.error = "gate blocked: " + ", ".join(r["rule_id"] for r in report.failures)
+        result.error = "gate blocked: " + ", ".join(r["rule_id"] for r in result.gate.failures)
         return _finish(lake, result)
 
-    # Audit the marts before they become visible: write, test, then commit.
-    staged = publish.stage_marts(lake, frozen, zones, run_id)
-    result.mart_tests = publish.test_marts(spark, staged)
-    if all(r["passed"] for r in result.mart_tests):
-        result.published = publish.commit_marts(lake, staged)
-        result.outcome = Outcome.PUBLISHED
-        if register_tables:
-            for name, sid in result.published.items():
-                catalog.register(lake, publish.MARTS_NAMESPACE, name, sid)
-    else:
+    try:
+        done = publish_stage(lake, run_id=run_id, frozen_snapshot_id=built["frozen_snapshot_id"],
+                             zones_snapshot_id=manifest.zones_snapshot_id)
+    except MartTestsFailed as exc:
+        result.mart_tests = exc.tests
         result.outcome = Outcome.MART_TESTS_FAILED
-        result.error = "mart data tests failed: " + ", ".join(
-            r["test_id"] for r in result.mart_tests if not r["passed"])
+        result.error = str(exc)
+        return _finish(lake, result)
+    result.mart_tests = done["mart_tests"]
+    result.published = done["published"]
+    result.outcome = Outcome.PUBLISHED
+    if register_tables:
+        for name, sid in result.published.items():
+            catalog.register(lake, publish.MARTS_NAMESPACE, name, sid)
     return _finish(lake, result)
 
 

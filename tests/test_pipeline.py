@@ -145,3 +145,24 @@ def test_catalog_tables_follow_published_snapshots(spark, lake):
     assert spark.sql("SELECT count(*) FROM marts.fct_trips").first()[0] == n
     assert spark.sql("SELECT count(*) FROM raw.zones").first()[0] == 25
     assert catalog.table(spark, "marts.dim_zones").count() == 25
+
+
+def test_stage_functions_chain_through_the_lake(spark, lake):
+    import pytest
+
+    from auditlane.operators.gate import GateBlocked
+
+    landed = flow.land_stage(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL))
+    built = flow.build_stage(lake)
+    assert built["rows"] == landed["trips_rows"]
+    report = flow.gate_stage(lake, order_suite())
+    assert report.success and report.row_count == landed["trips_rows"]
+    done = flow.publish_stage(lake)
+    assert publish.read_marts(lake)[publish.FACT_MART].count() == landed["trips_rows"]
+    assert set(done["published"]) == {publish.FACT_MART, publish.DIM_MART}
+
+    flow.land_stage(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL), "dup_pk")
+    flow.build_stage(lake)
+    with pytest.raises(GateBlocked) as info:
+        flow.gate_stage(lake, order_suite())
+    assert info.value.payload["failures"][0]["expectation_type"] == "expect_column_values_to_be_unique"
