@@ -7,8 +7,8 @@ Plan shape (see ``README.md`` for the scale argument):
 * each unique rule -> ``groupBy(key).count()`` with map-side partial aggregation (a hot
   key collapses to one row per task before the shuffle), then a global sum;
 * the per-rule rows are unioned, so a single action computes every rule;
-* offender ids are sampled only for failed rules, with a per-rule ``row_number() <= k``
-  that Spark turns into a partial top-k before its shuffle.
+* offender ids are sampled only for failed rules, each with a bounded per-task top-k
+  (``orderBy(id).limit(k)``) before anything is shuffled.
 
 Only the per-rule result rows (one per rule) and at most ``k`` ids per failed rule ever
 reach the driver.
@@ -211,7 +211,11 @@ def offender_samples(
 ) -> DataFrame:
     """Up to ``k`` offending ids per rule (smallest first), for the given rules only.
 
-    For a uniqueness rule on the id itself the sample lists distinct duplicated ids.
+    Each rule is its own ``filter -> orderBy(id) -> limit(k)`` branch, which Spark runs as
+    a bounded top-k per task (a k-element priority queue, no sort of the violating rows)
+    over a column-pruned scan with the violation predicate pushed down; only k rows per
+    task and rule are shuffled.  For a uniqueness rule on the id itself the sample lists
+    distinct duplicated ids.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -219,39 +223,29 @@ def offender_samples(
     if id_col not in types or not wanted or k <= 0:
         return spark.createDataFrame([], SAMPLE_SCHEMA)
 
+    smallest = F.col("row_id").asc_nulls_last()
     parts: list[DataFrame] = []
-    row_rules = [r for r in wanted if not isinstance(r, Unique)]
-    if row_rules:
-        flags = [r.violation(types[r.column]) for r in row_rules]
-        tags = F.array(*[F.when(flag, F.lit(r.rule_id)) for flag, r in zip(flags, row_rules)])
-        parts.append(
-            df.where(reduce(lambda a, b: a | b, flags)).select(
-                F.explode(F.array_compact(tags)).alias("rule_id"),
-                F.col(id_col).cast("long").alias("row_id"),
-            )
-        )
-    for r in (r for r in wanted if isinstance(r, Unique)):
+    for r in wanted:
         dt = types[r.column]
-        dups = (
-            df.groupBy(F.col(r.column).alias("__key"))
-            .agg(F.count(F.lit(1)).alias("__rows"))
-            .where(~is_missing("__key", dt) & (F.col("__rows") > 1))
-        )
-        if r.column == id_col:
-            ids = dups.select(F.col("__key").cast("long").alias("row_id"))
-        else:
-            ids = df.join(dups.select(F.col("__key").alias(r.column)), r.column, "left_semi").select(
-                F.col(id_col).cast("long").alias("row_id")
+        if isinstance(r, Unique):
+            dups = (
+                df.groupBy(F.col(r.column).alias("__key"))
+                .agg(F.count(F.lit(1)).alias("__rows"))
+                .where(~is_missing("__key", dt) & (F.col("__rows") > 1))
             )
-        parts.append(ids.select(F.lit(r.rule_id).alias("rule_id"), "row_id"))
+            if r.column == id_col:
+                ids = dups.select(F.col("__key").cast("long").alias("row_id"))
+            else:
+                ids = df.join(dups.select(F.col("__key").alias(r.column)), r.column, "left_semi").select(
+                    F.col(id_col).cast("long").alias("row_id")
+                )
+        else:
+            ids = df.where(r.violation(dt)).select(F.col(id_col).cast("long").alias("row_id"))
+        parts.append(ids.select(F.lit(r.rule_id).alias("rule_id"), "row_id").orderBy(smallest).limit(k))
 
-    offenders = reduce(DataFrame.unionByName, parts)
-    ordered = Window.partitionBy("rule_id").orderBy(F.col("row_id").asc_nulls_last())
-    return (
-        offenders.withColumn("rank", F.row_number().over(ordered))
-        .where(F.col("rank") <= k)
-        .select("rule_id", F.col("rank").cast("int").alias("rank"), "row_id")
-    )
+    top = reduce(DataFrame.unionByName, parts)  # at most k rows per rule from here on
+    ranked = Window.partitionBy("rule_id").orderBy(smallest)
+    return top.select("rule_id", F.row_number().over(ranked).cast("int").alias("rank"), "row_id")
 
 
 FAILURE_TYPE = StructType(

@@ -94,7 +94,7 @@ def test_samples_plan_limits_before_the_shuffle(spark):
     df = enriched_lines(spark, SF_CHECK)
     plan = gate.offender_samples(df, rules.trips_suite(), ["fare_amount_between"])._jdf.queryExecution() \
         .executedPlan().toString()
-    assert "WindowGroupLimit" in plan
+    assert "TakeOrderedAndProject" in plan
 
 
 def test_run_gate_raises_with_payload_and_alerts(spark, lake):

@@ -45,8 +45,10 @@ def test_gate_reads_only_rule_columns(spark, lake):
 
 def test_samples_limit_before_shuffle_and_push_filters(spark, lake):
     df = _frozen(spark, lake)
-    plan = _plan(gate.offender_samples(df, rules.trips_suite(), ["fare_amount_between"]))
-    assert "WindowGroupLimit" in plan
+    plan = _plan(gate.offender_samples(df, rules.trips_suite(), ["fare_amount_between", "trip_id_unique"]))
+    assert plan.count("TakeOrderedAndProject") == 2
+    below_top_k = plan.split("TakeOrderedAndProject", 1)[1]
+    assert "Sort [" not in below_top_k  # violating rows are never sorted, only top-k'd
     assert re.search(r"PushedFilters: \[[^\]]*fare_amount", plan)
 
 
