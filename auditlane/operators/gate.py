@@ -39,6 +39,7 @@ from pyspark.sql.types import (
 
 from auditlane.functions.exprs import is_missing, percent_of
 from auditlane.operators.rules import Rule, Unique
+from auditlane.session import literal_frame
 
 # The alert header and the per-failure sample size.
 ALERT_SOURCE = "auditlane.gate"
@@ -148,7 +149,7 @@ def rule_metrics(df: DataFrame, rules: tuple[Rule, ...] | list[Rule]) -> DataFra
         )
 
     if not parts:
-        return df.sparkSession.createDataFrame([], METRIC_SCHEMA)
+        return literal_frame(df.sparkSession, [], METRIC_SCHEMA)
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -221,7 +222,7 @@ def offender_samples(
     types = {f.name: f.dataType for f in df.schema.fields}
     wanted = [r for r in rules if (rule_ids is None or r.rule_id in rule_ids) and r.column in types]
     if id_col not in types or not wanted or k <= 0:
-        return spark.createDataFrame([], SAMPLE_SCHEMA)
+        return literal_frame(spark, [], SAMPLE_SCHEMA)
 
     smallest = F.col("row_id").asc_nulls_last()
     parts: list[DataFrame] = []

@@ -190,7 +190,7 @@ def run(
 
 
 def _finish(lake: Lake, result: RunResult) -> RunResult:
-    lake.spark.createDataFrame([result.log_row()], RUN_LOG_SCHEMA).coalesce(1).write.mode("append").json(
+    lake.spark.createDataFrame([result.log_row()], RUN_LOG_SCHEMA).write.mode("append").json(
         f"{lake.root}/logs/runs"
     )
     return result

@@ -86,3 +86,34 @@ def ensure_lake_root(spark: SparkSession, path: str | None = None) -> str:
     path = path or os.path.join(tempfile.mkdtemp(prefix="auditlane-lake-"), "lake")
     spark.conf.set(LAKE_CONF_KEY, path)
     return path
+
+
+def literal_frame(spark: SparkSession, rows, schema) -> "DataFrame":
+    """A small DataFrame built from literals on the JVM side, in a single partition.
+
+    Used where a write must produce exactly one file (a commit record naming several
+    tables) and for empty frames of a given schema: unlike ``createDataFrame(list)``, which
+    spreads rows over ``defaultParallelism`` slices, all rows land in one partition, and no
+    Python worker is involved.  ``rows`` are tuples (or Rows) in field order; timestamps are
+    passed as text so that no time zone is applied on the way in.
+    """
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import DataType, StructType, TimestampNTZType
+
+    struct = schema if isinstance(schema, StructType) else DataType.fromDDL(schema)
+
+    def lit(value, field):
+        if value is None:
+            return F.lit(None).cast(field.dataType)
+        if isinstance(value, datetime):
+            text = value.replace(tzinfo=None).isoformat(sep=" ")
+            return F.lit(text).cast(field.dataType if isinstance(field.dataType, TimestampNTZType) else "timestamp_ntz")
+        return F.lit(value).cast(field.dataType)
+
+    structs = [F.struct(*[lit(v, f).alias(f.name) for v, f in zip(tuple(r), struct.fields)]) for r in rows]
+    if not structs:  # keep the schema, produce no row
+        structs = [F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in struct.fields])]
+        return spark.range(0, 0, 1, 1).select(F.inline(F.array(*structs)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

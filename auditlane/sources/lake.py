@@ -27,7 +27,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.session import lake_root
+from auditlane.session import lake_root, literal_frame
 
 COMMIT_SCHEMA = (
     "namespace string, table string, snapshot_id long, committed_at timestamp_ntz, "
@@ -75,7 +75,7 @@ class Lake:
     def _ensure_log(self) -> None:
         # Appending an empty frame creates the log folder if needed and adds no records.
         if not self._log_ready:
-            self.spark.createDataFrame([], COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
+            literal_frame(self.spark, [], COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
             self._log_ready = True
 
     def _next_id(self) -> int:
@@ -98,7 +98,8 @@ class Lake:
         """Make ``snaps`` current in one append (one file)."""
         now = datetime.now(UTC).replace(tzinfo=None)
         records = [(s.namespace, s.table, s.snapshot_id, now, s.row_count, s.note) for s in snaps]
-        self.spark.createDataFrame(records, COMMIT_SCHEMA).coalesce(1).write.mode("append").json(self.commit_log)
+        # One partition, hence one file: several tables become current together.
+        literal_frame(self.spark, records, COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
         self._log_ready = True
         return snaps
 

@@ -21,7 +21,7 @@ class ResultsSink:
         self.path = f"{lake.root}/results/{name}"
 
     def write(self, results: DataFrame) -> None:
-        results.coalesce(1).write.mode("append").parquet(self.path)
+        results.write.mode("append").parquet(self.path)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
@@ -32,7 +32,7 @@ class AlertSink:
         self.path = f"{lake.root}/{name}"
 
     def send(self, spark: SparkSession, payload_json: str) -> str:
-        spark.createDataFrame([(payload_json,)], "value string").coalesce(1).write.mode("append").text(self.path)
+        spark.createDataFrame([(payload_json,)], "value string").write.mode("append").text(self.path)
         return self.path
 
     def read(self, spark: SparkSession) -> DataFrame:

@@ -71,7 +71,7 @@ def gate_stream(
         if report.payload is not None:
             alerts.send(spark, json.dumps(report.payload))
         spark.createDataFrame([(report.row_count, report.success, failed)], OUTCOME_SCHEMA) \
-            .coalesce(1).write.mode("overwrite").json(f"{paths['outcomes']}/batch_id={epoch_id}")
+            .write.mode("overwrite").json(f"{paths['outcomes']}/batch_id={epoch_id}")
 
     writer = raw_trips.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     if processing_time:
