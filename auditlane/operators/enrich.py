@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlane.functions.exprs import minutes_between, safe_divide
+from auditlane.session import default_parallelism
 
 # Largest dimension (rows) that may be shipped whole to every executor.  A zone row is a
 # key and two short strings (< 100 bytes), so the bound keeps a broadcast under ~100 MB.
@@ -66,7 +67,7 @@ SPREAD_ROW_LIMIT = 5_000_000
 
 def spread_small(df: DataFrame, row_limit: int = SPREAD_ROW_LIMIT) -> DataFrame:
     """Round-robin ``df`` over ``defaultParallelism`` partitions when it is provably small."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    parallelism = default_parallelism(df.sparkSession)
     if parallelism > 1 and fits_broadcast(df, row_limit):
         return df.repartition(parallelism)
     return df

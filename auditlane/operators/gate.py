@@ -249,19 +249,6 @@ def offender_samples(
     return top.select("rule_id", F.row_number().over(ranked).cast("int").alias("rank"), "row_id")
 
 
-FAILURE_TYPE = StructType(
-    [
-        StructField("rule_index", IntegerType()),
-        StructField("expectation_type", StringType()),
-        StructField("column", StringType()),
-        StructField("unexpected_count", LongType()),
-        StructField("unexpected_percent", DoubleType()),
-        StructField("sample_trip_ids", ArrayType(LongType())),
-        StructField("notes", StringType()),
-    ]
-)
-
-
 def build_alert(
     results: DataFrame,
     samples: DataFrame,

@@ -66,11 +66,6 @@ def commit_marts(lake: Lake, staged: dict[str, Snapshot]) -> dict[str, int]:
     return {name: snap.snapshot_id for name, snap in staged.items()}
 
 
-def publish_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, int]:
-    """Write and commit both marts without testing them first."""
-    return commit_marts(lake, stage_marts(lake, enriched, zones, run_id))
-
-
 def read_marts(lake: Lake) -> dict[str, DataFrame]:
     return {
         FACT_MART: lake.read(MARTS_NAMESPACE, FACT_MART),

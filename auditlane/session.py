@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
 # Settings a session built by this package always carries.
@@ -41,28 +42,49 @@ def build_session(
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a remote (Connect) session that has none."""
+    try:
+        return spark.sparkContext
+    except PySparkException:  # Spark Connect: no context, but configuration is readable
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file system);
     only when nothing is configured -- local runs and tests -- do we create a private one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+                  else spark.conf.get("spark.checkpoint.dir", None))
     if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
+        if sc is not None:
+            sc.setCheckpointDir(configured)
+            return sc.getCheckpointDir() or configured
+        return configured
     local = tempfile.mkdtemp(prefix="auditlane-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    return local
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def lake_root(spark: SparkSession) -> str:
