@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlane.functions.exprs import negate_abs
-from auditlane.operators.sampling import fraction_of, select_exact
+from auditlane.operators.sampling import Selection, fraction_of, regenerate, select_exact
 
 # Fault modes and their default parameters.
 FAULT_MODES = ("none", "null_flood", "schema_drift", "dup_pk", "negative_values")
@@ -30,6 +30,19 @@ NEGATIVE_COLUMNS = ("fare_amount", "trip_distance")
 DEFAULT_KEY = ("trip_id",)
 
 
+def _rewrite(df: DataFrame, sel: Selection, changes: dict) -> DataFrame:
+    """Apply ``changes`` (column -> Column function) to the selected rows only."""
+    def changed(frame: DataFrame, chosen) -> DataFrame:
+        return frame.withColumns({c: F.when(chosen, fn(F.col(c))).otherwise(F.col(c)) for c, fn in changes.items()})
+
+    if sel.remainder is None:
+        return changed(df, sel.predicate)
+    rem = sel.remainder
+    twins = regenerate(df.sparkSession, rem, rem.count)
+    twins = changed(twins, F.col("__copy") < F.lit(rem.take)).drop("__copy")
+    return changed(df.where(~rem.group), sel.predicate).unionByName(twins)
+
+
 def null_flood(
     df: DataFrame,
     column: str = NULL_FLOOD_COLUMN,
@@ -40,7 +53,7 @@ def null_flood(
     """Exactly ``int(rows * fraction)`` cells of ``column`` become NULL; type kept."""
     sel = select_exact(df, fraction_of(fraction), key_cols=key_cols, seed=seed)
     dtype = df.schema[column].dataType
-    return df.withColumn(column, F.when(sel.predicate, F.lit(None).cast(dtype)).otherwise(F.col(column)))
+    return _rewrite(df, sel, {column: lambda c: F.lit(None).cast(dtype)})
 
 
 def schema_drift(df: DataFrame, old_name: str = DRIFT_OLD_NAME, new_name: str = DRIFT_NEW_NAME) -> DataFrame:
@@ -56,7 +69,10 @@ def dup_pk(
 ) -> DataFrame:
     """Append ``max(1, int(rows * fraction))`` existing rows again (never more than rows)."""
     sel = select_exact(df, fraction_of(fraction, minimum=1), key_cols=key_cols, seed=seed)
-    return df.unionByName(df.where(sel.predicate))
+    out = df.unionByName(df.where(sel.predicate))
+    if sel.remainder is not None:
+        out = out.unionByName(regenerate(df.sparkSession, sel.remainder, sel.remainder.take).drop("__copy"))
+    return out
 
 
 def negative_values(
@@ -68,9 +84,7 @@ def negative_values(
 ) -> DataFrame:
     """On one selected row set, every listed column becomes ``-abs(v)``; NULL stays NULL."""
     sel = select_exact(df, fraction_of(fraction), key_cols=key_cols, seed=seed)
-    return df.withColumns(
-        {c: F.when(sel.predicate, negate_abs(c)).otherwise(F.col(c)) for c in columns}
-    )
+    return _rewrite(df, sel, {c: negate_abs for c in columns})
 
 
 def apply_fault(df: DataFrame, mode: str, key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame:

@@ -7,14 +7,20 @@ is found by narrowing hash prefixes:
 1. histogram the first ``fanout`` hex digits (at most 16**fanout small rows reach the
    driver; map-side partial counts keep the shuffle tiny);
 2. walk the cumulative counts to the bucket that crosses ``n`` and descend into it;
-3. once the crossing bucket holds at most ``final_rows`` rows, take its distinct hashes in
-   order (a bounded top-k) and read off ``h*``.
+3. once the crossing bucket holds at most ``final_rows`` distinct hashes' worth of rows,
+   take its (hash, count) pairs in order (a bounded top-k) and read off ``h*``.
 
 md5 spreads rows evenly, so each level divides the candidate set by 16**fanout: 10**12 rows
 need two levels at the default fan-out.  The result is a filter usable in ``where`` or
-``when``; it re-evaluates identically after an executor loss.  Rows whose keys are fully
-identical share a hash and cannot be split; if the cut falls inside such a group the
-selection cannot be exact and ``AmbiguousCut`` is raised (add key columns).
+``when``; it re-evaluates identically after an executor loss.
+
+A hot key -- one key value shared by a third of all rows -- is one hash value.  If it
+straddles the cut, the rows of that one group are ranked again by an md5 of the whole row
+(same narrowing, restricted to the group).  Rows that are identical in every column cannot
+be told apart by any predicate; for them the selection carries a ``Remainder``: how many
+of the identical rows are selected and one of them (as JSON), so a transform can replace the
+group by regenerated copies (``spark.range`` + literals, in parallel) -- exact, with nothing
+large on the driver.
 """
 
 from __future__ import annotations
@@ -23,6 +29,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 HASH_HEX_DIGITS = 32
@@ -30,46 +37,54 @@ DEFAULT_FANOUT = 4
 DEFAULT_FINAL_ROWS = 65_536
 
 
-class AmbiguousCut(ValueError):
-    """The n-th smallest hash is shared by rows beyond the cut (identical keys)."""
+ROW_JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 @dataclass(frozen=True)
-class Selection:
-    predicate: Column
-    selected: int
-    total: int
-
+class Remainder:
+    """Rows identical in every column at the cut: ``take`` of these ``count`` are selected."""
 
-def selection_hash(key_cols: Sequence[str], seed: int | str) -> Column:
-    parts = [F.col(c).cast("string") for c in key_cols] + [F.lit(str(seed))]
-    return F.md5(F.concat_ws(":", *parts))
+    group: Column
+    take: int
+    count: int
+    row_json: str
+    schema: StructType
 
 
-def fraction_of(fraction: float, minimum: int = 0) -> Callable[[int], int]:
-    """Selection size ``max(minimum, int(total * fraction))``, never more than ``total``."""
-
-    def size(total: int) -> int:
-        return min(max(minimum, int(total * fraction)), total)
-
-    return size
+@dataclass(frozen=True)
+class Selection:
+    predicate: Column  # rows selected outright (never matches the remainder group)
+    selected: int
+    total: int
+    remainder: Remainder | None = None
 
 
-def select_exact(
-    df: DataFrame,
-    size: int | Callable[[int], int],
-    *,
-    key_cols: Sequence[str],
-    seed: int | str,
-    fanout: int = DEFAULT_FANOUT,
-    final_rows: int = DEFAULT_FINAL_ROWS,
-) -> Selection:
-    """Predicate selecting exactly ``size`` rows (or ``size(total)`` when callable)."""
-    h = selection_hash(key_cols, seed)
-    hashed = df.select(h.alias("__h"))
+@dataclass(frozen=True)
+class _Cut:
+    total: int
+    wanted: int
+    kind: str  # none | all | prefix | upto | below
+    value: str = ""
+    take: int = 0  # for "below": rows still needed from the group whose hash is ``value``
+    count: int = 0  # for "below": rows in that group
+
+    def predicate(self, h: Column) -> Column:
+        if self.kind == "none":
+            return F.lit(False)
+        if self.kind == "all":
+            return F.lit(True)
+        if self.kind == "prefix":
+            return F.substring(h, 1, len(self.value)) <= F.lit(self.value)
+        if self.kind == "upto":
+            return h <= F.lit(self.value)
+        return h < F.lit(self.value)
+
+
+def _find_cut(hashed: DataFrame, size: int | Callable[[int], int], fanout: int, final_rows: int) -> _Cut:
+    """Cut for a one-column frame ``__h``: the smallest ``size`` hashes, ties reported."""
     prefix = ""
     need: int | None = None
-    total = 0
+    total = wanted = 0
     while True:
         level = hashed.where(F.col("__h").startswith(prefix)) if prefix else hashed
         hist = sorted(
@@ -80,9 +95,9 @@ def select_exact(
             total = sum(c for _, c in hist)
             need = size(total) if callable(size) else min(int(size), total)
             if need <= 0:
-                return Selection(F.lit(False), 0, total)
+                return _Cut(total, 0, "none")
             if need >= total:
-                return Selection(F.lit(True), total, total)
+                return _Cut(total, total, "all")
             wanted = need
         before = 0
         for bucket, count in hist:
@@ -92,8 +107,7 @@ def select_exact(
         need -= before
         prefix += bucket
         if count == need:
-            cut = F.substring(h, 1, len(prefix)) <= F.lit(prefix)
-            return Selection(cut, wanted, total)
+            return _Cut(total, wanted, "prefix", prefix)
         if count <= final_rows or len(prefix) + fanout > HASH_HEX_DIGITS:
             break
 
@@ -105,12 +119,71 @@ def select_exact(
     )
     running = 0
     for row in tops:
+        if running + row["count"] >= need:
+            if running + row["count"] == need:
+                return _Cut(total, wanted, "upto", row["__h"])
+            return _Cut(total, wanted, "below", row["__h"], need - running, row["count"])
         running += row["count"]
-        if running >= need:
-            if running != need:
-                raise AmbiguousCut(
-                    f"{row['count']} rows share the selection key at the cut; "
-                    f"add distinguishing columns to {list(key_cols)}"
-                )
-            return Selection(h <= F.lit(row["__h"]), wanted, total)
-    raise AssertionError("histogram and bucket scan disagree")  # data changed under us
+    raise AssertionError("histogram and bucket scan disagree")  # input changed between scans
+
+
+def row_hash(df: DataFrame, seed: int | str) -> Column:
+    """md5 of the whole row (as JSON) and the seed: tells apart rows that differ anywhere."""
+    whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]), ROW_JSON_OPTIONS)
+    return F.md5(F.concat_ws(":", whole, F.lit(str(seed))))
+
+
+def selection_hash(key_cols: Sequence[str], seed: int | str) -> Column:
+    parts = [F.col(c).cast("string") for c in key_cols] + [F.lit(str(seed))]
+    return F.md5(F.concat_ws(":", *parts))
+
+
+def fraction_of(fraction: float, minimum: int = 0) -> Callable[[int], int]:
+    """Selection size ``max(minimum, int(total * fraction))``, never more than ``total``."""
+
+    def size(total: int) -> int:
+        return min(max(minimum, int(total * fraction)), total)
+
+    return size
+
+
+def select_exact(
+    df: DataFrame,
+    size: int | Callable[[int], int],
+    *,
+    key_cols: Sequence[str],
+    seed: int | str,
+    fanout: int = DEFAULT_FANOUT,
+    final_rows: int = DEFAULT_FINAL_ROWS,
+) -> Selection:
+    """Exactly ``size`` rows (or ``size(total)`` when callable), smallest key hash first."""
+    h = selection_hash(key_cols, seed)
+    cut = _find_cut(df.select(h.alias("__h")), size, fanout, final_rows)
+    if cut.kind != "below":
+        return Selection(cut.predicate(h), cut.wanted, cut.total)
+
+    # A key group straddles the cut: rank its rows by the whole row.
+    key_group = h == F.lit(cut.value)
+    h2 = row_hash(df, seed)
+    inner = _find_cut(df.where(key_group).select(h2.alias("__h")), cut.take, fanout, final_rows)
+    predicate = cut.predicate(h) | (key_group & inner.predicate(h2))
+    if inner.kind != "below":
+        return Selection(predicate, cut.wanted, cut.total)
+
+    # Rows identical in every column: keep one of them, regenerate the selected copies.
+    twins = key_group & (h2 == F.lit(inner.value))
+    row_json = df.where(twins).select(
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), ROW_JSON_OPTIONS)
+    ).first()[0]
+    return Selection(predicate, cut.wanted, cut.total,
+                     Remainder(twins, inner.take, inner.count, row_json, df.schema))
+
+
+def regenerate(spark, remainder: Remainder, copies: int, rows_per_partition: int = 1_000_000) -> DataFrame:
+    """``copies`` copies of the remainder's row, generated in parallel, with a ``__copy``
+    index column (0-based) so that the first ``take`` of them can be told apart."""
+    parts = max(1, min(copies // rows_per_partition + 1, 100_000))
+    row = F.from_json(F.lit(remainder.row_json), remainder.schema, ROW_JSON_OPTIONS)
+    return spark.range(0, copies, 1, parts).select(
+        F.col("id").alias("__copy"), *[row[f.name].alias(f.name) for f in remainder.schema.fields]
+    )

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlane.operators import faults
-from auditlane.operators.sampling import AmbiguousCut, select_exact
+import hashlib
+
+from auditlane.operators.sampling import row_hash, select_exact
 
 
 def _table(spark, n):
@@ -82,7 +84,44 @@ def test_selection_matches_sorted_hash_on_larger_input(spark):
     assert {r.k for r in df.where(sel.predicate).collect()} == expect
 
 
-def test_identical_keys_at_the_cut_are_reported(spark):
-    df = spark.createDataFrame([(1,)] * 4, "k long")
-    with pytest.raises(AmbiguousCut):
-        select_exact(df, 2, key_cols=["k"], seed=1)
+def _hot_table(spark, identical: bool):
+    """60 distinct trips plus a hot key holding 40 % of the rows."""
+    rows = [(i, 10.0 + i, 1.0 + 0.1 * i) for i in range(1, 61)]
+    rows += [(0, 5.0 if identical else 5.0 + j, 1.0) for j in range(40)]
+    return spark.createDataFrame(rows, "trip_id long, fare_amount double, trip_distance double")
+
+
+def _expected(spark, df, n, seed):
+    """Brute force: sort every row by (md5(key:seed), md5(row:seed)) and take n."""
+    ranked = df.select("*", row_hash(df, seed).alias("__h2")).collect()
+    key = lambda r: (hashlib.md5(f"{r.trip_id}:{seed}".encode()).hexdigest(), r["__h2"])
+    return sorted((r.trip_id, r.fare_amount) for r in sorted(ranked, key=key)[:n])
+
+
+def test_hot_identical_group_is_split_exactly(spark):
+    df = _hot_table(spark, identical=True)
+    for n in (10, 35, 77):
+        sel = select_exact(df, n, key_cols=["trip_id"], seed=7, fanout=1, final_rows=4)
+        picked = df.where(sel.predicate).collect()
+        extra = [] if sel.remainder is None else [(0, 5.0)] * sel.remainder.take
+        assert sorted([(r.trip_id, r.fare_amount) for r in picked] + extra) == _expected(spark, df, n, 7)
+
+
+def test_hot_key_with_distinct_rows_is_split_by_row_hash(spark):
+    df = _hot_table(spark, identical=False)
+    for n in (10, 35, 77):
+        sel = select_exact(df, n, key_cols=["trip_id"], seed=7, fanout=1, final_rows=4)
+        assert sel.remainder is None
+        got = sorted((r.trip_id, r.fare_amount) for r in df.where(sel.predicate).collect())
+        assert got == _expected(spark, df, n, 7)
+
+
+def test_faults_stay_exact_on_a_hot_identical_group(spark):
+    df = _hot_table(spark, identical=True)
+    flooded = faults.apply_fault(df, "null_flood")
+    assert flooded.count() == 100 and flooded.where(F.col("fare_amount").isNull()).count() == 35
+    assert sorted(r.trip_id for r in flooded.collect()) == sorted(r.trip_id for r in df.collect())
+    negative = faults.apply_fault(df, "negative_values")
+    assert negative.where(F.col("fare_amount") < 0).count() == 15
+    assert negative.where((F.col("fare_amount") < 0) != (F.col("trip_distance") < 0)).count() == 0
+    assert faults.apply_fault(df, "dup_pk").count() == 110
