@@ -73,6 +73,13 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    if not master.startswith("local"):
+        # Executors would each write to their own disk: refuse instead of losing data.
+        raise RuntimeError(
+            "no shared folder configured: set spark.checkpoint.dir (or auditlane.lake.root) "
+            "to a location every executor can reach"
+        )
     local = tempfile.mkdtemp(prefix="auditlane-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -58,3 +58,10 @@ def test_no_python_udf_in_expressions(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     plan = df.select(safe_divide("a", "b"), F.col("a")).__getattribute__("_jdf").queryExecution().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_checkpoint_root_is_shared_or_local_only(spark):
+    from auditlane.session import checkpoint_root, lake_root
+
+    root = checkpoint_root(spark)
+    assert root and lake_root(spark)
