@@ -125,12 +125,16 @@ def gate_stage(lake: Lake, suite: Sequence[Rule] | None = None, *, run_id: str |
 
 
 def publish_stage(lake: Lake, *, run_id: str = "", frozen_snapshot_id: int | None = None,
-                  zones_snapshot_id: int | None = None, zones_rows: int | None = None) -> dict[str, Any]:
-    """Stage 4: write marts from the frozen batch, test them, and commit only if all pass."""
+                  zones_snapshot_id: int | None = None, gate: GateReport | None = None) -> dict[str, Any]:
+    """Stage 4: write marts from the frozen batch, test them, and commit only if all pass.
+
+    ``gate`` (the report for this same frozen batch) lets tests it already answers be
+    skipped."""
     frozen = lake.read(STAGING_NAMESPACE, GATED_MODEL, frozen_snapshot_id)
     zones = stage_zones(lake.read(RAW_NAMESPACE, ZONES_TABLE, zones_snapshot_id))
     staged = publish.stage_marts(lake, frozen, zones, run_id)
-    tests = publish.test_marts(lake.spark, staged)
+    known = publish.proven_by_gate(gate.results) if gate is not None else None
+    tests = publish.test_marts(lake.spark, staged, known)
     if not all(t["passed"] for t in tests):
         raise MartTestsFailed(
             "mart data tests failed: " + ", ".join(t["test_id"] for t in tests if not t["passed"]), tests)
@@ -174,7 +178,7 @@ def run(
 
     try:
         done = publish_stage(lake, run_id=run_id, frozen_snapshot_id=built["frozen_snapshot_id"],
-                             zones_snapshot_id=manifest.zones_snapshot_id)
+                             zones_snapshot_id=manifest.zones_snapshot_id, gate=result.gate)
     except MartTestsFailed as exc:
         result.mart_tests = exc.tests
         result.outcome = Outcome.MART_TESTS_FAILED

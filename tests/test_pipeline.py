@@ -166,3 +166,18 @@ def test_stage_functions_chain_through_the_lake(spark, lake):
     with pytest.raises(GateBlocked) as info:
         flow.gate_stage(lake, order_suite())
     assert info.value.payload["failures"][0]["expectation_type"] == "expect_column_values_to_be_unique"
+
+
+def test_gate_proven_mart_tests_match_running_them(spark, lake):
+    from auditlane.operators.gate import run_gate
+    from auditlane.operators.rules import TRIPS_SUITE_NAME
+
+    flow.land_stage(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL))
+    built = flow.build_stage(lake)
+    frozen = lake.read(flow.STAGING_NAMESPACE, flow.GATED_MODEL, built["frozen_snapshot_id"])
+    report = run_gate(frozen, order_suite(), model=flow.GATED_MODEL, suite=TRIPS_SUITE_NAME)
+    zones = flow.stage_zones(landing.raw_tables(lake)[1])
+    staged = publish.stage_marts(lake, frozen, zones, "t")
+    known = publish.proven_by_gate(report.results)
+    assert set(known) == {"fct_trips_trip_id_unique", "fct_trips_trip_id_not_null"}
+    assert publish.test_marts(spark, staged, known) == publish.test_marts(spark, staged)
