@@ -47,10 +47,9 @@ def dim_mart(zones: DataFrame) -> DataFrame:
 
 def stage_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, Snapshot]:
     """Write both marts as new, not yet visible snapshots."""
-    return {
-        FACT_MART: lake.write_snapshot(MARTS_NAMESPACE, FACT_MART, fact_mart(enriched), note=run_id),
-        DIM_MART: lake.write_snapshot(MARTS_NAMESPACE, DIM_MART, dim_mart(zones), note=run_id),
-    }
+    fact, dim = lake.write_snapshots([(MARTS_NAMESPACE, FACT_MART, fact_mart(enriched), run_id),
+                                      (MARTS_NAMESPACE, DIM_MART, dim_mart(zones), run_id)])
+    return {FACT_MART: fact, DIM_MART: dim}
 
 
 def proven_by_gate(results: list[dict]) -> dict[str, int]:

@@ -20,7 +20,9 @@ with Spark.  When a table-format catalog is configured, ``DataFrameWriterV2`` ag
 from __future__ import annotations
 
 import os
+import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -62,6 +64,7 @@ class Lake:
         self.spark = spark
         self.root = as_uri(root or lake_root(spark))
         self._last_id = 0
+        self._id_lock = threading.Lock()
         self._log_ready = False
 
     # -- paths --------------------------------------------------------------------------
@@ -80,8 +83,9 @@ class Lake:
 
     def _next_id(self) -> int:
         # Wall-clock microseconds, strictly increasing within this process.
-        self._last_id = max(self._last_id + 1, time.time_ns() // 1_000)
-        return self._last_id
+        with self._id_lock:
+            self._last_id = max(self._last_id + 1, time.time_ns() // 1_000)
+            return self._last_id
 
     # -- write --------------------------------------------------------------------------
     def write_snapshot(self, namespace: str, table: str, df: DataFrame, note: str = "") -> Snapshot:
@@ -94,6 +98,14 @@ class Lake:
         rows = int(obs.get.get("rows", 0))
         return Snapshot(namespace, table, snapshot_id, path, rows, note)
 
+    def write_snapshots(self, items: list[tuple[str, str, DataFrame, str]]) -> list[Snapshot]:
+        """Write several independent snapshots as concurrent Spark jobs (one thread each),
+        so a small table's job overlaps a large one's instead of queueing behind it."""
+        if len(items) <= 1:
+            return [self.write_snapshot(*item) for item in items]
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:
+            return list(pool.map(lambda item: self.write_snapshot(*item), items))
+
     def commit(self, *snaps: Snapshot) -> tuple[Snapshot, ...]:
         """Make ``snaps`` current in one append (one file)."""
         now = datetime.now(UTC).replace(tzinfo=None)
