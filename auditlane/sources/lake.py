@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from auditlane.session import lake_root, literal_frame
@@ -103,8 +104,10 @@ class Lake:
         so a small table's job overlaps a large one's instead of queueing behind it."""
         if len(items) <= 1:
             return [self.write_snapshot(*item) for item in items]
+        # Inherit the caller's local properties (job group, scheduler pool) in the workers.
+        write = inheritable_thread_target(lambda item: self.write_snapshot(*item))
         with ThreadPoolExecutor(max_workers=len(items)) as pool:
-            return list(pool.map(lambda item: self.write_snapshot(*item), items))
+            return list(pool.map(write, items))
 
     def commit(self, *snaps: Snapshot) -> tuple[Snapshot, ...]:
         """Make ``snaps`` current in one append (one file)."""
