@@ -105,7 +105,7 @@ class Lake:
         if len(items) <= 1:
             return [self.write_snapshot(*item) for item in items]
         # Inherit the caller's local properties (job group, scheduler pool) in the workers.
-        write = inheritable_thread_target(lambda item: self.write_snapshot(*item))
+        write = inheritable_thread_target(self.spark)(lambda item: self.write_snapshot(*item))
         with ThreadPoolExecutor(max_workers=len(items)) as pool:
             return list(pool.map(write, items))
 
