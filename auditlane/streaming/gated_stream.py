@@ -42,17 +42,12 @@ def _paths(lake: Lake) -> dict[str, str]:
     }
 
 
-def gate_stream(
-    raw_trips: DataFrame,
-    raw_zones: DataFrame,
-    *,
-    lake: Lake,
-    checkpoint_location: str,
-    suite: Sequence[Rule] | None = None,
-    available_now: bool = True,
-    processing_time: str | None = None,
-) -> StreamingQuery:
-    """Start the gated stream; ``raw_trips`` is a streaming DataFrame in the raw shape."""
+def batch_handler(raw_zones: DataFrame, *, lake: Lake, suite: Sequence[Rule] | None = None):
+    """The ``foreachBatch`` function: gate one micro-batch and publish or quarantine it.
+
+    Every path it writes is named after the epoch and written with ``overwrite``, so calling
+    it again for the same epoch (a replay after a failure) leaves the same result.
+    """
     suite = tuple(suite or trips_suite())
     zones = stage_zones(raw_zones)
     paths = _paths(lake)
@@ -73,6 +68,21 @@ def gate_stream(
         spark.createDataFrame([(report.row_count, report.success, failed)], OUTCOME_SCHEMA) \
             .write.mode("overwrite").json(f"{paths['outcomes']}/batch_id={epoch_id}")
 
+    return handle
+
+
+def gate_stream(
+    raw_trips: DataFrame,
+    raw_zones: DataFrame,
+    *,
+    lake: Lake,
+    checkpoint_location: str,
+    suite: Sequence[Rule] | None = None,
+    available_now: bool = True,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """Start the gated stream; ``raw_trips`` is a streaming DataFrame in the raw shape."""
+    handle = batch_handler(raw_zones, lake=lake, suite=suite)
     writer = raw_trips.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint_location)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

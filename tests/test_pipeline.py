@@ -181,3 +181,14 @@ def test_gate_proven_mart_tests_match_running_them(spark, lake):
     known = publish.proven_by_gate(report.results)
     assert set(known) == {"fct_trips_trip_id_unique", "fct_trips_trip_id_not_null"}
     assert publish.test_marts(spark, staged, known) == publish.test_marts(spark, staged)
+
+
+def test_uncastable_value_is_a_structural_failure(spark, lake):
+    from pyspark.sql import functions as F
+
+    raw = b.order_trips(spark, SF_SMALL).withColumn(
+        "passenger_count", F.when(F.col("trip_id") == 1, F.lit("abc")).otherwise(F.col("passenger_count").cast("string")))
+    r = flow.run(spark, raw, b.nation_zones(spark, SF_SMALL), suite=order_suite(), lake=lake)
+    assert r.outcome == flow.Outcome.STRUCTURAL and r.gate is None
+    assert "abc" in r.error or "CAST" in r.error.upper()
+    assert not lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)

@@ -27,3 +27,14 @@ def test_each_micro_batch_is_gated(spark, lake):
     n = clean.count()
     assert outcomes == [(False, "fare_amount_not_null", n), (True, "", n)]
     assert stream_mart(spark, lake).count() == n
+
+
+def test_replayed_epoch_is_idempotent(spark, lake):
+    from auditlane.streaming import batch_handler
+
+    batch = b.order_trips(spark, SF_SMALL)
+    handle = batch_handler(b.nation_zones(spark, SF_SMALL), lake=lake, suite=order_suite())
+    handle(batch, 7)
+    handle(batch, 7)  # the same epoch again, as after a failure before the checkpoint commit
+    assert stream_mart(spark, lake).count() == batch.count()
+    assert [r.batch_id for r in stream_outcomes(spark, lake).collect()] == [7]
