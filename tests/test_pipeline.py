@@ -192,3 +192,20 @@ def test_uncastable_value_is_a_structural_failure(spark, lake):
     assert r.outcome == flow.Outcome.STRUCTURAL and r.gate is None
     assert "abc" in r.error or "CAST" in r.error.upper()
     assert not lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)
+
+
+def test_command_line_exit_codes(spark, lake):
+    from auditlane.__main__ import main
+
+    trips, zones = f"{lake.root}/in/trips", f"{lake.root}/in/zones"
+    csv.write_csv(b.order_trips(spark, SF_SMALL), trips)
+    csv.write_csv(b.nation_zones(spark, SF_SMALL), zones)
+    assert main(["fault", "--mode", "dup_pk", "--in", trips, "--out", f"{lake.root}/in/dup"], spark) == 0
+    bound = ["--fare-max", "500000"]
+    assert main(["run", "--trips", trips, "--zones", zones, "--lake", f"{lake.root}/c", *bound], spark) == 0
+    assert main(["gate", "--lake", f"{lake.root}/c", *bound], spark) == 0
+    assert main(["run", "--trips", f"{lake.root}/in/dup", "--zones", zones, "--lake", f"{lake.root}/a",
+                 *bound], spark) == 1
+    assert main(["gate", "--lake", f"{lake.root}/a", *bound], spark) == 1
+    assert main(["run", "--trips", trips, "--zones", zones, "--lake", f"{lake.root}/b", "--fault",
+                 "schema_drift"], spark) == 2
