@@ -81,3 +81,18 @@ def test_zone_dimension_is_broadcast_only_when_bounded(spark):
     from auditlane.operators.enrich import fits_broadcast
 
     assert not fits_broadcast(b.table(spark, SF_SMALL, "lineitem"), row_limit=100)
+
+
+def test_derived_measures_hold_on_a_whole_table(spark):
+    from pyspark.sql import functions as F
+
+    from auditlane.plans.registry import enriched_orders
+
+    df = enriched_orders(spark, SF_SMALL)
+    bad = df.where(
+        (F.col("trip_duration_minutes") <= 0)
+        | (F.abs(F.col("fare_per_mile") * F.col("trip_distance_miles") - F.col("fare_amount"))
+           > 1e-9 * F.abs(F.col("fare_amount")))
+    )
+    assert bad.count() == 0
+    assert df.where(F.col("pickup_zone").isNull() | F.col("dropoff_zone").isNull()).count() == 0

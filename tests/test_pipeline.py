@@ -209,3 +209,15 @@ def test_command_line_exit_codes(spark, lake):
     assert main(["gate", "--lake", f"{lake.root}/a", *bound], spark) == 1
     assert main(["run", "--trips", trips, "--zones", zones, "--lake", f"{lake.root}/b", "--fault",
                  "schema_drift"], spark) == 2
+
+
+def test_land_leaves_parquet_data_and_json_commits(spark, lake):
+    import glob
+    import os
+
+    m = landing.land(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL))
+    root = lake.root.replace("file://", "")
+    data = glob.glob(f"{root}/raw/trips/data/snapshot_id={m.trips_snapshot_id}/*.parquet")
+    commits = [f for f in glob.glob(f"{root}/_commits/*.json") if os.path.getsize(f) > 0]
+    assert data and len(commits) == 1
+    assert spark.read.parquet(*data).count() == m.trips_rows
