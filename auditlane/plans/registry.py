@@ -243,6 +243,17 @@ def q_gate_after(mode: str) -> Query:
     return run
 
 
+def q_samples_after(mode: str) -> Query:
+    def run(spark, sf_dir):
+        raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
+        df = enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir))
+        suite = order_suite()
+        return gate.offender_samples(df, suite, failed_rule_ids(df, suite))
+
+    run.__name__ = f"q_samples_after_{mode}"
+    return run
+
+
 def q_test_unique(spark, sf_dir):
     return datatests.unique_violations(publish.fact_mart(enriched_lines(spark, sf_dir)), "trip_id")
 
@@ -409,6 +420,9 @@ QUERIES: dict[str, Query] = {
     "gate_after_null_flood": q_gate_after("null_flood"),
     "gate_after_dup_pk": q_gate_after("dup_pk"),
     "gate_after_negative_values": q_gate_after("negative_values"),
+    "samples_after_null_flood": q_samples_after("null_flood"),
+    "samples_after_dup_pk": q_samples_after("dup_pk"),
+    "samples_after_negative_values": q_samples_after("negative_values"),
     "test_unique": q_test_unique,
     "test_not_null": q_test_not_null,
     "test_relationships": q_test_relationships,
@@ -535,6 +549,12 @@ FROM events""",
     "gate_after_null_flood": _gate_after_sql(q.null_flood(q.ORDER_RAW)),
     "gate_after_dup_pk": _gate_after_sql(q.dup_pk(q.ORDER_RAW)),
     "gate_after_negative_values": _gate_after_sql(q.negative_values(q.ORDER_RAW)),
+    "samples_after_null_flood": q.offender_samples(
+        q.enriched(q.null_flood(q.ORDER_RAW), q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)),
+    "samples_after_dup_pk": q.offender_samples(
+        q.enriched(q.dup_pk(q.ORDER_RAW), q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)),
+    "samples_after_negative_values": q.offender_samples(
+        q.enriched(q.negative_values(q.ORDER_RAW), q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)),
     "test_unique": f"""
 SELECT trip_id, count(*) AS n_rows FROM ({q.line_enriched()}) f
 WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1""",
