@@ -3,8 +3,9 @@
 One dimension (zones) is attached twice, once per role (pickup, dropoff), with left outer
 joins: unmatched facts are kept with NULL attributes, and a duplicated dimension key fans
 the fact out (the gate's uniqueness rule is what notices).  The dimension is broadcast only
-after its row count has been checked against a bound; past the bound the join is left to
-the planner (sort-merge with AQE skew handling).
+after its row count has been checked against a bound; past the bound the join shuffles,
+with the fact side salted so that a hot zone does not land in one task (AQE skew-join
+splitting works on top of that when enabled).
 """
 
 from __future__ import annotations
@@ -81,13 +82,30 @@ def attach_role(
     dim_key: str,
     role: str,
     attributes: tuple[str, ...],
+    salt_buckets: int = 1,
 ) -> DataFrame:
-    """Left-join ``dim`` to ``fact`` on ``fact_key = dim_key``; attributes get a role prefix."""
+    """Left-join ``dim`` to ``fact`` on ``fact_key = dim_key``; attributes get a role prefix.
+
+    With ``salt_buckets > 1`` (used when the dimension is not broadcast) each fact row gets
+    a salt in ``[0, salt_buckets)`` and the dimension is replicated once per salt, so the
+    rows of one hot key -- even identical copies -- spread over ``salt_buckets`` shuffle
+    partitions.  Every fact row still meets each matching dimension row exactly once.
+    """
     tag = f"__{role}_key"
     role_dim = dim.select(
         F.col(dim_key).alias(tag), *[F.col(a).alias(f"{role}_{a}") for a in attributes]
     )
-    return fact.join(role_dim, fact[fact_key] == role_dim[tag], "left").drop(tag)
+    if salt_buckets <= 1:
+        return fact.join(role_dim, fact[fact_key] == role_dim[tag], "left").drop(tag)
+    salt = f"__{role}_salt"
+    salted_fact = fact.withColumn(salt, F.floor(F.rand(17) * salt_buckets).cast("int"))
+    salted_dim = role_dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    cond = (salted_fact[fact_key] == salted_dim[tag]) & (salted_fact[salt] == salted_dim[salt])
+    return salted_fact.join(salted_dim, cond, "left").drop(tag, salt)
+
+
+# Salt buckets for the role joins when the dimension is too large to broadcast.
+SALT_BUCKETS = 16
 
 
 def enrich_trips(
@@ -97,7 +115,9 @@ def enrich_trips(
     broadcast_zones: bool | None = None,
 ) -> DataFrame:
     """Staged trips + pickup/dropoff zone attributes + duration and fare per mile."""
-    zones = bounded(zones.select("location_id", "borough", "zone"), known_small=broadcast_zones)
+    zones = zones.select("location_id", "borough", "zone")
+    small = fits_broadcast(zones) if broadcast_zones is None else broadcast_zones
+    zones = F.broadcast(zones) if small else zones
     out = trips
     for role in ("pickup", "dropoff"):
         out = attach_role(
@@ -107,6 +127,7 @@ def enrich_trips(
             dim_key="location_id",
             role=role,
             attributes=("borough", "zone"),
+            salt_buckets=1 if small else SALT_BUCKETS,
         )
     out = out.withColumns(
         {

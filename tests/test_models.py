@@ -96,3 +96,17 @@ def test_derived_measures_hold_on_a_whole_table(spark):
     )
     assert bad.count() == 0
     assert df.where(F.col("pickup_zone").isNull() | F.col("dropoff_zone").isNull()).count() == 0
+
+
+def test_salted_join_equals_broadcast_join(spark):
+    from pyspark.sql import functions as F
+
+    trips = stage_trips(b.line_trips(spark, SF_SMALL))
+    zones = stage_zones(b.nation_zones(spark, SF_SMALL, drop_region="ASIA"))
+    # a hot zone: a third of the trips share one pickup location, many as identical copies
+    hot = trips.withColumn("pickup_location_id",
+                           F.when(F.col("trip_id") % 3 == 0, F.lit(1)).otherwise(F.col("pickup_location_id")))
+    salted = enrich_trips(hot, zones, broadcast_zones=False)
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan or "__pickup_salt" in plan
+    assertDataFrameEqual(salted, enrich_trips(hot, zones, broadcast_zones=True))
