@@ -32,14 +32,28 @@ def not_null_violations(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
+def orphan_keys(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+    broadcast_parent: bool | None = None,
+) -> DataFrame:
+    """Non-NULL child key values with no parent, with their child row counts.
+
+    The child is reduced to distinct keys first (map-side partial counts collapse a hot key
+    to one row per task), so the anti join compares distinct keys on both sides and cannot
+    be skewed, whatever the parent's size.
+    """
+    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    parents = bounded(parent.select(F.col(parent_column).alias(column)).distinct(), known_small=broadcast_parent)
+    return keys.join(parents, column, "left_anti")
+
+
 def relationship_violations(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str,
     broadcast_parent: bool | None = None,
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row (a left anti join)."""
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    keys = bounded(keys, known_small=broadcast_parent)
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    """Child rows whose non-NULL key has no parent row."""
+    orphans = orphan_keys(child, column, parent, parent_column, broadcast_parent).select(column)
+    return child.where(F.col(column).isNotNull()).join(bounded(orphans), column, "left_semi")
 
 
 def accepted_values_violations(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -64,27 +78,41 @@ class DataTest:
 
 def violations(test: DataTest, tables: dict[str, DataFrame],
                row_counts: dict[str, int] | None = None) -> DataFrame:
-    """``row_counts`` (known table sizes) spare the size probe before broadcasting a parent."""
+    """The offending rows (or values) of one test."""
     df = tables[test.model]
     if test.kind == "unique":
         return unique_violations(df, test.column)
     if test.kind == "not_null":
         return not_null_violations(df, test.column)
     if test.kind == "relationships":
-        known = (row_counts or {}).get(test.parent_model)
-        small = None if known is None else known <= BROADCAST_ROW_LIMIT
         return relationship_violations(df, test.column, tables[test.parent_model], test.parent_column,
-                                       broadcast_parent=small)
+                                       broadcast_parent=_small(test.parent_model, row_counts))
     if test.kind == "accepted_values":
         return accepted_values_violations(df, test.column, test.values)
     raise ValueError(f"unknown data test kind {test.kind!r}")
 
 
+def _small(table: str | None, row_counts: dict[str, int] | None) -> bool | None:
+    """Known-size proof for broadcasting ``table`` (None: probe it)."""
+    known = (row_counts or {}).get(table)
+    return None if known is None else known <= BROADCAST_ROW_LIMIT
+
+
+def failure_count(test: DataTest, tables: dict[str, DataFrame],
+                  row_counts: dict[str, int] | None = None) -> DataFrame:
+    """One row, ``failures``: duplicated/unaccepted values, NULL rows or orphan rows."""
+    if test.kind == "relationships":
+        orphans = orphan_keys(tables[test.model], test.column, tables[test.parent_model],
+                              test.parent_column, broadcast_parent=_small(test.parent_model, row_counts))
+        return orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("failures"))
+    return violations(test, tables, row_counts).agg(F.count(F.lit(1)).cast("long").alias("failures"))
+
+
 def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame],
                    row_counts: dict[str, int] | None = None) -> DataFrame:
     """One row per test: test_id, kind, model, column, failures, passed (a single action)."""
     rows = [
-        violations(t, tables, row_counts).agg(F.count(F.lit(1)).cast("long").alias("failures")).select(
+        failure_count(t, tables, row_counts).select(
             F.lit(t.test_id).alias("test_id"),
             F.lit(t.kind).alias("kind"),
             F.lit(t.model).alias("model"),
