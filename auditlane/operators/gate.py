@@ -38,6 +38,7 @@ from pyspark.sql.types import (
 )
 
 from auditlane.functions.exprs import is_missing, percent_of
+from auditlane.operators.enrich import bounded
 from auditlane.operators.rules import Rule, Unique
 from auditlane.session import literal_frame
 
@@ -237,9 +238,10 @@ def offender_samples(
             if r.column == id_col:
                 ids = dups.select(F.col("__key").cast("long").alias("row_id"))
             else:
-                ids = df.join(dups.select(F.col("__key").alias(r.column)), r.column, "left_semi").select(
-                    F.col(id_col).cast("long").alias("row_id")
-                )
+                # Broadcast the duplicated keys when provably small: no shuffle of the batch,
+                # so a hot duplicated key cannot pile up in one task.
+                keys = bounded(dups.select(F.col("__key").alias(r.column)))
+                ids = df.join(keys, r.column, "left_semi").select(F.col(id_col).cast("long").alias("row_id"))
         else:
             ids = df.where(r.violation(dt)).select(F.col(id_col).cast("long").alias("row_id"))
         parts.append(ids.select(F.lit(r.rule_id).alias("rule_id"), "row_id").orderBy(smallest).limit(k))

@@ -130,3 +130,9 @@ def test_no_raise_mode_still_reports(spark):
     report = gate.run_gate(enriched_lines(spark, SF_CHECK), line_suite(), model="m", suite="s",
                            raise_on_failure=False)
     assert not report.success and [f["rule_id"] for f in report.failures] == ["trip_id_unique"]
+
+
+def test_unique_rule_on_non_id_column_samples_ids_of_duplicates(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c"), (5, "a")], "trip_id long, k string")
+    got = gate.offender_samples(df, (Unique("k_unique", "k"),), ["k_unique"]).collect()
+    assert sorted((r.rank, r.row_id) for r in got) == [(1, 1), (2, 3), (3, 5)]
