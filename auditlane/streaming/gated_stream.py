@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from auditlane.operators.enrich import enrich_trips
+from auditlane.operators.enrich import enrich_trips, fits_broadcast
 from auditlane.operators.gate import run_gate
 from auditlane.operators.rules import TRIPS_SUITE_NAME, Rule, trips_suite
 from auditlane.operators.staging import stage_trips, stage_zones
@@ -50,13 +50,14 @@ def batch_handler(raw_zones: DataFrame, *, lake: Lake, suite: Sequence[Rule] | N
     """
     suite = tuple(suite or trips_suite())
     zones = stage_zones(raw_zones)
+    small = fits_broadcast(zones)  # proven once for the whole stream, not per batch
     paths = _paths(lake)
     alerts = AlertSink(lake, "streaming/alerts")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         frozen_path = f"{paths['frozen']}/batch_id={epoch_id}"
-        enrich_trips(stage_trips(batch), zones).write.mode("overwrite").parquet(frozen_path)
+        enrich_trips(stage_trips(batch), zones, broadcast_zones=small).write.mode("overwrite").parquet(frozen_path)
         frozen = spark.read.parquet(frozen_path)
         report = run_gate(frozen, suite, model=STREAM_MART, suite=TRIPS_SUITE_NAME,
                           raise_on_failure=False, run_id=f"epoch-{epoch_id}")
