@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, bounded
+from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, bounded, fits_broadcast
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
@@ -32,10 +32,12 @@ def not_null_violations(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def orphan_keys(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-    broadcast_parent: bool | None = None,
-) -> DataFrame:
+def _parent_keys(parent: DataFrame, parent_column: str, column: str) -> DataFrame:
+    return parent.select(F.col(parent_column).alias(column)).distinct()
+
+
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
+                broadcast_parent: bool | None = None) -> DataFrame:
     """Non-NULL child key values with no parent, with their child row counts.
 
     The child is reduced to distinct keys first (map-side partial counts collapse a hot key
@@ -43,17 +45,27 @@ def orphan_keys(
     be skewed, whatever the parent's size.
     """
     keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    parents = bounded(parent.select(F.col(parent_column).alias(column)).distinct(), known_small=broadcast_parent)
-    return keys.join(parents, column, "left_anti")
+    return keys.join(bounded(_parent_keys(parent, parent_column, column), known_small=broadcast_parent),
+                     column, "left_anti")
 
 
 def relationship_violations(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str,
     broadcast_parent: bool | None = None,
 ) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row."""
-    orphans = orphan_keys(child, column, parent, parent_column, broadcast_parent).select(column)
-    return child.where(F.col(column).isNotNull()).join(bounded(orphans), column, "left_semi")
+    """Child rows whose non-NULL key has no parent row.
+
+    Small parent: one broadcast anti join, no shuffle of the child at all.  Large parent:
+    orphan keys are found on distinct keys first (``orphan_keys``), then the child rows of
+    those keys are picked with a semi join.
+    """
+    keys = _parent_keys(parent, parent_column, column)
+    small = fits_broadcast(keys) if broadcast_parent is None else broadcast_parent
+    present = child.where(F.col(column).isNotNull())
+    if small:
+        return present.join(F.broadcast(keys), column, "left_anti")
+    orphans = orphan_keys(child, column, parent, parent_column, broadcast_parent=False).select(column)
+    return present.join(bounded(orphans), column, "left_semi")
 
 
 def accepted_values_violations(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -101,9 +113,9 @@ def _small(table: str | None, row_counts: dict[str, int] | None) -> bool | None:
 def failure_count(test: DataTest, tables: dict[str, DataFrame],
                   row_counts: dict[str, int] | None = None) -> DataFrame:
     """One row, ``failures``: duplicated/unaccepted values, NULL rows or orphan rows."""
-    if test.kind == "relationships":
+    if test.kind == "relationships" and _small(test.parent_model, row_counts) is False:
         orphans = orphan_keys(tables[test.model], test.column, tables[test.parent_model],
-                              test.parent_column, broadcast_parent=_small(test.parent_model, row_counts))
+                              test.parent_column, broadcast_parent=False)
         return orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("failures"))
     return violations(test, tables, row_counts).agg(F.count(F.lit(1)).cast("long").alias("failures"))
 

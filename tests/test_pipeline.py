@@ -221,3 +221,17 @@ def test_land_leaves_parquet_data_and_json_commits(spark, lake):
     commits = [f for f in glob.glob(f"{root}/_commits/*.json") if os.path.getsize(f) > 0]
     assert data and len(commits) == 1
     assert spark.read.parquet(*data).count() == m.trips_rows
+
+
+def test_relationship_paths_agree_for_small_and_large_parents(spark):
+    from auditlane.operators import datatests as dt
+
+    child = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (3,), (3,)], "k long")
+    parent = spark.createDataFrame([(1,), (4,)], "k long")
+    small = dt.relationship_violations(child, "k", parent, "k", broadcast_parent=True)
+    large = dt.relationship_violations(child, "k", parent, "k", broadcast_parent=False)
+    assert sorted(r.k for r in small.collect()) == sorted(r.k for r in large.collect()) == [2, 3, 3, 3]
+    test = dt.DataTest("r", "relationships", "c", "k", "p", "k")
+    tables = {"c": child, "p": parent}
+    big = {"p": dt.BROADCAST_ROW_LIMIT + 1}
+    assert dt.failure_count(test, tables, big).first()[0] == dt.failure_count(test, tables).first()[0] == 4
