@@ -65,3 +65,28 @@ def test_checkpoint_root_is_shared_or_local_only(spark):
 
     root = checkpoint_root(spark)
     assert root and lake_root(spark)
+
+
+def test_staging_reads_zoned_timestamps_as_utc_wall_clock(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from auditlane.operators.staging import typed
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp'2024-03-10 07:30:00.5 UTC' as ts")  # zoned instant
+        got = df.select(typed(F.col("ts"), df.schema["ts"].dataType, "timestamp_ntz").alias("t")).first().t
+        assert got == dt.datetime(2024, 3, 10, 7, 30, 0, 500000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_int_cast_from_decimal_rounds_half_away_from_zero(spark):
+    from pyspark.sql.types import DecimalType
+
+    df = spark.sql("select cast(x as decimal(10,2)) x from values (2.50), (-2.50), (2.49) t(x)")
+    got = [r[0] for r in df.select(int_cast("x", DecimalType(10, 2))).collect()]
+    assert got == [3, -3, 2]
