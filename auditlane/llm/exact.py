@@ -1,7 +1,7 @@
 """Exact dedup by deterministic block naming, in DataFrame operations only.
 
 A text (A-Z lower-cased, null: empty) is cut into blocks of a fixed number of bytes.  The
-distinct blocks that occur more than once are sorted and numbered: equal blocks get equal
+distinct blocks that occur more than once are dealt out by hash, sorted and numbered: equal blocks get equal
 integers, different blocks different ones, with no hash that could collide.  Adjacent pairs
 of integers are then named the same way, level by level, until each text is one integer
 (the naming of Karp, Miller and Rosenberg).  The last of an odd count is paired with -1.
@@ -29,10 +29,12 @@ NO_PARTNER = -1
 
 
 def _named(scratch: Scratch, items: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """The items whose key occurs more than once, with `name`: the key's rank in sorted order."""
+    """The items whose key occurs more than once, with `name`: the key's place in sorted order."""
     repeated = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
-    # The position in a range-sorted table is unique and grows with the key; written, so that it is drawn once.
-    names = scratch.write(repeated.orderBy(*keys).withColumn("name", F.monotonically_increasing_id()), f"names{level}")
+    # Equal keys lie in one partition, so its number and the key's place in sorted order name the key. A global
+    # order would add nothing but a sample of whole blocks on the driver. Written, so that names are drawn once.
+    ranked = repeated.sortWithinPartitions(*keys).withColumn("name", F.monotonically_increasing_id())
+    names = scratch.write(ranked, f"names{level}")
     return items.join(names, keys, "left").drop(*keys)
 
 
@@ -86,17 +88,17 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     scratch = Scratch(docs.sparkSession, "exact-groups")
     rows = scratch.write(identities(docs, block_bytes, id_col, text_col), "identities")
-    groups = (
-        rows.where("name is not null").groupBy("level", "name")
-        .agg(F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("_last"))
-    )
-    return rows.join(groups, ["level", "name"], "left").select(
-        "doc_id",
-        F.when(F.col("_last").isNull(), F.col("doc_id")).otherwise(F.col("_last.doc_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("_last.row") == F.col("row"), F.lit(True)).alias("kept"),
-        "text_sha256",
-    )
+    several = rows.where("name is not null")
+    groups = several.groupBy("level", "name").agg(
+        F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("_last"))
+    copies = several.join(groups, ["level", "name"]).select(
+        "doc_id", F.col("_last.doc_id").alias("keep_id"), "group_size",
+        (F.col("_last.row") == F.col("row")).alias("kept"), "text_sha256")
+    # Texts without a copy have no name; they go past the join, where they would all share the null key.
+    alone = rows.where("name is null").select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+        F.lit(True).alias("kept"), "text_sha256")
+    return alone.unionByName(copies)
 
 
 def drop_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
