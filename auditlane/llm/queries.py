@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import exact, sharding
+from auditlane.llm import exact, langid, mixing, quality, sharding
 from auditlane.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = quality.held_out(F.col("doc_id"), 4, 2)
+    ranker = quality.learn(docs.where(~held), table(spark, sf_dir, "labels"))
+    predicted = (F.col("score") >= quality.KEEP_SCORE).cast("int")
+    return quality.score_documents(docs, ranker).select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "shards")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = quality.held_out(F.col("doc_id"), 5, 0)
+    model = langid.learn(docs.where(~held))
+    return langid.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -19,6 +39,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_mixing": op2_mixing,
+    "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_sharding": op8_sharding,
 }
