@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import exact, langid, mixing, quality, sharding
+from auditlane.llm import ann, exact, langid, mixing, quality, sharding
 from auditlane.llm.common import table
 
 
@@ -38,12 +38,17 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_sharding": op8_sharding,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE = {
