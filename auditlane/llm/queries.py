@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, langid, mixing, quality, sharding
+from auditlane.llm import ann, exact, langid, mixing, quality, sharding, tokenfile
 from auditlane.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        description = file.read()
+    return tokenfile.encode_and_read(table(spark, sf_dir, "documents"), description)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = quality.held_out(F.col("doc_id"), 5, 0)
@@ -45,6 +53,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op4_token_files": op4_token_files,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_sharding": op8_sharding,
