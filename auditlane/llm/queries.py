@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, langid, mixing, quality, sharding, tokenfile
+from auditlane.llm import ann, exact, langid, mixing, quality, sharding, simhash, substring, tokenfile
 from auditlane.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -41,6 +45,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -53,14 +62,37 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_files": op4_token_files,
     "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 ORACLE = {
+    "op3_substring_dedup": """
+WITH cut AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, pos, list_aggregate(words[pos:pos + 49], 'string_agg', ' ') AS body
+    FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS pos FROM cut WHERE len(words) >= 50)
+), firsts AS (SELECT body, min(doc_id) AS first_id FROM windows GROUP BY body
+), gone AS (
+    SELECT DISTINCT w.doc_id, unnest(generate_series(w.pos, w.pos + 49)) AS place
+    FROM windows w JOIN firsts f USING (body) WHERE f.first_id < w.doc_id
+), lists AS (SELECT doc_id, list(place) AS places, count(*) AS n FROM gone GROUP BY doc_id
+), words AS (SELECT doc_id, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM cut
+), kept AS (
+    SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.place) AS body
+    FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.place = w.place
+    WHERE g.place IS NULL GROUP BY w.doc_id
+)
+SELECT c.doc_id, len(c.words) AS n_words, coalesce(l.n, 0) AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM cut c LEFT JOIN lists l USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
     "op6_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
