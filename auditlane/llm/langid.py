@@ -38,8 +38,8 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 
-WIDTH = 4_096
-LEARN_ROWS = 2_400
+WIDTH = 2_048
+LEARN_ROWS = 1_800
 FRAGMENTS = 2
 FRAGMENT_WORDS = 6
 SEED = 53
@@ -203,7 +203,9 @@ def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id",
 
     rows = chosen.mapInArrow(batches, "_id long, _lang string, x binary").collect()
     rows.sort(key=lambda r: (r["_id"], r["_lang"], bytes(r["x"])))
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), dtype=np.float32).reshape(len(rows), WIDTH)
+    x = np.empty((len(rows), WIDTH), dtype=np.float32)
+    for k, r in enumerate(rows):
+        x[k] = np.frombuffer(r["x"], dtype=np.float32)
     return fit(x, [r["_lang"] for r in rows])
 
 
