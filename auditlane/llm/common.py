@@ -48,3 +48,15 @@ def ascii_lower(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Words of a text, null: 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
+def with_keys(df: DataFrame, **keys: Column) -> tuple[DataFrame, list[str]]:
+    """Add columns that equal rows share, nulls included, under names no table has; and those names.
+
+    Plain columns can be joined and grouped by in one shuffle, where null-safe equality needs two.
+    """
+    names = []
+    for name, key in keys.items():
+        df = df.withColumn(f"__{name}", F.coalesce(key.cast("string"), F.lit(""))).withColumn(f"__{name}_null", key.isNull())
+        names += [f"__{name}", f"__{name}_null"]
+    return df, names

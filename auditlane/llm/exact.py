@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from auditlane.llm.common import Scratch, ascii_lower
+from auditlane.llm.common import Scratch, ascii_lower, with_keys
 
 BLOCK_BYTES = 8_192
 NO_PARTNER = -1
@@ -104,10 +104,9 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "
 def drop_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    kept = exact_dedup(docs, block_bytes, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    sha = F.sha2(ascii_lower(F.coalesce(docs[text_col], F.lit(""))).cast("binary"), 256)
-    staying = docs.withColumn("_sha", sha).join(
-        kept, F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_sha") == F.col("_keep_sha")), "left_semi")
+    kept = exact_dedup(docs, block_bytes, id_col, text_col).where("kept")
+    kept, keys = with_keys(kept, id=F.col("doc_id"), sha=F.col("text_sha256"))
+    sha = F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).cast("binary"), 256)
+    keyed, _ = with_keys(docs, id=F.col(id_col), sha=sha)
     # Rows that repeat one doc_id and text pass the join together; one of them stays.
-    return staying.dropDuplicates([id_col, "_sha"]).drop("_sha")
+    return keyed.join(kept.select(*keys), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)

@@ -30,7 +30,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlane.llm.common import Scratch, word_count
+from auditlane.llm.common import Scratch, with_keys, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -222,11 +222,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     Written by shard and ordered by `mix_order` inside it, the copies are in mixed order.
     """
     plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    copies = plan.where(F.size("shards") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("text_key").alias("_text"),
-        F.posexplode("shards").alias("_copy", "mix_shard"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.col(source_col).eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_text"))
-    one_each = docs.withColumn("_key", F.xxhash64(text_col)).dropDuplicates([id_col, source_col, "_key"])
-    drawn = one_each.join(copies, same)
-    order = F.xxhash64(F.lit(SEED), F.col("mix_shard"), F.col("_id").cast("string"), "_copy")
-    return drawn.withColumn("mix_order", order).select(*docs.columns, "mix_shard", "mix_order")
+    plan, keys = with_keys(plan, id=F.col("doc_id"), source=F.col("source"), text=F.col("text_key"))
+    copies = plan.where(F.size("shards") > 0).select(*keys, F.posexplode("shards").alias("__copy", "mix_shard"))
+    keyed, _ = with_keys(docs, id=F.col(id_col), source=F.col(source_col), text=F.xxhash64(text_col))
+    drawn = keyed.dropDuplicates(keys).join(copies, keys)
+    order = F.xxhash64(F.lit(SEED), F.col("mix_shard"), F.col("__id"), "__copy")
+    return drawn.select(*[keyed[c] for c in docs.columns], F.col("mix_shard"), order.alias("mix_order"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, langid, mixing, quality, sharding, simhash, substring, tokenfile
+from auditlane.llm import ann, exact, langid, mixing, packing, quality, sharding, simhash, substring, tokenfile
 from auditlane.llm.common import table
 
 
@@ -55,6 +55,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_sharding": op8_sharding,
+    "op9_packing": op9_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from auditlane.llm.common import Scratch
+from auditlane.llm.common import Scratch, with_keys
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -285,6 +285,7 @@ def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius
                      text_col: str = "text") -> DataFrame:
     """The documents that are first of their component, with all their columns."""
     groups = near_groups(docs, shingle_words, radius, id_col, text_col)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    first, keys = with_keys(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), id=F.col("doc_id"))
+    keyed, _ = with_keys(docs, id=F.col(id_col))
     # Rows that repeat the smallest doc_id are one document.
-    return docs.join(first, F.col(id_col).eqNullSafe(F.col("_first")), "left_semi").dropDuplicates([id_col])
+    return keyed.join(first.select(*keys), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
