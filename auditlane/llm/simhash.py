@@ -71,7 +71,7 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
 def planes_of(prints: np.ndarray) -> np.ndarray:
     """(words, 64) lanes of fingerprints -> (64, words): word w of plane p holds bit p of the 64 lanes."""
     bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(len(prints), BITS, 8), axis=2, bitorder="little")
-    return np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little").view("<u8")[:, :, 0])
+    return np.ascontiguousarray(np.packbits(bits.transpose(2, 0, 1), axis=2, bitorder="little")).view("<u8")[:, :, 0]
 
 
 def _add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,15 +184,15 @@ def links_in(lefts: list[np.ndarray], rights: list[np.ndarray | None], radius: i
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, print (the fingerprint as a signed long)."""
+    """doc_id, text_key, print (the fingerprint as a signed long)."""
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            prints = np.array([fingerprint(t, shingle_words) for t in part.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "print": pa.array(prints.view(np.int64))})
+            prints = np.array([fingerprint(t, shingle_words) for t in part.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "text_key": part.column(1), "print": pa.array(prints.view(np.int64))})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        batches, "doc_id long, print long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")).mapInArrow(
+        batches, "doc_id long, text_key long, print long")
 
 
 def stripe_masks(n: int, radius: int) -> list[int]:
@@ -268,7 +268,7 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, print (signed), component_id (the smallest doc_id reachable)."""
+    """One row per document: doc_id, text_key, print (signed), root, component_id (the smallest doc_id reachable)."""
     if not 0 <= radius <= 6:
         raise ValueError("the bit counters hold radii from 0 to 6")
     scratch = Scratch(docs.sparkSession, "simhash")
@@ -277,15 +277,17 @@ def near_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int
     roots = components(scratch, links(scratch, nodes.select("print"), radius))
     placed = nodes.join(roots, nodes["print"] == roots["node"], "left").select("print", "first_id", F.coalesce("root", "print").alias("root"))
     first = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = scratch.write(placed.join(first, "root").select("print", "component_id"), "groups")
-    return rows.join(groups, "print").select("doc_id", "print", "component_id")
+    groups = scratch.write(placed.join(first, "root").select("print", "root", "component_id"), "groups")
+    return rows.join(groups, "print").select("doc_id", "text_key", "print", "root", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The documents that are first of their component, with all their columns."""
+    """Of each component the document with the smallest doc_id (nulls last, then by text), with all its columns."""
     groups = near_groups(docs, shingle_words, radius, id_col, text_col)
-    first, keys = with_keys(groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), id=F.col("doc_id"))
-    keyed, _ = with_keys(docs, id=F.col(id_col))
-    # Rows that repeat the smallest doc_id are one document.
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    first = groups.groupBy("root").agg(F.min(place).alias("first"))
+    first, keys = with_keys(first, id=F.col("first.doc_id"), text=F.col("first.text_key"))
+    keyed, _ = with_keys(docs, id=F.col(id_col).cast("long"), text=F.xxhash64(text_col))
+    # Rows that repeat a doc_id and text pass the join together; one of them stays.
     return keyed.join(first.select(*keys), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
