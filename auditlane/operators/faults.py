@@ -2,18 +2,20 @@
 
 Used to prove that the gate catches what it should.  Row choice is an exact-size seeded
 selection (``sampling.select_exact``), so counts are exact and repeatable; it picks rows by
-hash of their key, not by position.
+hash of their key, not by position.  The transforms that select rows land their input first
+and return it as a filter or projection of the landed files.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from auditlane.functions.exprs import negate_abs
-from auditlane.operators.sampling import Selection, fraction_of, regenerate, select_exact
+from auditlane.operators.sampling import fraction_of, landed, select_exact
 
 # Fault modes and their default parameters.
 FAULT_MODES = ("none", "null_flood", "schema_drift", "dup_pk", "negative_values")
@@ -30,17 +32,10 @@ NEGATIVE_COLUMNS = ("fare_amount", "trip_distance")
 DEFAULT_KEY = ("trip_id",)
 
 
-def _rewrite(df: DataFrame, sel: Selection, changes: dict) -> DataFrame:
-    """Apply ``changes`` (column -> Column function) to the selected rows only."""
-    def changed(frame: DataFrame, chosen) -> DataFrame:
-        return frame.withColumns({c: F.when(chosen, fn(F.col(c))).otherwise(F.col(c)) for c, fn in changes.items()})
-
-    if sel.remainder is None:
-        return changed(df, sel.predicate)
-    rem = sel.remainder
-    twins = regenerate(df.sparkSession, rem, rem.count)
-    twins = changed(twins, F.col("__copy") < F.lit(rem.take)).drop("__copy")
-    return changed(df.where(~rem.group), sel.predicate).unionByName(twins)
+def _rewrite(stored: DataFrame, chosen: Column, changes: dict) -> DataFrame:
+    """Apply ``changes`` (column -> Column function) to the chosen rows only; types kept."""
+    types = {c: stored.schema[c].dataType for c in changes}
+    return stored.withColumns({c: F.when(chosen, fn(F.col(c)).cast(types[c])).otherwise(F.col(c)) for c, fn in changes.items()})
 
 
 def null_flood(
@@ -51,9 +46,9 @@ def null_flood(
     key_cols: Sequence[str] = DEFAULT_KEY,
 ) -> DataFrame:
     """Exactly ``int(rows * fraction)`` cells of ``column`` become NULL; type kept."""
+    df = landed(df)
     sel = select_exact(df, fraction_of(fraction), key_cols=key_cols, seed=seed)
-    dtype = df.schema[column].dataType
-    return _rewrite(df, sel, {column: lambda c: F.lit(None).cast(dtype)})
+    return _rewrite(df, sel.predicate, {column: lambda c: F.lit(None)})
 
 
 def schema_drift(df: DataFrame, old_name: str = DRIFT_OLD_NAME, new_name: str = DRIFT_NEW_NAME) -> DataFrame:
@@ -68,11 +63,9 @@ def dup_pk(
     key_cols: Sequence[str] = DEFAULT_KEY,
 ) -> DataFrame:
     """Append ``max(1, int(rows * fraction))`` existing rows again (never more than rows)."""
+    df = landed(df)
     sel = select_exact(df, fraction_of(fraction, minimum=1), key_cols=key_cols, seed=seed)
-    out = df.unionByName(df.where(sel.predicate))
-    if sel.remainder is not None:
-        out = out.unionByName(regenerate(df.sparkSession, sel.remainder, sel.remainder.take).drop("__copy"))
-    return out
+    return df.unionByName(df.where(sel.predicate))
 
 
 def negative_values(
@@ -82,15 +75,22 @@ def negative_values(
     columns: Sequence[str] = NEGATIVE_COLUMNS,
     key_cols: Sequence[str] = DEFAULT_KEY,
 ) -> DataFrame:
-    """On one selected row set, every listed column becomes ``-abs(v)``; NULL stays NULL."""
+    """On one selected row set, every listed column becomes ``-abs(v)``; NULL and text that is no number stay."""
+    df = landed(df)
     sel = select_exact(df, fraction_of(fraction), key_cols=key_cols, seed=seed)
-    return _rewrite(df, sel, {c: negate_abs for c in columns})
+    text = {c for c in columns if isinstance(df.schema[c].dataType, StringType)}
+    negate = {c: (lambda v: F.coalesce(negate_abs(v.try_cast("double")).cast("string"), v)) if c in text else negate_abs for c in columns}
+    return _rewrite(df, sel.predicate, negate)
+
+
+def check_mode(mode: str) -> None:
+    if mode not in FAULT_MODES:
+        raise ValueError(f"no fault is called {mode!r}; there are {', '.join(FAULT_MODES)}")
 
 
 def apply_fault(df: DataFrame, mode: str, key_cols: Sequence[str] = DEFAULT_KEY) -> DataFrame:
     """Dispatch by name with default parameters; unknown names fail before any work."""
-    if mode not in FAULT_MODES:
-        raise ValueError(f"Unknown fault mode {mode!r}; choose from {sorted(FAULT_MODES)}")
+    check_mode(mode)
     if mode == "none":
         return df
     if mode == "schema_drift":

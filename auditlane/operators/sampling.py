@@ -1,104 +1,84 @@
 """Exact-size, seeded, deterministic row selection without a global sort.
 
-Each row gets ``h = md5(key_1 ':' ... ':' seed)`` (hex text).  Selecting the ``n`` rows with
-the smallest ``h`` is a pure predicate ``h <= h*`` once the cut ``h*`` is known, and the cut
-is found by narrowing hash prefixes:
+The input is a landed (written) Parquet frame.  Each row gets a rank text: the md5 of its key
+and the seed, then a hash of all its typed columns, then a hash of the file and position it is
+stored at.  No two rows share one, and rows that are alike in every column differ only in the
+last part, where the choice between them doesn't matter.  Selecting the ``n`` rows with the
+smallest rank is a pure predicate ``rank <= cut`` once the cut is known, and the cut is found
+by narrowing prefixes:
 
 1. histogram the first ``fanout`` hex digits (at most 16**fanout small rows reach the
    driver; map-side partial counts keep the shuffle tiny);
 2. walk the cumulative counts to the bucket that crosses ``n`` and descend into it;
-3. once the crossing bucket holds at most ``final_rows`` distinct hashes' worth of rows,
-   take its (hash, count) pairs in order (a bounded top-k) and read off ``h*``.
-
-md5 spreads rows evenly, so each level divides the candidate set by 16**fanout: 10**12 rows
-need two levels at the default fan-out.  The result is a filter usable in ``where`` or
-``when``; it re-evaluates identically after an executor loss.
-
-A hot key -- one key value shared by a third of all rows -- is one hash value.  If it
-straddles the cut, the rows of that one group are ranked again by an md5 of the whole row
-(same narrowing, restricted to the group).  Rows that are identical in every column cannot
-be told apart by any predicate; for them the selection carries a ``Remainder``: how many
-of the identical rows are selected and one of them (as JSON), so a transform can replace the
-group by regenerated copies (``spark.range`` + literals, in parallel) -- exact, with nothing
-large on the driver.
+3. once the crossing bucket holds at most ``final_rows`` rows, take its ranks in order (a
+   bounded top-k) and read off the cut.
+
+md5 spreads keys evenly, so each level divides the rows by 16**fanout: 10**12 rows need two
+levels at the default fan-out.  A hot key -- a third of all rows with one key -- fills one
+32-digit prefix; the descent goes on into the digits after it, which spread its rows the same way.
+The result is a filter usable in ``where`` or ``when``; it re-evaluates identically after an
+executor loss, because stored rows keep their file and position.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
-HASH_HEX_DIGITS = 32
+from auditlane.session import lake_root
+
+KEY_DIGITS, ROW_DIGITS, PLACE_DIGITS = 32, 16, 32
+RANK_DIGITS = KEY_DIGITS + ROW_DIGITS + PLACE_DIGITS
 DEFAULT_FANOUT = 4
 DEFAULT_FINAL_ROWS = 65_536
 
 
-ROW_JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+@dataclass(frozen=True)
+class Selection:
+    predicate: Column
+    selected: int
+    total: int
 
 
-@dataclass(frozen=True)
-class Remainder:
-    """Rows identical in every column at the cut: ``take`` of these ``count`` are selected."""
+def landed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that each row has a fixed place."""
+    path = f"{lake_root(df.sparkSession)}/faults/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    group: Column
-    take: int
-    count: int
-    row_json: str
-    schema: StructType
 
+def row_hash(df: DataFrame) -> Column:
+    """16 hex digits of a hash of every typed column, nulls told apart."""
+    parts = [x for c in df.columns for x in (F.col(c).isNull(), F.col(c))]
+    return F.lpad(F.hex(F.xxhash64(*parts)), ROW_DIGITS, "0")
 
-@dataclass(frozen=True)
-class Selection:
-    predicate: Column  # rows selected outright (never matches the remainder group)
-    selected: int
-    total: int
-    remainder: Remainder | None = None
 
+def rank_text(df: DataFrame, key_cols: Sequence[str], seed: int | str) -> Column:
+    key = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
+    place = F.md5(F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string")))
+    return F.concat(key, F.lower(row_hash(df)), place)
 
-@dataclass(frozen=True)
-class _Cut:
-    total: int
-    wanted: int
-    kind: str  # none | all | prefix | upto | below
-    value: str = ""
-    take: int = 0  # for "below": rows still needed from the group whose hash is ``value``
-    count: int = 0  # for "below": rows in that group
-
-    def predicate(self, h: Column) -> Column:
-        if self.kind == "none":
-            return F.lit(False)
-        if self.kind == "all":
-            return F.lit(True)
-        if self.kind == "prefix":
-            return F.substring(h, 1, len(self.value)) <= F.lit(self.value)
-        if self.kind == "upto":
-            return h <= F.lit(self.value)
-        return h < F.lit(self.value)
-
-
-def _find_cut(hashed: DataFrame, size: int | Callable[[int], int], fanout: int, final_rows: int) -> _Cut:
-    """Cut for a one-column frame ``__h``: the smallest ``size`` hashes, ties reported."""
-    prefix = ""
-    need: int | None = None
-    total = wanted = 0
+
+def _find_cut(ranked: DataFrame, size: int | Callable[[int], int], fanout: int, final_rows: int) -> tuple[int, int, str | None]:
+    """(rows, rows wanted, greatest rank selected -- a whole rank or a prefix) of a one-column frame ``__h``."""
+    prefix, need, total, wanted = "", None, 0, 0
     while True:
-        level = hashed.where(F.col("__h").startswith(prefix)) if prefix else hashed
+        level = ranked.where(F.col("__h").startswith(prefix)) if prefix else ranked
         hist = sorted(
             (r["b"], r["count"])
             for r in level.groupBy(F.substring("__h", len(prefix) + 1, fanout).alias("b")).count().collect()
         )
         if need is None:
             total = sum(c for _, c in hist)
-            need = size(total) if callable(size) else min(int(size), total)
+            wanted = need = size(total) if callable(size) else min(int(size), total)
             if need <= 0:
-                return _Cut(total, 0, "none")
+                return total, 0, None
             if need >= total:
-                return _Cut(total, total, "all")
-            wanted = need
+                return total, total, "g"  # after every hex digit
         before = 0
         for bucket, count in hist:
             if before + count >= need:
@@ -107,35 +87,11 @@ def _find_cut(hashed: DataFrame, size: int | Callable[[int], int], fanout: int,
         need -= before
         prefix += bucket
         if count == need:
-            return _Cut(total, wanted, "prefix", prefix)
-        if count <= final_rows or len(prefix) + fanout > HASH_HEX_DIGITS:
+            return total, wanted, prefix
+        if count <= final_rows or len(prefix) >= RANK_DIGITS:
             break
-
-    tops = (
-        hashed.where(F.col("__h").startswith(prefix))
-        .groupBy("__h").count()
-        .orderBy("__h").limit(need)
-        .collect()
-    )
-    running = 0
-    for row in tops:
-        if running + row["count"] >= need:
-            if running + row["count"] == need:
-                return _Cut(total, wanted, "upto", row["__h"])
-            return _Cut(total, wanted, "below", row["__h"], need - running, row["count"])
-        running += row["count"]
-    raise AssertionError("histogram and bucket scan disagree")  # input changed between scans
-
-
-def row_hash(df: DataFrame, seed: int | str) -> Column:
-    """md5 of the whole row (as JSON) and the seed: tells apart rows that differ anywhere."""
-    whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]), ROW_JSON_OPTIONS)
-    return F.md5(F.concat_ws(":", whole, F.lit(str(seed))))
-
-
-def selection_hash(key_cols: Sequence[str], seed: int | str) -> Column:
-    parts = [F.col(c).cast("string") for c in key_cols] + [F.lit(str(seed))]
-    return F.md5(F.concat_ws(":", *parts))
+    last = ranked.where(F.col("__h").startswith(prefix)).orderBy("__h").limit(need).agg(F.max("__h")).first()[0]
+    return total, wanted, last
 
 
 def fraction_of(fraction: float, minimum: int = 0) -> Callable[[int], int]:
@@ -148,7 +104,7 @@ def fraction_of(fraction: float, minimum: int = 0) -> Callable[[int], int]:
 
 
 def select_exact(
-    df: DataFrame,
+    stored: DataFrame,
     size: int | Callable[[int], int],
     *,
     key_cols: Sequence[str],
@@ -156,34 +112,9 @@ def select_exact(
     fanout: int = DEFAULT_FANOUT,
     final_rows: int = DEFAULT_FINAL_ROWS,
 ) -> Selection:
-    """Exactly ``size`` rows (or ``size(total)`` when callable), smallest key hash first."""
-    h = selection_hash(key_cols, seed)
-    cut = _find_cut(df.select(h.alias("__h")), size, fanout, final_rows)
-    if cut.kind != "below":
-        return Selection(cut.predicate(h), cut.wanted, cut.total)
-
-    # A key group straddles the cut: rank its rows by the whole row.
-    key_group = h == F.lit(cut.value)
-    h2 = row_hash(df, seed)
-    inner = _find_cut(df.where(key_group).select(h2.alias("__h")), cut.take, fanout, final_rows)
-    predicate = cut.predicate(h) | (key_group & inner.predicate(h2))
-    if inner.kind != "below":
-        return Selection(predicate, cut.wanted, cut.total)
-
-    # Rows identical in every column: keep one of them, regenerate the selected copies.
-    twins = key_group & (h2 == F.lit(inner.value))
-    row_json = df.where(twins).select(
-        F.to_json(F.struct(*[F.col(c) for c in df.columns]), ROW_JSON_OPTIONS)
-    ).first()[0]
-    return Selection(predicate, cut.wanted, cut.total,
-                     Remainder(twins, inner.take, inner.count, row_json, df.schema))
-
-
-def regenerate(spark, remainder: Remainder, copies: int, rows_per_partition: int = 1_000_000) -> DataFrame:
-    """``copies`` copies of the remainder's row, generated in parallel, with a ``__copy``
-    index column (0-based) so that the first ``take`` of them can be told apart."""
-    parts = max(1, min(copies // rows_per_partition + 1, 100_000))
-    row = F.from_json(F.lit(remainder.row_json), remainder.schema, ROW_JSON_OPTIONS)
-    return spark.range(0, copies, 1, parts).select(
-        F.col("id").alias("__copy"), *[row[f.name].alias(f.name) for f in remainder.schema.fields]
-    )
+    """Exactly ``size`` rows (or ``size(total)``) of a landed frame, smallest key hash first."""
+    rank = rank_text(stored, key_cols, seed)
+    total, wanted, last = _find_cut(stored.select(rank.alias("__h")), size, fanout, final_rows)
+    if last is None:
+        return Selection(F.lit(False), 0, total)
+    return Selection(F.substring(rank, 1, len(last)) <= F.lit(last), wanted, total)

@@ -6,9 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlane.operators import faults
-import hashlib
-
-from auditlane.operators.sampling import row_hash, select_exact
+from auditlane.operators.sampling import landed, rank_text, select_exact
 
 
 def _table(spark, n):
@@ -65,7 +63,7 @@ def test_negative_values_same_rows_both_columns(spark):
 
 
 def test_unknown_mode_raises(spark):
-    with pytest.raises(ValueError, match="Unknown fault mode"):
+    with pytest.raises(ValueError, match="no fault is called"):
         faults.apply_fault(_table(spark, 10), "not_a_mode")
 
 
@@ -76,7 +74,7 @@ def test_every_mode_applies(spark):
 
 
 def test_selection_matches_sorted_hash_on_larger_input(spark):
-    df = spark.range(0, 50_000).withColumnRenamed("id", "k")
+    df = landed(spark.range(0, 50_000).withColumnRenamed("id", "k"))
     sel = select_exact(df, 12_345, key_cols=["k"], seed=3, fanout=1, final_rows=100)
     assert df.where(sel.predicate).count() == 12_345
     h = F.md5(F.concat_ws(":", F.col("k").cast("string"), F.lit("3")))
@@ -91,29 +89,37 @@ def _hot_table(spark, identical: bool):
     return spark.createDataFrame(rows, "trip_id long, fare_amount double, trip_distance double")
 
 
-def _expected(spark, df, n, seed):
-    """Brute force: sort every row by (md5(key:seed), md5(row:seed)) and take n."""
-    ranked = df.select("*", row_hash(df, seed).alias("__h2")).collect()
-    key = lambda r: (hashlib.md5(f"{r.trip_id}:{seed}".encode()).hexdigest(), r["__h2"])
-    return sorted((r.trip_id, r.fare_amount) for r in sorted(ranked, key=key)[:n])
+def _expected(df, n, seed):
+    """Brute force: sort every stored row by its rank text and take n."""
+    ranked = df.select("*", rank_text(df, ["trip_id"], seed).alias("__h")).collect()
+    assert len({r["__h"] for r in ranked}) == len(ranked)
+    return sorted((r.trip_id, r.fare_amount) for r in sorted(ranked, key=lambda r: r["__h"])[:n])
 
 
-def test_hot_identical_group_is_split_exactly(spark):
-    df = _hot_table(spark, identical=True)
+@pytest.mark.parametrize("identical", [True, False])
+def test_hot_group_is_split_exactly(spark, identical):
+    df = landed(_hot_table(spark, identical))
     for n in (10, 35, 77):
         sel = select_exact(df, n, key_cols=["trip_id"], seed=7, fanout=1, final_rows=4)
-        picked = df.where(sel.predicate).collect()
-        extra = [] if sel.remainder is None else [(0, 5.0)] * sel.remainder.take
-        assert sorted([(r.trip_id, r.fare_amount) for r in picked] + extra) == _expected(spark, df, n, 7)
+        got = sorted((r.trip_id, r.fare_amount) for r in df.where(sel.predicate).collect())
+        assert got == _expected(df, n, 7) and sel.selected == n
 
 
-def test_hot_key_with_distinct_rows_is_split_by_row_hash(spark):
-    df = _hot_table(spark, identical=False)
-    for n in (10, 35, 77):
-        sel = select_exact(df, n, key_cols=["trip_id"], seed=7, fanout=1, final_rows=4)
-        assert sel.remainder is None
-        got = sorted((r.trip_id, r.fare_amount) for r in df.where(sel.predicate).collect())
-        assert got == _expected(spark, df, n, 7)
+def test_faults_change_no_other_cell_of_a_hot_group(spark):
+    """Zoned timestamps a microsecond apart, one key: only the flooded cells change."""
+    df = spark.range(20).select(
+        F.lit(1).cast("long").alias("trip_id"), F.lit(5.0).alias("fare_amount"), F.lit(1.0).alias("trip_distance"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id")).alias("at"))
+    flooded = faults.apply_fault(df, "null_flood")
+    assert flooded.where(F.col("fare_amount").isNull()).count() == 7
+    assert flooded.select("at").distinct().count() == 20
+    assert faults.apply_fault(df, "dup_pk").select("at").distinct().count() == 20
+
+
+def test_negative_values_of_text_columns(spark):
+    df = spark.createDataFrame([(k, "NA" if k == 3 else "2.5", "") for k in range(10)], "trip_id long, fare_amount string, trip_distance string")
+    got = faults.negative_values(df, fraction=1.0).collect()
+    assert sorted(r.fare_amount for r in got) == ["-2.5"] * 9 + ["NA"] and {r.trip_distance for r in got} == {""}
 
 
 def test_faults_stay_exact_on_a_hot_identical_group(spark):
