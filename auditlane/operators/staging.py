@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     IntegerType,
     LongType,
     ShortType,
+    StringType,
     TimestampNTZType,
     TimestampType,
 )
@@ -42,6 +43,12 @@ ZONES_CONTRACT: tuple[tuple[str, str, str], ...] = (
     ("zone", "zone", "string"),
 )
 
+# Texts that stand for NULL in a column that is typed from text.
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "N/A", "NA", "NULL",
+    "NaN", "n/a", "nan", "null",
+)
+
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
@@ -59,6 +66,8 @@ class SchemaDriftError(ValueError):
 
 def typed(col: Column, source: DataType, target: str) -> Column:
     """Cast ``col`` (of type ``source``) to ``target`` with oracle-compatible rounding."""
+    if isinstance(source, StringType) and target != "string":
+        col = F.when(~col.isin(*NULL_TEXTS), col)
     if target in ("int", "bigint") and not isinstance(source, _INTEGRAL):
         return int_cast(col, source, target)
     if target == "timestamp_ntz" and isinstance(source, TimestampNTZType):

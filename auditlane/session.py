@@ -56,6 +56,13 @@ def _context(spark: SparkSession):
         return None
 
 
+def _runs_in_this_process(spark: SparkSession) -> bool:
+    """Whether executors are threads of the driver, so that its folders are theirs."""
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and written intermediate tables.
 
@@ -73,8 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
             return sc.getCheckpointDir() or configured
         return configured
-    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
-    if not master.startswith("local"):
+    if not _runs_in_this_process(spark):
         # Executors would each write to their own disk: refuse instead of losing data.
         raise RuntimeError(
             "no shared folder configured: set spark.checkpoint.dir (or auditlane.lake.root) "
@@ -97,22 +103,25 @@ def default_parallelism(spark: SparkSession) -> int:
 def lake_root(spark: SparkSession) -> str:
     """Root of the lake (raw snapshots, staging freezes, marts, results, alerts).
 
-    ``auditlane.lake.root`` wins; otherwise a folder next to the checkpoint data, which is
-    shared storage on a cluster.
+    ``auditlane.lake.root`` wins; otherwise a folder beside the checkpoint data of all
+    applications: the configured ``spark.checkpoint.dir`` itself, without the part that Spark
+    adds for each application, so every kind of session finds the same lake.
     """
     configured = spark.conf.get(LAKE_CONF_KEY, None)
     if configured:
         return configured.rstrip("/")
-    root = checkpoint_root(spark).rstrip("/")
-    # getCheckpointDir() appends a per-application UUID folder; keep the lake beside it so
-    # that it survives across applications that share the same checkpoint root.
-    parent = root.rsplit("/", 1)[0] if "/" in root else root
-    return f"{parent}/auditlane-lake"
+    sc = _context(spark)
+    shared = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None
+              else spark.conf.get("spark.checkpoint.dir", None))
+    return f"{(shared or checkpoint_root(spark)).rstrip('/')}/auditlane-lake"
 
 
 def ensure_lake_root(spark: SparkSession, path: str | None = None) -> str:
-    """Pin the lake root for this session (tests use a fresh temporary folder)."""
-    path = path or os.path.join(tempfile.mkdtemp(prefix="auditlane-lake-"), "lake")
+    """Pin the lake root for this session; without a path, a temporary one for local masters only."""
+    if path is None:
+        if not _runs_in_this_process(spark):
+            raise RuntimeError("name a lake root that every executor can reach")
+        path = os.path.join(tempfile.mkdtemp(prefix="auditlane-lake-"), "lake")
     spark.conf.set(LAKE_CONF_KEY, path)
     return path
 

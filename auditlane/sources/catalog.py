@@ -21,13 +21,12 @@ def _q(name: str) -> str:
 def register(lake: Lake, namespace: str, table: str, snapshot_id: int | None = None) -> str:
     """Create the namespace if absent and point ``namespace.table`` at a committed snapshot."""
     spark = lake.spark
-    sid = snapshot_id if snapshot_id is not None else lake.current_snapshot_id(namespace, table)
-    if sid is None:
+    found = lake.snapshot(namespace, table, snapshot_id)
+    if found is None:
         raise TableNotFound(f"{namespace}.{table} has no committed snapshot under {lake.root}")
-    path = f"{lake.table_path(namespace, table)}/data/snapshot_id={sid}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(namespace)} LOCATION '{lake.root}/{namespace}'")
     spark.sql(f"DROP TABLE IF EXISTS {_q(namespace)}.{_q(table)}")
-    spark.sql(f"CREATE TABLE {_q(namespace)}.{_q(table)} USING parquet LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {_q(namespace)}.{_q(table)} USING parquet LOCATION '{found.path}'")
     return f"{namespace}.{table}"
 
 

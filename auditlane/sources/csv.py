@@ -1,8 +1,9 @@
 """CSV sources and sinks for raw trip and zone files.
 
 Column names come from the file's header (so a renamed upstream column lands under its new
-name and is caught by the staging contract), and known columns are typed from a fixed type
-map without an inference pass over the data.  Unknown columns stay text.
+name and is caught by the staging contract).  Values land as the text they are, empty text
+included; the staging step types them, so junk fails there, as a structural failure of the
+run, and not while landing.
 """
 
 from __future__ import annotations
@@ -27,28 +28,21 @@ RAW_TRIPS_TYPES: dict[str, str] = {
 }
 RAW_ZONES_TYPES: dict[str, str] = {"location_id": "bigint", "borough": "string", "zone": "string"}
 
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-CSV_OPTIONS = {
-    "header": "true",
-    "inferSchema": "false",
-    "mode": "FAILFAST",
-    "nullValue": "",
-    "timestampNTZFormat": TIMESTAMP_FORMAT,
-}
+CSV_OPTIONS = {"header": "true", "inferSchema": "false", "mode": "FAILFAST"}
 
 
-def read_csv(spark: SparkSession, path: str, types: dict[str, str]) -> DataFrame:
-    """Scan CSV file(s) at ``path``; header names kept, known columns cast (ANSI)."""
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Scan CSV file(s) at ``path``: header names, every value as text, none of them NULL."""
     raw = spark.read.options(**CSV_OPTIONS).csv(path)
-    return raw.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
+    return raw.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in raw.columns])
 
 
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, RAW_TRIPS_TYPES)
+    return read_csv(spark, path)
 
 
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
-    return read_csv(spark, path, RAW_ZONES_TYPES)
+    return read_csv(spark, path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

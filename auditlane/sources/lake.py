@@ -1,39 +1,41 @@
 """Versioned snapshot tables on any Hadoop-compatible file system.
 
-Layout under the lake root (``file:``, ``hdfs:``, ``s3a:`` ... -- whatever Spark can write)::
+Layout under the lake root (a path as Hadoop reads it: ``hdfs:``, ``s3a:``, ``file:``, or without
+a scheme on the default file system)::
 
-    <namespace>/<table>/data/snapshot_id=<id>/part-*.parquet    immutable snapshot data
-    _commits/part-*.json                                        append-only commit records
+    <namespace>/<table>/data/<token>/part-*.parquet    immutable snapshot data
+    _commits/part-*.json                               append-only commit records
 
-Writing a snapshot never touches earlier ones; ``commit`` appends one file of records that
-makes the given snapshots current (per table, the highest committed id).  Committing
-several tables in one call is one file, so e.g. both marts flip together.  A reader
-resolves the current snapshot from the commit records: a half-written snapshot is
-invisible and a blocked run leaves the previous snapshot current.  Landing twice therefore
-replaces the visible rows (full refresh) while keeping history for time travel by id.
+Writing a snapshot never touches earlier ones and gives it no place in the history.  ``commit``
+does: it mints the next snapshot id and appends one file of records that point tables at
+written data, so the last commit wins, however long its writing took.  Tables committed in one
+call flip together, and two tables may point at the same data.  A reader resolves the
+current snapshot from the records: a half-written snapshot is invisible and a blocked run
+leaves the previous one current.  Landing twice replaces the visible rows (full refresh) and
+keeps history for reads by id.
 
 This is deliberately thin: plain Parquet plus an append-only commit log written and read
-with Spark.  When a table-format catalog is configured, ``DataFrameWriterV2`` against it
-(``writeTo(...).createOrReplace()``) is the drop-in replacement.
+with Spark, for one writing application at a time.  When a table-format catalog is
+configured, ``DataFrameWriterV2`` against it (``writeTo(...).createOrReplace()``) is the
+drop-in replacement.
 """
 
 from __future__ import annotations
 
-import os
 import threading
-import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from auditlane.session import lake_root, literal_frame
 
 COMMIT_SCHEMA = (
-    "namespace string, table string, snapshot_id long, committed_at timestamp_ntz, "
+    "namespace string, table string, snapshot_id long, path string, committed_at timestamp_ntz, "
     "row_count long, note string"
 )
 
@@ -46,26 +48,23 @@ class TableNotFound(LookupError):
 class Snapshot:
     namespace: str
     table: str
-    snapshot_id: int
     path: str
     row_count: int
     note: str = ""
+    snapshot_id: int | None = None  # minted by the commit
 
+    def named(self, namespace: str, table: str) -> Snapshot:
+        """The same data as another table's snapshot, not yet committed."""
+        return replace(self, namespace=namespace, table=table, snapshot_id=None)
 
-def as_uri(path: str) -> str:
-    """A lake location as a URI: scheme-less local paths become ``file:`` URIs, anything
-    with a scheme (``s3a://``, ``hdfs://``, ``file:/``) is kept as given."""
-    if "://" in path or path.startswith("file:"):
-        return path.rstrip("/")
-    return "file://" + os.path.abspath(path).rstrip("/")
+
+_commits = threading.Lock()
 
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = as_uri(root or lake_root(spark))
-        self._last_id = 0
-        self._id_lock = threading.Lock()
+        self.root = (root or lake_root(spark)).rstrip("/")
         self._log_ready = False
 
     # -- paths --------------------------------------------------------------------------
@@ -76,28 +75,22 @@ class Lake:
     def commit_log(self) -> str:
         return f"{self.root}/_commits"
 
-    def _ensure_log(self) -> None:
+    def _log(self) -> DataFrame:
         # Appending an empty frame creates the log folder if needed and adds no records.
         if not self._log_ready:
             literal_frame(self.spark, [], COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
             self._log_ready = True
-
-    def _next_id(self) -> int:
-        # Wall-clock microseconds, strictly increasing within this process.
-        with self._id_lock:
-            self._last_id = max(self._last_id + 1, time.time_ns() // 1_000)
-            return self._last_id
+        return self.spark.read.schema(COMMIT_SCHEMA).json(self.commit_log)
 
     # -- write --------------------------------------------------------------------------
     def write_snapshot(self, namespace: str, table: str, df: DataFrame, note: str = "") -> Snapshot:
         """Write ``df`` as a new, not yet visible snapshot; the row count is observed in
         the same job as the write (no second scan)."""
-        snapshot_id = self._next_id()
-        path = f"{self.table_path(namespace, table)}/data/snapshot_id={snapshot_id}"
-        obs = Observation(f"rows_{table}_{snapshot_id}")
+        token = uuid.uuid4().hex
+        path = f"{self.table_path(namespace, table)}/data/{token}"
+        obs = Observation(f"rows_{table}_{token}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-        rows = int(obs.get.get("rows", 0))
-        return Snapshot(namespace, table, snapshot_id, path, rows, note)
+        return Snapshot(namespace, table, path, int(obs.get.get("rows", 0)), note)
 
     def write_snapshots(self, items: list[tuple[str, str, DataFrame, str]]) -> list[Snapshot]:
         """Write several independent snapshots as concurrent Spark jobs (one thread each),
@@ -110,35 +103,44 @@ class Lake:
             return list(pool.map(write, items))
 
     def commit(self, *snaps: Snapshot) -> tuple[Snapshot, ...]:
-        """Make ``snaps`` current in one append (one file)."""
-        now = datetime.now(UTC).replace(tzinfo=None)
-        records = [(s.namespace, s.table, s.snapshot_id, now, s.row_count, s.note) for s in snaps]
-        # One partition, hence one file: several tables become current together.
-        literal_frame(self.spark, records, COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
-        self._log_ready = True
-        return snaps
+        """Make ``snaps`` current in one append (one file); returns them with their new id."""
+        with _commits:
+            last = self._log().agg(F.max("snapshot_id")).first()[0] or 0
+            made = tuple(replace(s, snapshot_id=last + 1) for s in snaps)
+            now = datetime.now(UTC).replace(tzinfo=None)
+            records = [(s.namespace, s.table, s.snapshot_id, s.path, now, s.row_count, s.note) for s in made]
+            # One partition, hence one file: several tables become current together.
+            literal_frame(self.spark, records, COMMIT_SCHEMA).write.mode("append").json(self.commit_log)
+        return made
 
     def write(self, namespace: str, table: str, df: DataFrame, note: str = "") -> Snapshot:
         """Write and commit in one step."""
-        snap = self.write_snapshot(namespace, table, df, note)
-        self.commit(snap)
-        return snap
+        return self.commit(self.write_snapshot(namespace, table, df, note))[0]
 
     # -- read ---------------------------------------------------------------------------
     def history(self, namespace: str, table: str) -> DataFrame:
-        self._ensure_log()
-        log = self.spark.read.schema(COMMIT_SCHEMA).json(self.commit_log)
-        return log.where((F.col("namespace") == namespace) & (F.col("table") == table))
+        return self._log().where((F.col("namespace") == namespace) & (F.col("table") == table))
+
+    def snapshot(self, namespace: str, table: str, snapshot_id: int | None = None) -> Snapshot | None:
+        """The committed snapshot of that id, or the current one; None when there is none."""
+        found = self.history(namespace, table)
+        if snapshot_id is not None:
+            found = found.where(F.col("snapshot_id") == snapshot_id)
+        last = found.agg(F.max(F.struct("snapshot_id", "path", "row_count", "note"))).first()[0]
+        if last is None:
+            return None
+        return Snapshot(namespace, table, last["path"], last["row_count"], last["note"] or "", last["snapshot_id"])
 
     def current_snapshot_id(self, namespace: str, table: str) -> int | None:
-        row = self.history(namespace, table).agg(F.max("snapshot_id").alias("s")).collect()[0]
-        return row["s"]
+        found = self.snapshot(namespace, table)
+        return None if found is None else found.snapshot_id
 
     def exists(self, namespace: str, table: str) -> bool:
-        return self.current_snapshot_id(namespace, table) is not None
+        return self.snapshot(namespace, table) is not None
 
     def read(self, namespace: str, table: str, snapshot_id: int | None = None) -> DataFrame:
-        sid = snapshot_id if snapshot_id is not None else self.current_snapshot_id(namespace, table)
-        if sid is None:
-            raise TableNotFound(f"{namespace}.{table} has no committed snapshot under {self.root}")
-        return self.spark.read.parquet(f"{self.table_path(namespace, table)}/data/snapshot_id={sid}")
+        found = self.snapshot(namespace, table, snapshot_id)
+        if found is None:
+            which = "" if snapshot_id is None else f" {snapshot_id}"
+            raise TableNotFound(f"{namespace}.{table} has no committed snapshot{which} under {self.root}")
+        return self.spark.read.parquet(found.path)
