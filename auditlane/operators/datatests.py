@@ -3,7 +3,8 @@
 Each test is a violation query; a test passes when it returns nothing.  Counting follows
 the usual data-test convention: ``unique`` counts duplicated *values*, ``accepted_values``
 counts offending *values*, ``not_null`` and ``relationships`` count offending *rows*.  NULL
-child keys are not orphans and NULL is never an unaccepted value.
+child keys are not orphans and NULL is never an unaccepted value.  A value is NULL here as in the
+gate: missing, which for floating point includes NaN.
 """
 
 from __future__ import annotations
@@ -12,16 +13,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, bounded, fits_broadcast
+from auditlane.functions.exprs import is_missing
+
+
+def _missing(df: DataFrame, column: str) -> Column:
+    return is_missing(column, df.schema[column].dataType)
 
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
-    """Non-NULL values occurring more than once, with their row counts."""
+    """Non-missing values occurring more than once, with their row counts."""
     return (
-        df.where(F.col(column).isNotNull())
+        df.where(~_missing(df, column))
         .groupBy(column)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
@@ -29,52 +34,26 @@ def unique_violations(df: DataFrame, column: str) -> DataFrame:
 
 
 def not_null_violations(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
-
+    return df.where(_missing(df, column))
 
-def _parent_keys(parent: DataFrame, parent_column: str, column: str) -> DataFrame:
-    return parent.select(F.col(parent_column).alias(column)).distinct()
 
+def relationship_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Child rows whose non-NULL key has no parent row.
 
-def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-                broadcast_parent: bool | None = None) -> DataFrame:
-    """Non-NULL child key values with no parent, with their child row counts.
-
-    The child is reduced to distinct keys first (map-side partial counts collapse a hot key
-    to one row per task), so the anti join compares distinct keys on both sides and cannot
-    be skewed, whatever the parent's size.
+    One anti join against the distinct parent keys: broadcast where statistics prove them
+    small, else shuffled, where AQE splits the partition of a hot child key.
     """
-    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return keys.join(bounded(_parent_keys(parent, parent_column, column), known_small=broadcast_parent),
-                     column, "left_anti")
+    keys = parent.select(F.col(parent_column).alias(column)).distinct()
+    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
-def relationship_violations(
-    child: DataFrame, column: str, parent: DataFrame, parent_column: str,
-    broadcast_parent: bool | None = None,
-) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row.
-
-    Small parent: one broadcast anti join, no shuffle of the child at all.  Large parent:
-    orphan keys are found on distinct keys first (``orphan_keys``), then the child rows of
-    those keys are picked with a semi join.
-    """
-    keys = _parent_keys(parent, parent_column, column)
-    small = fits_broadcast(keys) if broadcast_parent is None else broadcast_parent
-    present = child.where(F.col(column).isNotNull())
-    if small:
-        return present.join(F.broadcast(keys), column, "left_anti")
-    orphans = orphan_keys(child, column, parent, parent_column, broadcast_parent=False).select(column)
-    return present.join(bounded(orphans), column, "left_semi")
+def _unaccepted(column: str, values: Sequence) -> Column:
+    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
 
 
 def accepted_values_violations(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Distinct non-NULL values outside ``values``, with their row counts."""
-    return (
-        df.where(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    return df.where(_unaccepted(column, values)).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @dataclass(frozen=True)
@@ -88,50 +67,46 @@ class DataTest:
     values: tuple = ()
 
 
-def violations(test: DataTest, tables: dict[str, DataFrame],
-               row_counts: dict[str, int] | None = None) -> DataFrame:
-    """The offending rows (or values) of one test."""
-    df = tables[test.model]
-    if test.kind == "unique":
-        return unique_violations(df, test.column)
-    if test.kind == "not_null":
-        return not_null_violations(df, test.column)
-    if test.kind == "relationships":
-        return relationship_violations(df, test.column, tables[test.parent_model], test.parent_column,
-                                       broadcast_parent=_small(test.parent_model, row_counts))
-    if test.kind == "accepted_values":
-        return accepted_values_violations(df, test.column, test.values)
-    raise ValueError(f"unknown data test kind {test.kind!r}")
-
-
-def _small(table: str | None, row_counts: dict[str, int] | None) -> bool | None:
-    """Known-size proof for broadcasting ``table`` (None: probe it)."""
-    known = (row_counts or {}).get(table)
-    return None if known is None else known <= BROADCAST_ROW_LIMIT
-
-
-def failure_count(test: DataTest, tables: dict[str, DataFrame],
-                  row_counts: dict[str, int] | None = None) -> DataFrame:
-    """One row, ``failures``: duplicated/unaccepted values, NULL rows or orphan rows."""
-    if test.kind == "relationships" and _small(test.parent_model, row_counts) is False:
-        orphans = orphan_keys(tables[test.model], test.column, tables[test.parent_model],
-                              test.parent_column, broadcast_parent=False)
-        return orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("failures"))
-    return violations(test, tables, row_counts).agg(F.count(F.lit(1)).cast("long").alias("failures"))
-
-
-def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame],
-                   row_counts: dict[str, int] | None = None) -> DataFrame:
-    """One row per test: test_id, kind, model, column, failures, passed (a single action)."""
-    rows = [
-        failure_count(t, tables, row_counts).select(
-            F.lit(t.test_id).alias("test_id"),
-            F.lit(t.kind).alias("kind"),
-            F.lit(t.model).alias("model"),
-            F.lit(t.column).alias("column"),
-            "failures",
-            (F.col("failures") == 0).alias("passed"),
-        )
-        for t in tests
-    ]
-    return reduce(DataFrame.unionByName, rows)
+def _row(test: DataTest, failures: Column) -> Column:
+    n = failures.cast("long")
+    return F.struct(
+        F.lit(test.test_id).alias("test_id"), F.lit(test.kind).alias("kind"), F.lit(test.model).alias("model"),
+        F.lit(test.column).alias("column"), n.alias("failures"), (n == 0).alias("passed"))
+
+
+def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+    """Tests that look at rows one by one: one aggregate over one scan, whatever their number.
+
+    A relationship test marks each row by a left join with the distinct parent keys.
+    """
+    counts = []
+    for k, t in enumerate(tests):
+        if t.kind == "not_null":
+            counts.append(F.count_if(_missing(df, t.column)).alias(f"n{k}"))
+        elif t.kind == "accepted_values":
+            counts.append(F.count_distinct(F.when(_unaccepted(t.column, t.values), F.col(t.column))).alias(f"n{k}"))
+        elif t.kind == "relationships":
+            keys = tables[t.parent_model].select(F.col(t.parent_column).alias(f"__k{k}")).distinct()
+            df = df.join(keys, df[t.column] == F.col(f"__k{k}"), "left")
+            counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(f"__k{k}").isNull()).alias(f"n{k}"))
+        else:
+            raise ValueError(f"unknown data test kind {t.kind!r}")
+    return df.agg(*counts).select(F.inline(F.array(*[_row(t, F.col(f"n{k}")) for k, t in enumerate(tests)])))
+
+
+def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per test: test_id, kind, model, column, failures, passed (a single action).
+
+    Per model, one scan serves all row tests and one key shuffle each uniqueness test.
+    """
+    parts = []
+    for model in dict.fromkeys(t.model for t in tests):
+        own = [t for t in tests if t.model == model]
+        rowwise = [t for t in own if t.kind != "unique"]
+        if rowwise:
+            parts.append(_row_tests(tables[model], rowwise, tables))
+        for t in own:
+            if t.kind == "unique":
+                repeated = unique_violations(tables[model], t.column).agg(F.count(F.lit(1)).alias("n"))
+                parts.append(repeated.select(F.inline(F.array(_row(t, F.col("n"))))))
+    return reduce(DataFrame.unionByName, parts)

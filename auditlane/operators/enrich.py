@@ -2,10 +2,10 @@
 
 One dimension (zones) is attached twice, once per role (pickup, dropoff), with left outer
 joins: unmatched facts are kept with NULL attributes, and a duplicated dimension key fans
-the fact out (the gate's uniqueness rule is what notices).  The dimension is broadcast only
-after its row count has been checked against a bound; past the bound the join shuffles,
-with the fact side salted so that a hot zone does not land in one task (AQE skew-join
-splitting works on top of that when enabled).
+the fact out (the gate's uniqueness rule is what notices).  The joins carry no hint: Catalyst
+broadcasts a dimension whose statistics prove it within ``autoBroadcastJoinThreshold`` bytes,
+and otherwise shuffles; a hot zone's partition is then split by AQE
+(``spark.sql.adaptive.skewJoin.enabled``), which it can do on the left side of a left join.
 """
 
 from __future__ import annotations
@@ -14,11 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from auditlane.functions.exprs import minutes_between, safe_divide
-from auditlane.session import default_parallelism
-
-# Largest dimension (rows) that may be shipped whole to every executor.  A zone row is a
-# key and two short strings (< 100 bytes), so the bound keeps a broadcast under ~100 MB.
-BROADCAST_ROW_LIMIT = 1_000_000
 
 # Column order of the enriched model (and of the fact mart built from it).
 ENRICHED_COLUMNS: tuple[str, ...] = (
@@ -43,92 +38,22 @@ ENRICHED_COLUMNS: tuple[str, ...] = (
 )
 
 
-def fits_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """True when ``df`` has at most ``row_limit`` rows.
-
-    A plain count: each task counts its split and ships one row (on Parquet the count comes
-    from row-group metadata).  ``limit(n + 1).count()`` would look cheaper but plans as
-    ``LocalLimit -> Exchange SinglePartition``, funnelling up to n rows per partition into
-    one task when the table turns out to be large.
-    """
-    return df.count() <= row_limit
-
-
-def bounded(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, known_small: bool | None = None) -> DataFrame:
-    """``broadcast(df)`` if its size is proven within the bound, else ``df`` unchanged."""
-    small = fits_broadcast(df, row_limit) if known_small is None else known_small
-    return F.broadcast(df) if small else df
-
-
-# Below this many rows a fact scan is spread over the session's cores before the heavy
-# per-row work (a single small file is otherwise read by one task); above it the scan is
-# already split across many files and nothing is added.
-SPREAD_ROW_LIMIT = 5_000_000
-
-
-def spread_small(df: DataFrame, row_limit: int = SPREAD_ROW_LIMIT) -> DataFrame:
-    """Round-robin ``df`` over ``defaultParallelism`` partitions when it is provably small."""
-    parallelism = default_parallelism(df.sparkSession)
-    if parallelism > 1 and fits_broadcast(df, row_limit):
-        return df.repartition(parallelism)
-    return df
-
-
 def attach_role(
-    fact: DataFrame,
-    dim: DataFrame,
-    *,
-    fact_key: str,
-    dim_key: str,
-    role: str,
-    attributes: tuple[str, ...],
-    salt_buckets: int = 1,
+    fact: DataFrame, dim: DataFrame, *, fact_key: str, dim_key: str, role: str, attributes: tuple[str, ...],
 ) -> DataFrame:
-    """Left-join ``dim`` to ``fact`` on ``fact_key = dim_key``; attributes get a role prefix.
-
-    With ``salt_buckets > 1`` (used when the dimension is not broadcast) each fact row gets
-    a salt in ``[0, salt_buckets)`` and the dimension is replicated once per salt, so the
-    rows of one hot key -- even identical copies -- spread over ``salt_buckets`` shuffle
-    partitions.  Every fact row still meets each matching dimension row exactly once.
-    """
+    """Left-join ``dim`` to ``fact`` on ``fact_key = dim_key``; attributes get a role prefix."""
     tag = f"__{role}_key"
-    role_dim = dim.select(
-        F.col(dim_key).alias(tag), *[F.col(a).alias(f"{role}_{a}") for a in attributes]
-    )
-    if salt_buckets <= 1:
-        return fact.join(role_dim, fact[fact_key] == role_dim[tag], "left").drop(tag)
-    salt = f"__{role}_salt"
-    salted_fact = fact.withColumn(salt, F.floor(F.rand(17) * salt_buckets).cast("int"))
-    salted_dim = role_dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    cond = (salted_fact[fact_key] == salted_dim[tag]) & (salted_fact[salt] == salted_dim[salt])
-    return salted_fact.join(salted_dim, cond, "left").drop(tag, salt)
+    role_dim = dim.select(F.col(dim_key).alias(tag), *[F.col(a).alias(f"{role}_{a}") for a in attributes])
+    return fact.join(role_dim, fact[fact_key] == role_dim[tag], "left").drop(tag)
 
 
-# Salt buckets for the role joins when the dimension is too large to broadcast.
-SALT_BUCKETS = 16
-
-
-def enrich_trips(
-    trips: DataFrame,
-    zones: DataFrame,
-    *,
-    broadcast_zones: bool | None = None,
-) -> DataFrame:
+def enrich_trips(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Staged trips + pickup/dropoff zone attributes + duration and fare per mile."""
     zones = zones.select("location_id", "borough", "zone")
-    small = fits_broadcast(zones) if broadcast_zones is None else broadcast_zones
-    zones = F.broadcast(zones) if small else zones
     out = trips
     for role in ("pickup", "dropoff"):
-        out = attach_role(
-            out,
-            zones,
-            fact_key=f"{role}_location_id",
-            dim_key="location_id",
-            role=role,
-            attributes=("borough", "zone"),
-            salt_buckets=1 if small else SALT_BUCKETS,
-        )
+        out = attach_role(out, zones, fact_key=f"{role}_location_id", dim_key="location_id", role=role,
+                          attributes=("borough", "zone"))
     out = out.withColumns(
         {
             "trip_duration_minutes": minutes_between("pickup_at", "dropoff_at"),

@@ -7,8 +7,8 @@ Plan shape (see ``README.md`` for the scale argument):
 * each unique rule -> ``groupBy(key).count()`` with map-side partial aggregation (a hot
   key collapses to one row per task before the shuffle), then a global sum;
 * the per-rule rows are unioned, so a single action computes every rule;
-* offender ids are sampled only for failed rules, each with a bounded per-task top-k
-  (``orderBy(id).limit(k)``) before anything is shuffled.
+* offender ids are sampled only for failed rules, all in one scan, with at most ``k`` rows
+  per rule and task left before the ranking shuffle.
 
 Only the per-rule result rows (one per rule) and at most ``k`` ids per failed rule ever
 reach the driver.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DataType,
     DoubleType,
     IntegerType,
     LongType,
@@ -38,11 +39,11 @@ from pyspark.sql.types import (
 )
 
 from auditlane.functions.exprs import is_missing, percent_of
-from auditlane.operators.enrich import bounded
 from auditlane.operators.rules import Rule, Unique
 from auditlane.session import literal_frame
 
-# The alert header and the per-failure sample size.
+# The alert header, the per-failure sample size, and below the payload's key names
+# (``expectation_type``, ``sample_trip_ids``, ...), which readers of alerts rely on.
 ALERT_SOURCE = "auditlane.gate"
 GATE_NAME = "column_rule_gate"
 SAMPLE_IDS_PER_FAILURE = 10
@@ -82,13 +83,15 @@ RESULT_COLUMNS = (
     "checked_at",
 )
 
-SAMPLE_SCHEMA = StructType(
-    [
-        StructField("rule_id", StringType(), False),
-        StructField("rank", IntegerType(), False),
-        StructField("row_id", LongType(), True),
-    ]
-)
+def sample_schema(id_type: DataType) -> StructType:
+    """Sampled ids keep the type that the id column has."""
+    return StructType(
+        [
+            StructField("rule_id", StringType(), False),
+            StructField("rank", IntegerType(), False),
+            StructField("row_id", id_type, True),
+        ]
+    )
 
 
 def _metric(rule: Rule, index: int, present: bool, n: Column, m: Column, e: Column, u: Column) -> Column:
@@ -213,42 +216,47 @@ def offender_samples(
 ) -> DataFrame:
     """Up to ``k`` offending ids per rule (smallest first), for the given rules only.
 
-    Each rule is its own ``filter -> orderBy(id) -> limit(k)`` branch, which Spark runs as
-    a bounded top-k per task (a k-element priority queue, no sort of the violating rows)
-    over a column-pruned scan with the violation predicate pushed down; only k rows per
-    task and rule are shuffled.  For a uniqueness rule on the id itself the sample lists
-    distinct duplicated ids.
+    One scan serves all rules.  Without a uniqueness rule on the id, each row yields its id for
+    the rules it breaks; with one, rows are first counted by id (combined before the shuffle),
+    and an id is repeated as often as it breaks a rule, ``k`` times at most.  Either way the
+    rank is a window that Spark limits to ``k`` rows per rule in each task before the shuffle.
+    For a uniqueness rule on the id itself the sample lists distinct duplicated ids; one on
+    another column (none in the trip suite) adds a join with its duplicated keys.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema.fields}
     wanted = [r for r in rules if (rule_ids is None or r.rule_id in rule_ids) and r.column in types]
     if id_col not in types or not wanted or k <= 0:
-        return literal_frame(spark, [], SAMPLE_SCHEMA)
+        return literal_frame(spark, [], sample_schema(types.get(id_col, LongType())))
 
-    smallest = F.col("row_id").asc_nulls_last()
+    row_rules = [r for r in wanted if not isinstance(r, Unique)]
+    own_key = [r for r in wanted if isinstance(r, Unique) and r.column == id_col]
+    row_id = F.col(id_col).alias("row_id")
     parts: list[DataFrame] = []
+    if own_key:
+        counted = df.groupBy(row_id).agg(
+            F.count(F.lit(1)).alias("__rows"),
+            *[F.count_if(r.violation(types[r.column])).alias(f"__v{i}") for i, r in enumerate(row_rules)])
+        times = [F.array_repeat(F.lit(r.rule_id), F.least(F.col(f"__v{i}"), F.lit(k)).cast("int")) for i, r in enumerate(row_rules)]
+        twice = ~is_missing("row_id", types[id_col]) & (F.col("__rows") > 1)
+        times += [F.when(twice, F.array(F.lit(r.rule_id))).otherwise(F.array().cast("array<string>")) for r in own_key]
+        parts.append(counted.select(F.explode(F.concat(*times)).alias("rule_id"), "row_id"))
+    elif row_rules:
+        broken = F.filter(F.array(*[F.when(r.violation(types[r.column]), F.lit(r.rule_id)) for r in row_rules]), lambda x: x.isNotNull())
+        parts.append(df.select(F.explode(broken).alias("rule_id"), row_id))
     for r in wanted:
-        dt = types[r.column]
-        if isinstance(r, Unique):
-            dups = (
-                df.groupBy(F.col(r.column).alias("__key"))
-                .agg(F.count(F.lit(1)).alias("__rows"))
-                .where(~is_missing("__key", dt) & (F.col("__rows") > 1))
+        if isinstance(r, Unique) and r.column != id_col:
+            keys = (
+                df.groupBy(F.col(r.column).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+                .where(~is_missing("__key", types[r.column]) & (F.col("__rows") > 1))
+                .select(F.col("__key").alias(r.column))
             )
-            if r.column == id_col:
-                ids = dups.select(F.col("__key").cast("long").alias("row_id"))
-            else:
-                # Broadcast the duplicated keys when provably small: no shuffle of the batch,
-                # so a hot duplicated key cannot pile up in one task.
-                keys = bounded(dups.select(F.col("__key").alias(r.column)))
-                ids = df.join(keys, r.column, "left_semi").select(F.col(id_col).cast("long").alias("row_id"))
-        else:
-            ids = df.where(r.violation(dt)).select(F.col(id_col).cast("long").alias("row_id"))
-        parts.append(ids.select(F.lit(r.rule_id).alias("rule_id"), "row_id").orderBy(smallest).limit(k))
-
-    top = reduce(DataFrame.unionByName, parts)  # at most k rows per rule from here on
-    ranked = Window.partitionBy("rule_id").orderBy(smallest)
-    return top.select("rule_id", F.row_number().over(ranked).cast("int").alias("rank"), "row_id")
+            parts.append(df.join(keys, r.column, "left_semi").select(F.lit(r.rule_id).alias("rule_id"), row_id))
+
+    ranked = Window.partitionBy("rule_id").orderBy(F.col("row_id").asc_nulls_last())
+    offenders = reduce(DataFrame.unionByName, parts)
+    top = offenders.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k)
+    return top.select("rule_id", "rank", "row_id")
 
 
 def build_alert(
@@ -259,6 +267,7 @@ def build_alert(
     gate: str = GATE_NAME,
 ) -> DataFrame:
     """One-row alert: header fields, the failed rules with their sample ids, and the JSON text."""
+    id_type = samples.schema["row_id"].dataType
     ids = samples.groupBy("rule_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "row_id"))).alias("__s")
     ).select("rule_id", F.transform("__s", lambda s: s["row_id"]).alias("sample_trip_ids"))
@@ -268,7 +277,7 @@ def build_alert(
         F.col("column"),
         F.col("unexpected_count"),
         F.col("unexpected_percent"),
-        F.coalesce(F.col("sample_trip_ids"), F.array().cast(ArrayType(LongType()))).alias("sample_trip_ids"),
+        F.coalesce(F.col("sample_trip_ids"), F.array().cast(ArrayType(id_type))).alias("sample_trip_ids"),
         F.col("notes"),
     )
     # One aggregate over (one row per rule) x (its samples): header fields and the failed

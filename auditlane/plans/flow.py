@@ -1,13 +1,14 @@
 """The staged run: land -> stage + enrich -> freeze -> gate -> publish -> mart tests.
 
 Write-audit-publish: the enriched batch is written once (frozen) to the lake, the gate
-audits that frozen table, and the marts are written from the *same* frozen table, so what
-was checked is exactly what is published and the join runs once.  The marts become
-visible only after both the gate and the mart data tests pass; every other outcome leaves
-the previously published marts in place.
+audits that frozen snapshot, and publishing commits the *same* snapshot as the fact mart, so
+what was checked is what is published, the join runs once and nothing is copied.  The marts
+become visible only after both the gate and the mart data tests pass; every other outcome
+leaves the previously published marts in place.
 
 Outcome codes: 0 published, 1 blocked by the gate, 2 structural failure before the gate
-(schema drift, uncastable values), 3 mart data tests failed (nothing published).
+(schema drift, values that cannot be typed), 3 mart data tests failed (nothing published).
+Any other error, such as a lost executor or a full disk, is no outcome: it is raised.
 """
 
 from __future__ import annotations
@@ -19,18 +20,19 @@ from datetime import UTC, datetime
 from enum import IntEnum
 from typing import Any
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.operators.enrich import BROADCAST_ROW_LIMIT, enrich_trips
+from auditlane.operators.enrich import enrich_trips
+from auditlane.operators.faults import check_mode
 from auditlane.operators.gate import GateReport, run_gate
 from auditlane.operators.rules import TRIPS_SUITE_NAME, Rule, trips_suite
 from auditlane.operators.staging import SchemaDriftError, stage_trips, stage_zones
 from auditlane.plans import publish
 from auditlane.sources import catalog
 from auditlane.sources.landing import RAW_NAMESPACE, TRIPS_TABLE, ZONES_TABLE, IngestManifest, land, raw_tables
-from auditlane.sources.lake import Lake
+from auditlane.sources.lake import Lake, TableNotFound
 from auditlane.sources.sinks import AlertSink, ResultsSink
 
 # The gated model and where its frozen batches live.
@@ -55,7 +57,7 @@ class RunResult:
     run_id: str
     fault_mode: str
     outcome: Outcome
-    manifest: IngestManifest
+    manifest: IngestManifest | None
     started_at: datetime
     gate: GateReport | None = None
     mart_tests: list[dict[str, Any]] = field(default_factory=list)
@@ -67,7 +69,7 @@ class RunResult:
         rows = None if self.gate is None else self.gate.row_count
         return (
             self.run_id, self.fault_mode, int(self.outcome), self.outcome.name.lower(),
-            self.manifest.trips_rows, rows, failed, bool(self.published), self.error,
+            None if self.manifest is None else self.manifest.trips_rows, rows, failed, bool(self.published), self.error,
             self.started_at, datetime.now(UTC).replace(tzinfo=None),
         )
 
@@ -78,6 +80,20 @@ def freeze(lake: Lake, enriched: DataFrame, run_id: str) -> DataFrame:
     return lake.read(STAGING_NAMESPACE, GATED_MODEL, snap.snapshot_id)
 
 
+# Error conditions of values that cannot be read or typed.
+VALUE_CONDITIONS = (
+    "CAST_INVALID_INPUT", "CAST_OVERFLOW", "NUMERIC_VALUE_OUT_OF_RANGE", "ARITHMETIC_OVERFLOW", "MALFORMED_CSV_RECORD",
+    "MALFORMED_RECORD_IN_PARSING",
+)
+
+
+def is_structural(exc: Exception) -> bool:
+    """Whether an error is about the batch's columns or values, not about the cluster."""
+    if isinstance(exc, (SchemaDriftError, AnalysisException)):
+        return True
+    return isinstance(exc, PySparkException) and any(f"[{c}" in str(exc) for c in VALUE_CONDITIONS)
+
+
 class MartTestsFailed(RuntimeError):
     """Staged marts failed their data tests; nothing was published."""
 
@@ -104,11 +120,8 @@ def build_stage(lake: Lake, run_id: str | None = None, manifest: IngestManifest
     """
     run_id = run_id or uuid.uuid4().hex
     raw_trips, raw_zones = raw_tables(lake, manifest)
-    zones = stage_zones(raw_zones)
-    # A landing observed the zone count: that is the proof the broadcast is bounded.
-    small = None if manifest is None else manifest.zones_rows <= BROADCAST_ROW_LIMIT
-    snap = lake.write(STAGING_NAMESPACE, GATED_MODEL,
-                      enrich_trips(stage_trips(raw_trips), zones, broadcast_zones=small), note=run_id)
+    enriched = enrich_trips(stage_trips(raw_trips), stage_zones(raw_zones))
+    snap = lake.write(STAGING_NAMESPACE, GATED_MODEL, enriched, note=run_id)
     return {"run_id": run_id, "frozen_snapshot_id": snap.snapshot_id, "rows": snap.row_count}
 
 
@@ -126,11 +139,13 @@ def gate_stage(lake: Lake, suite: Sequence[Rule] | None = None, *, run_id: str |
 
 def publish_stage(lake: Lake, *, run_id: str = "", frozen_snapshot_id: int | None = None,
                   zones_snapshot_id: int | None = None, gate: GateReport | None = None) -> dict[str, Any]:
-    """Stage 4: write marts from the frozen batch, test them, and commit only if all pass.
+    """Stage 4: stage the marts of the frozen batch, test them, and commit only if all pass.
 
     ``gate`` (the report for this same frozen batch) lets tests it already answers be
     skipped."""
-    frozen = lake.read(STAGING_NAMESPACE, GATED_MODEL, frozen_snapshot_id)
+    frozen = lake.snapshot(STAGING_NAMESPACE, GATED_MODEL, frozen_snapshot_id)
+    if frozen is None:
+        raise TableNotFound(f"{STAGING_NAMESPACE}.{GATED_MODEL} has no committed snapshot under {lake.root}")
     zones = stage_zones(lake.read(RAW_NAMESPACE, ZONES_TABLE, zones_snapshot_id))
     staged = publish.stage_marts(lake, frozen, zones, run_id)
     known = publish.proven_by_gate(gate.results) if gate is not None else None
@@ -158,15 +173,18 @@ def run(
     run_id = uuid.uuid4().hex
     started = datetime.now(UTC).replace(tzinfo=None)
 
-    manifest = land(lake, trips_raw, zones_raw, fault, key_cols)
-    result = RunResult(run_id, fault, Outcome.STRUCTURAL, manifest, started)
-    if register_tables:
-        catalog.register(lake, RAW_NAMESPACE, TRIPS_TABLE, manifest.trips_snapshot_id)
-        catalog.register(lake, RAW_NAMESPACE, ZONES_TABLE, manifest.zones_snapshot_id)
+    check_mode(fault)
+    result = RunResult(run_id, fault, Outcome.STRUCTURAL, None, started)
     try:
+        manifest = result.manifest = land(lake, trips_raw, zones_raw, fault, key_cols)
+        if register_tables:
+            catalog.register(lake, RAW_NAMESPACE, TRIPS_TABLE, manifest.trips_snapshot_id)
+            catalog.register(lake, RAW_NAMESPACE, ZONES_TABLE, manifest.zones_snapshot_id)
         built = build_stage(lake, run_id, manifest)
     except (SchemaDriftError, PySparkException) as exc:
-        result.error = f"{type(exc).__name__}: {str(exc).splitlines()[0][:500]}"
+        if not is_structural(exc):
+            raise
+        result.error = f"{type(exc).__name__}: {exc}"
         return _finish(lake, result)
 
     result.gate = gate_stage(lake, suite, run_id=run_id, frozen_snapshot_id=built["frozen_snapshot_id"],

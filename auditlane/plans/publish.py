@@ -1,9 +1,9 @@
 """Marts and their post-build data tests.
 
-``fct_trips`` is the enriched model projected in a fixed order (same grain, no filter);
-``dim_zones`` is the staged dimension.  Publishing writes each mart as a new lake snapshot
-and flips the table pointers only after every mart's data is written, so readers see
-either the previous marts or the new ones, and a blocked run leaves the previous ones.
+``fct_trips`` is the enriched model in its own column order (same grain, no filter), so
+publishing commits the audited snapshot itself as the fact mart: a pointer, no second copy.
+``dim_zones`` is the staged dimension, written once.  The tables flip together, only after
+their tests pass, so readers see either the previous marts or the new ones.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ MARTS_NAMESPACE = "marts"
 FACT_COLUMNS: tuple[str, ...] = ENRICHED_COLUMNS
 DIM_COLUMNS: tuple[str, ...] = ("location_id", "borough", "zone")
 ACCEPTED_PAYMENT_TYPES = (1, 2, 3, 4)
+ENRICHED_MODEL = "int_trips_enriched"
 
 MART_TESTS: tuple[DataTest, ...] = (
     DataTest("dim_zones_location_id_unique", "unique", DIM_MART, "location_id"),
@@ -34,6 +35,9 @@ MART_TESTS: tuple[DataTest, ...] = (
     DataTest("fct_trips_payment_type_accepted_values", "accepted_values", FACT_MART,
              "payment_type", values=ACCEPTED_PAYMENT_TYPES),
     DataTest("fct_trips_fare_amount_not_null", "not_null", FACT_MART, "fare_amount"),
+    DataTest("int_trips_enriched_trip_id_unique", "unique", ENRICHED_MODEL, "trip_id"),
+    DataTest("int_trips_enriched_trip_id_not_null", "not_null", ENRICHED_MODEL, "trip_id"),
+    DataTest("int_trips_enriched_trip_duration_minutes_not_null", "not_null", ENRICHED_MODEL, "trip_duration_minutes"),
 )
 
 
@@ -45,41 +49,47 @@ def dim_mart(zones: DataFrame) -> DataFrame:
     return zones.select(*DIM_COLUMNS)
 
 
-def stage_marts(lake: Lake, enriched: DataFrame, zones: DataFrame, run_id: str) -> dict[str, Snapshot]:
-    """Write both marts as new, not yet visible snapshots."""
-    fact, dim = lake.write_snapshots([(MARTS_NAMESPACE, FACT_MART, fact_mart(enriched), run_id),
-                                      (MARTS_NAMESPACE, DIM_MART, dim_mart(zones), run_id)])
-    return {FACT_MART: fact, DIM_MART: dim}
+def stage_marts(lake: Lake, frozen: Snapshot, zones: DataFrame, run_id: str) -> dict[str, Snapshot]:
+    """Both marts as snapshots that are not yet visible: the audited batch itself, and the dimension."""
+    dim = lake.write_snapshot(MARTS_NAMESPACE, DIM_MART, dim_mart(zones), run_id)
+    return {FACT_MART: frozen.named(MARTS_NAMESPACE, FACT_MART), DIM_MART: dim}
 
 
 def proven_by_gate(results: list[dict]) -> dict[str, int]:
     """Mart-test failures already implied by gate results on the same frozen batch.
 
-    The fact mart is a projection of the audited batch, so for the (integral) trip id the
-    gate's counts answer the mart's unique and not-null tests: no duplicated non-NULL value
-    iff the unique rule found none, and the NULL count is the not-null rule's.
+    The fact mart is the audited batch, so for the (integral) trip id the gate's counts answer
+    the unique and not-null tests of both: no duplicated non-NULL value iff the unique rule
+    found none, and the NULL count is the not-null rule's.  The same holds for the duration.
     """
     by_id = {r["rule_id"]: r for r in results}
+
+    def count(rule_id: str, column: str) -> int | None:
+        r = by_id.get(rule_id)
+        return None if r is None or r.get("column") != column else r.get("unexpected_count")
+
     known: dict[str, int] = {}
-    u, n = by_id.get("trip_id_unique"), by_id.get("trip_id_not_null")
-    if u is not None and u.get("unexpected_count") == 0 and u.get("column") == "trip_id":
-        known["fct_trips_trip_id_unique"] = 0
-    if n is not None and n.get("column") == "trip_id" and n.get("unexpected_count") is not None:
-        known["fct_trips_trip_id_not_null"] = int(n["unexpected_count"])
+    for model in (FACT_MART, ENRICHED_MODEL):
+        if count("trip_id_unique", "trip_id") == 0:
+            known[f"{model}_trip_id_unique"] = 0
+        if (n := count("trip_id_not_null", "trip_id")) is not None:
+            known[f"{model}_trip_id_not_null"] = int(n)
+    if (n := count("trip_duration_minutes_not_null", "trip_duration_minutes")) is not None:
+        known[f"{ENRICHED_MODEL}_trip_duration_minutes_not_null"] = int(n)
     return known
 
 
 def test_marts(spark: SparkSession, staged: dict[str, Snapshot], known: dict[str, int] | None = None) -> list[dict]:
-    """Run the declared data tests on staged mart snapshots (one action, <= 8 result rows).
+    """Run the declared data tests on staged mart snapshots (one action, a row a test).
 
     ``known`` maps test ids to failure counts proven elsewhere (``proven_by_gate``); those
     tests are reported from it instead of scanning and shuffling the fact again.
     """
     known = known or {}
     tables = {name: spark.read.parquet(snap.path) for name, snap in staged.items()}
-    counts = {name: snap.row_count for name, snap in staged.items()}
+    tables[ENRICHED_MODEL] = tables[FACT_MART]
     todo = [t for t in MART_TESTS if t.test_id not in known]
-    ran = {r["test_id"]: r.asDict() for r in run_data_tests(todo, tables, counts).collect()} if todo else {}
+    ran = {r["test_id"]: r.asDict() for r in run_data_tests(todo, tables).collect()} if todo else {}
     out = []
     for t in MART_TESTS:
         if t.test_id in ran:
@@ -93,8 +103,7 @@ def test_marts(spark: SparkSession, staged: dict[str, Snapshot], known: dict[str
 
 def commit_marts(lake: Lake, staged: dict[str, Snapshot]) -> dict[str, int]:
     """Make the staged marts current; returns their snapshot ids."""
-    lake.commit(*staged.values())
-    return {name: snap.snapshot_id for name, snap in staged.items()}
+    return {snap.table: snap.snapshot_id for snap in lake.commit(*staged.values())}
 
 
 def read_marts(lake: Lake) -> dict[str, DataFrame]:

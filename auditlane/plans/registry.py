@@ -7,8 +7,10 @@ Every entry runs on whole tables (no row caps, id subsets or prefixes); the limi
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,9 @@ from auditlane.plans import bindings as b
 from auditlane.plans import oracle_sql as q
 from auditlane.plans import flow, publish
 from auditlane.session import lake_root
-from auditlane.sources import csv, landing
+from auditlane.sources import catalog, csv, landing
 from auditlane.sources.lake import Lake
+from auditlane.sources.sinks import AlertSink
 from auditlane.streaming import gate_stream, stream_mart
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +61,33 @@ def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_trips(staged_orders(spark, sf_dir), staged_zones(spark, sf_dir))
 
 
+# Frozen batches by (lake root, batch): one copy each, reused by the queries of an application.
+_frozen: dict[tuple[str, str], str] = {}
+
+
+def frozen(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    """``df`` written once and read back, as the gate of a run sees it."""
+    key = (f"{lake_root(spark)}/queries/{spark.sparkContext.applicationId}", f"{name}-{sf_dir}")
+    if key not in _frozen:
+        path = f"{key[0]}/frozen-{hashlib.md5(key[1].encode()).hexdigest()}"
+        df.write.mode("overwrite").parquet(path)
+        _frozen[key] = path
+    return spark.read.parquet(_frozen[key])
+
+
+def frozen_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frozen(spark, sf_dir, "lines", enriched_lines(spark, sf_dir))
+
+
+def frozen_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frozen(spark, sf_dir, "orders", enriched_orders(spark, sf_dir))
+
+
+def frozen_after(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
+    return frozen(spark, sf_dir, f"orders-{mode}", enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir)))
+
+
 def gate_rows(df: DataFrame, suite, batch: str | None = None) -> DataFrame:
     out = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME).select(*GATE_COLUMNS)
     if batch is not None:
@@ -134,6 +164,14 @@ def q_enrich_unmatched(spark, sf_dir):
     return enriched_lines(spark, sf_dir, drop_region=DROPPED_REGION)
 
 
+def q_enrich_shuffled(spark, sf_dir):
+    """The enrichment in a session that broadcasts nothing: shuffled joins, split at hot zones by AQE."""
+    session = spark.newSession()
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        session.conf.set(key, "-1")
+    return enriched_lines(session, sf_dir)
+
+
 def q_fct_trips(spark, sf_dir):
     return publish.fact_mart(enriched_lines(spark, sf_dir))
 
@@ -153,7 +191,7 @@ def q_rule_not_null(spark, sf_dir):
 
 def q_rule_unique(spark, sf_dir):
     rule = rules.Unique("trip_id_unique", "trip_id")
-    return gate_rows(enriched_lines(spark, sf_dir), (rule,))
+    return gate_rows(frozen_lines(spark, sf_dir), (rule,))
 
 
 ACCTBAL_RANGE = (0.0, 10_000.0)
@@ -166,20 +204,20 @@ def q_rule_between(spark, sf_dir):
 
 
 def q_gate_suite(spark, sf_dir):
-    return gate_rows(enriched_lines(spark, sf_dir), line_suite(), "line_trips").unionByName(
-        gate_rows(enriched_orders(spark, sf_dir), order_suite(), "order_trips")
+    return gate_rows(frozen_lines(spark, sf_dir), line_suite(), "line_trips").unionByName(
+        gate_rows(frozen_orders(spark, sf_dir), order_suite(), "order_trips")
     )
 
 
 def q_gate_suite_reference_bounds(spark, sf_dir):
-    return gate_rows(enriched_lines(spark, sf_dir), rules.trips_suite(), "line_trips")
+    return gate_rows(frozen_lines(spark, sf_dir), rules.trips_suite(), "line_trips")
 
 
 def q_gate_verdict(spark, sf_dir):
     batches = (
-        ("line_trips", enriched_lines(spark, sf_dir), line_suite()),
-        ("line_trips_reference_bounds", enriched_lines(spark, sf_dir), rules.trips_suite()),
-        ("order_trips", enriched_orders(spark, sf_dir), order_suite()),
+        ("line_trips", frozen_lines(spark, sf_dir), line_suite()),
+        ("line_trips_reference_bounds", frozen_lines(spark, sf_dir), rules.trips_suite()),
+        ("order_trips", frozen_orders(spark, sf_dir), order_suite()),
     )
     parts = [
         gate.verdict(gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME))
@@ -196,35 +234,57 @@ def failed_rule_ids(df: DataFrame, suite) -> list[str]:
 
 
 def q_gate_samples(spark, sf_dir):
-    df = enriched_lines(spark, sf_dir)
+    df = frozen_lines(spark, sf_dir)
     suite = rules.trips_suite()
     return gate.offender_samples(df, suite, failed_rule_ids(df, suite))
 
 
-def q_alert_payload(spark, sf_dir):
-    df = enriched_lines(spark, sf_dir)
-    suite = rules.trips_suite()
-    results = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME)
+CHECKED_AT = datetime(2024, 1, 2, 3, 4, 5)
+
+
+def alert_of(df: DataFrame, suite) -> DataFrame:
+    results = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME, run_id="query", checked_at=CHECKED_AT)
     return gate.build_alert(results, gate.offender_samples(df, suite, failed_rule_ids(df, suite)))
 
 
-def q_alert_failures(spark, sf_dir):
-    """The alert's header and failure entries, one row per failed rule (sample ids as text)."""
-    f = q_alert_payload(spark, sf_dir).select(
-        "source", "gate", "model", "suite_name", "success", "row_count", "failed_expectation_count",
-        F.explode("failures").alias("f"),
-    )
+ALERT_JSON = (
+    "source string, gate string, model string, suite_name string, checked_at string, success boolean, row_count long, "
+    "failed_expectation_count long, failures array<struct<rule_index: int, expectation_type: string, column: string, "
+    "unexpected_count: long, unexpected_percent: double, sample_trip_ids: array<long>, notes: string>>"
+)
+ALERT_HEADER = ("source", "gate", "model", "suite_name", "success", "row_count", "failed_expectation_count")
+
+
+def alert_rows(alerts: DataFrame, *more: str) -> DataFrame:
+    """Header and failure entries of alerts, one row per failed rule (sample ids as text)."""
+    f = alerts.select(*ALERT_HEADER, *more, F.explode("failures").alias("f"))
     return f.select(
-        "source", "gate", "model", "suite_name", "success", "row_count", "failed_expectation_count",
-        F.col("f.rule_index").alias("rule_index"),
-        F.col("f.expectation_type").alias("expectation_type"),
-        F.col("f.column").alias("column"),
-        F.col("f.unexpected_count").alias("unexpected_count"),
-        F.col("f.unexpected_percent").alias("unexpected_percent"),
+        *ALERT_HEADER, *more,
+        *[F.col(f"f.{c}").alias(c) for c in ("rule_index", "expectation_type", "column", "unexpected_count", "unexpected_percent", "notes")],
         F.array_join(F.transform("f.sample_trip_ids", lambda x: x.cast("string")), ",").alias("sample_trip_ids"),
     )
 
 
+def q_alert_payload(spark, sf_dir):
+    """The alert as read back from its JSON text."""
+    texts = alert_of(frozen_lines(spark, sf_dir), rules.trips_suite()).select("payload_json")
+    read = texts.select(F.from_json("payload_json", ALERT_JSON).alias("a")).select("a.*")
+    return alert_rows(read.withColumn("checked_at", F.substring("checked_at", 1, 19)), "checked_at")
+
+
+def q_alert_failures(spark, sf_dir):
+    return alert_rows(alert_of(frozen_lines(spark, sf_dir), rules.trips_suite())).drop("notes")
+
+
+def q_alert_sink(spark, sf_dir):
+    """Alerts read back from the sink after gating a dirty and a clean batch: only the first left one."""
+    lake = scratch_lake(spark, "alerts")
+    sink = AlertSink(lake)
+    for df, suite in ((frozen_lines(spark, sf_dir), line_suite()), (frozen_orders(spark, sf_dir), order_suite())):
+        gate.run_gate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME, alert_sink=sink, raise_on_failure=False)
+    return alert_rows(spark.read.schema(ALERT_JSON).json(sink.path))
+
+
 def q_fault(mode: str) -> Query:
     def run(spark, sf_dir):
         return faults.apply_fault(b.order_trips(spark, sf_dir), mode)
@@ -233,11 +293,25 @@ def q_fault(mode: str) -> Query:
     return run
 
 
+HOT_KEY = ("vendor_id",)
+
+
+def q_fault_hot_key(spark, sf_dir):
+    """A null flood whose key has two values: exact, and no other cell of a row changes."""
+    before = b.line_trips(spark, sf_dir)
+    after = faults.null_flood(before, key_cols=HOT_KEY)
+    return after.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("fare_amount").isNull()).alias("nulled"),
+        F.count_distinct("pickup_datetime").alias("pickup_times"),
+        F.count_distinct("trip_id").alias("trip_ids"),
+        F.sum("passenger_count").alias("passengers"),
+    )
+
+
 def q_gate_after(mode: str) -> Query:
     def run(spark, sf_dir):
-        raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
-        df = enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir))
-        return gate_rows(df, order_suite())
+        return gate_rows(frozen_after(spark, sf_dir, mode), order_suite())
 
     run.__name__ = f"q_gate_after_{mode}"
     return run
@@ -245,9 +319,7 @@ def q_gate_after(mode: str) -> Query:
 
 def q_samples_after(mode: str) -> Query:
     def run(spark, sf_dir):
-        raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
-        df = enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir))
-        suite = order_suite()
+        df, suite = frozen_after(spark, sf_dir, mode), order_suite()
         return gate.offender_samples(df, suite, failed_rule_ids(df, suite))
 
     run.__name__ = f"q_samples_after_{mode}"
@@ -281,39 +353,54 @@ def q_test_accepted_values(spark, sf_dir):
 
 def q_mart_tests(spark, sf_dir):
     parts = []
-    for batch, fct_df in (("line_trips", enriched_lines(spark, sf_dir)),
-                          ("order_trips", enriched_orders(spark, sf_dir))):
-        tables = {"fct_trips": publish.fact_mart(fct_df), "dim_zones": publish.dim_mart(staged_zones(spark, sf_dir))}
-        parts.append(datatests.run_data_tests(publish.MART_TESTS, tables)
-                     .select(F.lit(batch).alias("batch"), "*"))
+    for batch, df in (("line_trips", frozen_lines(spark, sf_dir)), ("order_trips", frozen_orders(spark, sf_dir))):
+        tables = {publish.ENRICHED_MODEL: df, publish.FACT_MART: publish.fact_mart(df),
+                  publish.DIM_MART: publish.dim_mart(staged_zones(spark, sf_dir))}
+        parts.append(datatests.run_data_tests(publish.MART_TESTS, tables).select(F.lit(batch).alias("batch"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 
-
 # -- landing, CSV, publish and whole runs (these write to a private folder of the lake) --
 
 def scratch_lake(spark: SparkSession, label: str) -> Lake:
     return Lake(spark, f"{lake_root(spark)}/queries/{label}-{uuid.uuid4().hex}")
 
 
-def _manifest_frame(spark: SparkSession, manifests: list) -> DataFrame:
-    rows = [(m.fault_mode, m.trips_rows, m.zones_rows, m.trips_snapshot_id is not None,
-             m.zones_snapshot_id is not None) for m in manifests]
-    return spark.createDataFrame(
-        rows, "fault_mode string, trips_rows long, zones_rows long, "
-              "has_trips_snapshot boolean, has_zones_snapshot boolean")
+def _landed(spark: SparkSession, sf_dir: str, label: str, fault: str = "none") -> DataFrame:
+    """The written manifest of one landing, beside the rows that its snapshot ids lead to."""
+    lake = scratch_lake(spark, label)
+    landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), fault)
+    written = landing.manifests(spark, lake)
+    ids = written.select("trips_snapshot_id", "zones_snapshot_id").first()
+    trips = lake.read(landing.RAW_NAMESPACE, landing.TRIPS_TABLE, ids["trips_snapshot_id"])
+    zones = lake.read(landing.RAW_NAMESPACE, landing.ZONES_TABLE, ids["zones_snapshot_id"])
+    found = trips.agg(F.count(F.lit(1)).alias("trips_in_snapshot")).join(
+        zones.agg(F.count(F.lit(1)).alias("zones_in_snapshot")))  # one row each
+    return written.select("fault_mode", "trips_rows", "zones_rows").join(found)
 
 
 def q_land_manifest(spark, sf_dir):
-    lake = scratch_lake(spark, "land")
-    m = landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir))
-    return _manifest_frame(spark, [m])
+    return _landed(spark, sf_dir, "land")
 
 
 def q_land_dup_pk(spark, sf_dir):
-    lake = scratch_lake(spark, "land-dup")
-    m = landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), "dup_pk")
-    return _manifest_frame(spark, [m])
+    return _landed(spark, sf_dir, "land-dup", "dup_pk")
+
+
+def q_land_interleaved(spark, sf_dir):
+    """Orders written first and committed last: the last commit is what readers see."""
+    lake = scratch_lake(spark, "land-interleaved")
+    slow = lake.write_snapshot(landing.RAW_NAMESPACE, landing.TRIPS_TABLE, b.order_trips(spark, sf_dir))
+    lake.write(landing.RAW_NAMESPACE, landing.TRIPS_TABLE, b.line_trips(spark, sf_dir))
+    lake.commit(slow)
+    return staging.stage_trips(lake.read(landing.RAW_NAMESPACE, landing.TRIPS_TABLE))
+
+
+def q_raw_table_by_name(spark, sf_dir):
+    """The landed trips, read as a catalog table."""
+    lake = scratch_lake(spark, "by-name")
+    landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir))
+    return staging.stage_trips(catalog.table(spark, catalog.register(lake, landing.RAW_NAMESPACE, landing.TRIPS_TABLE)))
 
 
 def q_land_twice(spark, sf_dir):
@@ -359,19 +446,44 @@ def q_publish_blocked(spark, sf_dir):
 RUN_MODES = ("none", "null_flood", "dup_pk", "negative_values", "schema_drift")
 
 
+def _outcomes(spark: SparkSession, runs: list[tuple[str, Lake]]) -> DataFrame:
+    """What the run logs say, one row per (label, lake), and whether marts are there."""
+    parts = [
+        flow.run_log(spark, lake).select(F.lit(label).alias("batch"), "outcome", "rows_landed", "rows_checked", "failed_rules",
+                                         F.lit(lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)).alias("marts_exist"))
+        for label, lake in runs
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_run_outcomes(spark, sf_dir):
-    rows = []
+    runs = []
     for mode in RUN_MODES:
         lake = scratch_lake(spark, f"run-{mode}")
-        r = flow.run(spark, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir),
-                     fault=mode, suite=order_suite(), lake=lake)
-        rows.append((mode, int(r.outcome), r.manifest.trips_rows,
-                     None if r.gate is None else r.gate.row_count,
-                     None if r.gate is None else len(r.gate.failures),
-                     lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)))
-    return spark.createDataFrame(
-        rows, "fault_mode string, outcome int, rows_landed long, rows_checked long, "
-              "failed_rules int, marts_exist boolean")
+        flow.run(spark, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), fault=mode, suite=order_suite(), lake=lake)
+        runs.append((mode, lake))
+    return _outcomes(spark, runs).withColumnRenamed("batch", "fault_mode")
+
+
+# What a CSV says in place of the fare where the order key leaves this remainder of 100, and the text it gets.
+CSV_CASES = {"clean": None, "na": "NA", "nan": "NaN", "empty": "", "junk": "abc"}
+CSV_REMAINDER = 7
+
+
+def q_run_outcomes_csv(spark, sf_dir):
+    runs = []
+    for label, text in CSV_CASES.items():
+        lake = scratch_lake(spark, f"csv-run-{label}")
+        trips = b.order_trips(spark, sf_dir)
+        if text is not None:
+            fare = F.when(F.col("trip_id") % 100 == CSV_REMAINDER, F.lit(text)).otherwise(F.col("fare_amount").cast("string"))
+            trips = trips.withColumn("fare_amount", fare)
+        csv.write_csv(trips, f"{lake.root}/in/trips")
+        csv.write_csv(b.nation_zones(spark, sf_dir), f"{lake.root}/in/zones")
+        flow.run(spark, csv.read_trips_csv(spark, f"{lake.root}/in/trips"), csv.read_zones_csv(spark, f"{lake.root}/in/zones"),
+                 suite=order_suite(), lake=lake)
+        runs.append((label, lake))
+    return _outcomes(spark, runs)
 
 
 def q_stream_gate(spark, sf_dir):
@@ -402,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "enrich_trips": q_enrich_trips,
     "enrich_orders": q_enrich_orders,
     "enrich_unmatched": q_enrich_unmatched,
+    "enrich_shuffled": q_enrich_shuffled,
     "fct_trips": q_fct_trips,
     "dim_zones": q_dim_zones,
     "rule_not_null": q_rule_not_null,
@@ -413,10 +526,12 @@ QUERIES: dict[str, Query] = {
     "gate_samples": q_gate_samples,
     "alert_payload": q_alert_payload,
     "alert_failures": q_alert_failures,
+    "alert_sink": q_alert_sink,
     "fault_null_flood": q_fault("null_flood"),
     "fault_dup_pk": q_fault("dup_pk"),
     "fault_negative_values": q_fault("negative_values"),
     "fault_schema_drift": q_fault("schema_drift"),
+    "fault_hot_key": q_fault_hot_key,
     "gate_after_null_flood": q_gate_after("null_flood"),
     "gate_after_dup_pk": q_gate_after("dup_pk"),
     "gate_after_negative_values": q_gate_after("negative_values"),
@@ -431,11 +546,14 @@ QUERIES: dict[str, Query] = {
     "land_manifest": q_land_manifest,
     "land_dup_pk": q_land_dup_pk,
     "land_twice": q_land_twice,
+    "land_interleaved": q_land_interleaved,
+    "raw_table_by_name": q_raw_table_by_name,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_zones_roundtrip": q_csv_zones_roundtrip,
     "publish_clean": q_publish_clean,
     "publish_blocked": q_publish_blocked,
     "run_outcomes": q_run_outcomes,
+    "run_outcomes_csv": q_run_outcomes_csv,
     "stream_gate": q_stream_gate,
 }
 
@@ -453,14 +571,58 @@ def _gate_after_sql(fault_sql: str) -> str:
     return q.gate_results(q.enriched(fault_sql, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX))
 
 
-def _run_outcome_sql(mode: str, raw: str) -> str:
-    gate_sql = q.decided(q.rule_metrics(q.enriched(raw, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)))
+def _outcome_sql(label: str, raw: str, column: str = "fault_mode") -> str:
+    """0, 1 or 3, from the seven rules and the mart test that tolerates no missing fare."""
+    batch = q.enriched(raw, q.zones_raw())
+    gate_sql = q.decided(q.rule_metrics(batch, q.suite_rules(ORDER_FARE_MAX)))
     return f"""
-SELECT '{mode}' AS fault_mode, CASE WHEN failed = 0 THEN 0 ELSE 1 END AS outcome,
+SELECT '{label}' AS {column}, CASE WHEN failed > 0 THEN 1 WHEN missing > 0 THEN 3 ELSE 0 END AS outcome,
        rows AS rows_landed, rows AS rows_checked, CAST(failed AS INTEGER) AS failed_rules,
-       failed = 0 AS marts_exist
-FROM (SELECT count(*) FILTER (WHERE NOT success) AS failed, max(element_count) AS rows FROM ({gate_sql}) g) x
+       failed = 0 AND missing = 0 AS marts_exist
+FROM (SELECT count(*) FILTER (WHERE NOT success) AS failed, max(element_count) AS rows,
+             max(missing_count) FILTER (WHERE rule_id = 'fare_amount_not_null') AS missing FROM ({gate_sql}) g) x
+"""
+
+
+def _csv_outcome_sql(label: str) -> str:
+    hit = f"o.trip_id % 100 = {CSV_REMAINDER}"
+    if label == "clean":
+        return _outcome_sql(label, q.ORDER_RAW, "batch")
+    if label == "junk":
+        clean = _outcome_sql(label, q.ORDER_RAW, "batch")
+        return f"""
+SELECT batch, CASE WHEN junk > 0 THEN 2 ELSE outcome END AS outcome, rows_landed,
+       CASE WHEN junk > 0 THEN NULL ELSE rows_checked END AS rows_checked,
+       CASE WHEN junk > 0 THEN NULL ELSE failed_rules END AS failed_rules, marts_exist AND junk = 0 AS marts_exist
+FROM ({clean}) c, (SELECT count(*) FILTER (WHERE {hit}) AS junk FROM ({q.ORDER_RAW}) o) j
 """
+    missing = f"SELECT o.* REPLACE (CASE WHEN {hit} THEN NULL ELSE o.fare_amount END AS fare_amount) FROM ({q.ORDER_RAW}) o"
+    return _outcome_sql(label, missing, "batch")
+
+
+def _alert_sql(fare_max: float, more: str = "") -> str:
+    suite = q.suite_rules(fare_max)
+    notes = " ".join(f"WHEN '{r.rule_id}' THEN '{r.notes}'" for r in rules.trips_suite())
+    return f"""
+WITH g AS ({q.decided(q.rule_metrics(q.line_enriched(), suite))}),
+s AS ({q.offender_samples(q.line_enriched(), suite)}),
+ids AS (SELECT rule_id, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY rank) AS sample_trip_ids
+        FROM s GROUP BY rule_id)
+SELECT '{gate.ALERT_SOURCE}' AS source, '{gate.GATE_NAME}' AS gate, '{MODEL}' AS model,
+       '{rules.TRIPS_SUITE_NAME}' AS suite_name,
+       (SELECT bool_and(success) FROM g) AS success,
+       (SELECT CAST(max(element_count) AS BIGINT) FROM g) AS row_count,
+       (SELECT CAST(count(*) AS BIGINT) FROM g WHERE NOT success) AS failed_expectation_count,
+       g.rule_index, g.rule_type AS expectation_type, g."column", g.unexpected_count,
+       g.unexpected_percent, coalesce(ids.sample_trip_ids, '') AS sample_trip_ids{more.format(notes=notes)}
+FROM g LEFT JOIN ids ON g.rule_id = ids.rule_id
+WHERE NOT g.success"""
+
+
+def _landed_sql(fault: str, raw: str) -> str:
+    return f"""
+SELECT '{fault}' AS fault_mode, t.n AS trips_rows, z.n AS zones_rows, t.n AS trips_in_snapshot, z.n AS zones_in_snapshot
+FROM (SELECT count(*) AS n FROM ({raw}) r) t, (SELECT count(*) AS n FROM ({q.zones_raw()}) r) z"""
 
 
 PRICE_PER_DISCOUNT_SQL = """
@@ -493,7 +655,13 @@ def _mart_tests_sql(batch: str, enriched_sql: str) -> str:
          f"SELECT payment_type FROM {fct} f WHERE payment_type IS NOT NULL AND payment_type NOT IN (1, 2, 3, 4) "
          f"GROUP BY payment_type"),
         ("fct_trips_fare_amount_not_null", "not_null", "fct_trips", "fare_amount",
-         f"SELECT * FROM {fct} f WHERE fare_amount IS NULL"),
+         f"SELECT * FROM {fct} f WHERE fare_amount IS NULL OR isnan(fare_amount)"),
+        ("int_trips_enriched_trip_id_unique", "unique", "int_trips_enriched", "trip_id",
+         f"SELECT trip_id FROM {fct} f WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"),
+        ("int_trips_enriched_trip_id_not_null", "not_null", "int_trips_enriched", "trip_id",
+         f"SELECT * FROM {fct} f WHERE trip_id IS NULL"),
+        ("int_trips_enriched_trip_duration_minutes_not_null", "not_null", "int_trips_enriched", "trip_duration_minutes",
+         f"SELECT * FROM {fct} f WHERE trip_duration_minutes IS NULL OR isnan(trip_duration_minutes)"),
     ]
     return "\nUNION ALL\n".join(
         f"SELECT '{batch}' AS batch, '{tid}' AS test_id, '{kind}' AS kind, '{model}' AS model, "
@@ -569,14 +737,10 @@ SELECT o_orderstatus, count(*) AS n_rows FROM orders
 WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY o_orderstatus""",
     "mart_tests": _mart_tests_sql("line_trips", q.line_enriched())
     + "\nUNION ALL\n" + _mart_tests_sql("order_trips", q.order_enriched()),
-    "land_manifest": f"""
-SELECT 'none' AS fault_mode, (SELECT count(*) FROM ({q.ORDER_RAW}) t) AS trips_rows,
-       (SELECT count(*) FROM ({q.zones_raw()}) z) AS zones_rows,
-       TRUE AS has_trips_snapshot, TRUE AS has_zones_snapshot""",
-    "land_dup_pk": f"""
-SELECT 'dup_pk' AS fault_mode, (SELECT count(*) FROM ({q.dup_pk(q.ORDER_RAW)}) t) AS trips_rows,
-       (SELECT count(*) FROM ({q.zones_raw()}) z) AS zones_rows,
-       TRUE AS has_trips_snapshot, TRUE AS has_zones_snapshot""",
+    "land_manifest": _landed_sql("none", q.ORDER_RAW),
+    "land_dup_pk": _landed_sql("dup_pk", q.dup_pk(q.ORDER_RAW)),
+    "land_interleaved": q.stg_trips(q.ORDER_RAW),
+    "raw_table_by_name": q.stg_trips(q.ORDER_RAW),
     "land_twice": f"""
 SELECT count(*) AS visible_rows, CAST(2 AS BIGINT) AS snapshots, 2 * count(*) AS rows_written
 FROM ({q.ORDER_RAW}) t""",
@@ -584,32 +748,31 @@ FROM ({q.ORDER_RAW}) t""",
     "csv_zones_roundtrip": q.stg_zones(q.zones_raw()),
     "publish_clean": q.order_enriched(),
     "publish_blocked": f"""
-SELECT 1 AS outcome, 'blocked' AS outcome_name, count(*) AS rows_landed, count(*) AS rows_checked,
-       1 AS failed_rules, FALSE AS published, FALSE AS marts_exist
-FROM ({q.LINE_RAW}) t""",
+SELECT CASE WHEN failed > 0 THEN 1 ELSE 0 END AS outcome, CASE WHEN failed > 0 THEN 'blocked' ELSE 'published' END AS outcome_name,
+       rows AS rows_landed, rows AS rows_checked, CAST(failed AS INTEGER) AS failed_rules, failed = 0 AS published, failed = 0 AS marts_exist
+FROM (SELECT count(*) FILTER (WHERE NOT success) AS failed, max(element_count) AS rows
+      FROM ({q.decided(q.rule_metrics(q.line_enriched(), q.suite_rules(LINE_FARE_MAX)))}) g) x""",
     "run_outcomes": "\nUNION ALL\n".join(
-        [_run_outcome_sql(mode, raw) for mode, raw in (
+        [_outcome_sql(mode, raw) for mode, raw in (
             ("none", q.ORDER_RAW),
             ("null_flood", q.null_flood(q.ORDER_RAW)),
             ("dup_pk", q.dup_pk(q.ORDER_RAW)),
             ("negative_values", q.negative_values(q.ORDER_RAW)),
         )]
+        # A missing column cannot be asked for in SQL: this row is what the contract says.
         + [f"""SELECT 'schema_drift' AS fault_mode, 2 AS outcome, count(*) AS rows_landed,
        CAST(NULL AS BIGINT) AS rows_checked, CAST(NULL AS INTEGER) AS failed_rules, FALSE AS marts_exist
 FROM ({q.schema_drift(q.ORDER_RAW)}) t"""]),
+    "run_outcomes_csv": "\nUNION ALL\n".join(f"SELECT * FROM ({_csv_outcome_sql(label)}) c" for label in CSV_CASES),
+    "enrich_shuffled": q.line_enriched(),
+    "fault_hot_key": f"""
+SELECT count(*) AS rows, CAST(floor(CAST(count(*) AS DOUBLE) * CAST(0.35 AS DOUBLE)) AS BIGINT) AS nulled,
+       count(DISTINCT pickup_datetime) AS pickup_times, count(DISTINCT trip_id) AS trip_ids,
+       CAST(sum(passenger_count) AS BIGINT) AS passengers
+FROM ({q.LINE_RAW}) t""",
     "stream_gate": q.order_enriched(),
-    "alert_failures": f"""
-WITH g AS ({q.decided(q.rule_metrics(q.line_enriched(), q.suite_rules(rules.FARE_MAX)))}),
-s AS ({q.offender_samples(q.line_enriched(), q.suite_rules(rules.FARE_MAX))}),
-ids AS (SELECT rule_id, string_agg(CAST(row_id AS VARCHAR), ',' ORDER BY rank) AS sample_trip_ids
-        FROM s GROUP BY rule_id)
-SELECT '{gate.ALERT_SOURCE}' AS source, '{gate.GATE_NAME}' AS gate, '{MODEL}' AS model,
-       '{rules.TRIPS_SUITE_NAME}' AS suite_name,
-       (SELECT bool_and(success) FROM g) AS success,
-       (SELECT CAST(max(element_count) AS BIGINT) FROM g) AS row_count,
-       (SELECT CAST(count(*) AS BIGINT) FROM g WHERE NOT success) AS failed_expectation_count,
-       g.rule_index, g.rule_type AS expectation_type, g."column", g.unexpected_count,
-       g.unexpected_percent, coalesce(ids.sample_trip_ids, '') AS sample_trip_ids
-FROM g LEFT JOIN ids ON g.rule_id = ids.rule_id
-WHERE NOT g.success""",
+    "alert_failures": _alert_sql(rules.FARE_MAX),
+    "alert_payload": _alert_sql(rules.FARE_MAX, f", '{CHECKED_AT.isoformat()}' AS checked_at, "
+                                "CASE g.rule_id {{notes}} END AS notes".replace("{{", "{").replace("}}", "}")),
+    "alert_sink": _alert_sql(LINE_FARE_MAX, ", CASE g.rule_id {notes} END AS notes"),
 }

@@ -4,13 +4,15 @@ The scheduled run lands one batch, audits it and publishes it only if it passes.
 Structured Streaming the same happens per trigger: ``foreachBatch`` receives the batch,
 stages and enriches it, freezes it, evaluates the suite, and then
 
-* passes  -> writes the batch as partition ``batch_id=<epoch>`` of the streaming fact mart;
-* fails   -> writes it to ``quarantine/batch_id=<epoch>`` and appends an alert.
-
-Each epoch writes to a path named after the epoch with ``overwrite``, and the outcome log
-is keyed by epoch, so a micro-batch replayed after a failure (the checkpoint makes Spark
-replay the last uncommitted epoch) produces the same files again: the sink is idempotent
-and the result exactly-once.  State lives only in the checkpoint folder and the lake.
+* passes  -> notes so in ``outcomes/batch_id=<epoch>``, which makes the frozen batch part of the
+  streaming fact mart (a pointer, no copy);
+* fails   -> notes that, leaves the frozen batch as quarantine, and writes its alert.
+
+Everything an epoch writes is under a path named after it and written with ``overwrite``, so a
+micro-batch replayed after a failure (the checkpoint makes Spark replay the last uncommitted
+epoch) leaves the same files again.  The outcome is written last.  The suite is evaluated per
+micro-batch: a key repeated across batches is not seen here, and the mart tests belong to the
+scheduled run.
 """
 
 from __future__ import annotations
@@ -22,50 +24,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from auditlane.operators.enrich import enrich_trips, fits_broadcast
+from auditlane.operators.enrich import enrich_trips
 from auditlane.operators.gate import run_gate
 from auditlane.operators.rules import TRIPS_SUITE_NAME, Rule, trips_suite
 from auditlane.operators.staging import stage_trips, stage_zones
 from auditlane.sources.lake import Lake
-from auditlane.sources.sinks import AlertSink
 
 STREAM_MART = "fct_trips_stream"
 OUTCOME_SCHEMA = "rows long, success boolean, failed_rules string"
 
 
 def _paths(lake: Lake) -> dict[str, str]:
-    return {
-        "frozen": f"{lake.root}/streaming/frozen",
-        "mart": f"{lake.root}/marts/{STREAM_MART}",
-        "quarantine": f"{lake.root}/streaming/quarantine",
-        "outcomes": f"{lake.root}/streaming/outcomes",
-    }
+    return {name: f"{lake.root}/streaming/{name}" for name in ("frozen", "outcomes", "alerts")}
 
 
 def batch_handler(raw_zones: DataFrame, *, lake: Lake, suite: Sequence[Rule] | None = None):
-    """The ``foreachBatch`` function: gate one micro-batch and publish or quarantine it.
-
-    Every path it writes is named after the epoch and written with ``overwrite``, so calling
-    it again for the same epoch (a replay after a failure) leaves the same result.
-    """
+    """The ``foreachBatch`` function: gate one micro-batch and publish or quarantine it."""
     suite = tuple(suite or trips_suite())
     zones = stage_zones(raw_zones)
-    small = fits_broadcast(zones)  # proven once for the whole stream, not per batch
     paths = _paths(lake)
-    alerts = AlertSink(lake, "streaming/alerts")
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         frozen_path = f"{paths['frozen']}/batch_id={epoch_id}"
-        enrich_trips(stage_trips(batch), zones, broadcast_zones=small).write.mode("overwrite").parquet(frozen_path)
-        frozen = spark.read.parquet(frozen_path)
-        report = run_gate(frozen, suite, model=STREAM_MART, suite=TRIPS_SUITE_NAME,
+        enrich_trips(stage_trips(batch), zones).write.mode("overwrite").parquet(frozen_path)
+        report = run_gate(spark.read.parquet(frozen_path), suite, model=STREAM_MART, suite=TRIPS_SUITE_NAME,
                           raise_on_failure=False, run_id=f"epoch-{epoch_id}")
-        target = paths["mart"] if report.success else paths["quarantine"]
-        frozen.write.mode("overwrite").parquet(f"{target}/batch_id={epoch_id}")
-        failed = ",".join(r["rule_id"] for r in report.failures)
         if report.payload is not None:
-            alerts.send(spark, json.dumps(report.payload))
+            spark.createDataFrame([(json.dumps(report.payload),)], "value string") \
+                .write.mode("overwrite").text(f"{paths['alerts']}/batch_id={epoch_id}")
+        failed = ",".join(r["rule_id"] for r in report.failures)
         spark.createDataFrame([(report.row_count, report.success, failed)], OUTCOME_SCHEMA) \
             .write.mode("overwrite").json(f"{paths['outcomes']}/batch_id={epoch_id}")
 
@@ -98,5 +86,12 @@ def stream_outcomes(spark: SparkSession, lake: Lake) -> DataFrame:
         F.col("batch_id").cast("long"), F.col("rows").cast("long"), "success", "failed_rules")
 
 
+def stream_alerts(spark: SparkSession, lake: Lake) -> DataFrame:
+    return spark.read.json(_paths(lake)["alerts"])
+
+
 def stream_mart(spark: SparkSession, lake: Lake) -> DataFrame:
-    return spark.read.parquet(_paths(lake)["mart"])
+    """The frozen batches that passed, by partition pruning on their epochs."""
+    passed = stream_outcomes(spark, lake).where("success").select(F.col("batch_id").alias("__epoch"))
+    frozen = spark.read.parquet(_paths(lake)["frozen"])
+    return frozen.join(passed, frozen["batch_id"] == passed["__epoch"], "left_semi")

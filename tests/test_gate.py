@@ -90,11 +90,18 @@ def test_samples_are_smallest_ids_per_failed_rule(spark):
     assert by_rule["u"] == [(1, 5)]
 
 
-def test_samples_plan_limits_before_the_shuffle(spark):
-    df = enriched_lines(spark, SF_CHECK)
-    plan = gate.offender_samples(df, rules.trips_suite(), ["fare_amount_between"])._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan
+def test_samples_keep_the_type_of_the_id(spark, lake):
+    from auditlane.sources.sinks import AlertSink
+
+    df = spark.createDataFrame([("a-1", -1.0), ("a-2", 1.0), ("a-2", -2.0), (None, -3.0)], "trip_id string, fare double")
+    suite = (Between("fare", "fare", min_value=0), Unique("u", "trip_id"))
+    got = sorted((r.rule_id, r.rank, r.row_id) for r in gate.offender_samples(df, suite).collect())
+    assert got == [("fare", 1, "a-1"), ("fare", 2, "a-2"), ("fare", 3, None), ("u", 1, "a-2")]
+    sink = AlertSink(lake)
+    with pytest.raises(gate.GateBlocked) as blocked:
+        gate.run_gate(df, suite, model="m", suite="s", alert_sink=sink)
+    assert [f["sample_trip_ids"] for f in blocked.value.payload["failures"]] == [["a-1", "a-2", None], ["a-2"]]
+    assert sink.last(spark)["failures"][1]["sample_trip_ids"] == ["a-2"]
 
 
 def test_run_gate_raises_with_payload_and_alerts(spark, lake):

@@ -57,7 +57,7 @@ def test_duplicate_dimension_key_fans_out(spark):
     t0 = dt.datetime(2025, 6, 1)
     raw = spark.createDataFrame([_trip(1, t0, t0, 1.0, 5.0)], RAW_TRIPS)
     zones = _zones(spark, ((1, "A", "x"), (1, "B", "y")))
-    assert enrich_trips(stage_trips(raw), zones, broadcast_zones=False).count() == 4
+    assert enrich_trips(stage_trips(raw), zones).count() == 4
 
 
 def test_enriched_schema_and_order(spark):
@@ -75,14 +75,6 @@ def test_missing_column_is_structural_drift_without_a_job(spark):
         stage_trips(raw)
 
 
-def test_zone_dimension_is_broadcast_only_when_bounded(spark):
-    plan = enriched_lines(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
-    from auditlane.operators.enrich import fits_broadcast
-
-    assert not fits_broadcast(b.table(spark, SF_SMALL, "lineitem"), row_limit=100)
-
-
 def test_derived_measures_hold_on_a_whole_table(spark):
     from pyspark.sql import functions as F
 
@@ -98,15 +90,30 @@ def test_derived_measures_hold_on_a_whole_table(spark):
     assert df.where(F.col("pickup_zone").isNull() | F.col("dropoff_zone").isNull()).count() == 0
 
 
-def test_salted_join_equals_broadcast_join(spark):
+def test_shuffled_join_of_a_hot_zone_equals_the_broadcast_join(spark):
     from pyspark.sql import functions as F
 
-    trips = stage_trips(b.line_trips(spark, SF_SMALL))
-    zones = stage_zones(b.nation_zones(spark, SF_SMALL, drop_region="ASIA"))
-    # a hot zone: a third of the trips share one pickup location, many as identical copies
-    hot = trips.withColumn("pickup_location_id",
-                           F.when(F.col("trip_id") % 3 == 0, F.lit(1)).otherwise(F.col("pickup_location_id")))
-    salted = enrich_trips(hot, zones, broadcast_zones=False)
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan or "__pickup_salt" in plan
-    assertDataFrameEqual(salted, enrich_trips(hot, zones, broadcast_zones=True))
+    def enriched(session):
+        trips = stage_trips(b.line_trips(session, SF_SMALL))
+        zones = stage_zones(b.nation_zones(session, SF_SMALL, drop_region="ASIA"))
+        # a third of the trips share one pickup location, many as identical copies
+        hot = F.when(F.col("trip_id") % 3 == 0, F.lit(1)).otherwise(F.col("pickup_location_id"))
+        return enrich_trips(trips.withColumn("pickup_location_id", hot), zones)
+
+    other = spark.newSession()
+    other.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    shuffled = enriched(other)
+    assert "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    left, right = (sorted(map(str, df.collect())) for df in (shuffled, enriched(spark)))
+    assert left == right
+
+
+def test_text_stands_for_null_in_typed_columns_only(spark):
+    from auditlane.operators.staging import NULL_TEXTS, TRIPS_CONTRACT
+
+    row = {src: "1" for src, _, _ in TRIPS_CONTRACT} | {"pickup_datetime": "2025-01-01 00:00:00", "dropoff_datetime": "NA"}
+    raw = spark.createDataFrame([row | {"fare_amount": t} for t in (*NULL_TEXTS, "2.5")], ", ".join(f"{c} string" for c in row))
+    got = stage_trips(raw).collect()
+    assert [r.fare_amount for r in got] == [None] * len(NULL_TEXTS) + [2.5] and got[0].dropoff_at is None
+    zone = stage_zones(spark.createDataFrame([("1", "", "NA")], "location_id string, borough string, zone string")).first()
+    assert (zone.location_id, zone.borough, zone.zone) == (1, "", "NA")

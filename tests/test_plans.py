@@ -6,10 +6,10 @@ import re
 
 from pyspark.sql import functions as F
 
-from auditlane.operators import faults, gate, rules
-from auditlane.operators.sampling import select_exact
+from auditlane.operators import datatests, faults, gate, rules
+from auditlane.operators.sampling import landed, select_exact
 from auditlane.plans import bindings as b
-from auditlane.plans import flow
+from auditlane.plans import flow, publish, registry
 from auditlane.plans.registry import enriched_lines, line_suite, order_suite
 
 from .conftest import SF_SMALL
@@ -43,23 +43,48 @@ def test_gate_reads_only_rule_columns(spark, lake):
                        "trip_duration_minutes"}
 
 
-def test_samples_limit_before_shuffle_and_push_filters(spark, lake):
+def test_samples_take_one_scan_and_limit_before_the_shuffle(spark, lake):
     df = _frozen(spark, lake)
-    plan = _plan(gate.offender_samples(df, rules.trips_suite(), ["fare_amount_between", "trip_id_unique"]))
-    assert plan.count("TakeOrderedAndProject") == 2
-    below_top_k = plan.split("TakeOrderedAndProject", 1)[1]
-    assert "Sort [" not in below_top_k  # violating rows are never sorted, only top-k'd
-    assert re.search(r"PushedFilters: \[[^\]]*fare_amount", plan)
+    every = [r.rule_id for r in rules.trips_suite()]
+    plan = _plan(gate.offender_samples(df, rules.trips_suite(), every))
+    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
+    rowwise = _plan(gate.offender_samples(df, rules.trips_suite(), [r for r in every if r != "trip_id_unique"]))
+    assert rowwise.count("FileScan") == 1 and rowwise.count("Exchange") == 1 and "WindowGroupLimit" in rowwise
 
 
 def test_selection_predicate_is_a_pure_filter(spark):
-    df = b.order_trips(spark, SF_SMALL)
+    df = landed(b.order_trips(spark, SF_SMALL))
     sel = select_exact(df, 10, key_cols=["trip_id"], seed=7)
     plan = _plan(df.where(sel.predicate))
-    assert "SinglePartition" not in plan and "Window" not in plan and "Sort " not in plan
+    assert "Exchange" not in plan and "Window" not in plan and "Sort " not in plan
 
 
-def test_enrichment_broadcasts_the_bounded_dimension(spark):
+def test_mart_tests_scan_the_fact_once_for_rows_and_once_for_keys(spark, lake):
+    df = _frozen(spark, lake)
+    dim = lake.read("raw", "zones", lake.write("raw", "zones", b.nation_zones(spark, SF_SMALL)).snapshot_id)
+    tables = {publish.ENRICHED_MODEL: df, publish.FACT_MART: df, publish.DIM_MART: dim}
+    own = [t for t in publish.MART_TESTS if t.model == publish.FACT_MART]
+    plan = _plan(datatests.run_data_tests(own, tables))
+    assert len(re.findall(r"FileScan parquet \[[^\]]*(?:trip_id|fare_amount)", plan)) == 2
+
+
+def test_building_the_enrichment_starts_no_counts(spark):
+    group = "build-enrichment"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        enriched_lines(spark, SF_SMALL)
+        # Reading six footers for their schemas is all.
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 6
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_shuffled_enrichment_broadcasts_nothing(spark):
+    plan = _plan(registry.q_enrich_shuffled(spark, SF_SMALL))
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 7
+
+
+def test_enrichment_broadcasts_the_small_dimension(spark):
     plan = _plan(enriched_lines(spark, SF_SMALL))
     assert plan.count("BroadcastHashJoin") >= 2
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan

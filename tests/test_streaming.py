@@ -38,3 +38,14 @@ def test_replayed_epoch_is_idempotent(spark, lake):
     handle(batch, 7)  # the same epoch again, as after a failure before the checkpoint commit
     assert stream_mart(spark, lake).count() == batch.count()
     assert [r.batch_id for r in stream_outcomes(spark, lake).collect()] == [7]
+
+
+def test_replayed_failing_epoch_leaves_one_alert(spark, lake):
+    from auditlane.streaming import batch_handler, stream_alerts
+
+    bad = faults.apply_fault(b.order_trips(spark, SF_SMALL), "null_flood")
+    handle = batch_handler(b.nation_zones(spark, SF_SMALL), lake=lake, suite=order_suite())
+    handle(bad, 3)
+    handle(bad, 3)
+    assert stream_alerts(spark, lake).count() == 1
+    assert stream_mart(spark, lake).count() == 0
