@@ -12,8 +12,8 @@ that conflict, until it finds the tightest compatible one, or opens a bin.  Bins
 are kept by the bitmap of their full sources, so that a search skips them together.  Pieces
 alike in size, cluster and source go through one sweep: a bin that conflicts with the first conflicts with all.
 
-Spark deals the documents by hash into groups of about `GROUP_WORDS` words and packs each group
-in one task; a bin never spans groups, which costs at most a few unfilled bins each.  Group size, and so memory and
+Spark deals the documents by hash into groups of about `GROUP_WORDS` words or `GROUP_ROWS` documents,
+whichever is less, and packs each group in one task; a bin never spans groups, which costs at most a few unfilled bins each.  Group size, and so memory and
 time of a task, don't grow with the input.  A hot source or cluster is spread over all groups.
 
 Defined cases: null and empty texts have no words and no piece; null sources are one source;
@@ -36,6 +36,7 @@ from auditlane.llm.common import Scratch, ascii_lower, word_count
 CAPACITY = 2_048
 PER_SOURCE = 4
 GROUP_WORDS = 8_000_000
+GROUP_ROWS = 40_000
 SEED = 31
 
 
@@ -132,8 +133,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE
     rows = scratch.write(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), word_count(text).alias("words"), F.col(source_col).cast("string").alias("source"),
         cluster.alias("cluster"), F.monotonically_increasing_id().alias("row")), "rows")
-    total = rows.agg(F.sum("words")).first()[0] or 0
-    groups = max(1, -(-total // group_words))
+    total = rows.agg(F.sum("words").alias("words"), F.count_if(F.col("words") > 0).alias("rows")).first()
+    groups = max(1, -(-(total["words"] or 0) // group_words), -(-total["rows"] // GROUP_ROWS))
     pieces = rows.where("words > 0").withColumn("group", F.pmod(F.xxhash64(F.lit(SEED), "row"), F.lit(groups)).cast("int"))
 
     def one_group(rows: pd.DataFrame) -> pd.DataFrame:
