@@ -12,7 +12,7 @@ from auditlane.llm.common import table
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = quality.held_out(F.col("doc_id"), 4, 2)
-    ranker = quality.learn(docs.where(~held), table(spark, sf_dir, "labels"))
+    ranker = quality.learn(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
     predicted = (F.col("score") >= quality.KEEP_SCORE).cast("int")
     return quality.score_documents(docs, ranker).select("doc_id", held.alias("held_out"), "score", predicted.alias("predicted"))
 
