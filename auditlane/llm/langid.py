@@ -38,8 +38,8 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 
-WIDTH = 2_048
-LEARN_ROWS = 1_800
+WIDTH = 1_024
+LEARN_ROWS = 1_200
 FRAGMENTS = 2
 FRAGMENT_WORDS = 6
 SEED = 53
@@ -148,7 +148,7 @@ def _fit_pair(x: np.ndarray, sign: np.ndarray, rounds: int = 30, cost: float = 1
 
 
 def fit(x: np.ndarray, langs: list[str]) -> Identifier:
-    """Learn both steps from vectors and their languages."""
+    """Learn both steps from vectors (a last column of ones may be there already) and their languages."""
     if not langs:
         return Identifier([], {}, np.zeros((WIDTH + 1, 0), dtype=np.float32))
     names = np.array(langs)
@@ -156,7 +156,7 @@ def fit(x: np.ndarray, langs: list[str]) -> Identifier:
     for lang in sorted(set(langs)):
         members.setdefault(family_of(lang), []).append(lang)
     families = sorted(members)
-    x = _with_bias(x)
+    x = x if x.shape[1] > WIDTH else _with_bias(x)
     y = np.array([families.index(family_of(lang)) for lang in langs])
     pairs = {}
     for group in members.values():
@@ -203,9 +203,9 @@ def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id",
 
     rows = chosen.mapInArrow(batches, "_id long, _lang string, x binary").collect()
     rows.sort(key=lambda r: (r["_id"], r["_lang"], bytes(r["x"])))
-    x = np.empty((len(rows), WIDTH), dtype=np.float32)
+    x = np.ones((len(rows), WIDTH + 1), dtype=np.float32)
     for k, r in enumerate(rows):
-        x[k] = np.frombuffer(r["x"], dtype=np.float32)
+        x[k, :WIDTH] = np.frombuffer(r["x"], dtype=np.float32)
     return fit(x, [r["_lang"] for r in rows])
 
 
