@@ -91,6 +91,8 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES, id_col: str = "
     several = rows.where("name is not null")
     groups = several.groupBy("level", "name").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "row")).alias("_last"))
+    # Written, so that the join below has plain shuffles on both sides and a large group can be split.
+    groups = scratch.write(groups, "groups")
     copies = several.join(groups, ["level", "name"]).select(
         "doc_id", F.col("_last.doc_id").alias("keep_id"), "group_size",
         (F.col("_last.row") == F.col("row")).alias("kept"), "text_sha256")
