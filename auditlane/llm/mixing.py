@@ -7,7 +7,9 @@
 2. Blocks.  A hash of the doc_id deals a source's documents into blocks of about
    `BLOCK_ROWS`.  A target of r times its source takes every block floor(r) times, and then
    blocks in an order permuted by hash until the next would pass the target.  Of that one,
-   the documents that fit are taken, largest first.  The blocks drawn are the source's quota.
+   the documents that fit are taken, largest first; what is then left goes on with the blocks behind
+   it in the same way, until no document fits.  Documents longer than what is left count for nothing
+   in a round.  The blocks drawn are the source's quota.
 3. Tree.  The quotas of all sources are split between the two halves of the output shards
    by a draw without replacement (multivariate hypergeometric: the count of each source
    is random, the sums are exact), and each half is split again, down to single shards.  A
@@ -136,6 +138,46 @@ def _fill(classes: Column, gap: Column) -> Column:
     return F.aggregate(F.sort_array(classes, asc=False), start, step, lambda s: s["out"])
 
 
+def _last_pass(scratch: Scratch, dealt: DataFrame, blocks: DataFrame, sources: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the pass that is not whole takes: (sid, block, limit, gap) and (sid, block, size, take).
+
+    Of a block without a gap, the documents up to `limit` are taken, of one with a gap those of `picks`.  A
+    round sums the blocks behind the last one with a gap, without documents that can't fit, and
+    fills one block a source.  What didn't fit there is longer than what is left, so the next
+    round leaves it and all longer ones out: in hash order, a few rounds.
+    """
+    ordered = Window.partitionBy("sid").orderBy("rank")
+    left = sources.select("sid", F.col("rest").alias("left"), F.lit(0).alias("after"))
+    drawn = picks = None
+    turn = 0
+    while turn == 0 or not left.isEmpty():
+        # Empty documents follow blocks of the first round, but are no reason to draw one later.
+        fitting = dealt.select("sid", "block", "size").join(left, "sid").where("size <= left and (size > 0 or after = 0)")
+        sums = fitting.groupBy("sid", "block").agg(F.sum("size").alias("words"))
+        part = scratch.write(
+            sums.join(blocks.select("sid", "block", "rank"), ["sid", "block"]).join(left, "sid").where("rank > after")
+            .withColumn("_before", F.sum("words").over(ordered) - F.col("words"))
+            .withColumn("full", F.col("_before") + F.col("words") <= F.col("left"))
+            .where("full or _before < left")
+            .select("sid", "block", "rank", F.col("left").alias("limit"), F.when(~F.col("full"), F.col("left") - F.col("_before")).alias("gap")),
+            f"drawn{turn}")
+        edge = part.where("gap is not null")
+        classes = dealt.join(edge.select("sid", "block", "gap"), ["sid", "block"]).where("size <= gap").groupBy(
+            "sid", "block", "size").agg(F.count(F.lit(1)).alias("count"), F.max("gap").alias("gap"))
+        filled = classes.groupBy("sid", "block").agg(F.collect_list(F.struct("size", "count")).alias("classes"), F.max("gap").alias("gap"))
+        some = scratch.write(filled.select("sid", "block", F.inline(_fill(F.col("classes"), F.col("gap")))), f"picks{turn}")
+        used = some.groupBy("sid").agg(F.sum(F.col("size") * F.col("take")).alias("used"))
+        rest = edge.join(used, "sid", "left").select(
+            "sid", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("left"), F.col("rank").alias("after"))
+        left = scratch.write(
+            rest.join(blocks.select("sid", "rank", "least"), "sid").where("rank > after and least <= left")
+            .select("sid", "left", "after").distinct(), f"left{turn}")
+        drawn = part if drawn is None else drawn.unionByName(part)
+        picks = some if picks is None else picks.unionByName(some)
+        turn += 1
+    return drawn, picks
+
+
 def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, shards: int = SHARDS,
              id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, text_key, size, source_size, target, taken, shards.
@@ -159,51 +201,47 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     dealt = dealt.withColumn("block", F.pmod(place, F.col("n_blocks")).cast("int")).drop("n_blocks")
 
-    # Blocks of the pass that is not whole, in permuted order, up to the one that would pass the target.
-    sums = dealt.groupBy("sid", "block").agg(F.sum("size").alias("words"))
     permuted = F.xxhash64(F.lit(SEED), "sid", "block")
     ordered = Window.partitionBy("sid").orderBy("_place", "block")
     blocks = scratch.write(
-        sums.join(sources.select("sid", "whole", "rest"), "sid")
+        dealt.groupBy("sid", "block").agg(F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least"))
+        .join(sources.select("sid", "whole"), "sid")
         .withColumn("_place", permuted)
         .withColumn("rank", F.row_number().over(ordered))
-        .withColumn("_before", F.sum("words").over(ordered) - F.col("words"))
-        .withColumn("full", F.col("_before") + F.col("words") <= F.col("rest"))
-        .withColumn("gap", F.when(~F.col("full") & (F.col("_before") < F.col("rest")), F.col("rest") - F.col("_before")))
-        .select("sid", "block", "whole", "rank", "full", "gap"), "blocks")
+        .drop("_place"), "blocks")
+    drawn, picks = _last_pass(scratch, dealt, blocks, sources)
 
     # A unit is one block in one pass; its number within the source follows pass and permutation.
     passes = F.explode(F.sequence(F.lit(0), F.col("whole"))).alias("turn")
     numbered = Window.partitionBy("sid").orderBy("turn", "rank")
     units = (
-        blocks.select("sid", "block", "whole", "rank", "full", "gap", passes)
-        .where((F.col("turn") < F.col("whole")) | F.col("full") | F.col("gap").isNotNull())
+        blocks.join(drawn.select("sid", "block", "limit", "gap"), ["sid", "block"], "left")
+        .select("sid", "block", "whole", "rank", "limit", "gap", passes)
+        .where((F.col("turn") < F.col("whole")) | F.col("limit").isNotNull())
         .withColumn("unit", F.row_number().over(numbered) - 1)
     )
-    units = scratch.write(units.select("sid", "block", "turn", F.col("unit").cast("long").alias("unit"), (F.col("turn") == F.col("whole")).alias("last"), "gap"), "units")
+    units = scratch.write(units.select("sid", "block", "turn", F.col("unit").cast("long").alias("unit"), (F.col("turn") == F.col("whole")).alias("last"), "limit", "gap"), "units")
     quotas = units.groupBy("sid").agg(F.count(F.lit(1)).alias("quota"))
     upto = Window.partitionBy("sid").orderBy("shard")
     leaves = split_quotas(quotas, shards).withColumn("_end", F.sum("quota").over(upto)).where("quota > 0")
     runs = leaves.select("sid", "shard", F.explode(F.sequence(F.col("_end") - F.col("quota"), F.col("_end") - 1)).alias("unit"))
     homes = units.join(runs, ["sid", "unit"]).groupBy("sid", "block").agg(
-        F.sort_array(F.collect_list(F.when(~F.col("last") | F.col("gap").isNull(), F.struct("turn", "shard")))).alias("sure"),
-        F.max(F.when(F.col("last"), F.col("gap"))).alias("gap"),
-        F.max(F.when(F.col("last") & F.col("gap").isNotNull(), F.struct("turn", "shard"))).alias("maybe"),
+        F.sort_array(F.collect_list(F.when(~F.col("last"), F.struct("turn", "shard")))).alias("sure"),
+        F.max(F.when(F.col("last"), F.struct("turn", "shard"))).alias("maybe"),
+        F.max("limit").alias("limit"),
+        F.max("gap").alias("gap"),
     )
     homes = scratch.write(homes, "homes")
     placed = dealt.join(homes, ["sid", "block"], "left")
 
-    # Of a block that fits in part, the documents that fit, largest first.
+    # Of a block that fits in part, the documents that were picked; of the others, all that count.
     edge = placed.where("gap is not null")
-    classes = edge.groupBy("sid", "size").agg(F.count(F.lit(1)).alias("count"), F.max("gap").alias("gap"))
-    picks = classes.groupBy("sid").agg(F.collect_list(F.struct("size", "count")).alias("classes"), F.max("gap").alias("gap"))
-    picks = picks.select("sid", F.inline(_fill(F.col("classes"), F.col("gap"))))
-    alike = Window.partitionBy("sid", "size").orderBy("doc_id", "text_key")
-    edge = edge.withColumn("_nth", F.row_number().over(alike)).join(picks, ["sid", "size"])
-    extra = F.when(F.col("_nth") <= F.col("take"), F.array("maybe"))
-    copies = F.coalesce(F.col("sure"), F.array().cast("array<struct<turn:int,shard:int>>"))
-    both = placed.where("gap is null").withColumn("copies", copies).select(*_PLAN).unionByName(
-        edge.withColumn("copies", F.when(extra.isNotNull(), F.concat(copies, extra)).otherwise(copies)).select(*_PLAN))
+    alike = Window.partitionBy("sid", "block", "size").orderBy("doc_id", "text_key")
+    edge = edge.withColumn("_nth", F.row_number().over(alike)).join(picks, ["sid", "block", "size"], "left")
+    sure = F.coalesce(F.col("sure"), F.array().cast("array<struct<turn:int,shard:int>>"))
+    copies = lambda more: F.when(more, F.concat(sure, F.array("maybe"))).otherwise(sure)
+    both = placed.where("gap is null").withColumn("copies", copies(F.col("size") <= F.col("limit"))).select(*_PLAN).unionByName(
+        edge.withColumn("copies", copies(F.col("_nth") <= F.col("take"))).select(*_PLAN))
     return both.select(
         "doc_id", "source", "text_key", "size", "source_size", "target",
         (F.col("size") * F.size("copies")).cast("long").alias("taken"),

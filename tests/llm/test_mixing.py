@@ -86,3 +86,23 @@ def test_awkward_documents(spark):
 def test_empty_table(spark):
     assert mixing.mix_plan(frame(spark, [])).collect() == []
     assert mixing.mix(frame(spark, [])).collect() == []
+
+
+def test_a_long_document_leaves_the_rest_to_others(spark):
+    # Two blocks; the first id puts the long one into the block that is drawn first, the other into the last.
+    for at in (1_000, 1_002):
+        data = [(k, "w " * 100, "en", "a") for k in range(600)] + [(at, "w " * 100_000, "en", "a")]
+        plan = mixing.mix_plan(frame(spark, data), share=0.5).collect()
+        assert sum(r.taken for r in plan) == 60_000 and all(len(r.shards) == (r.doc_id < 600) for r in plan)
+
+
+def test_no_document_fits_into_what_is_left(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 8)
+    for seed in (1, 3):
+        sizes = {k: 1 + 3 ** ((k * 7919 + seed) % 9) for k in range(300)}
+        data = [(k, "w " * n, "en", "ab"[k % 2]) for k, n in sizes.items()]
+        plan = mixing.mix_plan(frame(spark, data), share=0.35 + seed / 10, cap=0.9).collect()
+        for source in "ab":
+            mine = [r for r in plan if r.source == source]
+            left = mine[0].target - sum(r.taken for r in mine)
+            assert left >= 0 and all(r["size"] > left for r in mine if not r.shards)
