@@ -6,9 +6,10 @@ apart; inside a family, one linear support vector machine for each pair of langu
 (ties go to the larger sum of margins).  `FAMILIES` says which languages are related; one
 that it doesn't list is a family by itself.
 
-Learning takes at most `LEARN_ROWS` labelled documents in all, an equal share of each
-language, those with the smallest hashes of the doc_id, each whole and as `FRAGMENTS` short
-pieces (so that a title is judged as well as a book).  Everything else covers every row and whole
+Learning takes at most `LEARN_ROWS` labelled documents of each language, those with the
+smallest hashes of the doc_id, each whole and as `FRAGMENTS` short pieces (so that a title is
+judged as well as a book).  The driver holds them as columns and values of what isn't zero, and fits
+from these; `WIDTH` columns are made only for a batch.  Everything else covers every row and whole
 texts, in Arrow batches without a shuffle; the model sent along has a fixed size for each language.
 
 Defined cases: text null or without a letter: `und`, score 0; nothing learned: the same for
@@ -38,8 +39,8 @@ FAMILIES = {
 }
 UNDETERMINED = "und"
 
-WIDTH = 1_024
-LEARN_ROWS = 1_200
+WIDTH = 16_384
+LEARN_ROWS = 600
 FRAGMENTS = 2
 FRAGMENT_WORDS = 6
 SEED = 53
@@ -119,27 +120,57 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def _fit_families(x: np.ndarray, y: np.ndarray, classes: int, steps: int = 300, rate: float = 20.0, ridge: float = 1e-5) -> np.ndarray:
-    """Softmax weights by gradient steps, classes weighted alike."""
-    weights = np.zeros((x.shape[1], classes), dtype=np.float32)
-    goal = np.eye(classes, dtype=np.float32)[y]
-    share = (1.0 / np.maximum(1, np.bincount(y, minlength=classes)) / classes)[y][:, None].astype(np.float32)
-    for _ in range(steps):
-        weights -= rate * (x.T @ ((_softmax(x @ weights) - goal) * share) + ridge * weights)
-    return weights
+@dataclass(frozen=True)
+class Sparse:
+    """Rows as (columns, values) of what isn't zero."""
+
+    rows: list[tuple[np.ndarray, np.ndarray]]
+    width: int
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> Sparse:
+        return cls([(at, row[at]) for row in x for at in [np.flatnonzero(row)]], x.shape[1])
 
+    def dense(self, which: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(which), self.width), dtype=np.float32)
+        for k, i in enumerate(which):
+            at, value = self.rows[i]
+            out[k, at] = value
+        return out
 
-def _fit_pair(x: np.ndarray, sign: np.ndarray, rounds: int = 30, cost: float = 10.0) -> np.ndarray:
+
+def _fit_families(x: Sparse, y: np.ndarray, classes: int, steps: int = 600, rate: float = 20.0, ridge: float = 1e-5) -> np.ndarray:
+    """Softmax weights by gradient steps on batches of rows, classes weighted alike; the mean of the second half."""
+    draw = np.random.default_rng(SEED)
+    weights = np.zeros((x.width, classes), dtype=np.float32)
+    mean = np.zeros_like(weights)
+    goal = np.eye(classes, dtype=np.float32)[y]
+    share = (len(y) / np.maximum(1, np.bincount(y, minlength=classes)) / classes)[y][:, None].astype(np.float32)
+    order = np.zeros(0, dtype=np.int64)
+    for step in range(steps if classes > 1 else 0):
+        if not len(order):
+            order = draw.permutation(len(y))
+        some, order = order[:256], order[256:]
+        part = x.dense(some)
+        weights -= rate * (part.T @ ((_softmax(part @ weights) - goal[some]) * share[some] / len(some)) + ridge * weights)
+        if step >= steps // 2:
+            mean += weights / (steps - steps // 2)
+    return mean
+
+
+def _fit_pair(x: np.ndarray | Sparse, sign: np.ndarray, rounds: int = 30, cost: float = 10.0) -> np.ndarray:
     """A linear support vector machine, by dual coordinate descent on the hinge loss."""
     draw = np.random.default_rng(SEED)
-    weights, alpha = np.zeros(x.shape[1], dtype=np.float64), np.zeros(len(x))
-    norms = np.einsum("ij,ij->i", x, x).astype(np.float64)
+    x = x if isinstance(x, Sparse) else Sparse.of(x)
+    weights, alpha = np.zeros(x.width, dtype=np.float64), np.zeros(len(x.rows))
+    norms = np.array([float(value @ value) for _, value in x.rows])
     for _ in range(rounds):
         moved = 0.0
-        for i in draw.permutation(len(x)):
-            new = min(cost, max(0.0, alpha[i] - (sign[i] * (x[i] @ weights) - 1.0) / norms[i]))
+        for i in draw.permutation(len(x.rows)):
+            at, value = x.rows[i]
+            new = min(cost, max(0.0, alpha[i] - (sign[i] * (value @ weights[at]) - 1.0) / norms[i]))
             if new != alpha[i]:
-                weights += (new - alpha[i]) * sign[i] * x[i]
+                weights[at] += (new - alpha[i]) * sign[i] * value
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
         if moved < 1e-3:
@@ -147,8 +178,8 @@ def _fit_pair(x: np.ndarray, sign: np.ndarray, rounds: int = 30, cost: float = 1
     return weights.astype(np.float32)
 
 
-def fit(x: np.ndarray, langs: list[str]) -> Identifier:
-    """Learn both steps from vectors (a last column of ones may be there already) and their languages."""
+def fit(x: np.ndarray | Sparse, langs: list[str]) -> Identifier:
+    """Learn both steps from vectors (sparse ones with a last column of ones) and their languages."""
     if not langs:
         return Identifier([], {}, np.zeros((WIDTH + 1, 0), dtype=np.float32))
     names = np.array(langs)
@@ -156,13 +187,13 @@ def fit(x: np.ndarray, langs: list[str]) -> Identifier:
     for lang in sorted(set(langs)):
         members.setdefault(family_of(lang), []).append(lang)
     families = sorted(members)
-    x = x if x.shape[1] > WIDTH else _with_bias(x)
+    x = x if isinstance(x, Sparse) else Sparse.of(_with_bias(x))
     y = np.array([families.index(family_of(lang)) for lang in langs])
     pairs = {}
     for group in members.values():
         for a, b in combinations(group, 2):
             rows = np.flatnonzero((names == a) | (names == b))
-            pairs[a, b] = _fit_pair(x[rows], np.where(names[rows] == a, 1.0, -1.0))
+            pairs[a, b] = _fit_pair(Sparse([x.rows[i] for i in rows], x.width), np.where(names[rows] == a, 1.0, -1.0))
     return Identifier(families, members, _fit_families(x, y, len(families)), pairs)
 
 
@@ -179,34 +210,38 @@ def _pieces(text: str, seed: int) -> list[str]:
 
 def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang") -> Identifier:
-    """Fit an `Identifier` on at most `learn_rows` documents with a language."""
+    """Fit an `Identifier` on at most `learn_rows` documents of each language."""
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.xxhash64(F.lit(SEED), F.col(id_col)).alias("_place"),
                         F.col(text_col).alias("_text")).where("_lang is not null and _lang != '' and _id is not null and _text is not null")
     langs = sorted(r["_lang"] for r in known.select("_lang").distinct().collect())
     picked = None
     for lang in langs:
-        part = known.where(F.col("_lang") == lang).select("_id", "_lang", "_place").orderBy("_place", "_id").limit(max(1, learn_rows // len(langs)))
+        part = known.where(F.col("_lang") == lang).select("_id", "_lang", "_place").orderBy("_place", "_id").limit(learn_rows)
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
-        return fit(np.zeros((0, WIDTH), dtype=np.float32), [])
-    # At most learn_rows ids: bounded by a parameter, so broadcast.
+        return fit(Sparse([], WIDTH + 1), [])
+    # At most learn_rows ids a language: bounded by a parameter, so broadcast.
     chosen = known.join(F.broadcast(picked.select("_id").distinct()), "_id").select("_id", "_lang", "_text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = [(i, lang, vector(p)) for i, lang, text in zip(*(c.to_pylist() for c in part.columns)) for p in _pieces(text, i)]
+            rows = [(i, lang, at, x[at]) for i, lang, text in zip(*(c.to_pylist() for c in part.columns))
+                    for p in _pieces(text, i) for x in [vector(p)] for at in [np.flatnonzero(x)]]
             yield pa.RecordBatch.from_pydict({
                 "_id": pa.array([r[0] for r in rows], type=pa.int64()),
                 "_lang": pa.array([r[1] for r in rows], type=pa.string()),
-                "x": pa.array([r[2].tobytes() for r in rows], type=pa.binary()),
+                "at": pa.array([r[2].astype(np.uint16).tobytes() for r in rows], type=pa.binary()),
+                "value": pa.array([r[3].tobytes() for r in rows], type=pa.binary()),
             })
 
-    rows = chosen.mapInArrow(batches, "_id long, _lang string, x binary").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_lang"], bytes(r["x"])))
-    x = np.ones((len(rows), WIDTH + 1), dtype=np.float32)
-    for k, r in enumerate(rows):
-        x[k, :WIDTH] = np.frombuffer(r["x"], dtype=np.float32)
-    return fit(x, [r["_lang"] for r in rows])
+    rows = chosen.mapInArrow(batches, "_id long, _lang string, at binary, value binary").collect()
+    rows.sort(key=lambda r: (r["_id"], r["_lang"], bytes(r["at"]), bytes(r["value"])))
+    one = np.ones(1, dtype=np.float32)
+    x = [(np.append(np.frombuffer(r["at"], dtype=np.uint16), np.uint16(WIDTH)), np.append(np.frombuffer(r["value"], dtype=np.float32), one))
+         for r in rows]
+    langs = [r["_lang"] for r in rows]
+    del rows
+    return fit(Sparse(x, WIDTH + 1), langs)
 
 
 def identify(docs: DataFrame, model: Identifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -55,3 +57,13 @@ def test_nothing_learned_one_language_and_empty_table(spark):
     one = frame(spark, [(1, "some words", "en", "a"), (2, "mehr", None, "a")])
     assert {r.lang_pred for r in langid.identify(one, langid.learn(one)).collect()} == {"en"}
     assert langid.identify(frame(spark, []), langid.learn(one)).collect() == []
+
+
+def test_features_are_wide_and_the_sample_is_bounded_per_language(spark, monkeypatch):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    assert np.count_nonzero(langid.vector(" ".join(a + b + c for a in letters for b in letters for c in letters))) > 4_000
+    monkeypatch.setattr(langid, "FRAGMENTS", 0)
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append(Counter(langs)))
+    langid.learn(frame(spark, [(k, f"words {k}", f"l{k % 12}", "a") for k in range(12 * 130)]))
+    assert seen == [Counter({f"l{k}": 130 for k in range(12)})]
