@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the docs of the next.  All but the last return the columns of documents.
 
-1. language_id  documents whose language cannot be told (no text, no letter) go
+1. language_id  documents whose language cannot be told (no text, no letter, a score under langid.LEAST_SCORE) go
 2. exact_dedup  of equal texts the one with the largest doc_id stays
 3. near_dedup   of SimHash components the one with the smallest doc_id stays
 4. mixing       sources are drawn to their target weights, by whole documents and copies

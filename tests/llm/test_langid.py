@@ -67,3 +67,12 @@ def test_features_are_wide_and_the_sample_is_bounded_per_language(spark, monkeyp
     monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append(Counter(langs)))
     langid.learn(frame(spark, [(k, f"words {k}", f"l{k % 12}", "a") for k in range(12 * 130)]))
     assert seen == [Counter({f"l{k}": 130 for k in range(12)})]
+
+
+def test_unsure_documents_go_and_nothing_learned_keeps_letters(spark):
+    docs = frame(spark, [(1, "some words", None, "a"), (2, "more", "", "a"), (3, "12 - 34", None, "a")])
+    assert sorted(r.doc_id for r in langid.keep_identified(docs, langid.learn(docs)).collect()) == [1, 2]
+    none = np.zeros(langid.WIDTH + 1, dtype=np.float32)
+    unsure = langid.Identifier(["germanic", "romance"], {"germanic": ["de", "en"], "romance": ["es", "fr"]}, np.stack([none, none], axis=1),
+                               {("de", "en"): none, ("es", "fr"): none})
+    assert langid.keep_identified(docs, unsure).collect() == []
