@@ -93,9 +93,9 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ve
     return q[best], v[best], score[best], len(order)
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
-    """(id, vector as doubles) of the rows that take part, and their dimension."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+def usable(vectors: DataFrame, is_query: Column, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """(id, vector as doubles, whether it is a query) of the rows that take part, and their dimension."""
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"), is_query.alias("asked"))
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     whole = rows.where(F.col("id").isNotNull() & F.forall("v", fine) & F.exists("v", lambda x: x != 0))
     lengths = whole.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
@@ -125,13 +125,12 @@ def pack(rows: DataFrame, dim: int, block_rows: int) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
             bound: float = BOUND) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine): the k nearest found for each query row."""
-    rows, dim = usable(vectors, id_col, vector_col)
+    rows, dim = usable(vectors, is_query, id_col, vector_col)
     if not dim:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     scratch = Scratch(vectors.sparkSession, "ann")
-    index = scratch.write(pack(rows, dim, BLOCK_ROWS), "index")
-    asked, _ = usable(vectors.where(is_query), id_col, vector_col)
-    asked = asked.where(F.size("v") == dim).groupBy("id").agg(F.min("v").alias("v"))
+    index = scratch.write(pack(rows.select("id", "v"), dim, BLOCK_ROWS), "index")
+    asked = rows.where("asked").groupBy("id").agg(F.min("v").alias("v"))
     queries = scratch.write(pack(asked, dim, QUERY_BLOCK_ROWS), "queries")
     queries = queries.select(F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
     turn, wide = rotation(dim), -(-dim // 8)

@@ -77,3 +77,10 @@ def test_awkward_vectors(spark, monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert ann.nearest(df, F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_queries_of_the_main_length_stay_where_most_queries_have_another(spark):
+    data = [(k, [1.0, float(k)]) for k in range(1, 10)] + [(k, [1.0, 2.0, 3.0]) for k in (50, 100, 150)] + [(200, [1.0, 0.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = ann.nearest(df, F.col("vec_id") % 50 == 0, k=2).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(200, 1), (200, 2)]
