@@ -14,7 +14,7 @@ texts, in Arrow batches without a shuffle; the model sent along has a fixed size
 
 Defined cases: text null or without a letter: `und`, score 0; nothing learned: the same for
 all; one language learned: that language; null or empty `lang`: never learned from; rows
-that repeat are predicted alike; an empty table gives an empty result; extra columns are ignored.
+that repeat are predicted alike, and an id is learned from once (the smallest language, then text hash); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Related languages, by ISO 639-1 code.
@@ -213,30 +213,31 @@ def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id",
           lang_col: str = "lang") -> Identifier:
     """Fit an `Identifier` on at most `learn_rows` documents of each language."""
     known = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.xxhash64(F.lit(SEED), F.col(id_col)).alias("_place"),
-                        F.col(text_col).alias("_text")).where("_lang is not null and _lang != '' and _id is not null and _text is not null")
-    langs = sorted(r["_lang"] for r in known.select("_lang").distinct().collect())
-    picked = None
-    for lang in langs:
-        part = known.where(F.col("_lang") == lang).select("_id", "_lang", "_place").orderBy("_place", "_id").limit(learn_rows)
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
-        return fit(Sparse([], WIDTH + 1), [])
+                        F.xxhash64(text_col).alias("_print"), F.col(text_col).alias("_text")).where("_lang is not null and _lang != '' and _id is not null and _text is not null")
+    # One row for each id, before the limit: a repeated id takes one place.
+    alone = known.groupBy("_id", "_place").agg(F.min(F.struct("_lang", "_print")).alias("_one")).select("_id", "_place", "_one.*")
+    ranked = Window.partitionBy("_lang").orderBy("_place", "_id")
+    picked = alone.withColumn("_nth", F.row_number().over(ranked)).where(F.col("_nth") <= learn_rows).select("_id", "_lang", "_print")
     # At most learn_rows ids a language: bounded by a parameter, so broadcast.
-    chosen = known.join(F.broadcast(picked.select("_id").distinct()), "_id").select("_id", "_lang", "_text")
+    chosen = known.join(F.broadcast(picked), ["_id", "_lang", "_print"]).select("_id", "_lang", "_text")
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # rows of one id are alike here
         for part in parts:
-            rows = [(i, lang, at, x[at]) for i, lang, text in zip(*(c.to_pylist() for c in part.columns))
-                    for p in _pieces(text, i) for x in [vector(p)] for at in [np.flatnonzero(x)]]
+            new = [r for r in zip(*(c.to_pylist() for c in part.columns)) if not (r[0] in seen or seen.add(r[0]))]
+            rows = [(i, lang, k, at, x[at]) for i, lang, text in new
+                    for k, p in enumerate(_pieces(text, i)) for x in [vector(p)] for at in [np.flatnonzero(x)]]
             yield pa.RecordBatch.from_pydict({
                 "_id": pa.array([r[0] for r in rows], type=pa.int64()),
                 "_lang": pa.array([r[1] for r in rows], type=pa.string()),
-                "at": pa.array([r[2].astype(np.uint16).tobytes() for r in rows], type=pa.binary()),
-                "value": pa.array([r[3].tobytes() for r in rows], type=pa.binary()),
+                "piece": pa.array([r[2] for r in rows], type=pa.int32()),
+                "at": pa.array([r[3].astype(np.uint16).tobytes() for r in rows], type=pa.binary()),
+                "value": pa.array([r[4].tobytes() for r in rows], type=pa.binary()),
             })
 
-    rows = chosen.mapInArrow(batches, "_id long, _lang string, at binary, value binary").collect()
-    rows.sort(key=lambda r: (r["_id"], r["_lang"], bytes(r["at"]), bytes(r["value"])))
+    made = chosen.mapInArrow(batches, "_id long, _lang string, piece int, at binary, value binary")
+    rows = made.dropDuplicates(["_id", "piece"]).collect()
+    rows.sort(key=lambda r: (r["_id"], r["piece"]))
     one = np.ones(1, dtype=np.float32)
     x = [(np.append(np.frombuffer(r["at"], dtype=np.uint16), np.uint16(WIDTH)), np.append(np.frombuffer(r["value"], dtype=np.float32), one))
          for r in rows]

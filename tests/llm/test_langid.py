@@ -76,3 +76,13 @@ def test_unsure_documents_go_and_nothing_learned_keeps_letters(spark):
     unsure = langid.Identifier(["germanic", "romance"], {"germanic": ["de", "en"], "romance": ["es", "fr"]}, np.stack([none, none], axis=1),
                                {("de", "en"): none, ("es", "fr"): none})
     assert langid.keep_identified(docs, unsure).collect() == []
+
+
+def test_a_repeated_id_is_learned_from_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "FRAGMENTS", 0)
+    monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append(Counter(langs)))
+    data = [(k, f"words {k}", "en", "a") for k in range(20)] + [(5, f"more {k % 2}", "en", "a") for k in range(60)] + [(99, "mehr", "de", "a")]
+    for limit in (30, 10):
+        langid.learn(frame(spark, data), learn_rows=limit)
+    assert seen == [Counter(en=20, de=1), Counter(en=10, de=1)]
