@@ -10,7 +10,7 @@ buckets of a bounded mean size, bucket counts give each bucket its first slot, a
 bucket is sorted.
 
 Defined cases: a null key is a key like any other; rows that repeat a key share its shard
-and get slots of their own (a salt spreads them over buckets); a null or empty text has no
+and get slots of their own (a salt deals them over all buckets of the shard); a null or empty text has no
 bytes; an empty table gives an empty result.
 """
 
@@ -30,7 +30,6 @@ SHIFT = np.uint64(33)
 DEFAULT_SHARDS = 24
 ROW_OVERHEAD_BYTES = 8
 BUCKET_ROWS = 65_536
-SALTS = 64
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -61,16 +60,17 @@ def shard_of(key: Column, shards: int) -> Column:
     return assign(F.xxhash64(key.cast("string")))
 
 
-def number_slots(scratch: Scratch, rows: DataFrame, shard: str, order: list[str], total: int,
-                 shards: int) -> DataFrame:
+def number_slots(scratch: Scratch, rows: DataFrame, shard: str, order: list[str], shards: int) -> DataFrame:
     """Add `slot`: 0, 1, 2, ... without gaps inside each shard.
 
     `rows` is written once first, so that counts and numbers come from the same rows even if
     an executor is lost between the two passes.
     """
-    buckets = max(1, -(-total // (shards * BUCKET_ROWS)))
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)) if buckets > 1 else F.lit(0)
-    bucket = F.pmod(F.xxhash64(*order, salt), F.lit(buckets)).cast("int")
+    counts = {r[shard]: r["n"] for r in rows.groupBy(shard).agg(F.count(F.lit(1)).alias("n")).collect()}
+    buckets = F.element_at(F.lit([max(1, -(-counts.get(k, 0) // BUCKET_ROWS)) for k in range(shards)]), F.col(shard) + 1)
+    # As many salts as buckets, added to the hash: rows of one key go round all buckets of their shard.
+    salt = F.pmod(F.monotonically_increasing_id(), buckets)
+    bucket = F.pmod(F.pmod(F.xxhash64(*order), buckets) + salt, buckets).cast("int")
     placed = scratch.write(rows.withColumn("_bucket", bucket), "placed")
     in_order = Window.partitionBy(shard).orderBy("_bucket")
     firsts = (
@@ -102,7 +102,7 @@ def shard_documents(docs: DataFrame, shards: int = DEFAULT_SHARDS, id_col: str =
     rows = rows.withColumn("shard", shard_of(F.col("doc_id"), shards)).withColumn(
         "grown_shard", shard_of(F.col("doc_id"), shards + 1))
     scratch = Scratch(docs.sparkSession, "shards")
-    return number_slots(scratch, rows, "shard", ["doc_id", "text_crc32"], docs.count(), shards)
+    return number_slots(scratch, rows, "shard", ["doc_id", "text_crc32"], shards)
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = DEFAULT_SHARDS, key_col: str = "doc_id") -> None:

@@ -58,3 +58,12 @@ def test_empty_table_and_files(spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 50 and {r.shard for r in back.collect()} <= {0, 1, 2, 3}
+
+
+def test_a_repeated_key_is_dealt_over_all_buckets_of_its_shard(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 10)
+    placed, write = [], sharding.Scratch.write
+    monkeypatch.setattr(sharding.Scratch, "write", lambda self, df, name: placed.append(write(self, df, name)) or placed[-1])
+    got = sharding.shard_documents(frame(spark, [(7, "same", "en", "a")] * 3_000), shards=2).collect()
+    assert sorted(r.slot for r in got) == list(range(3_000))
+    assert max(r["count"] for r in placed[0].groupBy("shard", "_bucket").count().collect()) <= 40
