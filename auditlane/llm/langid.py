@@ -217,6 +217,10 @@ def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id",
     # One row for each id, before the limit: a repeated id takes one place.
     alone = known.groupBy("_id", "_place").agg(F.min(F.struct("_lang", "_print")).alias("_one")).select("_id", "_place", "_one.*")
     ranked = Window.partitionBy("_lang").orderBy("_place", "_id")
+    # Hashes are even, so the smallest learn_rows lie far below the share that holds twice as many (and 100): few rows meet in a window.
+    sizes = alone.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    low = F.lit(-(2.0**63)) + F.lit(2.0**64 * (2 * learn_rows + 100)) / F.col("_n")
+    alone = alone.join(F.broadcast(sizes), "_lang").where(F.col("_place").cast("double") <= low)  # one row a language
     picked = alone.withColumn("_nth", F.row_number().over(ranked)).where(F.col("_nth") <= learn_rows).select("_id", "_lang", "_print")
     # At most learn_rows ids a language: bounded by a parameter, so broadcast.
     chosen = known.join(F.broadcast(picked), ["_id", "_lang", "_print"]).select("_id", "_lang", "_text")

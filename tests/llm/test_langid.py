@@ -86,3 +86,18 @@ def test_a_repeated_id_is_learned_from_once(spark, monkeypatch):
     for limit in (30, 10):
         langid.learn(frame(spark, data), learn_rows=limit)
     assert seen == [Counter(en=20, de=1), Counter(en=10, de=1)]
+
+
+def test_the_sample_is_the_smallest_hashes_of_each_language(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "FRAGMENTS", 0)
+    monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append((x.rows, langs)))
+    docs = frame(spark, [(k, "w" * (1 + k), "en" if k % 3 else "de", "a") for k in range(900)])
+    langid.learn(docs, learn_rows=20)
+    place = F.xxhash64(F.lit(langid.SEED), "doc_id")
+    want = {r.doc_id for lang in ("de", "en") for r in docs.where(F.col("lang") == lang).orderBy(place).limit(20).collect()}
+    monkeypatch.undo()
+    got = seen[0][0]
+    assert len(got) == 40 and sorted(seen[0][1]) == ["de"] * 20 + ["en"] * 20
+    for (at, value), k in zip(got, sorted(want)):
+        assert np.allclose(langid.Sparse([(at, value)], langid.WIDTH + 1).dense(np.array([0]))[0, :-1], langid.vector("w" * (1 + k)))
