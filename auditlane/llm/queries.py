@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, langid, mixing, packing, quality, sharding, simhash, substring, tokenfile
+from auditlane.llm import ann, exact, infill, langid, mixing, packing, quality, sharding, simhash, substring, tokenfile
 from auditlane.llm.common import table
 
 
@@ -63,6 +63,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
+    return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -74,6 +80,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_infill": op12_infill,
 }
 
 ORACLE = {
@@ -104,5 +111,28 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
 WINDOW same AS (PARTITION BY body)
+""",
+    "op12_infill": """
+WITH cut AS (
+    SELECT doc_id, coalesce(text, '') AS body, sha256('42:' || doc_id) AS h,
+           regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units
+    FROM documents
+), drawn AS (
+    SELECT *, len(units) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(units) + 1) AS a, CAST('0x' || h[9:16] AS BIGINT) % (len(units) + 1) AS b,
+           CAST('0x' || h[17:24] AS BIGINT) % 100 AS c, CAST('0x' || h[25:32] AS BIGINT) % 100 AS d
+    FROM cut
+), pieces AS (
+    SELECT doc_id, n, body, array_to_string(units[1:least(a, b)], '') AS prefix, array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+           array_to_string(units[greatest(a, b) + 1:n], '') AS suffix,
+           CASE WHEN body = '' OR contains(body, '<P>') OR contains(body, '<S>') OR contains(body, '<M>') OR c >= 50 THEN 'plain'
+                WHEN d < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN body WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(body) AS restored_sha256
+FROM pieces
 """,
 }
