@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, infill, langid, mixing, packing, quality, sharding, simhash, substring, tokenfile
-from auditlane.llm.common import table
+from auditlane.llm import ann, exact, infill, langid, mixing, packing, pii, quality, sharding, simhash, substring, tokenfile
+from auditlane.llm.common import Scratch, table
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +69,13 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), Scratch(spark, "pii"))
+    return found.select(
+        "doc_id", *[pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -81,6 +88,7 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op12_infill": op12_infill,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE = {
