@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auditlane.llm import ann, exact, infill, langid, mixing, packing, pii, quality, sharding, simhash, substring, tokenfile
+from auditlane.llm import ann, exact, infill, langid, lexical, mixing, packing, pii, quality, sharding, simhash, substring, tokenfile
 from auditlane.llm.common import Scratch, table
 
 
@@ -63,6 +63,12 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "lexical")
+    index = lexical.build_index(table(spark, sf_dir, "documents"), scratch)
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), scratch)
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = infill.restore(infill.transform(table(spark, sf_dir, "documents")))
     return done.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_lexical_search": op11_lexical_search,
     "op12_infill": op12_infill,
     "op13_personal_data": op13_personal_data,
 }
@@ -119,6 +126,30 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
 WINDOW same AS (PARTITION BY body)
+""",
+    "op11_lexical_search": """
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS r,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS terms
+    FROM documents
+), items AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
+    FROM benchmark
+), total AS (SELECT count(*) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM docs WHERE len(terms) > 0
+), tf AS (SELECT r, any_value(doc_id) AS doc_id, term, any_value(n) AS n, count(*) AS tf
+          FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY r, term
+), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term
+), weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, total
+), scored AS (
+    SELECT item_id, r, any_value(doc_id) AS doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * N) // L))))) AS BIGINT) AS score
+    FROM items JOIN tf USING (term) JOIN weight USING (term), total GROUP BY item_id, r
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
 """,
     "op12_infill": """
 WITH cut AS (
