@@ -136,14 +136,14 @@ WITH docs AS (
     SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                        '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term
     FROM benchmark
-), total AS (SELECT count(*) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM docs WHERE len(terms) > 0
+), total AS (SELECT count(*) AS all_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM docs WHERE len(terms) > 0
 ), tf AS (SELECT r, any_value(doc_id) AS doc_id, term, any_value(n) AS n, count(*) AS tf
           FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM items) GROUP BY r, term
 ), df AS (SELECT term, count(*) AS df FROM tf GROUP BY term
-), weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * N + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, total
+), weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * all_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w FROM df, total
 ), scored AS (
     SELECT item_id, r, any_value(doc_id) AS doc_id,
-           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * N) // L))))) AS BIGINT) AS score
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms))))) AS BIGINT) AS score
     FROM items JOIN tf USING (term) JOIN weight USING (term), total GROUP BY item_id, r
 ), ranked AS (
     SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
