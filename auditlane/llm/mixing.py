@@ -12,16 +12,18 @@
    in a round.  The blocks drawn are the source's quota.
 3. Tree.  The quotas of all sources are split between the two halves of the output shards
    by a draw without replacement (multivariate hypergeometric: the count of each source
-   is random, the sums are exact), and each half is split again, down to single shards.  A
+   is random, the sums are exact), and each half is split again, down to single shards; for groups of
+   `GROUP` sources first, then for the sources of each group.  A
    shard takes disjoint runs of each source's permuted blocks.
 4. Local shuffle.  Inside a shard, copies are ordered by a hash of copy and document.
 
-DataFrame operations only.  What is ever gathered in one row is a list of one integer per
-source, and of one (size, count) per distinct size in one block; a source of a third of all rows is
+DataFrame operations only.  What is ever gathered in one row is a list of one integer for each of
+`GROUP` sources or of all groups, and of one (size, count) per distinct size in one block; a source of a third of all rows is
 summed per block before any window.  Every draw is a hash of fixed seeds, so reruns agree.
 
 Defined cases: null source: a source of its own; null or empty text: size 0, takes no words
-(its copies follow its block); rows that repeat a doc_id share a block; an empty table
+(its copies follow its block in whole passes and in the last one, if its source has words left to take there:
+never more than the cap); rows that repeat a doc_id share a block; an empty table
 gives an empty result; extra columns are kept by `mix` and ignored by `mix_plan`.
 """
 
@@ -40,6 +42,7 @@ CAP = 2.0
 SHARDS = 16
 BLOCK_ROWS = 512
 MAX_BLOCKS = 65_536
+GROUP = 512
 SEED = 20_240
 
 
@@ -86,29 +89,27 @@ def _draw(total: Column, left: Column, marked: Column, *where: Column) -> Column
     return F.aggregate(F.sequence(F.lit(0).cast("long"), marked), start, step, lambda s: s["count"])
 
 
-def split_quotas(quotas: DataFrame, shards: int) -> DataFrame:
-    """(sid, quota) -> (sid, shard, quota): rows sum to the quotas, shards differ by at most 1."""
-    entry = F.struct(F.col("sid"), F.col("quota"))
-    nodes = quotas.agg(F.array_sort(F.collect_list(entry)).alias("quotas"), F.sum("quota").alias("units")).select(
-        F.lit(0).alias("lo"), F.lit(shards).alias("hi"), "units", "quotas")
+_QUOTAS = "array<struct<sid:int,quota:bigint>>"
+
 
-    def capacity(lo: Column, hi: Column) -> Column:
-        share = lambda k: F.floor(k.cast("long") * F.col("units") / F.lit(shards))
-        return (share(hi) - share(lo)).cast("long")
+def _split(nodes: DataFrame, shards: int, level: str) -> DataFrame:
+    """(key, quotas, rooms) -> (key, shard, sid, quota): each row's quotas split so that shard k gets `rooms[k]` units."""
+    nodes = nodes.select("key", "rooms", F.lit(0).alias("lo"), F.lit(shards).alias("hi"), F.col("quotas").cast(_QUOTAS).alias("quotas"))
 
     def deal(state: Column, x: Column) -> Column:
-        got = _draw(state["total"], state["left"], x["quota"], F.col("lo"), F.col("hi"), x["sid"])
+        got = _draw(state["total"], state["left"], x["quota"], F.lit(level), F.col("lo"), F.col("hi"), x["sid"])
         return F.struct(
             (state["total"] - x["quota"]).cast("long").alias("total"),
             (state["left"] - got).cast("long").alias("left"),
             F.concat(state["out"], F.array(got)).alias("out"),
         )
 
+    add = lambda s, x: s + x
     for _ in range(max(0, ceil(log2(shards)))):
         mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
         start = F.struct(
             F.aggregate("quotas", F.lit(0).cast("long"), lambda s, x: s + x["quota"]).alias("total"),
-            capacity(F.col("lo"), mid).alias("left"),
+            F.aggregate(F.slice("rooms", F.col("lo") + 1, mid - F.col("lo")), F.lit(0).cast("long"), add).alias("left"),
             F.array().cast("array<bigint>").alias("out"),
         )
         nodes = nodes.withColumn("got", F.aggregate("quotas", start, deal, lambda s: s["out"]))
@@ -118,9 +119,27 @@ def split_quotas(quotas: DataFrame, shards: int) -> DataFrame:
             F.struct(mid.alias("lo"), F.col("hi").alias("hi"), part(lambda x, c: x["quota"] - c).alias("quotas")),
         )
         whole = F.array(F.struct(F.col("lo").alias("lo"), F.col("hi").alias("hi"), F.col("quotas").alias("quotas")))
-        nodes = nodes.select("units", F.explode(F.when(F.col("hi") - F.col("lo") > 1, halves).otherwise(whole)).alias("n"))
-        nodes = nodes.select("n.lo", "n.hi", "units", "n.quotas")
-    return nodes.select(F.col("lo").alias("shard"), F.inline("quotas")).select("sid", "shard", "quota")
+        nodes = nodes.select("key", "rooms", F.explode(F.when(F.col("hi") - F.col("lo") > 1, halves).otherwise(whole)).alias("n"))
+        nodes = nodes.select("key", "rooms", "n.lo", "n.hi", "n.quotas")
+    return nodes.select("key", F.col("lo").alias("shard"), F.inline("quotas"))
+
+
+def split_quotas(quotas: DataFrame, shards: int) -> DataFrame:
+    """(sid, quota) -> (sid, shard, quota): rows sum to the quotas, shards differ by at most 1.
+
+    Two trees, one below the other, so that no row holds all sources.  The first splits the sums of groups of
+    `GROUP` sources; then each group splits its own sources' quotas, by itself, into the sums it got.  Drawing
+    the sums first and what makes them up after is the same draw.
+    """
+    bundle = lambda sid: F.array_sort(F.collect_list(F.struct(sid.cast("int").alias("sid"), F.col("quota"))))
+    groups = quotas.groupBy(F.floor(F.col("sid") / GROUP).cast("int").alias("key")).agg(bundle(F.col("sid")).alias("quotas"), F.sum("quota").alias("units"))
+    everything = groups.select(F.col("key").alias("sid"), F.col("units").alias("quota")).agg(bundle(F.col("sid")).alias("quotas"), F.sum("quota").alias("units"))
+    share = lambda k: F.floor(k.cast("long") * F.col("units") / F.lit(shards)).cast("long")
+    even = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda k: share(k) - share(k - 1))
+    sums = _split(everything.select(F.lit(0).alias("key"), "quotas", even.alias("rooms")), shards, "groups")
+    rooms = sums.groupBy(F.col("sid").alias("key")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("shard", "quota"))), lambda x: x["quota"]).alias("rooms"))
+    return _split(groups.join(rooms, "key").select("key", "quotas", "rooms"), shards, "sources").select("sid", "shard", "quota")
 
 
 def _fill(classes: Column, gap: Column) -> Column:
@@ -147,7 +166,8 @@ def _last_pass(scratch: Scratch, dealt: DataFrame, blocks: DataFrame, sources: D
     round leaves it and all longer ones out: in hash order, a few rounds.
     """
     ordered = Window.partitionBy("sid").orderBy("rank")
-    left = sources.select("sid", F.col("rest").alias("left"), F.lit(0).alias("after"))
+    # A source that is at its target has no last pass, not for its empty documents either.
+    left = sources.where("rest > 0").select("sid", F.col("rest").alias("left"), F.lit(0).alias("after"))
     drawn = picks = None
     turn = 0
     while turn == 0 or not left.isEmpty():

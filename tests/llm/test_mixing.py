@@ -106,3 +106,32 @@ def test_no_document_fits_into_what_is_left(spark, monkeypatch):
             mine = [r for r in plan if r.source == source]
             left = mine[0].target - sum(r.taken for r in mine)
             assert left >= 0 and all(r["size"] > left for r in mine if not r.shards)
+
+
+def test_empty_documents_stay_under_the_cap(spark):
+    """The source that stops at twice its size has no last pass: its empty documents get two copies as well."""
+    data = [(k, "w w w", "en", "a") for k in range(40)] + [(100, "", "en", "a"), (101, None, "en", "a")] + [(k + 200, "w " * 50, "en", "b") for k in range(60)]
+    plan = mixing.mix_plan(frame(spark, data)).collect()
+    assert {r.target for r in plan if r.source == "a"} == {240.0}
+    assert {len(r.shards) for r in plan if r.source == "a"} == {2}
+    only_empty = mixing.mix_plan(frame(spark, [(1, "", "en", "a"), (2, None, "en", "a")])).collect()
+    assert all(r.shards == [] and r.taken == 0 for r in only_empty)
+
+
+def test_tree_of_very_many_sources(spark):
+    """100,000 sources: no row holds them all, and the sums stay exact."""
+    df = spark.range(100_000).selectExpr("cast(id as int) AS sid", "id % 3 AS quota")
+    got = mixing.split_quotas(df, 8)
+    per_shard = {r["shard"]: r["n"] for r in got.groupBy("shard").sum("quota").withColumnRenamed("sum(quota)", "n").collect()}
+    assert sum(per_shard.values()) == 99_999 and max(per_shard.values()) - min(per_shard.values()) <= 1 and len(per_shard) == 8
+    wrong = got.groupBy("sid").sum("quota").withColumnRenamed("sum(quota)", "n").where("n <> sid % 3")
+    assert wrong.count() == 0 and got.where("quota < 0").count() == 0
+
+
+def test_groups_of_sources_draw_as_one(spark, monkeypatch):
+    """With groups of 4 the mean and spread of a source's share are those of one draw."""
+    monkeypatch.setattr(mixing, "GROUP", 4)
+    df = spark.createDataFrame([(k, 40) for k in range(30)], "sid int, quota long")
+    left = [r.quota for r in mixing.split_quotas(df, 2).collect() if r.shard == 0]
+    assert sum(left) == 600 and len(set(left)) > 3
+    assert sum((x - 20) ** 2 for x in left) / 30 < 3 * 40 * 0.25
