@@ -5,13 +5,15 @@ Going from n to n + 1 shards moves about 1/(n + 1) of the keys, all of them into
 shard.  The recurrence (Lamping and Veach, 2014) runs on whole Arrow batches in numpy; it
 needs unsigned 64-bit arithmetic that wraps, which SQL integers refuse to do.
 
-Places inside a shard are numbered without a global or per-shard sort: rows fall into
-buckets of a bounded mean size, bucket counts give each bucket its first slot, and only a
-bucket is sorted.
+Places inside a shard are numbered without a global or per-shard sort.  Rows that are alike in
+everything returned (id, text hash, size) are counted first; what differs falls into
+buckets of a bounded mean size by its content, bucket sums give each bucket its first slot, and only a
+bucket is sorted.  So slots depend on the rows alone, not on how they lie in files, and rows that
+repeat, however often, are one row until the end, where long runs are dealt out in stretches.
 
 Defined cases: a null key is a key like any other; rows that repeat a key share its shard
-and get slots of their own (a salt deals them over all buckets of the shard); a null or empty text has no
-bytes; an empty table gives an empty result.
+and get slots of their own; a null or empty text has no bytes; very long texts are only measured and hashed; an empty table
+gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,28 +65,29 @@ def shard_of(key: Column, shards: int) -> Column:
 def number_slots(scratch: Scratch, rows: DataFrame, shard: str, order: list[str], shards: int) -> DataFrame:
     """Add `slot`: 0, 1, 2, ... without gaps inside each shard.
 
-    `rows` is written once first, so that counts and numbers come from the same rows even if
-    an executor is lost between the two passes.
+    `rows` has `n`, how many rows are alike in the columns of `order`, which decide everything: a bucket is a
+    hash of them, so no slot depends on how the input lies in files.
     """
-    counts = {r[shard]: r["n"] for r in rows.groupBy(shard).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r[shard]: r["n"] for r in rows.groupBy(shard).agg(F.sum("n").alias("n")).collect()}
     buckets = F.element_at(F.lit([max(1, -(-counts.get(k, 0) // BUCKET_ROWS)) for k in range(shards)]), F.col(shard) + 1)
-    # As many salts as buckets, added to the hash: rows of one key go round all buckets of their shard.
-    salt = F.pmod(F.monotonically_increasing_id(), buckets)
-    bucket = F.pmod(F.pmod(F.xxhash64(*order), buckets) + salt, buckets).cast("int")
-    placed = scratch.write(rows.withColumn("_bucket", bucket), "placed")
+    placed = rows.withColumn("_bucket", F.pmod(F.xxhash64(*order), buckets).cast("int"))
     in_order = Window.partitionBy(shard).orderBy("_bucket")
-    firsts = (
-        placed.groupBy(shard, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_first", F.sum("_n").over(in_order) - F.col("_n"))
-        .drop("_n")
-    )
-    inside = Window.partitionBy(shard, "_bucket").orderBy(*order)
-    return (
-        placed.withColumn("_rank", F.row_number().over(inside))
+    firsts = placed.groupBy(shard, "_bucket").agg(F.sum("n").alias("_n")).withColumn("_first", F.sum("_n").over(in_order) - F.col("_n")).drop("_n")
+    inside = Window.partitionBy(shard, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = (
+        placed.withColumn("_before", F.sum("n").over(inside) - F.col("n"))
         .join(firsts, [shard, "_bucket"])
-        .withColumn("slot", F.col("_first") + F.col("_rank") - 1)
-        .drop("_bucket", "_rank", "_first")
+        .withColumn("_start", F.col("_first") + F.col("_before"))
+        .drop("_bucket", "_before", "_first")
     )
+    numbered = scratch.write(numbered, "numbered")
+    each = lambda df: df.withColumn("slot", F.explode(F.sequence("_start", F.col("_start") + F.col("n") - 1))).drop("_start", "n")
+    # Many rows alike: in stretches, which are dealt out before they become rows again.
+    many = numbered.where(F.col("n") > BUCKET_ROWS)
+    stretches = many.withColumn("_from", F.explode(F.sequence("_start", F.col("_start") + F.col("n") - 1, F.lit(BUCKET_ROWS).cast("long"))))
+    left = F.least(F.col("_start") + F.col("n") - F.col("_from"), F.lit(BUCKET_ROWS).cast("long"))
+    stretches = stretches.withColumn("n", left).withColumn("_start", F.col("_from")).drop("_from").repartition("_start")
+    return each(numbered.where(F.col("n") <= BUCKET_ROWS)).unionByName(each(stretches))
 
 
 def shard_documents(docs: DataFrame, shards: int = DEFAULT_SHARDS, id_col: str = "doc_id",
@@ -94,15 +97,16 @@ def shard_documents(docs: DataFrame, shards: int = DEFAULT_SHARDS, id_col: str =
     Returns doc_id, size (UTF-8 bytes + 8), text_crc32, shard, slot, grown_shard.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
+    order = ["doc_id", "text_crc32", "size"]
+    alike = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + F.lit(ROW_OVERHEAD_BYTES)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-    )
-    rows = rows.withColumn("shard", shard_of(F.col("doc_id"), shards)).withColumn(
-        "grown_shard", shard_of(F.col("doc_id"), shards + 1))
+    ).groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
     scratch = Scratch(docs.sparkSession, "shards")
-    return number_slots(scratch, rows, "shard", ["doc_id", "text_crc32"], shards)
+    rows = scratch.write(alike.withColumn("shard", shard_of(F.col("doc_id"), shards)).withColumn(
+        "grown_shard", shard_of(F.col("doc_id"), shards + 1)), "rows")
+    return number_slots(scratch, rows, "shard", order, shards).select("doc_id", "size", "text_crc32", "shard", "grown_shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = DEFAULT_SHARDS, key_col: str = "doc_id") -> None:

@@ -60,10 +60,18 @@ def test_empty_table_and_files(spark, tmp_path):
     assert back.count() == 50 and {r.shard for r in back.collect()} <= {0, 1, 2, 3}
 
 
-def test_a_repeated_key_is_dealt_over_all_buckets_of_its_shard(spark, monkeypatch):
+def test_a_repeated_row_is_counted_and_dealt_out_in_stretches(spark, monkeypatch):
     monkeypatch.setattr(sharding, "BUCKET_ROWS", 10)
-    placed, write = [], sharding.Scratch.write
-    monkeypatch.setattr(sharding.Scratch, "write", lambda self, df, name: placed.append(write(self, df, name)) or placed[-1])
-    got = sharding.shard_documents(frame(spark, [(7, "same", "en", "a")] * 3_000), shards=2).collect()
-    assert sorted(r.slot for r in got) == list(range(3_000))
-    assert max(r["count"] for r in placed[0].groupBy("shard", "_bucket").count().collect()) <= 40
+    data = [(7, "same", "en", "a")] * 3_000 + [(7, f"other {k}", "en", "a") for k in range(500)]
+    got = sharding.shard_documents(frame(spark, data), shards=2).collect()
+    assert sorted(r.slot for r in got) == list(range(3_500)) and len({r.shard for r in got}) == 1
+    copies = sorted(r.slot for r in got if r.text_crc32 == zlib.crc32(b"same"))
+    assert copies == list(range(copies[0], copies[0] + 3_000))
+
+
+def test_slots_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 16)
+    data = [(k % 700, f"text {k % 900}", "en", "a") for k in range(2_000)]
+    docs = frame(spark, data)
+    found = [sorted(tuple(r) for r in sharding.shard_documents(docs.repartition(n)).collect()) for n in (3, 7, 1)]
+    assert found[0] == found[1] == found[2]
