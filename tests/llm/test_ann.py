@@ -40,22 +40,44 @@ def test_recall_against_brute_force(spark):
         assert all((-a.score, a.vec_id) < (-b.score, b.vec_id) for a, b in zip(mine, mine[1:]))
 
 
+def none(queries, k=5):
+    return np.full((queries, k), -np.inf)
+
+
 def test_bound_prunes_and_estimates_are_unbiased():
     x = np.random.default_rng(1).normal(size=(3_000, 64))
     x[:2_000:20] = x[5] + 0.1 * np.random.default_rng(2).normal(size=(100, 64))
-    turn = ann.rotation(64)
+    turn, x = ann.rotation(64), ann.units(x)
     assert np.allclose(turn @ turn.T, np.eye(64))
     codes, scalars = ann.encode(x, turn)
     ids = np.arange(3_000)
-    q, v, score, measured = ann.search_block(np.array([5]), x[5:6], ids, x, codes, scalars, turn, 5)
+    q, v, score, measured = ann.search_block(np.array([5]), x[5:6], ids, x, codes, scalars, turn, 5, none(1))
     assert measured < 300 and score.min() > 0.9 and 5 not in v
-    signs = np.unpackbits(codes, axis=1) * 2.0 - 1
-    unit = x / np.linalg.norm(x, axis=1)[:, None]
-    estimate = (unit[7] @ turn.T) @ signs.T / 8 / scalars
-    error = np.delete(estimate - unit @ unit[7], 7)
+    estimate, rounding = ann.estimates(x[7:8], codes, scalars, turn)
+    error = np.delete(estimate[0] - x @ x[7], 7)
     assert abs(error.mean()) < 0.01
     off = ann.BOUND * np.sqrt(1 - scalars**2) / scalars / np.sqrt(63)
     assert (np.abs(error) < np.delete(off, 7)).mean() > 0.96
+    # The counts of shared bits are the product with the rounded query's signs.
+    signs = np.where(x @ turn.T > 0, 1.0, -1.0)
+    plain = (x[7] @ turn.T) @ signs.T / 8 / scalars
+    assert np.abs(estimate[0] - plain).max() <= rounding * 2 and rounding < 0.05
+
+
+def test_odd_dimensions_and_blocks_in_turn():
+    for dim in (1, 7, 65, 130):
+        x = ann.units(np.random.default_rng(dim).normal(size=(900, dim)))
+        turn, ids, best, found = ann.rotation(dim), np.arange(900), none(3, 4), []
+        for lo in range(0, 900, 300):
+            own = slice(lo, lo + 300)
+            codes, scalars = ann.encode(x[own], turn)
+            q, v, score, _ = ann.search_block(np.array([0, 1, 2]), x[:3], ids[own], x[own], codes, scalars, turn, 4, best, bound=4.0)
+            found += list(zip(q, v + lo, score))
+        for a in range(3):
+            mine = sorted((-s, v) for q, v, s in found if q == a)[:4]
+            want = sorted((-float(x[a] @ x[j]), j) for j in range(900) if j != a)[:4]
+            assert np.allclose([s for s, _ in mine], [s for s, _ in want], atol=1e-9)
+            assert np.allclose(best[a], [-s for s, _ in want[::-1]], atol=1e-9)
 
 
 def test_awkward_vectors(spark, monkeypatch):
@@ -69,6 +91,7 @@ def test_awkward_vectors(spark, monkeypatch):
     got = ann.nearest(df.repartition(3), F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect()
     assert [(r.vec_id, round(r.score, 9)) for r in got if r.query_id == 0] == [(1, 1.0), (2, 1.0), (2, 1.0), (13, 1.0), (3, 0.707106781)]
     assert {r.query_id for r in got} == {0, 50}
+    assert 9 not in {r.vec_id for r in got}  # alone of its length
     few = ann.nearest(df.where("vec_id in (0, 1, 11)"), F.col("vec_id") == 0).orderBy("rank").collect()
     assert [(r["rank"], r.vec_id, r.score) for r in few] == [(1, 1, 1.0), (2, 11, -1.0)]
     assert ann.nearest(df.where("vec_id = 0"), F.col("vec_id") == 0).collect() == []
@@ -79,8 +102,8 @@ def test_empty_table(spark):
     assert ann.nearest(df, F.col("vec_id") % 50 == 0).collect() == []
 
 
-def test_queries_of_the_main_length_stay_where_most_queries_have_another(spark):
-    data = [(k, [1.0, float(k)]) for k in range(1, 10)] + [(k, [1.0, 2.0, 3.0]) for k in (50, 100, 150)] + [(200, [1.0, 0.0])]
+def test_every_length_is_searched_by_its_own_queries(spark):
+    data = [(k, [1.0, float(k)]) for k in range(1, 10)] + [(k, [1.0, 2.0, float(k)]) for k in (50, 100, 150)] + [(200, [1.0, 0.0])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
-    got = ann.nearest(df, F.col("vec_id") % 50 == 0, k=2).orderBy("rank").collect()
-    assert [(r.query_id, r.vec_id) for r in got] == [(200, 1), (200, 2)]
+    got = ann.nearest(df, F.col("vec_id") % 50 == 0, k=2).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(50, 100), (50, 150), (100, 150), (100, 50), (150, 100), (150, 50), (200, 1), (200, 2)]
