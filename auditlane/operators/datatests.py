@@ -38,13 +38,20 @@ def not_null_violations(df: DataFrame, column: str) -> DataFrame:
 
 
 def relationship_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row.
+    """Child rows whose non-NULL key has no parent row: a semi join with the orphan keys."""
+    orphans = orphan_keys(child, column, parent, parent_column).select(F.col(column).alias("__orphan"))
+    return child.join(orphans, F.col(column) == F.col("__orphan"), "left_semi")
 
-    One anti join against the distinct parent keys: broadcast where statistics prove them
-    small, else shuffled, where AQE splits the partition of a hot child key.
+
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Non-NULL child keys without a parent row, with their row counts.
+
+    Child rows are counted by key first (a hot key is one row a task before the shuffle), so whichever
+    way Spark joins the distinct keys with the distinct parent keys, no child row is shuffled.
     """
-    keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    counted = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    keys = parent.select(F.col(parent_column).alias("__parent")).distinct()
+    return counted.join(keys, F.col(column) == F.col("__parent"), "left_anti")
 
 
 def _unaccepted(column: str, values: Sequence) -> Column:
@@ -74,21 +81,14 @@ def _row(test: DataTest, failures: Column) -> Column:
         F.lit(test.column).alias("column"), n.alias("failures"), (n == 0).alias("passed"))
 
 
-def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
-    """Tests that look at rows one by one: one aggregate over one scan, whatever their number.
-
-    A relationship test marks each row by a left join with the distinct parent keys.
-    """
+def _row_tests(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """Tests that look at rows one by one: one aggregate over one scan, whatever their number."""
     counts = []
     for k, t in enumerate(tests):
         if t.kind == "not_null":
             counts.append(F.count_if(_missing(df, t.column)).alias(f"n{k}"))
         elif t.kind == "accepted_values":
             counts.append(F.count_distinct(F.when(_unaccepted(t.column, t.values), F.col(t.column))).alias(f"n{k}"))
-        elif t.kind == "relationships":
-            keys = tables[t.parent_model].select(F.col(t.parent_column).alias(f"__k{k}")).distinct()
-            df = df.join(keys, df[t.column] == F.col(f"__k{k}"), "left")
-            counts.append(F.count_if(F.col(t.column).isNotNull() & F.col(f"__k{k}").isNull()).alias(f"n{k}"))
         else:
             raise ValueError(f"unknown data test kind {t.kind!r}")
     return df.agg(*counts).select(F.inline(F.array(*[_row(t, F.col(f"n{k}")) for k, t in enumerate(tests)])))
@@ -97,16 +97,22 @@ def _row_tests(df: DataFrame, tests: Sequence[DataTest], tables: dict[str, DataF
 def run_data_tests(tests: Sequence[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per test: test_id, kind, model, column, failures, passed (a single action).
 
-    Per model, one scan serves all row tests and one key shuffle each uniqueness test.
+    Per model, one scan serves all row tests; a uniqueness or relationship test takes one of its
+    column, whose values are counted before they are shuffled.
     """
     parts = []
     for model in dict.fromkeys(t.model for t in tests):
         own = [t for t in tests if t.model == model]
-        rowwise = [t for t in own if t.kind != "unique"]
+        rowwise = [t for t in own if t.kind not in ("unique", "relationships")]
         if rowwise:
-            parts.append(_row_tests(tables[model], rowwise, tables))
+            parts.append(_row_tests(tables[model], rowwise))
         for t in own:
             if t.kind == "unique":
-                repeated = unique_violations(tables[model], t.column).agg(F.count(F.lit(1)).alias("n"))
-                parts.append(repeated.select(F.inline(F.array(_row(t, F.col("n"))))))
+                found = unique_violations(tables[model], t.column).agg(F.count(F.lit(1)).alias("n"))
+            elif t.kind == "relationships":
+                orphans = orphan_keys(tables[model], t.column, tables[t.parent_model], t.parent_column)
+                found = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"))
+            else:
+                continue
+            parts.append(found.select(F.inline(F.array(_row(t, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)

@@ -39,7 +39,7 @@ from pyspark.sql.types import (
 )
 
 from auditlane.functions.exprs import is_missing, percent_of
-from auditlane.operators.rules import Rule, Unique
+from auditlane.operators.rules import Rule, TableRule, Unique
 from auditlane.session import literal_frame
 
 # The alert header, the per-failure sample size, and below the payload's key names
@@ -114,12 +114,14 @@ def rule_metrics(df: DataFrame, rules: tuple[Rule, ...] | list[Rule]) -> DataFra
     """One row per rule with raw counts (schema ``METRIC_SCHEMA``); nothing decided yet."""
     types = {f.name: f.dataType for f in df.schema.fields}
     indexed = list(enumerate(rules))
+    table_rules = [(i, r) for i, r in indexed if isinstance(r, TableRule)]
+    indexed = [(i, r) for i, r in indexed if not isinstance(r, TableRule)]
     row_rules = [(i, r) for i, r in indexed if r.column in types and not isinstance(r, Unique)]
     absent = [(i, r) for i, r in indexed if r.column not in types]
     key_rules = [(i, r) for i, r in indexed if r.column in types and isinstance(r, Unique)]
 
     parts: list[DataFrame] = []
-    if row_rules or absent:
+    if row_rules or absent or table_rules:
         aggs = [F.count(F.lit(1)).alias("n")]
         for i, r in row_rules:
             dt = types[r.column]
@@ -133,6 +135,7 @@ def rule_metrics(df: DataFrame, rules: tuple[Rule, ...] | list[Rule]) -> DataFra
         structs = [_metric(r, i, True, F.col("n"), F.col(f"m{i}"), F.col(f"e{i}"), F.col(f"u{i}"))
                    for i, r in row_rules]
         structs += [_metric(r, i, False, F.col("n"), zero, zero, zero) for i, r in absent]
+        structs += [_metric(r, i, True, F.col("n"), zero, F.lit(1), F.when(r.satisfied(F.col("n")), 0).otherwise(1)) for i, r in table_rules]
         parts.append(totals.select(F.inline(F.array(*structs))))
 
     for i, r in key_rules:
@@ -216,16 +219,15 @@ def offender_samples(
 ) -> DataFrame:
     """Up to ``k`` offending ids per rule (smallest first), for the given rules only.
 
-    One scan serves all rules.  Without a uniqueness rule on the id, each row yields its id for
-    the rules it breaks; with one, rows are first counted by id (combined before the shuffle),
-    and an id is repeated as often as it breaks a rule, ``k`` times at most.  Either way the
-    rank is a window that Spark limits to ``k`` rows per rule in each task before the shuffle.
-    For a uniqueness rule on the id itself the sample lists distinct duplicated ids; one on
-    another column (none in the trip suite) adds a join with its duplicated keys.
+    One pruned scan serves all row rules: each row yields its id for the rules it breaks, and the
+    rank is a window that Spark limits to ``k`` rows per rule in each task, so no more leave the
+    scan.  A uniqueness rule on the id takes a scan of the id alone: ids are counted (combined
+    before the shuffle, which carries nothing else) and the smallest of those met twice are ranked
+    in the same way.  One on another column (none in the trip suite) adds a join with its duplicated keys.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema.fields}
-    wanted = [r for r in rules if (rule_ids is None or r.rule_id in rule_ids) and r.column in types]
+    wanted = [r for r in rules if (rule_ids is None or r.rule_id in rule_ids) and r.column in types and not isinstance(r, TableRule)]
     if id_col not in types or not wanted or k <= 0:
         return literal_frame(spark, [], sample_schema(types.get(id_col, LongType())))
 
@@ -234,14 +236,9 @@ def offender_samples(
     row_id = F.col(id_col).alias("row_id")
     parts: list[DataFrame] = []
     if own_key:
-        counted = df.groupBy(row_id).agg(
-            F.count(F.lit(1)).alias("__rows"),
-            *[F.count_if(r.violation(types[r.column])).alias(f"__v{i}") for i, r in enumerate(row_rules)])
-        times = [F.array_repeat(F.lit(r.rule_id), F.least(F.col(f"__v{i}"), F.lit(k)).cast("int")) for i, r in enumerate(row_rules)]
-        twice = ~is_missing("row_id", types[id_col]) & (F.col("__rows") > 1)
-        times += [F.when(twice, F.array(F.lit(r.rule_id))).otherwise(F.array().cast("array<string>")) for r in own_key]
-        parts.append(counted.select(F.explode(F.concat(*times)).alias("rule_id"), "row_id"))
-    elif row_rules:
+        twice = df.groupBy(row_id).agg(F.count(F.lit(1)).alias("__rows")).where(~is_missing("row_id", types[id_col]) & (F.col("__rows") > 1))
+        parts.append(twice.select(F.explode(F.array(*[F.lit(r.rule_id) for r in own_key])).alias("rule_id"), "row_id"))
+    if row_rules:
         broken = F.filter(F.array(*[F.when(r.violation(types[r.column]), F.lit(r.rule_id)) for r in row_rules]), lambda x: x.isNotNull())
         parts.append(df.select(F.explode(broken).alias("rule_id"), row_id))
     for r in wanted:
@@ -253,10 +250,10 @@ def offender_samples(
             )
             parts.append(df.join(keys, r.column, "left_semi").select(F.lit(r.rule_id).alias("rule_id"), row_id))
 
+    # Rules are ranked part by part, each part's rules being its own.
     ranked = Window.partitionBy("rule_id").orderBy(F.col("row_id").asc_nulls_last())
-    offenders = reduce(DataFrame.unionByName, parts)
-    top = offenders.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k)
-    return top.select("rule_id", "rank", "row_id")
+    top = [p.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k).select("rule_id", "rank", "row_id") for p in parts]
+    return reduce(DataFrame.unionByName, top)
 
 
 def build_alert(

@@ -8,7 +8,9 @@ whole suite into a single distributed aggregate.  Semantics:
 * between: evaluates non-missing rows, bounds inclusive, ``None`` = unbounded side;
 * unique: evaluates non-missing rows, violations are *all* rows of a duplicated value;
 * a rule passes when evaluated == 0 or (evaluated - violations) / evaluated >= mostly;
-* a rule whose column is absent fails with zero counts (the gate fails closed).
+* a rule whose column is absent fails with zero counts (the gate fails closed);
+* min-rows: judged on the table's total, one evaluation, violated if there are fewer rows.  Without
+  it a batch of no rows passes everything; it is off unless a suite asks for it.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from auditlane.functions.exprs import is_missing
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
 BETWEEN = "expect_column_values_to_be_between"
+ROW_COUNT = "expect_table_row_count_to_be_between"
 
 # Defaults of the trip suite.
 TRIPS_SUITE_NAME = "int_trips_enriched_suite"
@@ -90,14 +93,33 @@ class Unique(Rule):
         return ~is_missing(self.column, dtype)
 
 
+@dataclass(frozen=True)
+class TableRule(Rule):
+    """A rule on the batch as a whole; it has no column and no offending rows."""
+
+    def satisfied(self, rows: Column) -> Column:  # from the number of rows
+        raise NotImplementedError
+
+
+@dataclass(frozen=True)
+class MinRows(TableRule):
+    column: str = ""
+    min_rows: int = 1
+    kind: ClassVar[str] = ROW_COUNT
+
+    def satisfied(self, rows: Column) -> Column:
+        return rows >= F.lit(self.min_rows)
+
+
 def trips_suite(
     *,
     fare_max: float = FARE_MAX,
     distance_max: float = DISTANCE_MAX,
     passenger_max: float = PASSENGER_MAX,
     mostly: float = DEFAULT_MOSTLY,
+    min_rows: int | None = None,
 ) -> tuple[Rule, ...]:
-    """The seven rules guarding the enriched trip model, in evaluation order."""
+    """The seven rules guarding the enriched trip model, in evaluation order; with ``min_rows`` an eighth."""
     return (
         NotNull("trip_id_not_null", "trip_id",
                 notes="a trip without its source key cannot be traced back"),
@@ -116,4 +138,6 @@ def trips_suite(
                 min_value=0, max_value=passenger_max),
         NotNull("trip_duration_minutes_not_null", "trip_duration_minutes", mostly,
                 notes="derived duration missing: the model itself is broken"),
-    )
+    ) + (() if min_rows is None else (
+        MinRows("batch_min_rows", min_rows=min_rows, notes="batch empty or cut short upstream"),
+    ))

@@ -1,10 +1,10 @@
 """Exact-size, seeded, deterministic row selection without a global sort.
 
-The input is a landed (written) Parquet frame.  Each row gets a rank text: the md5 of its key
-and the seed, then a hash of all its typed columns, then a hash of the file and position it is
-stored at.  No two rows share one, and rows that are alike in every column differ only in the
+The input is a landed (written) Parquet frame.  Rows are ranked by the md5 of their key and the
+seed; rows of one key by a hash of all their typed columns, then by a hash of the file and position
+they are stored at.  No two rows share a rank, and rows that are alike in every column differ only in the
 last part, where the choice between them doesn't matter.  Selecting the ``n`` rows with the
-smallest rank is a pure predicate ``rank <= cut`` once the cut is known, and the cut is found
+smallest rank is a pure predicate once the cut is known, and the cut is found
 by narrowing prefixes:
 
 1. histogram the first ``fanout`` hex digits (at most 16**fanout small rows reach the
@@ -13,9 +13,11 @@ by narrowing prefixes:
 3. once the crossing bucket holds at most ``final_rows`` rows, take its ranks in order (a
    bounded top-k) and read off the cut.
 
-md5 spreads keys evenly, so each level divides the rows by 16**fanout: 10**12 rows need two
-levels at the default fan-out.  A hot key -- a third of all rows with one key -- fills one
-32-digit prefix; the descent goes on into the digits after it, which spread its rows the same way.
+All of this looks at the key alone, so its scans read the key column and nothing else.  md5 spreads keys
+evenly: each level divides the rows by 16**fanout, and 10**12 rows need two levels at the
+default fan-out.  A hot key -- a third of all rows with one key -- shows in a histogram as a bucket with one text: only
+if the cut falls among its rows are they (and their other columns) ranked, by the same steps, at once.
+
 The result is a filter usable in ``where`` or ``when``; it re-evaluates identically after an
 executor loss, because stored rows keep their file and position.
 """
@@ -31,8 +33,7 @@ from pyspark.sql import functions as F
 
 from auditlane.session import lake_root
 
-KEY_DIGITS, ROW_DIGITS, PLACE_DIGITS = 32, 16, 32
-RANK_DIGITS = KEY_DIGITS + ROW_DIGITS + PLACE_DIGITS
+ROW_DIGITS = 16
 DEFAULT_FANOUT = 4
 DEFAULT_FINAL_ROWS = 65_536
 
@@ -57,41 +58,52 @@ def row_hash(df: DataFrame) -> Column:
     return F.lpad(F.hex(F.xxhash64(*parts)), ROW_DIGITS, "0")
 
 
-def rank_text(df: DataFrame, key_cols: Sequence[str], seed: int | str) -> Column:
-    key = F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
+def key_text(key_cols: Sequence[str], seed: int | str) -> Column:
+    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
+
+
+def rest_text(df: DataFrame) -> Column:
     place = F.md5(F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string")))
-    return F.concat(key, F.lower(row_hash(df)), place)
+    return F.concat(F.lower(row_hash(df)), place)
+
+
+@dataclass(frozen=True)
+class _Cut:
+    total: int
+    wanted: int
+    text: str = ""  # a whole text or a prefix: all rows up to it are selected, but for
+    left: int = 0  # this many of those that share the whole text, where there are more of them
 
 
-def _find_cut(ranked: DataFrame, size: int | Callable[[int], int], fanout: int, final_rows: int) -> tuple[int, int, str | None]:
-    """(rows, rows wanted, greatest rank selected -- a whole rank or a prefix) of a one-column frame ``__h``."""
+def _find_cut(texts: DataFrame, size: int | Callable[[int], int], fanout: int, final_rows: int) -> _Cut:
+    """Where the ``size`` smallest texts of a one-column frame ``__h`` end."""
     prefix, need, total, wanted = "", None, 0, 0
     while True:
-        level = ranked.where(F.col("__h").startswith(prefix)) if prefix else ranked
-        hist = sorted(
-            (r["b"], r["count"])
-            for r in level.groupBy(F.substring("__h", len(prefix) + 1, fanout).alias("b")).count().collect()
-        )
+        level = texts.where(F.col("__h").startswith(prefix)) if prefix else texts
+        bucket = F.substring("__h", len(prefix) + 1, fanout).alias("b")
+        hist = sorted(level.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"), F.min("__h").alias("low"), F.max("__h").alias("high")).collect())
         if need is None:
-            total = sum(c for _, c in hist)
+            total = sum(r["n"] for r in hist)
             wanted = need = size(total) if callable(size) else min(int(size), total)
             if need <= 0:
-                return total, 0, None
+                return _Cut(total, 0)
             if need >= total:
-                return total, total, "g"  # after every hex digit
-        before = 0
-        for bucket, count in hist:
-            if before + count >= need:
+                return _Cut(total, total, "g")  # after every hex digit
+        for r in hist:
+            if r["n"] >= need:
                 break
-            before += count
-        need -= before
-        prefix += bucket
-        if count == need:
-            return total, wanted, prefix
-        if count <= final_rows or len(prefix) >= RANK_DIGITS:
+            need -= r["n"]
+        if r["n"] == need:
+            return _Cut(total, wanted, prefix + r["b"])
+        if r["low"] == r["high"]:  # one hot key: no digit of it parts its rows
+            return _Cut(total, wanted, r["low"], need)
+        prefix += r["b"]
+        if r["n"] <= final_rows:
             break
-    last = ranked.where(F.col("__h").startswith(prefix)).orderBy("__h").limit(need).agg(F.max("__h")).first()[0]
-    return total, wanted, last
+    own = texts.where(F.col("__h").startswith(prefix))
+    last = own.orderBy("__h").limit(need).agg(F.max("__h")).first()[0]
+    less, same = own.agg(F.count_if(F.col("__h") < last), F.count_if(F.col("__h") == last)).first()
+    return _Cut(total, wanted, last, 0 if less + same == need else need - less)
 
 
 def fraction_of(fraction: float, minimum: int = 0) -> Callable[[int], int]:
@@ -113,8 +125,13 @@ def select_exact(
     final_rows: int = DEFAULT_FINAL_ROWS,
 ) -> Selection:
     """Exactly ``size`` rows (or ``size(total)``) of a landed frame, smallest key hash first."""
-    rank = rank_text(stored, key_cols, seed)
-    total, wanted, last = _find_cut(stored.select(rank.alias("__h")), size, fanout, final_rows)
-    if last is None:
-        return Selection(F.lit(False), 0, total)
-    return Selection(F.substring(rank, 1, len(last)) <= F.lit(last), wanted, total)
+    key = key_text(key_cols, seed)
+    cut = _find_cut(stored.select(key.alias("__h")), size, fanout, final_rows)
+    if not cut.wanted:
+        return Selection(F.lit(False), 0, cut.total)
+    upto = lambda text, end: F.substring(text, 1, len(end)) <= F.lit(end)
+    if not cut.left:
+        return Selection(upto(key, cut.text), cut.wanted, cut.total)
+    rest = rest_text(stored)
+    inner = _find_cut(stored.where(key == F.lit(cut.text)).select(rest.alias("__h")), cut.left, fanout, final_rows)
+    return Selection((key < F.lit(cut.text)) | ((key == F.lit(cut.text)) & upto(rest, inner.text)), cut.wanted, cut.total)

@@ -1,7 +1,8 @@
 """Typed staging projections: rename and cast raw columns into a fixed contract.
 
 A raw table is landed with whatever columns its source had; the staging step is where the
-contract is enforced.  A missing column fails here, eagerly and without launching a job
+contract is enforced.  A missing column, or one of a type that isn't meant for the contract's (a
+boolean where a number should be), fails here, eagerly and without launching a job
 (structural drift), while a value that cannot be cast fails in the first action.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql.types import (
 )
 
 from auditlane.functions.exprs import int_cast
+from auditlane.operators.contracts import diff
 
 # The staging contracts (raw column, staged column, staged type).
 TRIPS_CONTRACT: tuple[tuple[str, str, str], ...] = (
@@ -53,15 +55,17 @@ _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 
 
 class SchemaDriftError(ValueError):
-    """The raw table no longer carries a column the staging contract needs."""
+    """The raw table no longer carries a column the staging contract needs, or not in a type it can take."""
 
-    def __init__(self, table: str, missing: list[str], present: list[str]):
+    def __init__(self, table: str, missing: list[str], present: list[str], incompatible: list[str] = ()):
+        other = f", other type(s) {list(incompatible)}" if incompatible else ""
         super().__init__(
             f"staging contract for {table!r} cannot be bound: missing column(s) "
-            f"{missing}; raw table has {present}"
+            f"{missing}{other}; raw table has {present}"
         )
         self.table = table
         self.missing = missing
+        self.incompatible = list(incompatible)
 
 
 def typed(col: Column, source: DataType, target: str) -> Column:
@@ -81,9 +85,11 @@ def typed(col: Column, source: DataType, target: str) -> Column:
 def stage(raw: DataFrame, contract: tuple[tuple[str, str, str], ...], table: str = "raw") -> DataFrame:
     """Project ``raw`` onto ``contract``: one cast-and-rename per column, nothing else."""
     types = {f.name: f.dataType for f in raw.schema.fields}
-    missing = [src for src, _, _ in contract if src not in types]
-    if missing:
-        raise SchemaDriftError(table, missing, list(types))
+    found = diff(raw.schema, {src: target for src, _, target in contract})
+    missing = [c for _, c, status, *_ in found if status == "missing"]
+    incompatible = [f"{c}: {actual}" for _, c, status, _, actual in found if status == "incompatible"]
+    if missing or incompatible:
+        raise SchemaDriftError(table, missing, list(types), incompatible)
     return raw.select(
         *[typed(F.col(src), types[src], target).alias(dst) for src, dst, target in contract]
     )

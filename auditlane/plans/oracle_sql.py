@@ -138,6 +138,7 @@ TYPE_NAME = {
     "not_null": "expect_column_values_to_not_be_null",
     "unique": "expect_column_values_to_be_unique",
     "between": "expect_column_values_to_be_between",
+    "min_rows": "expect_table_row_count_to_be_between",
 }
 
 
@@ -153,7 +154,10 @@ def rule_metrics(batch_sql: str, rules: list[tuple]) -> str:
         miss = _missing(col, col in FLOATING)
         head = f"{idx} AS rule_index, '{rid}' AS rule_id, '{TYPE_NAME[kind]}' AS rule_type, " \
                f"'{col}' AS \"column\", CAST({float(mostly)!r} AS DOUBLE) AS mostly"
-        if kind == "not_null":
+        if kind == "min_rows":
+            selects.append(f"""SELECT {head}, count(*) AS element_count, CAST(0 AS BIGINT) AS missing_count,
+  CAST(1 AS BIGINT) AS evaluated_count, CAST(CASE WHEN count(*) >= {lo} THEN 0 ELSE 1 END AS BIGINT) AS unexpected_count FROM batch""")
+        elif kind == "not_null":
             selects.append(f"""SELECT {head}, count(*) AS element_count,
   count(*) FILTER (WHERE {miss}) AS missing_count, count(*) AS evaluated_count,
   count(*) FILTER (WHERE {miss}) AS unexpected_count FROM batch""")

@@ -2,8 +2,8 @@
 
 ``fct_trips`` is the enriched model in its own column order (same grain, no filter), so
 publishing commits the audited snapshot itself as the fact mart: a pointer, no second copy.
-``dim_zones`` is the staged dimension, written once.  The tables flip together, only after
-their tests pass, so readers see either the previous marts or the new ones.
+``dim_zones`` is the staged dimension, written once.  Both tables are moved only after
+their tests pass, the dimension first.
 """
 
 from __future__ import annotations
@@ -49,10 +49,10 @@ def dim_mart(zones: DataFrame) -> DataFrame:
     return zones.select(*DIM_COLUMNS)
 
 
-def stage_marts(lake: Lake, frozen: Snapshot, zones: DataFrame, run_id: str) -> dict[str, Snapshot]:
+def stage_marts(lake: Lake, frozen: Snapshot, zones: DataFrame) -> dict[str, Snapshot]:
     """Both marts as snapshots that are not yet visible: the audited batch itself, and the dimension."""
-    dim = lake.write_snapshot(MARTS_NAMESPACE, DIM_MART, dim_mart(zones), run_id)
-    return {FACT_MART: frozen.named(MARTS_NAMESPACE, FACT_MART), DIM_MART: dim}
+    dim = lake.write_snapshot(MARTS_NAMESPACE, DIM_MART, dim_mart(zones))
+    return {DIM_MART: dim, FACT_MART: frozen.named(MARTS_NAMESPACE, FACT_MART)}
 
 
 def proven_by_gate(results: list[dict]) -> dict[str, int]:

@@ -7,7 +7,6 @@ Every entry runs on whole tables (no row caps, id subsets or prefixes); the limi
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from auditlane.functions.exprs import floor_to_second, int_cast, minutes_between, safe_divide
-from auditlane.operators import datatests, enrich, faults, gate, rules, staging
+from auditlane.operators import contracts, datatests, differences, enrich, faults, gate, rules, staging
 from auditlane.plans import bindings as b
 from auditlane.plans import oracle_sql as q
 from auditlane.plans import flow, publish
@@ -61,31 +60,24 @@ def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_trips(staged_orders(spark, sf_dir), staged_zones(spark, sf_dir))
 
 
-# Frozen batches by (lake root, batch): one copy each, reused by the queries of an application.
-_frozen: dict[tuple[str, str], str] = {}
-
-
-def frozen(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
-    """``df`` written once and read back, as the gate of a run sees it."""
-    key = (f"{lake_root(spark)}/queries/{spark.sparkContext.applicationId}", f"{name}-{sf_dir}")
-    if key not in _frozen:
-        path = f"{key[0]}/frozen-{hashlib.md5(key[1].encode()).hexdigest()}"
-        df.write.mode("overwrite").parquet(path)
-        _frozen[key] = path
-    return spark.read.parquet(_frozen[key])
+def frozen(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` written and read back, as the gate of a run sees it; anew in each query."""
+    path = f"{lake_root(spark)}/queries/frozen-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def frozen_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frozen(spark, sf_dir, "lines", enriched_lines(spark, sf_dir))
+    return frozen(spark, enriched_lines(spark, sf_dir))
 
 
 def frozen_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frozen(spark, sf_dir, "orders", enriched_orders(spark, sf_dir))
+    return frozen(spark, enriched_orders(spark, sf_dir))
 
 
 def frozen_after(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     raw = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
-    return frozen(spark, sf_dir, f"orders-{mode}", enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir)))
+    return frozen(spark, enrich.enrich_trips(staging.stage_trips(raw), staged_zones(spark, sf_dir)))
 
 
 def gate_rows(df: DataFrame, suite, batch: str | None = None) -> DataFrame:
@@ -214,9 +206,10 @@ def q_gate_suite_reference_bounds(spark, sf_dir):
 
 
 def q_gate_verdict(spark, sf_dir):
+    lines = frozen_lines(spark, sf_dir)
     batches = (
-        ("line_trips", frozen_lines(spark, sf_dir), line_suite()),
-        ("line_trips_reference_bounds", frozen_lines(spark, sf_dir), rules.trips_suite()),
+        ("line_trips", lines, line_suite()),
+        ("line_trips_reference_bounds", lines, rules.trips_suite()),
         ("order_trips", frozen_orders(spark, sf_dir), order_suite()),
     )
     parts = [
@@ -418,6 +411,127 @@ def q_land_twice(spark, sf_dir):
     )
 
 
+# -- batch-level rules, contracts and differences -------------------------------------
+
+NO_SUCH_PAYMENT = 9  # a payment type that no order has: the batch cut to it is empty
+MIN_ROWS = 1
+
+
+def min_rows_suite(least: int):
+    return rules.trips_suite(fare_max=ORDER_FARE_MAX, min_rows=least)
+
+
+def q_gate_min_rows(spark, sf_dir):
+    """The order batch, and one that lost all its rows: only the rule on the table's total sees that."""
+    whole = frozen_orders(spark, sf_dir)
+    lost = whole.where(F.col("payment_type") == NO_SUCH_PAYMENT)
+    return gate_rows(whole, min_rows_suite(MIN_ROWS), "order_trips").unionByName(gate_rows(lost, min_rows_suite(MIN_ROWS), "lost"))
+
+
+def drifted_orders(spark, sf_dir):
+    """Raw orders whose columns changed upstream: one renamed, one wider, one narrower, one as text, one of another kind."""
+    return faults.schema_drift(b.order_trips(spark, sf_dir)).withColumns({
+        "passenger_count": F.col("passenger_count").cast("double"), "payment_type": F.col("payment_type").cast("int"),
+        "fare_amount": F.col("fare_amount").cast("string"), "tip_amount": F.col("tip_amount") > 0})
+
+
+def q_schema_diff(spark, sf_dir):
+    """Drifted trips against the raw contract, with how many values each column holds."""
+    return contracts.schema_report(drifted_orders(spark, sf_dir), csv.RAW_TRIPS_TYPES)
+
+
+DIFFERENCE_COLUMNS = ("vendor_id", "passenger_count", "payment_type", "fare_amount")
+
+
+def q_rows_difference(spark, sf_dir):
+    """What a batch with repeated and negated rows has too many and too few of, against the clean one."""
+    clean = b.order_trips(spark, sf_dir)
+    return differences.multiset_difference(faults.negative_values(faults.dup_pk(clean)), clean, DIFFERENCE_COLUMNS)
+
+
+def q_golden_rows(spark, sf_dir):
+    """Every enriched line whose measures are known beforehand, against what the model makes of it.
+
+    Known: lines that ship on the order's date or a whole number of days off have 1,440 minutes a day, and a
+    fare per mile that is the price per unit.  An empty result says that all rows are as expected.
+    """
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
+    li, o = b.table(spark, sf_dir, "lineitem"), b.table(spark, sf_dir, "orders")
+    midnight = lambda c: F.col(c) == F.date_trunc("DAY", F.col(c)).cast("timestamp_ntz")
+    known = li.join(o, li.l_orderkey == o.o_orderkey).where(midnight("l_shipdate") & midnight("o_orderdate")).select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("trip_id"), (day * 1440.0).alias("trip_duration_minutes"),
+        F.when(F.col("l_quantity") != 0, F.col("l_extendedprice") / F.col("l_quantity")).alias("fare_per_mile"))
+    model = enriched_lines(spark, sf_dir).where(midnight("pickup_at") & midnight("dropoff_at"))
+    return differences.multiset_difference(model.select(*known.columns), known).unionByName(
+        known.groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(None).cast("long").alias("trip_id"), F.lit(None).cast("double").alias("trip_duration_minutes"),
+            F.lit(None).cast("double").alias("fare_per_mile"), F.lit("expected").alias("side"), "n_rows"))
+
+
+def q_orphan_keys(spark, sf_dir):
+    """Zone keys of lines that a dimension without one region lacks, with their rows."""
+    fct = publish.fact_mart(enriched_lines(spark, sf_dir))
+    dim = publish.dim_mart(staged_zones(spark, sf_dir, drop_region=DROPPED_REGION))
+    return datatests.orphan_keys(fct, "dropoff_location_id", dim, "location_id")
+
+
+def q_run_stages(spark, sf_dir):
+    """The stage logs of five runs, one a fault mode."""
+    parts = []
+    for mode in RUN_MODES:
+        lake = scratch_lake(spark, f"stages-{mode}")
+        flow.run(spark, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir), fault=mode, suite=order_suite(), lake=lake)
+        parts.append(flow.stage_log(spark, lake).select("fault_mode", "position", "stage", "status", "rows_in", "rows_out", "failed_rules"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_csv_mixed_headers(spark, sf_dir):
+    """Two files of one table with their columns in another order."""
+    lake = scratch_lake(spark, "csv-mixed")
+    trips, path = b.order_trips(spark, sf_dir), f"{lake.root}/landing/trips_csv"
+    csv.write_csv(trips.where("trip_id % 2 = 0"), path)
+    csv.write_csv(trips.where("trip_id % 2 = 1").select(*reversed(trips.columns)), path, mode="append")
+    return staging.stage_trips(csv.read_trips_csv(spark, path))
+
+
+# Texts that a quoted field must bring back unchanged: quotes, commas, backslashes, outer spaces.
+AWKWARD = ('say "hi", x', " outer ", "back\\slash", '"', "a\\", ",", "  ", 'x""y')
+
+
+def awkward_zones(spark, sf_dir):
+    zones = b.nation_zones(spark, sf_dir)
+    pick = F.element_at(F.array(*[F.lit(t) for t in AWKWARD]), (F.col("location_id") % len(AWKWARD) + 1).cast("int"))
+    return zones.withColumn("zone", F.concat(pick, "zone", pick))
+
+
+def q_csv_quoting(spark, sf_dir):
+    lake = scratch_lake(spark, "csv-quoting")
+    csv.write_csv(awkward_zones(spark, sf_dir), f"{lake.root}/zones")
+    return staging.stage_zones(csv.read_zones_csv(spark, f"{lake.root}/zones"))
+
+
+def loose_orders(spark, sf_dir):
+    """Raw orders as texts of mixed kinds: whole and broken numbers, dates, null texts and junk."""
+    t = b.order_trips(spark, sf_dir)
+    text = lambda c: F.col(c).cast("string")
+    mod = lambda n, k: F.col("trip_id") % n == k
+    return t.select(
+        text("trip_id").alias("trip_id"),
+        F.when(mod(100, 7), "NA").when(mod(100, 8), "").otherwise(text("passenger_count")).alias("passenger_count"),
+        F.when(mod(10, 3), "2.5").when(mod(100, 9), "1e3").otherwise(text("passenger_count")).alias("parts"),
+        F.date_format("pickup_datetime", "yyyy-MM-dd").alias("pickup_day"),
+        F.when(mod(50, 1), "2024-13-45").otherwise(F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss")).alias("pickup_time"),
+        F.when(mod(25, 2), "abc").when(mod(25, 4), "null").otherwise(text("payment_type")).alias("payment_type"),
+        F.lit("NaN").alias("nothing"))
+
+
+def q_csv_inferred_types(spark, sf_dir):
+    """What each column of files is whose columns aren't known, from all their values."""
+    lake = scratch_lake(spark, "csv-types")
+    csv.write_csv(loose_orders(spark, sf_dir), f"{lake.root}/loose")
+    return csv.inferred_types(csv.read_csv(spark, f"{lake.root}/loose"))
+
+
 def q_csv_roundtrip(spark, sf_dir):
     lake = scratch_lake(spark, "csv")
     path = f"{lake.root}/landing/trips_csv"
@@ -555,6 +669,15 @@ QUERIES: dict[str, Query] = {
     "run_outcomes": q_run_outcomes,
     "run_outcomes_csv": q_run_outcomes_csv,
     "stream_gate": q_stream_gate,
+    "csv_mixed_headers": q_csv_mixed_headers,
+    "csv_quoting": q_csv_quoting,
+    "csv_inferred_types": q_csv_inferred_types,
+    "gate_min_rows": q_gate_min_rows,
+    "schema_diff": q_schema_diff,
+    "rows_difference": q_rows_difference,
+    "golden_rows": q_golden_rows,
+    "run_stages": q_run_stages,
+    "orphan_keys": q_orphan_keys,
 }
 
 
@@ -670,6 +793,93 @@ def _mart_tests_sql(batch: str, enriched_sql: str) -> str:
     )
 
 
+def _min_rows_sql(batch: str, name: str) -> str:
+    return q.gate_results(batch, q.suite_rules(ORDER_FARE_MAX) + [(7, "batch_min_rows", "min_rows", "", 1.0, MIN_ROWS, None)], name)
+
+
+def _schema_diff_sql() -> str:
+    """Names and types are what the contract and the changes say; the counts come from the rows."""
+    changed = {"passenger_count": ("widened", "double"), "payment_type": ("narrowed", "int"), "fare_amount": ("text", "string"),
+               "tip_amount": ("incompatible", "boolean"), faults.DRIFT_OLD_NAME: ("missing", None)}
+    rows = [(c, *changed.get(c, ("same", t)), t) for c, t in csv.RAW_TRIPS_TYPES.items()] + [(faults.DRIFT_NEW_NAME, "extra", "double", None)]
+    text = lambda v: "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
+    return "\nUNION ALL\n".join(
+        f"SELECT {k} AS position, '{c}' AS \"column\", '{status}' AS status, {text(expected)} AS expected_type, {text(actual)} AS actual_type, "
+        + ("CAST(CASE WHEN count(*) < 0 THEN 0 END AS BIGINT)" if status == "missing" else f"count({c})") + f" AS n_values FROM ({q.schema_drift(q.ORDER_RAW)}) t"
+        for k, (c, status, actual, expected) in enumerate(rows))
+
+
+def _rows_difference_sql() -> str:
+    cols = ", ".join(DIFFERENCE_COLUMNS)
+    changed = q.negative_values(q.dup_pk(q.ORDER_RAW))
+    return f"""
+SELECT {cols}, CASE WHEN sum(s) > 0 THEN 'unexpected' ELSE 'missing' END AS side, CAST(abs(sum(s)) AS BIGINT) AS n_rows
+FROM (SELECT {cols}, 1 AS s FROM ({changed}) a UNION ALL SELECT {cols}, -1 AS s FROM ({q.ORDER_RAW}) e) u
+GROUP BY {cols} HAVING sum(s) <> 0"""
+
+
+GOLDEN_SQL = """
+SELECT CAST(NULL AS BIGINT) AS trip_id, CAST(NULL AS DOUBLE) AS trip_duration_minutes, CAST(NULL AS DOUBLE) AS fare_per_mile,
+       'expected' AS side, count(*) AS n_rows
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE l.l_shipdate = date_trunc('day', l.l_shipdate) AND o.o_orderdate = date_trunc('day', o.o_orderdate)"""
+
+
+def _run_stages_sql() -> str:
+    def of(mode: str, raw: str) -> str:
+        gate_sql = q.decided(q.rule_metrics(q.enriched(raw, q.zones_raw()), q.suite_rules(ORDER_FARE_MAX)))
+        return f"""
+SELECT '{mode}' AS fault_mode, s.position, s.stage,
+       CASE s.stage WHEN 'gate' THEN CASE WHEN failed > 0 THEN 'blocked' ELSE 'done' END
+                    WHEN 'publish' THEN CASE WHEN failed > 0 THEN 'skipped' ELSE 'done' END ELSE 'done' END AS status,
+       CASE WHEN s.stage = 'publish' AND failed > 0 THEN NULL WHEN s.stage = 'land' THEN n.came ELSE landed END AS rows_in,
+       CASE WHEN s.stage = 'publish' AND failed > 0 THEN NULL WHEN s.stage = 'gate' AND failed > 0 THEN 0 ELSE landed END AS rows_out,
+       CAST(CASE WHEN s.stage = 'gate' THEN failed WHEN s.stage = 'publish' AND failed = 0 THEN 0 END AS INTEGER) AS failed_rules
+FROM (SELECT count(*) FILTER (WHERE NOT success) AS failed, max(element_count) AS landed FROM ({gate_sql}) g) x,
+     (SELECT count(*) AS came FROM ({q.ORDER_RAW}) o) n,
+     (VALUES (0, 'land'), (1, 'build'), (2, 'gate'), (3, 'publish')) s(position, stage)"""
+
+    runs = [of(mode, raw) for mode, raw in (("none", q.ORDER_RAW), ("null_flood", q.null_flood(q.ORDER_RAW)),
+                                            ("dup_pk", q.dup_pk(q.ORDER_RAW)), ("negative_values", q.negative_values(q.ORDER_RAW)))]
+    # A missing column can't be asked for in SQL: these rows are what the contract says.
+    drift = f"""
+SELECT 'schema_drift' AS fault_mode, s.position, s.stage, s.status, CASE WHEN s.position = 0 THEN came END AS rows_in,
+       CASE WHEN s.position = 0 THEN came END AS rows_out, CAST(NULL AS INTEGER) AS failed_rules
+FROM (SELECT count(*) AS came FROM ({q.schema_drift(q.ORDER_RAW)}) o) n,
+     (VALUES (0, 'land', 'done'), (1, 'build', 'failed'), (2, 'gate', 'skipped'), (3, 'publish', 'skipped')) s(position, stage, status)"""
+    return "\nUNION ALL\n".join(f"SELECT * FROM ({r}) r" for r in [*runs, drift])
+
+
+def _inferred_types_sql() -> str:
+    """Values of each text column that look like a type and can be cast to it."""
+    null_texts = ", ".join(f"'{t}'" for t in staging.NULL_TEXTS)
+    columns = {
+        "trip_id": "CAST(trip_id AS VARCHAR)",
+        "passenger_count": "CASE trip_id % 100 WHEN 7 THEN 'NA' WHEN 8 THEN '' ELSE CAST(passenger_count AS VARCHAR) END",
+        "parts": "CASE WHEN trip_id % 10 = 3 THEN '2.5' WHEN trip_id % 100 = 9 THEN '1e3' ELSE CAST(passenger_count AS VARCHAR) END",
+        "pickup_day": "strftime(pickup_datetime, '%Y-%m-%d')",
+        "pickup_time": "CASE WHEN trip_id % 50 = 1 THEN '2024-13-45' ELSE strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S') END",
+        "payment_type": "CASE trip_id % 25 WHEN 2 THEN 'abc' WHEN 4 THEN 'null' ELSE CAST(payment_type AS VARCHAR) END",
+        "nothing": "'NaN'",
+    }
+    parts = []
+    for k, (name, text) in enumerate(columns.items()):
+        is_a = lambda kind, pattern: f"count(*) FILTER (WHERE NOT absent AND regexp_matches(v, '{pattern}') AND TRY_CAST(v AS {kind}) IS NOT NULL)"
+        counts = f"""SELECT count(*) FILTER (WHERE NOT absent) AS n_values, count(*) FILTER (WHERE absent) AS n_null_texts,
+  {is_a('BIGINT', csv.LONG_TEXT)} AS n_long, {is_a('DOUBLE', csv.DOUBLE_TEXT)} AS n_double, {is_a('TIMESTAMP', csv.TIMESTAMP_TEXT)} AS n_timestamp
+FROM (SELECT v, v IS NULL OR v IN ({null_texts}) AS absent FROM (SELECT {text} AS v FROM ({q.ORDER_RAW}) o) t) a"""
+        parts.append(f"""SELECT {k} AS position, '{name}' AS "column", n_values, n_null_texts, n_long, n_double, n_timestamp,
+  CASE WHEN n_values = 0 THEN 'string' WHEN n_long = n_values THEN 'bigint' WHEN n_double = n_values THEN 'double'
+       WHEN n_timestamp = n_values THEN 'timestamp_ntz' ELSE 'string' END AS type FROM ({counts}) c""")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _quoting_sql() -> str:
+    cases = " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(AWKWARD))
+    pick = f"CASE z.location_id % {len(AWKWARD)} {cases} END"
+    return q.stg_zones(f"SELECT z.location_id, z.borough, {pick} || z.zone || {pick} AS zone FROM ({q.zones_raw()}) z")
+
+
 ORACLE: dict[str, str] = {
     "stage_trips": q.stg_trips(q.LINE_RAW),
     "stage_zones": q.stg_zones(q.zones_raw()),
@@ -775,4 +985,18 @@ FROM ({q.LINE_RAW}) t""",
     "alert_payload": _alert_sql(rules.FARE_MAX, f", '{CHECKED_AT.isoformat()}' AS checked_at, "
                                 "CASE g.rule_id {{notes}} END AS notes".replace("{{", "{").replace("}}", "}")),
     "alert_sink": _alert_sql(LINE_FARE_MAX, ", CASE g.rule_id {notes} END AS notes"),
+    "csv_mixed_headers": q.stg_trips(q.ORDER_RAW),
+    "csv_quoting": _quoting_sql(),
+    "csv_inferred_types": _inferred_types_sql(),
+    "gate_min_rows": _min_rows_sql(q.order_enriched(), "order_trips") + "\nUNION ALL\n"
+    + _min_rows_sql(f"SELECT * FROM ({q.order_enriched()}) e WHERE payment_type = {NO_SUCH_PAYMENT}", "lost"),
+    "schema_diff": _schema_diff_sql(),
+    "rows_difference": _rows_difference_sql(),
+    "golden_rows": GOLDEN_SQL,
+    "run_stages": _run_stages_sql(),
+    "orphan_keys": f"""
+SELECT f.dropoff_location_id, count(*) AS n_rows FROM ({q.line_enriched()}) f
+WHERE f.dropoff_location_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM ({q.stg_zones(q.zones_raw(DROPPED_REGION))}) d WHERE d.location_id = f.dropoff_location_id)
+GROUP BY f.dropoff_location_id""",
 }

@@ -16,6 +16,14 @@ from pyspark.sql.utils import AnalysisException
 from auditlane.sources.lake import Lake
 
 
+# Fields of an alert document; sample ids are read as text, whatever their type.
+ALERT_SCHEMA = (
+    "source string, gate string, model string, suite_name string, checked_at string, success boolean, row_count long, "
+    "failed_expectation_count long, failures array<struct<rule_index: int, expectation_type: string, column: string, "
+    "unexpected_count: long, unexpected_percent: double, sample_trip_ids: array<string>, notes: string>>"
+)
+
+
 class ResultsSink:
     def __init__(self, lake: Lake, name: str = "gate_results"):
         self.path = f"{lake.root}/results/{name}"
@@ -36,11 +44,15 @@ class AlertSink:
         return self.path
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.json(self.path)
+        return spark.read.schema(ALERT_SCHEMA).json(self.path)
 
     def last(self, spark: SparkSession) -> dict | None:
+        """The alert of greatest ``checked_at``: one aggregate, every task keeps its greatest."""
         try:
-            rows = self.read(spark).orderBy(F.col("checked_at").desc()).limit(1).collect()
-        except AnalysisException:  # nothing written yet
-            return None
-        return rows[0].asDict(recursive=True) if rows else None
+            alerts = self.read(spark)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+            return None  # nothing written yet
+        found = alerts.agg(F.max_by(F.struct(*alerts.columns), "checked_at").alias("a")).first()["a"]
+        return None if found is None else found.asDict(recursive=True)

@@ -53,7 +53,7 @@ def build_workloads(spark, sf_dir: str, root: str) -> list:
         df.write.format("noop").mode("overwrite").save()
 
     def do_freeze():
-        frozen_holder["df"] = flow.freeze(lake, registry.enriched_lines(spark, sf_dir), "bench")
+        frozen_holder["df"] = flow.freeze(lake, registry.enriched_lines(spark, sf_dir))
 
     def do_gate():
         gate.evaluate(frozen_holder["df"], suite_line, model=registry.MODEL,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from auditlane.operators import faults
-from auditlane.operators.sampling import landed, rank_text, select_exact
+from auditlane.operators.sampling import key_text, landed, rest_text, select_exact
 
 
 def _table(spark, n):
@@ -91,7 +91,7 @@ def _hot_table(spark, identical: bool):
 
 def _expected(df, n, seed):
     """Brute force: sort every stored row by its rank text and take n."""
-    ranked = df.select("*", rank_text(df, ["trip_id"], seed).alias("__h")).collect()
+    ranked = df.select("*", F.concat(key_text(["trip_id"], seed), rest_text(df)).alias("__h")).collect()
     assert len({r["__h"] for r in ranked}) == len(ranked)
     return sorted((r.trip_id, r.fare_amount) for r in sorted(ranked, key=lambda r: r["__h"])[:n])
 

@@ -136,9 +136,10 @@ def test_last_commit_wins(spark, lake):
     b_ = lake.write_snapshot("raw", "t", spark.range(2))
     lake.commit(b_)
     assert lake.read("raw", "t").count() == 2
-    first, = lake.commit(a)
-    assert lake.read("raw", "t").count() == 1 and lake.current_snapshot_id("raw", "t") == first.snapshot_id
-    assert lake.read("raw", "t", first.snapshot_id - 1).count() == 2
+    lake.commit(a)
+    assert lake.read("raw", "t").count() == 1 and lake.current_snapshot_id("raw", "t") == a.snapshot_id
+    assert lake.read("raw", "t", b_.snapshot_id).count() == 2
+    assert {r["snapshot_id"]: r["row_count"] for r in lake.history("raw", "t").collect()} == {a.snapshot_id: 1, b_.snapshot_id: 2}
 
 
 def test_only_the_batchs_own_errors_are_structural(spark, lake, monkeypatch):
@@ -226,7 +227,7 @@ def test_gate_proven_mart_tests_match_running_them(spark, lake):
     frozen = lake.read(flow.STAGING_NAMESPACE, flow.GATED_MODEL, built["frozen_snapshot_id"])
     report = run_gate(frozen, order_suite(), model=flow.GATED_MODEL, suite=TRIPS_SUITE_NAME)
     zones = flow.stage_zones(landing.raw_tables(lake)[1])
-    staged = publish.stage_marts(lake, lake.snapshot(flow.STAGING_NAMESPACE, flow.GATED_MODEL), zones, "t")
+    staged = publish.stage_marts(lake, lake.snapshot(flow.STAGING_NAMESPACE, flow.GATED_MODEL), zones)
     known = publish.proven_by_gate(report.results)
     assert set(known) == {"fct_trips_trip_id_unique", "fct_trips_trip_id_not_null", "int_trips_enriched_trip_id_unique",
                           "int_trips_enriched_trip_id_not_null", "int_trips_enriched_trip_duration_minutes_not_null"}
@@ -244,15 +245,55 @@ def test_uncastable_value_is_a_structural_failure(spark, lake):
     assert not lake.exists(publish.MARTS_NAMESPACE, publish.FACT_MART)
 
 
-def test_land_leaves_parquet_data_and_json_commits(spark, lake):
+def test_land_leaves_plain_parquet_and_a_catalog_table(spark, lake):
     import glob
-    import os
 
     m = landing.land(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL))
-    data = glob.glob(f"{lake.snapshot('raw', 'trips', m.trips_snapshot_id).path}/*.parquet")
-    commits = [f for f in glob.glob(f"{lake.root}/_commits/*.json") if os.path.getsize(f) > 0]
-    assert data and len(commits) == 1
-    assert spark.read.parquet(*data).count() == m.trips_rows
+    data = glob.glob(f"{lake.root}/raw/trips/snapshot_id={m.trips_snapshot_id}/*.parquet")
+    assert data and spark.read.parquet(*data).count() == m.trips_rows
+    assert spark.table(f"{lake.database('raw')}.trips").count() == m.trips_rows
+    assert glob.glob(f"{lake.root}/_*") == []  # no log of our own
+
+
+def test_tables_that_are_not_ours_are_left_alone(spark, lake):
+    import pytest
+
+    from auditlane.sources import catalog
+
+    landing.land(lake, b.order_trips(spark, SF_SMALL), b.nation_zones(spark, SF_SMALL))
+    spark.sql("CREATE DATABASE IF NOT EXISTS theirs")
+    spark.range(5).write.mode("overwrite").saveAsTable("theirs.trips")
+    spark.range(3).write.mode("overwrite").option("path", f"{lake.root}/external").saveAsTable("theirs.external")
+    try:
+        found = lake.snapshot("raw", "trips")
+        for name in ("trips", "external"):
+            with pytest.raises(catalog.NotOurs):
+                catalog.point(spark, "theirs", name, found.path, found.schema)
+        assert spark.table("theirs.trips").count() == 5 and spark.table("theirs.external").count() == 3
+        # Ours is moved, also to other columns, and a frame that was read before keeps its rows.
+        catalog.point(spark, "theirs", "own", found.path, found.schema)
+        before = spark.table("theirs.own")
+        zones = lake.snapshot("raw", "zones")
+        catalog.point(spark, "theirs", "own", zones.path, zones.schema)
+        assert spark.table("theirs.own").columns == ["location_id", "borough", "zone"]
+        assert before.count() == b.table(spark, SF_SMALL, "orders").count()
+    finally:
+        spark.sql("DROP DATABASE theirs CASCADE")
+
+
+def test_queries_answer_from_the_tables_as_they_are(spark, tmp_path):
+    import shutil
+
+    from auditlane.plans import registry
+
+    folder = str(tmp_path / "sf")
+    shutil.copytree(SF_SMALL, folder)
+    assert registry.q_rule_unique(spark, folder).first()["element_count"] == 6000
+    shutil.copy(f"{SF_SMALL}/lineitem.parquet", str(tmp_path / "whole.parquet"))
+    import os
+    os.remove(f"{folder}/lineitem.parquet")
+    spark.read.parquet(str(tmp_path / "whole.parquet")).limit(100).write.parquet(f"{folder}/lineitem.parquet")
+    assert registry.q_rule_unique(spark, folder).first()["element_count"] == 100
 
 
 def test_orphans_are_the_same_shuffled_and_broadcast(spark):

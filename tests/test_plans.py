@@ -20,7 +20,7 @@ def _plan(df) -> str:
 
 
 def _frozen(spark, lake):
-    return flow.freeze(lake, enriched_lines(spark, SF_SMALL), "plan-test")
+    return flow.freeze(lake, enriched_lines(spark, SF_SMALL))
 
 
 def test_gate_shuffles_only_the_key_and_single_rows(spark, lake):
@@ -43,13 +43,30 @@ def test_gate_reads_only_rule_columns(spark, lake):
                        "trip_duration_minutes"}
 
 
-def test_samples_take_one_scan_and_limit_before_the_shuffle(spark, lake):
+def test_samples_limit_before_the_shuffle_and_shuffle_ids_alone(spark, lake):
     df = _frozen(spark, lake)
     every = [r.rule_id for r in rules.trips_suite()]
-    plan = _plan(gate.offender_samples(df, rules.trips_suite(), every))
-    assert plan.count("FileScan") == 1 and "WindowGroupLimit" in plan
     rowwise = _plan(gate.offender_samples(df, rules.trips_suite(), [r for r in every if r != "trip_id_unique"]))
     assert rowwise.count("FileScan") == 1 and rowwise.count("Exchange") == 1 and "WindowGroupLimit" in rowwise
+    plan = _plan(gate.offender_samples(df, rules.trips_suite(), every))
+    hashed = re.findall(r"Exchange hashpartitioning\(([^#]+)", plan)
+    assert plan.count("FileScan") == 2 and sorted(hashed) == ["rule_id", "rule_id", "trip_id"]
+    assert len(re.findall(r"WindowGroupLimit.*Partial", plan)) == 2
+    # The exchange by id carries the id and one count.
+    keyed = next(line for line in plan.splitlines() if "partial_count" in line)
+    assert "functions=[partial_count(1)]" in keyed
+
+
+def test_selection_reads_the_key_alone(spark, monkeypatch):
+    from auditlane.operators import sampling
+
+    seen, find = [], sampling._find_cut
+    monkeypatch.setattr(sampling, "_find_cut", lambda texts, *a: seen.append(_plan(texts)) or find(texts, *a))
+    df = landed(b.order_trips(spark, SF_SMALL))
+    select_exact(df, 10, key_cols=["trip_id"], seed=7)
+    assert len(seen) == 1 and re.findall(r"ReadSchema: struct<([^>]*)>", seen[0]) == ["trip_id:bigint"]
+    select_exact(df, 10, key_cols=["vendor_id"], seed=7)  # a hot key: its rows are ranked by all columns, in one more descent
+    assert len(seen) == 3 and re.findall(r"ReadSchema: struct<([^>]*)>", seen[1]) == ["vendor_id:bigint"]
 
 
 def test_selection_predicate_is_a_pure_filter(spark):
@@ -65,7 +82,7 @@ def test_mart_tests_scan_the_fact_once_for_rows_and_once_for_keys(spark, lake):
     tables = {publish.ENRICHED_MODEL: df, publish.FACT_MART: df, publish.DIM_MART: dim}
     own = [t for t in publish.MART_TESTS if t.model == publish.FACT_MART]
     plan = _plan(datatests.run_data_tests(own, tables))
-    assert len(re.findall(r"FileScan parquet \[[^\]]*(?:trip_id|fare_amount)", plan)) == 2
+    assert len(re.findall(r"FileScan parquet [^\[]*\[[^\]]*(?:trip_id|fare_amount)", plan)) == 2
 
 
 def test_building_the_enrichment_starts_no_counts(spark):
