@@ -38,6 +38,31 @@ def test_pairs_with_a_missing_part_are_not_named(spark):
     assert got == {k: (k, 1) for k in range(5)} | {9: (10, 2), 10: (10, 2)}
 
 
+def _names(spark, data, partitions):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    docs = session.createDataFrame([(d, t) for d, t, *_ in data], "doc_id long, text string").repartition(partitions)
+    return sorted((r.text_sha256, r.level, r.name["hash"], r.name["place"]) for r in exact.identities(docs, block_bytes=64).collect())
+
+
+def test_every_text_has_an_identity_that_partitions_do_not_change(spark):
+    data = rows()
+    few, many = _names(spark, data, 2), _names(spark, data, 9)
+    assert few == many and len(few) == len(data)
+    assert len({n[1:] for n in few}) == len({n[0] for n in few}) == len({ascii_lower(t) for _, t, *_ in data})
+
+
+def test_blocks_whose_hashes_collide_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(exact, "_hash", lambda *parts: exact.F.pmod(exact.F.xxhash64(*parts), exact.F.lit(2)))
+    data = [r for r in rows() if len(r[1] or "") < 2_000]
+    got = exact.exact_dedup(frame(spark, data), block_bytes=32).collect()
+    sizes = {}
+    for _, t, *_ in data:
+        sizes[ascii_lower(t)] = sizes.get(ascii_lower(t), 0) + 1
+    want = sorted((hashlib.sha256(ascii_lower(t).encode()).hexdigest(), sizes[ascii_lower(t)]) for _, t, *_ in data)
+    assert sorted((r.text_sha256, r.group_size) for r in got) == want
+
+
 def test_drop_copies_keeps_columns_and_one_row_each(spark):
     docs = frame(spark)
     left = exact.drop_copies(docs)
