@@ -75,3 +75,48 @@ def test_intervals_merge():
 
 def test_empty_table(spark):
     assert run(spark, []) == []
+
+
+def test_segments_change_nothing(spark, monkeypatch):
+    draw = random.Random(3)
+    passages = [[draw.choice("abcd") + str(draw.randrange(9)) for _ in range(draw.randrange(5, 90))] for _ in range(6)]
+    data = [(draw.randrange(50), " ".join(x for _ in range(draw.randrange(0, 9)) for x in draw.choice(passages)[draw.randrange(4):]), "en", "s") for _ in range(60)]
+    monkeypatch.setattr(substring, "SEGMENT_BYTES", 100)
+    monkeypatch.setattr(substring, "RUNS_AT_ONCE", 2)
+    assert run(spark, data, window=12, anchor_words=4) == expected(data, 12)
+
+
+def test_runs_of_segments_are_those_of_the_whole(monkeypatch):
+    text = " ".join(str(k * k % 101) for k in range(5_000))
+    whole = [np.concatenate(x) for x in zip(*substring.text_runs(substring.Roller(), text, 50, 10))]
+    monkeypatch.setattr(substring, "SEGMENT_BYTES", 700)
+    parts = [np.concatenate(x) for x in zip(*substring.text_runs(substring.Roller(), text, 50, 10))]
+    assert len(list(substring.text_runs(substring.Roller(), text, 50, 10))) > 10
+    assert all((a == b).all() for a, b in zip(whole, parts))
+
+
+def test_the_identity_of_a_run_comes_from_its_windows():
+    roller = substring.Roller()
+    found = {}
+    for seed in range(4):
+        rng = random.Random(seed % 2)
+        words_ = [str(rng.randrange(5)).encode() for _ in range(300)]
+        roller.load(words_)
+        start, length, _, run_ = roller.runs(300, 50, 10)
+        for s, n, r in zip(start, length, run_):
+            found.setdefault(int(r), set()).add(tuple(tuple(words_[s + t:s + t + 50]) for t in range(n)))
+    assert all(len(v) == 1 for v in found.values())
+
+
+def test_a_very_long_text_takes_little_memory():
+    import tracemalloc
+
+    text = " ".join(f"w{k * 7919 % 100_003}" for k in range(4_500_000))  # 29 MB
+    roller = substring.Roller()
+    tracemalloc.start()
+    n = sum(len(x[0]) for x in substring.text_runs(roller, text, 50, 10))
+    words_, kept, _ = substring.kept_words(text, [(10, 60), (1_000_000, 2_000_000)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 100_000 and (words_, kept) == (4_500_000, 3_499_950)
+    assert peak < 6 * len(text)
