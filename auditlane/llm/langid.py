@@ -3,17 +3,18 @@
 A text is its hashed byte n-grams (one to three bytes of the lower-cased text, marked at word
 borders), as square roots of their shares.  A softmax model tells the language families
 apart; inside a family, one linear support vector machine for each pair of languages votes
-(ties go to the larger sum of margins).  `FAMILIES` says which languages are related; one
-that it doesn't list is a family by itself.
+(ties go to the larger sum of margins).  Families are learned: a softmax model of the languages themselves is fitted to
+either half of the sample and asked for the other; languages that it takes for each other in a share of
+`CONFUSED` or more are one family, and so are those that `FAMILIES`, the start, lists together.
 
-Learning takes at most `LEARN_ROWS` labelled documents of each language, those with the
+Learning takes at most `LEARN_ROWS` labelled documents of each of the `MAX_LANGS` most frequent languages, those with the
 smallest hashes of the doc_id, each whole and as `FRAGMENTS` short pieces (so that a title is
 judged as well as a book).  The driver holds them as columns and values of what isn't zero, and fits
 from these; `WIDTH` columns are made only for a batch.  Everything else covers every row and whole
 texts, in Arrow batches without a shuffle; the model sent along has a fixed size for each language.
 
 Defined cases: text null or without a letter: `und`, score 0; nothing learned: the same for
-all; one language learned: that language; null or empty `lang`: never learned from; rows
+all; one language learned: that language; very long texts are read whole, as one row of a batch; null or empty `lang`: never learned from; rows
 that repeat are predicted alike, and an id is learned from once (the smallest language, then text hash); an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -45,6 +46,10 @@ LEARN_ROWS = 600
 FRAGMENTS = 2
 FRAGMENT_WORDS = 6
 SEED = 53
+MAX_LANGS = 200
+CONFUSED = 0.02
+JUDGED_ROWS = 50  # pieces of a language that make its confusions count
+CONFUSION_STEPS = 150
 
 
 def vector(text: str) -> np.ndarray:
@@ -179,17 +184,46 @@ def _fit_pair(x: np.ndarray | Sparse, sign: np.ndarray, rounds: int = 30, cost:
     return weights.astype(np.float32)
 
 
+def confusions(x: Sparse, y: np.ndarray, classes: int) -> np.ndarray:
+    """Share of each class's rows that a model of the other half of the rows takes for each class."""
+    half = np.arange(len(y)) // (1 + FRAGMENTS) % 2
+    counts = np.zeros((classes, classes))
+    for side in (0, 1):
+        own, other = np.flatnonzero(half == side), np.flatnonzero(half != side)
+        if len(own) and len(other):
+            weights = _fit_families(Sparse([x.rows[i] for i in own], x.width), y[own], classes, steps=CONFUSION_STEPS)
+            for start in range(0, len(other), 256):
+                some = other[start:start + 256]
+                np.add.at(counts, (y[some], (x.dense(some) @ weights).argmax(1)), 1)
+    return counts / np.maximum(1, counts.sum(1, keepdims=True))
+
+
+def related(x: Sparse, names: np.ndarray) -> dict[str, str]:
+    """The family of each language: those of the list, joined where languages are confused."""
+    langs, y, sizes = np.unique(names, return_inverse=True, return_counts=True)
+    family = {str(lang): family_of(str(lang)) for lang in langs}
+    judged = sizes >= JUDGED_ROWS
+    if judged.sum() > 1:
+        share = confusions(x, y, len(langs))
+        for a, b in combinations(np.flatnonzero(judged), 2):
+            if (share[a, b] + share[b, a]) / 2 >= CONFUSED:
+                one, two = sorted((family[str(langs[a])], family[str(langs[b])]))
+                family = {lang: one if name == two else name for lang, name in family.items()}
+    return family
+
+
 def fit(x: np.ndarray | Sparse, langs: list[str]) -> Identifier:
     """Learn both steps from vectors (sparse ones with a last column of ones) and their languages."""
     if not langs:
         return Identifier([], {}, np.zeros((WIDTH + 1, 0), dtype=np.float32))
     names = np.array(langs)
+    x = x if isinstance(x, Sparse) else Sparse.of(_with_bias(x))
+    family = related(x, names)
     members: dict[str, list[str]] = {}
     for lang in sorted(set(langs)):
-        members.setdefault(family_of(lang), []).append(lang)
+        members.setdefault(family[lang], []).append(lang)
     families = sorted(members)
-    x = x if isinstance(x, Sparse) else Sparse.of(_with_bias(x))
-    y = np.array([families.index(family_of(lang)) for lang in langs])
+    y = np.array([families.index(family[lang]) for lang in langs])
     pairs = {}
     for group in members.values():
         for a, b in combinations(group, 2):
@@ -218,9 +252,10 @@ def learn(docs: DataFrame, learn_rows: int = LEARN_ROWS, id_col: str = "doc_id",
     alone = known.groupBy("_id", "_place").agg(F.min(F.struct("_lang", "_print")).alias("_one")).select("_id", "_place", "_one.*")
     ranked = Window.partitionBy("_lang").orderBy("_place", "_id")
     # Hashes are even, so the smallest learn_rows lie far below the share that holds twice as many (and 100): few rows meet in a window.
-    sizes = alone.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    # Of a column with very many values, the most frequent.
+    sizes = alone.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "_lang").limit(MAX_LANGS)
     low = F.lit(-(2.0**63)) + F.lit(2.0**64 * (2 * learn_rows + 100)) / F.col("_n")
-    alone = alone.join(F.broadcast(sizes), "_lang").where(F.col("_place").cast("double") <= low)  # one row a language
+    alone = alone.join(F.broadcast(sizes), "_lang").where(F.col("_place").cast("double") <= low)  # MAX_LANGS rows at most
     picked = alone.withColumn("_nth", F.row_number().over(ranked)).where(F.col("_nth") <= learn_rows).select("_id", "_lang", "_print")
     # At most learn_rows ids a language: bounded by a parameter, so broadcast.
     chosen = known.join(F.broadcast(picked), ["_id", "_lang", "_print"]).select("_id", "_lang", "_text")

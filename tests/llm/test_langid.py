@@ -101,3 +101,53 @@ def test_the_sample_is_the_smallest_hashes_of_each_language(spark, monkeypatch):
     assert len(got) == 40 and sorted(seen[0][1]) == ["de"] * 20 + ["en"] * 20
     for (at, value), k in zip(got, sorted(want)):
         assert np.allclose(langid.Sparse([(at, value)], langid.WIDTH + 1).dense(np.array([0]))[0, :-1], langid.vector("w" * (1 + k)))
+
+
+def test_families_are_learned_from_confusions():
+    """Two languages that no list knows, alike but for one letter in some words, become one family; a third stays apart."""
+    rng = np.random.default_rng(8)
+    stem = ["kala", "miru", "tono", "sede", "vulo", "paki"]
+
+    def text(lang):
+        words = rng.choice(stem, 6).tolist()
+        if lang == "qc":
+            return " ".join(w[::-1].upper() + "zz" for w in words)
+        return " ".join(w + ("x" if lang == "qa" and rng.random() < 0.35 else "") for w in words)
+
+    langs = [lang for _ in range(90) for lang in ("qa", "qb", "qc")]
+    x = langid._with_bias(np.stack([langid.vector(text(lang)) for lang in langs]))
+    model = langid.fit(langid.Sparse.of(x), langs)
+    assert model.members == {"qa": ["qa", "qb"], "qc": ["qc"]} and set(model.pair_weights) == {("qa", "qb")}
+    assert model.predict([text("qc") for _ in range(20)])[0] == ["qc"] * 20
+
+
+def test_confusions_count_the_other_half():
+    x = langid.Sparse.of(langid._with_bias(np.repeat(np.eye(3, dtype=np.float32), 60, axis=0)[np.random.default_rng(1).permutation(180)]))
+    y = np.array([row[0][0] for row in x.rows])
+    assert np.allclose(langid.confusions(x, y, 3), np.eye(3))
+    mixed = np.where((y == 2) & (np.arange(180) % 4 == 0), 1, y)  # a quarter of 2 is labelled 1
+    assert langid.confusions(x, mixed, 3)[1, 2] > 0.1
+
+
+def test_pair_machine_against_brute_force():
+    """The dual by coordinate descent reaches the objective that plain projected gradient steps reach."""
+    draw = np.random.default_rng(6)
+    x = langid._with_bias(draw.normal(size=(24, 4)).astype(np.float32)).astype(np.float64)
+    sign = np.where(x[:, 0] + 0.8 * draw.normal(size=24) > 0, 1.0, -1.0)
+    gram = (x * sign[:, None]) @ (x * sign[:, None]).T
+    alpha, rate = np.zeros(24), 1 / np.linalg.eigvalsh(gram).max()
+    for _ in range(60_000):
+        alpha = np.clip(alpha + rate * (1 - gram @ alpha), 0, 10.0)
+    want = x.T @ (alpha * sign)
+    loss = lambda w: 0.5 * w @ w + 10.0 * np.maximum(0, 1 - sign * (x @ w)).sum()
+    got = langid._fit_pair(x, sign, rounds=4_000).astype(np.float64)
+    assert loss(got) <= loss(want) * 1.01
+
+
+def test_only_the_most_frequent_languages_are_learned(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid, "FRAGMENTS", 0)
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    monkeypatch.setattr(langid, "fit", lambda x, langs: seen.append(Counter(langs)))
+    langid.learn(frame(spark, [(k, f"words {k}", "aabbbc"[k % 6], "a") for k in range(60)]))
+    assert seen == [Counter(b=30, a=20)]
