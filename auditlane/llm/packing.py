@@ -4,7 +4,8 @@ A document's words are cut into pieces of at most `capacity`; every piece goes i
 (a training sequence) with room for it.  A bin carries two bitmaps: the places its sources have
 taken (`per_source` places each), and its duplicate clusters.  A piece fits a bin if its source has a
 place left there and its cluster isn't there yet, so copies of a text never share a sequence and no
-source fills one alone.
+source fills one alone.  `PER_SOURCE` is 4 because one source may hold a third of all pieces, most of them far shorter than a
+sequence: with 1 a bin holds no more pieces than there are sources, and most bins of a hot source stay nearly empty.
 
 Best fit.  Pieces come by size, largest first.  Bins are ordered by what they have left; the
 successor search starts at the smallest residual that holds the piece and goes on, past bins

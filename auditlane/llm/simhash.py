@@ -20,7 +20,8 @@ Components.  Links are contracted round by round: each fingerprint joins the nei
 itself) with the smallest hash of the round.  All of it stays in written tables; the number
 of rounds grows with the logarithm of the longest chain.
 
-Defined cases: null and empty texts have fingerprint zero and are linked like any other; rows that
+Defined cases: null and empty texts have fingerprint zero and are linked like any other; very long texts are read whole, one
+at a time (some 40 bytes beside them for each word); rows that
 repeat a doc_id are rows each; a null doc_id is never the smallest unless a component has no
 other; an empty table gives an empty result; extra columns are ignored (`drop_near_copies` keeps them).
 """
