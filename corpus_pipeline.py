@@ -8,6 +8,11 @@ read again as the docs of the next.  All but the last return the columns of docu
 3. near_dedup   of SimHash components the one with the smallest doc_id stays
 4. mixing       sources are drawn to their target weights, by whole documents and copies
 5. packing      what is left, copies apart, in sequences of fixed length
+
+Defined cases, beside those of the operators: documents of null or empty text, or without a letter, go at stage 1; a null lang is not
+learned from and a null source is a source; null doc_ids are kept (of equal texts a row with an id stays rather, of a component
+the smallest id); rows that repeat both id and text end as one at stage 2; very long texts pass whole and are cut into sequences at
+stage 5; an empty table stays empty through all stages; extra columns, whatever their names, are carried to stage 5.
 """
 
 from __future__ import annotations
