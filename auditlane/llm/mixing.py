@@ -4,7 +4,7 @@
    `share` times all words; a target stops at `cap` times its source, and what is above is
    shared again by weight.  The resulting water level is the largest of (total - caps of
    the sources that fill up sooner) / (weight of the others).
-2. Blocks.  A hash of the doc_id deals a source's documents into blocks of about
+2. Blocks.  A hash of the doc_id and the text deals a source's documents into blocks of about
    `BLOCK_ROWS`.  A target of r times its source takes every block floor(r) times, and then
    blocks in an order permuted by hash until the next would pass the target.  Of that one,
    the documents that fit are taken, largest first; what is then left goes on with the blocks behind
@@ -23,7 +23,7 @@ summed per block before any window.  Every draw is a hash of fixed seeds, so rer
 
 Defined cases: null source: a source of its own; null or empty text: size 0, takes no words
 (its copies follow its block in whole passes and in the last one, if its source has words left to take there:
-never more than the cap); rows that repeat a doc_id share a block; an empty table
+never more than the cap); rows that repeat a doc_id are dealt out by their texts, rows alike in both share a block; an empty table
 gives an empty result; extra columns are kept by `mix` and ignored by `mix_plan`.
 """
 
@@ -216,7 +216,7 @@ def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("n_blocks", F.least(F.lit(MAX_BLOCKS), F.ceil(F.col("n_rows") / F.lit(BLOCK_ROWS))).cast("int")),
         "sources")
-    place = F.xxhash64(F.lit(SEED), F.col("doc_id").cast("string"))
+    place = F.xxhash64(F.lit(SEED), F.col("doc_id").cast("string"), F.col("text_key"))
     dealt = rows.join(sources.select("sid", F.col("source").alias("_source"), "source_size", "target", "n_blocks"),
                       F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     dealt = dealt.withColumn("block", F.pmod(place, F.col("n_blocks")).cast("int")).drop("n_blocks")

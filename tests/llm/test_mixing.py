@@ -135,3 +135,14 @@ def test_groups_of_sources_draw_as_one(spark, monkeypatch):
     left = [r.quota for r in mixing.split_quotas(df, 2).collect() if r.shard == 0]
     assert sum(left) == 600 and len(set(left)) > 3
     assert sum((x - 20) ** 2 for x in left) / 30 < 3 * 40 * 0.25
+
+
+def test_a_repeated_id_is_dealt_over_blocks(spark, monkeypatch):
+    """One id on most rows, with texts of their own: no block grows with it, and the mix is as near its target."""
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 16)
+    written, write = {}, mixing.Scratch.write
+    monkeypatch.setattr(mixing.Scratch, "write", lambda self, df, name: written.setdefault(name, write(self, df, name)))
+    data = [(7, f"w{k} " * (1 + k % 5), "en", "a") for k in range(600)] + [(k, "w w", "en", "a") for k in range(1_000, 1_100)]
+    plan = mixing.mix_plan(frame(spark, data), share=0.6).collect()
+    assert written["blocks"].count() > 35
+    assert len(plan) == 700 and abs(sum(r.taken for r in plan) - plan[0].target) <= 1
