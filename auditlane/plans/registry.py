@@ -7,6 +7,7 @@ Every entry runs on whole tables (no row caps, id subsets or prefixes); the limi
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import datetime
@@ -23,7 +24,7 @@ from auditlane.plans import oracle_sql as q
 from auditlane.plans import flow, publish
 from auditlane.session import lake_root
 from auditlane.sources import catalog, csv, landing
-from auditlane.sources.lake import Lake
+from auditlane.sources.lake import Lake, TableNotFound
 from auditlane.sources.sinks import AlertSink
 from auditlane.streaming import gate_stream, stream_mart
 
@@ -475,6 +476,59 @@ def q_orphan_keys(spark, sf_dir):
     return datatests.orphan_keys(fct, "dropoff_location_id", dim, "location_id")
 
 
+def q_gate_raises(spark, sf_dir):
+    """What a blocked gate raises: its message, and the alert that it carries, one row per failed rule."""
+    try:
+        gate.run_gate(frozen_lines(spark, sf_dir), line_suite(), model=MODEL, suite=rules.TRIPS_SUITE_NAME)
+    except gate.GateBlocked as stop:
+        text = spark.range(1).select(F.from_json(F.lit(json.dumps(stop.payload)), ALERT_JSON).alias("a"), F.lit(str(stop)).alias("message"))
+        return alert_rows(text.select("a.*", "message"), "message")
+    raise RuntimeError("the gate let the dirty batch pass")
+
+
+def q_samples_without_id(spark, sf_dir):
+    """The alert of a batch that lacks the id column asked for: counts stay, no id is sampled."""
+    df, suite = frozen_lines(spark, sf_dir), rules.trips_suite()
+    results = gate.evaluate(df, suite, model=MODEL, suite=rules.TRIPS_SUITE_NAME, run_id="query", checked_at=CHECKED_AT)
+    return alert_rows(gate.build_alert(results, gate.offender_samples(df, suite, failed_rule_ids(df, suite), id_col="ride_id"))).drop("notes")
+
+
+def q_fault_dispatch(spark, sf_dir):
+    """Every fault by its name, and a name that is none, on the order batch: what changed, in one row a name."""
+    parts = []
+    for mode in (*faults.FAULT_MODES, "no_such_fault"):
+        try:
+            df = faults.apply_fault(b.order_trips(spark, sf_dir), mode)
+        except ValueError:
+            df = b.order_trips(spark, sf_dir).where("trip_id IS NULL")  # refused: nothing comes out
+        distance = faults.DRIFT_NEW_NAME if faults.DRIFT_NEW_NAME in df.columns else faults.DRIFT_OLD_NAME
+        parts.append(df.agg(
+            F.lit(mode).alias("fault_mode"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct("trip_id").alias("n_ids"),
+            F.count_if(F.col("fare_amount").isNull()).alias("null_fares"), F.count_if(F.col("fare_amount") < 0).alias("negative_fares"),
+            F.count_if(F.col(distance) < 0).alias("negative_distances"), F.lit(distance).alias("distance_column")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_lake_states(spark, sf_dir):
+    """What readers find by name: a clear error before anything is landed, the landed rows after, the old ones when a write isn't committed."""
+    lake, found = scratch_lake(spark, "states"), []
+
+    def look(state: str) -> None:
+        try:
+            rows = lake.read(landing.RAW_NAMESPACE, landing.TRIPS_TABLE).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("string").alias("error"))
+        except TableNotFound as missing:
+            text = str(missing).replace(lake.root, "<root>")
+            rows = spark.range(1).select(F.lit(None).cast("long").alias("n_rows"), F.lit(text).alias("error"))
+        found.append(rows.select(F.lit(state).alias("state"), "n_rows", "error"))
+
+    look("empty")
+    landing.land(lake, b.order_trips(spark, sf_dir), b.nation_zones(spark, sf_dir))
+    look("landed")
+    lake.write_snapshot(landing.RAW_NAMESPACE, landing.TRIPS_TABLE, b.line_trips(spark, sf_dir))
+    look("written")
+    return reduce(DataFrame.unionByName, found)
+
+
 def q_run_stages(spark, sf_dir):
     """The stage logs of five runs, one a fault mode."""
     parts = []
@@ -678,6 +732,10 @@ QUERIES: dict[str, Query] = {
     "golden_rows": q_golden_rows,
     "run_stages": q_run_stages,
     "orphan_keys": q_orphan_keys,
+    "gate_raises": q_gate_raises,
+    "samples_without_id": q_samples_without_id,
+    "fault_dispatch": q_fault_dispatch,
+    "lake_states": q_lake_states,
 }
 
 
@@ -880,6 +938,22 @@ def _quoting_sql() -> str:
     return q.stg_zones(f"SELECT z.location_id, z.borough, {pick} || z.zone || {pick} AS zone FROM ({q.zones_raw()}) z")
 
 
+RAISED_MESSAGE_SQL = f""", 'gate blocked {MODEL}: ' || (SELECT count(*) FROM g WHERE NOT success) || ' of ' || (SELECT count(*) FROM g)
+    || ' rule(s) failed on ' || (SELECT max(element_count) FROM g) || ' rows ('
+    || (SELECT string_agg(rule_id, ', ' ORDER BY rule_index) FROM g WHERE NOT success) || ')' AS message,
+    CASE g.rule_id {{notes}} END AS notes"""
+
+
+def _dispatch_sql() -> str:
+    batches = {"none": q.ORDER_RAW, "null_flood": q.null_flood(q.ORDER_RAW), "schema_drift": q.schema_drift(q.ORDER_RAW), "dup_pk": q.dup_pk(q.ORDER_RAW),
+               "negative_values": q.negative_values(q.ORDER_RAW), "no_such_fault": f"SELECT * FROM ({q.ORDER_RAW}) o WHERE trip_id IS NULL"}
+    distance = lambda mode: faults.DRIFT_NEW_NAME if mode == "schema_drift" else faults.DRIFT_OLD_NAME
+    return "\nUNION ALL\n".join(f"""
+SELECT '{mode}' AS fault_mode, count(*) AS n_rows, count(DISTINCT trip_id) AS n_ids, count(*) FILTER (WHERE fare_amount IS NULL) AS null_fares,
+       count(*) FILTER (WHERE fare_amount < 0) AS negative_fares, count(*) FILTER (WHERE {distance(mode)} < 0) AS negative_distances,
+       '{distance(mode)}' AS distance_column FROM ({raw}) r""" for mode, raw in batches.items())
+
+
 ORACLE: dict[str, str] = {
     "stage_trips": q.stg_trips(q.LINE_RAW),
     "stage_zones": q.stg_zones(q.zones_raw()),
@@ -999,4 +1073,11 @@ SELECT f.dropoff_location_id, count(*) AS n_rows FROM ({q.line_enriched()}) f
 WHERE f.dropoff_location_id IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM ({q.stg_zones(q.zones_raw(DROPPED_REGION))}) d WHERE d.location_id = f.dropoff_location_id)
 GROUP BY f.dropoff_location_id""",
+    "gate_raises": _alert_sql(LINE_FARE_MAX, RAISED_MESSAGE_SQL),
+    "samples_without_id": f"SELECT * REPLACE ('' AS sample_trip_ids) FROM ({_alert_sql(rules.FARE_MAX)}) a",
+    "fault_dispatch": _dispatch_sql(),
+    "lake_states": f"""
+SELECT 'empty' AS state, CAST(NULL AS BIGINT) AS n_rows, 'raw.trips has no committed snapshot under <root>' AS error
+UNION ALL SELECT s.state, count(*) AS n_rows, CAST(NULL AS VARCHAR) AS error
+FROM ({q.ORDER_RAW}) o, (VALUES ('landed'), ('written')) s(state) GROUP BY s.state""",
 }
