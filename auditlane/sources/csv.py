@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import csv as text_csv
 import io
+import re
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +57,17 @@ class HeaderDriftError(SchemaDriftError):
         self.table, self.file, self.missing, self.extra = file, file, missing, extra
 
 
+def _as_path(uri: str) -> str:
+    """A file as Spark lists it (percent-encoded), as a path that Spark reads: signs of patterns stand for themselves."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", unquote(uri))
+
+
 def headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
     """The header of each file (files without a line are left out).
 
     One line is read of a file: a limit stops its scan.  A job reads those of ``HEADERS_A_JOB`` files.
     """
-    files, found = sorted(spark.read.text(path).inputFiles()), {}
+    files, found = sorted(map(_as_path, spark.read.text(path).inputFiles())), {}
     for k in range(0, len(files), HEADERS_A_JOB):
         lines = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value") for f in files[k:k + HEADERS_A_JOB]]
         for r in reduce(DataFrame.unionAll, lines).collect():

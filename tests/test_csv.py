@@ -84,3 +84,10 @@ def test_round_trip_through_staging(spark, lake):
     csv.write_csv(src, f"{lake.root}/trips")
     back = stage_trips(csv.read_trips_csv(spark, f"{lake.root}/trips"))
     assert back.exceptAll(stage_trips(src)).count() == 0
+
+
+def test_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "odd names"
+    for k, name in enumerate(["a b.csv", "c[1].csv", "d%20e.csv", "é.csv"]):
+        path = _file(folder, name, f"k,v\n{k},x\n")
+    assert sorted(r["k"] for r in csv.read_csv(spark, path).collect()) == ["0", "1", "2", "3"]
