@@ -219,11 +219,11 @@ def offender_samples(
 ) -> DataFrame:
     """Up to ``k`` offending ids per rule (smallest first), for the given rules only.
 
-    One pruned scan serves all row rules: each row yields its id for the rules it breaks, and the
-    rank is a window that Spark limits to ``k`` rows per rule in each task, so no more leave the
-    scan.  A uniqueness rule on the id takes a scan of the id alone: ids are counted (combined
-    before the shuffle, which carries nothing else) and the smallest of those met twice are ranked
-    in the same way.  One on another column (none in the trip suite) adds a join with its duplicated keys.
+    Each rule scans the id and its own column, with its violation pushed to the files' statistics, and each
+    task keeps its ``k`` smallest ids in a bounded heap: nothing is sorted, and no more than ``k`` rows a rule
+    leave the scan.  A uniqueness rule on the id scans the id alone: ids are counted (combined before the
+    shuffle, which carries nothing else) and the smallest of those met twice are kept in the same way.  One on
+    another column (none in the trip suite) adds a join with its duplicated keys.
     """
     spark = df.sparkSession
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -231,29 +231,25 @@ def offender_samples(
     if id_col not in types or not wanted or k <= 0:
         return literal_frame(spark, [], sample_schema(types.get(id_col, LongType())))
 
-    row_rules = [r for r in wanted if not isinstance(r, Unique)]
-    own_key = [r for r in wanted if isinstance(r, Unique) and r.column == id_col]
     row_id = F.col(id_col).alias("row_id")
-    parts: list[DataFrame] = []
-    if own_key:
-        twice = df.groupBy(row_id).agg(F.count(F.lit(1)).alias("__rows")).where(~is_missing("row_id", types[id_col]) & (F.col("__rows") > 1))
-        parts.append(twice.select(F.explode(F.array(*[F.lit(r.rule_id) for r in own_key])).alias("rule_id"), "row_id"))
-    if row_rules:
-        broken = F.filter(F.array(*[F.when(r.violation(types[r.column]), F.lit(r.rule_id)) for r in row_rules]), lambda x: x.isNotNull())
-        parts.append(df.select(F.explode(broken).alias("rule_id"), row_id))
-    for r in wanted:
-        if isinstance(r, Unique) and r.column != id_col:
-            keys = (
-                df.groupBy(F.col(r.column).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
-                .where(~is_missing("__key", types[r.column]) & (F.col("__rows") > 1))
-                .select(F.col("__key").alias(r.column))
-            )
-            parts.append(df.join(keys, r.column, "left_semi").select(F.lit(r.rule_id).alias("rule_id"), row_id))
-
-    # Rules are ranked part by part, each part's rules being its own.
-    ranked = Window.partitionBy("rule_id").orderBy(F.col("row_id").asc_nulls_last())
-    top = [p.withColumn("rank", F.row_number().over(ranked).cast("int")).where(F.col("rank") <= k).select("rule_id", "rank", "row_id") for p in parts]
-    return reduce(DataFrame.unionByName, top)
+    smallest = F.col("row_id").asc_nulls_last()
+
+    def met_twice(column: str) -> DataFrame:
+        counted = df.groupBy(F.col(column).alias("__key")).agg(F.count(F.lit(1)).alias("__rows"))
+        return counted.where(~is_missing("__key", types[column]) & (F.col("__rows") > 1)).select("__key")
+
+    def offending(rule: Rule) -> DataFrame:
+        if not isinstance(rule, Unique):
+            return df.where(rule.violation(types[rule.column])).select(row_id)
+        keys = met_twice(rule.column)
+        if rule.column == id_col:
+            return keys.select(F.col("__key").alias("row_id"))
+        return df.join(keys, df[rule.column] == keys["__key"], "left_semi").select(row_id)
+
+    tops = [offending(r).orderBy(smallest).limit(k).select(F.lit(r.rule_id).alias("rule_id"), "row_id") for r in wanted]
+    # At most k rows a rule are left to number.
+    numbered = F.row_number().over(Window.partitionBy("rule_id").orderBy(smallest)).cast("int")
+    return reduce(DataFrame.unionByName, tops).select("rule_id", numbered.alias("rank"), "row_id")
 
 
 def build_alert(
