@@ -7,10 +7,12 @@ of the shingles' hashes (XXH64, seed 42).  Python computes them in Arrow batches
 Candidates.  Equal fingerprints are combined first.  The 64 bits are cut into m stripes; two
 fingerprints within the radius r agree in at least m - r stripes, so for each choice of m - r
 stripes the fingerprints are grouped by those bits, and no link can be missed.  m grows with the
-number of fingerprints so that a group holds about one block; every m gives the same links.
+number of fingerprints so that a group holds about one block; every m gives the same links.  Groups
+above a block (fingerprints that crowd) are counted first and cut once more, by the same rule: the bits that
+they don't share are cut into r + 2 stripes, of which two within the radius agree in two at least.
 
-Comparison.  A group is cut into blocks of bounded size; each block meets itself and the group's other
-blocks.  A block is stored vertically: plane p holds bit p of 64 fingerprints in a 64-bit
+Comparison.  A group that is still larger is dealt into blocks of about equal size by a hash, so that no task holds
+a group; each block meets itself and, spread by salt, the group's other blocks.  A block is stored vertically: plane p holds bit p of 64 fingerprints in a 64-bit
 word.  XOR with a query bit gives 64 differences at once, carry-save adders count them in bit counters
 (ones, twos, fours, and an overflow that stays), and after every eight planes the words in which
 each lane has passed the radius are abandoned.  A block reports a spanning forest of its links, so
@@ -45,6 +47,7 @@ HASH_SEED = 42
 BITS = 64
 BLOCK = 1_024
 GROUP = 64
+SPREAD = 64
 CHUNK = 1 << 14
 PART = 1 << 15
 
@@ -206,25 +209,61 @@ def stripe_masks(n: int, radius: int) -> list[int]:
     return [sum(stripes[k] for k in chosen) for chosen in combinations(range(m), m - radius)]
 
 
+def further_masks(mask: int, radius: int) -> list[int]:
+    """Masks that add two of radius + 2 stripes of the bits `mask` leaves out: two fingerprints that agree under `mask` and are
+    within the radius agree under one of them."""
+    free, m = [b for b in range(BITS) if not mask >> b & 1], radius + 2
+    stripes = [sum(1 << b for b in free[len(free) * k // m:len(free) * (k + 1) // m]) for k in range(m)]
+    return [mask | a | b for a, b in combinations(stripes, 2)]
+
+
 def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
+def _above_a_block(scratch: Scratch, keyed: DataFrame, name: str) -> DataFrame:
+    """(table, key, blocks): the groups of more than one block, and how many blocks they take."""
+    counted = keyed.groupBy("table", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("blocks > 1")
+    return scratch.write(counted, name)
+
+
+def candidates(scratch: Scratch, prints: DataFrame, radius: int) -> DataFrame:
+    """Blocks that may hold links: table, key (together a group), blocks (of the group), block, prints."""
+    group = ["table", "key"]
+    first = stripe_masks(prints.count(), radius)
+    masks = F.array(*[F.lit(_signed(m)).cast("long") for m in first])
+    keyed = prints.select("print", F.posexplode(masks).alias("table", "mask")).select(
+        "print", "table", F.col("print").bitwiseAND(F.col("mask")).alias("key"))
+    crowded = _above_a_block(scratch, keyed, "crowded")
+    if crowded.isEmpty():
+        placed = keyed.withColumn("blocks", F.lit(1).cast("long"))
+    else:
+        # One row a table and further mask: a table of fixed size.
+        steps = [(t, m) for t, mask in enumerate(first) for m in further_masks(mask, radius)]
+        further = scratch.spark.createDataFrame([(t, len(first) + k, _signed(m)) for k, (t, m) in enumerate(steps)], "table int, next int, mask long")
+        cut = (
+            keyed.join(crowded, group, "left_semi").join(further, "table")
+            .select("print", F.col("next").alias("table"), F.col("print").bitwiseAND(F.col("mask")).alias("key"))
+        )
+        large = _above_a_block(scratch, cut, "large")
+        placed = (
+            keyed.join(crowded, group, "left_anti").unionByName(cut)
+            .join(large, group, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        )
+    block = F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")
+    blocks = placed.groupBy(*group, "blocks", block.alias("block")).agg(F.collect_list("print").alias("prints"))
+    return scratch.write(blocks.where((F.size("prints") > 1) | (F.col("blocks") > 1)), "blocks")
+
+
 def links(scratch: Scratch, prints: DataFrame, radius: int) -> DataFrame:
     """(a, b): links between distinct fingerprints, enough to connect all that are within the radius."""
-    masks = F.array(*[F.lit(_signed(m)).cast("long") for m in stripe_masks(prints.count(), radius)])
-    keyed = prints.select("print", F.posexplode(masks).alias("table", "mask")).withColumn("key", F.col("print").bitwiseAND(F.col("mask")))
-    inside = Window.partitionBy("table", "key").orderBy("print")
-    blocks = (
-        keyed.withColumn("block", F.floor((F.row_number().over(inside) - 1) / BLOCK).cast("int"))
-        .groupBy("table", "key", "block").agg(F.collect_list("print").alias("prints"))
-        .where((F.size("prints") > 1) | (F.col("block") > 0))
-    )
-    blocks = scratch.write(blocks, "blocks")
-    # Groups of several blocks: each pair of blocks once.
-    several = blocks.join(blocks.where("block = 1").select("table", "key"), ["table", "key"], "left_semi")
-    other = several.select("table", "key", F.col("block").alias("later"), F.col("prints").alias("right"))
-    crossed = several.join(other, ["table", "key"]).where("block < later").select(F.col("prints").alias("left"), "right")
+    blocks = candidates(scratch, prints, radius)
+    # Groups of several blocks: each pair of blocks once, a group's pairs in up to SPREAD places.
+    several = blocks.where("blocks > 1")
+    salts = F.least(F.col("blocks"), F.lit(SPREAD)).cast("int")
+    left = several.select("table", "key", (F.col("block") % salts).alias("salt"), "block", F.col("prints").alias("left"))
+    right = several.select("table", "key", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.col("block").alias("later"), F.col("prints").alias("right"))
+    crossed = left.join(right, ["table", "key", "salt"]).where("block < later").select("left", "right")
     pairs = blocks.select(F.col("prints").alias("left"), F.lit(None).cast("array<bigint>").alias("right")).unionByName(crossed)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

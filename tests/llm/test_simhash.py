@@ -103,9 +103,37 @@ def test_stripes_miss_no_link(n, radius):
         assert any(not flips & m for m in masks)
 
 
-def test_links_and_components_match_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 16)  # groups of several blocks
-    prints = near_prints(300, 5) + [1 << k for k in range(40)] + [3 << k for k in range(40)]
+@pytest.mark.parametrize("radius", [0, 1, 2, 4, 6])
+def test_further_masks_miss_no_link(radius):
+    draw = random.Random(radius)
+    for mask in draw.sample(simhash.stripe_masks(10**5, radius), 1) + draw.sample(simhash.stripe_masks(10**9, radius), 1):
+        masks, free = simhash.further_masks(mask, radius), [b for b in range(64) if not mask >> b & 1]
+        assert all(m & mask == mask for m in masks)
+        for _ in range(200):
+            flips = sum(1 << b for b in draw.sample(free, min(radius, len(free))))
+            assert any(not flips & m for m in masks)
+
+
+def crowd(n, seed):
+    """Fingerprints that share 40 bits, some of them near others: one group in many tables."""
+    draw = random.Random(seed)
+    base = draw.getrandbits(40) << 24
+    return [base | (p & 0xFFFFFF) for p in near_prints(n, seed)]
+
+
+def test_crowded_groups_are_cut_before_they_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 64)
+    signed = sorted({p - 2**64 if p >> 63 else p for p in crowd(600, 3)})
+    df = spark.createDataFrame([(p,) for p in signed], "print long")
+    blocks = simhash.candidates(Scratch(spark, "test-simhash"), df, 4).selectExpr("size(prints) n", "blocks").collect()
+    # Five stripes of which one must agree would give groups of 600; no block holds much more than its share.
+    assert max(b.n for b in blocks) <= 2 * 64 and sum(b.n * b.n for b in blocks) < 15 * 600 * 600
+
+
+@pytest.mark.parametrize("prints", [near_prints(300, 5) + [1 << k for k in range(40)] + [3 << k for k in range(40)], crowd(400, 8)])
+def test_links_and_components_match_brute_force(spark, monkeypatch, prints):
+    monkeypatch.setattr(simhash, "BLOCK", 16)  # crowded groups, and some of several blocks
+    monkeypatch.setattr(simhash, "SPREAD", 2)
     signed = sorted({p - 2**64 if p >> 63 else p for p in prints})
     df = spark.createDataFrame([(p,) for p in signed], "print long")
     scratch = Scratch(spark, "test-simhash")
