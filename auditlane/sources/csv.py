@@ -65,11 +65,13 @@ def _as_path(uri: str) -> str:
 def headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
     """The header of each file (files without a line are left out).
 
-    One line is read of a file: a limit stops its scan.  A job reads those of ``HEADERS_A_JOB`` files.
+    A file's header is in its first block: of a file of several blocks, lines of the others may come first.
+    One task reads a file's blocks in turn and stops at the first line; a job reads those of ``HEADERS_A_JOB`` files.
     """
     files, found = sorted(map(_as_path, spark.read.text(path).inputFiles())), {}
     for k in range(0, len(files), HEADERS_A_JOB):
-        lines = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), "value") for f in files[k:k + HEADERS_A_JOB]]
+        lines = [spark.read.text(f).where(F.col("_metadata.file_block_start") == 0).coalesce(1).limit(1).select(F.lit(f).alias("file"), "value")
+                 for f in files[k:k + HEADERS_A_JOB]]
         for r in reduce(DataFrame.unionAll, lines).collect():
             found[r["file"]] = tuple(next(text_csv.reader(io.StringIO(r["value"].removeprefix("﻿"))), ()))
     return found

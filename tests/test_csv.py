@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
 
 from auditlane.operators.staging import stage_trips
@@ -48,6 +52,31 @@ def test_each_file_is_read_by_its_own_header(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == [("1", "B1", "Z1"), ("2", "B2", "Z2")]
 
 
+ON_EXECUTORS = """
+import sys
+from auditlane.session import build_session
+from auditlane.sources import csv
+spark = build_session("local-cluster[2,2,1024]", "headers", 4, {
+    "spark.executor.memory": "600m", "spark.driver.host": "127.0.0.1", "spark.sql.files.maxPartitionBytes": "8k",
+    "spark.checkpoint.dir": sys.argv[2], "spark.sql.warehouse.dir": sys.argv[2] + "/warehouse"})
+for _ in range(3):
+    assert sorted(",".join(h) for h in csv.headers(spark, sys.argv[1]).values()) == ["a,k,b", "b,a,k", "k,a,b"]
+assert csv.read_csv(spark, sys.argv[1], ("k", "a", "b")).count() == 6_000
+spark.stop()
+"""
+
+
+def test_the_header_of_a_file_in_many_blocks_is_its_first_line(tmp_path):
+    """Where executors are processes of their own, blocks of a file come in any order."""
+    lines = "".join(f"{k},x{k},{'y' * 80}\n" for k in range(2_000))
+    for k, header in enumerate(("k,a,b", "a,k,b", "b,a,k")):
+        path = _file(tmp_path / "z", f"{k}.csv", f"{header}\n{lines}")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    ran = subprocess.run([sys.executable, "-c", ON_EXECUTORS, path, str(tmp_path / "kept")], cwd=repo, capture_output=True, text=True, timeout=240,
+                         env={k: v for k, v in os.environ.items() if not k.startswith("PYSPARK_GATEWAY")} | {"PYTHONPATH": repo, "PYSPARK_PYTHON": sys.executable, "SPARK_LOCAL_IP": "127.0.0.1"})
+    assert ran.returncode == 0, ran.stderr[-2_000:]
+
+
 def test_more_files_than_a_job_reads_headers_of(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(csv, "HEADERS_A_JOB", 3)
     for k in range(8):
