@@ -108,3 +108,38 @@ def test_pairwise_fit_against_brute_force():
     assert np.allclose(weights, ranker.weights, atol=1e-2)
     strength = sorted(z @ ranker.weights)
     assert sum(s < ranker.cut for s in strength) in (8, 9, 10, 11, 12)
+
+
+def test_every_labelled_row_and_pair_teaches(spark):
+    """Weights and cut by brute force over all rows and pairs, wherever the learning starts."""
+    draw = np.random.default_rng(5)
+    docs, labels = [], []
+    for k in range(240):
+        good = k % 3 != 0
+        words = ["w" * n for n in draw.integers(2, 6 if draw.random() < 0.3 else 8 if good else 5, draw.integers(3, 40))]
+        docs.append((k, " ".join(w.upper() if draw.random() < (0.05 if good else 0.1) else w for w in words), "en", "a"))
+        labels.append((k, int(good)))
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    some, more = (quality.learn(frame(spark, docs), known, learn_rows=n) for n in (8, 4_000))
+    assert np.allclose(some.weights, more.weights, atol=1e-6) and abs(some.cut - more.cut) < 1e-5
+    x = quality._matrix([t for _, t, *_ in docs])
+    good = np.array([q == 1 for _, q in labels])
+    assert np.allclose(some.center, x.mean(0)) and np.allclose(some.scale, np.where(x.std(0) > 1e-9, x.std(0), 1))
+    z = quality._standard(x, some.center, some.scale)
+    d = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, z.shape[1])
+    slope = d.T @ (1 / (1 + np.exp(d @ some.weights))) / len(d) - quality.RIDGE * some.weights
+    assert np.abs(slope).max() < 1e-5
+    ranked = np.sort(z @ some.weights)
+    assert abs(some.cut - (ranked[79] + ranked[80]) / 2) < 1e-9
+
+
+def test_the_cut_is_found_in_narrower_cells(spark, monkeypatch):
+    monkeypatch.setattr(quality, "CUT_CELLS", 3)
+    width = len(quality.NAMES)
+    values = [0.0, 0.1, 0.1, 0.1, 0.2, 5.0, 5.5, 90.0, 1000.0, 1000.0]
+    rows = spark.createDataFrame([(k % 2 == 0, [v] + [0.0] * (width - 1)) for k, v in enumerate(values)], "good boolean, x array<double>").repartition(3)
+    first = np.eye(width)[0]
+    for n in range(1, 10):
+        got = quality._cut(rows, quality.Ranker(np.zeros(width), np.ones(width), first, None).strength, {True: 5, False: 5}, 0.5, n / 10)
+        ranked = np.clip(values, -6, 6)
+        assert got == (ranked[n - 1] + ranked[n]) / 2, n
